@@ -24,6 +24,7 @@ def spread_join(
     on: list[str],
     spread_by: list[str],
     sizes: DataFrame | None = None,
+    hot_on: list[str] | None = None,
     how: str = "inner",
     pieces: int = PIECES,
 ) -> DataFrame:
@@ -36,17 +37,18 @@ def spread_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
+    judged = hot_on or on
     if sizes is None:
-        sizes = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_keys(sizes, on, pieces))
+        sizes = fact.groupBy(*judged).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(hot_keys(sizes, judged, pieces))
     spread = F.coalesce(F.col("_spread"), F.lit(1))
     dealt = (
-        fact.join(hot, on, "left")
+        fact.join(hot, judged, "left")
         .withColumn("_piece", F.pmod(F.xxhash64(*spread_by), spread).cast("int"))
         .drop("_spread")
     )
     repeated = (
-        dim.join(hot, on, "left")
+        dim.join(hot, judged, "left")
         .withColumn("_piece", F.explode(F.sequence(F.lit(0), spread - 1)))
         .drop("_spread")
     )
