@@ -5,70 +5,105 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def bind(value: Column, body) -> Column:
+    """`body(value)` with the value worked out once, however often the body uses it.
+
+    A lambda over a one-element array holds the result; without it every use, also one
+    inside another lambda, would evaluate the whole expression again.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def array_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
 def array_mean(values: Column) -> Column:
-    return F.try_divide(array_sum(values), F.size(values))
+    return bind(values, lambda v: F.try_divide(array_sum(v), F.size(v)))
 
 
 def array_std(values: Column) -> Column:
     """Population standard deviation of one array."""
-    mean = array_mean(values)
-    squares = F.aggregate(
-        F.transform(values, lambda x: (x - mean) * (x - mean)),
-        F.lit(0.0),
-        lambda acc, x: acc + x,
-    )
-    return F.sqrt(F.try_divide(squares, F.size(values)))
+
+    def spread(v: Column) -> Column:
+        squares = bind(
+            array_mean(v),
+            lambda mean: F.aggregate(
+                v, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)
+            ),
+        )
+        return F.sqrt(F.try_divide(squares, F.size(v)))
+
+    return bind(values, spread)
 
 
 def dot(left: Column, right: Column) -> Column:
     return array_sum(F.zip_with(left, right, lambda a, b: a * b))
 
 
+def dots(values: Column, directions) -> Column:
+    """Array of dot products of one array with several literal ones."""
+    return bind(values, lambda v: F.array(*[dot(v, literal_array(d)) for d in directions]))
+
+
 def literal_array(numbers) -> Column:
     return F.array(*[F.lit(float(number)) for number in numbers])
 
 
 def rescale(series: Column) -> Column:
     """(x - mean) / mean per element; NULL elements when the mean is zero."""
-    mean = array_mean(series)
-    return F.transform(series, lambda x: F.try_divide(x - mean, mean))
+    return bind(
+        series,
+        lambda s: bind(
+            array_mean(s), lambda m: F.transform(s, lambda x: F.try_divide(x - m, m))
+        ),
+    )
 
 
 def fold(series: Column, period: int) -> Column:
     """Sum of every `period`-th element, one total per phase."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(period - 1)),
-        lambda phase: array_sum(
-            F.transform(
-                F.sequence(phase, F.size(series) - 1, F.lit(period)),
-                lambda pos: F.get(series, pos),
-            )
-        ),
-    )
+
+    def phases(s: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(period - 1)),
+            lambda phase: F.aggregate(
+                F.sequence(phase, F.size(s) - 1, F.lit(period)),
+                F.lit(0.0),
+                lambda acc, pos: acc + F.get(s, pos),
+            ),
+        )
+
+    return bind(series, phases)
 
 
 def block_sums(series: Column, run: int) -> Column:
     """Sum of each run of `run` neighbouring elements."""
-    return F.transform(
-        F.sequence(F.lit(0), (F.size(series) / run).cast("int") - 1),
-        lambda block: array_sum(F.slice(series, block * run + 1, run)),
-    )
+
+    def blocks(s: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), (F.size(s) / run).cast("int") - 1),
+            lambda block: array_sum(F.slice(s, block * run + 1, run)),
+        )
+
+    return bind(series, blocks)
 
 
 def interactions(features: Column) -> Column:
     """The features followed by every ordered product of two of them."""
-    products = F.transform(features, lambda a: F.transform(features, lambda b: a * b))
-    return F.concat(features, F.flatten(products))
+    return bind(
+        features,
+        lambda f: F.concat(
+            f, F.flatten(F.transform(f, lambda a: F.transform(f, lambda b: a * b)))
+        ),
+    )
 
 
 def gradient_summand(weights: Column, features: Column, label: Column) -> Column:
     """One row's least-squares gradient: (w.x - y) x."""
-    residual = dot(weights, features) - label
-    return F.transform(features, lambda x: residual * x)
+    return bind(
+        features,
+        lambda f: bind(dot(weights, f) - label, lambda r: F.transform(f, lambda x: r * x)),
+    )
 
 
 def centred(features: Column, means: Column) -> Column:
@@ -78,4 +113,4 @@ def centred(features: Column, means: Column) -> Column:
 def project_back(features: Column, means: Column, component: Column) -> Column:
     """Projection of each row onto one direction through the mean point."""
     share = F.try_divide(dot(centred(features, means), component), dot(component, component))
-    return F.zip_with(component, means, lambda c, m: share * c + m)
+    return bind(share, lambda s: F.zip_with(component, means, lambda c, m: s * c + m))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from millrace.functions.scores import log_loss, probability
 from millrace.operators.ordering import running_totals
@@ -96,24 +97,26 @@ def _gradient_task(shared, models: int, slots: int):
 
 def with_raw_score(rows: DataFrame, model: LogisticModel) -> DataFrame:
     """Add `raw_score`, the sparse dot product plus the intercept, batch by batch."""
-    import pandas as pd
-
     shared = rows.sparkSession.sparkContext.broadcast(model.weights)
     intercept = float(model.intercept)
 
-    @F.pandas_udf("double")
-    def raw_score(indices: pd.Series, values: pd.Series) -> pd.Series:
+    def score(batches):
         import numpy as np
+        import pyarrow as pa
 
-        lengths = indices.map(len).to_numpy()
-        if lengths.sum() == 0:
-            return pd.Series(np.full(len(indices), intercept))
-        row = np.repeat(np.arange(len(indices)), lengths)
-        index = np.concatenate(indices.to_list()).astype(np.int64)
-        value = np.concatenate(values.to_list()).astype(float)
-        return pd.Series(np.bincount(row, value * shared.value[index], len(indices)) + intercept)
+        for batch in batches:
+            places = batch.column("indices")
+            lengths = places.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(batch.num_rows), lengths)
+            index = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            value = batch.column("values").flatten().to_numpy(zero_copy_only=False)
+            raw = np.bincount(row, value * shared.value[index], batch.num_rows) + intercept
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(raw)], names=[*batch.schema.names, "raw_score"]
+            )
 
-    return rows.withColumn("raw_score", raw_score("indices", "values"))
+    schema = StructType([*rows.schema.fields, StructField("raw_score", DoubleType())])
+    return rows.mapInArrow(score, schema)
 
 
 def mean_log_loss(scored: DataFrame) -> Column:

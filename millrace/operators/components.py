@@ -44,7 +44,4 @@ def fit_components(df: DataFrame, k: int, features: str = "features") -> Compone
 
 def with_scores(df: DataFrame, components: Components, features: str = "features") -> DataFrame:
     """Add `scores`: the row, not centred, times each direction."""
-    columns = [
-        A.dot(F.col(features), A.literal_array(direction)) for direction in components.directions.T
-    ]
-    return df.withColumn("scores", F.array(*columns))
+    return df.withColumn("scores", A.dots(F.col(features), components.directions.T))

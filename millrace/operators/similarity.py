@@ -20,15 +20,16 @@ from millrace.operators.joins import PIECES, spread_join
 from millrace.operators.tokens import inverse_ratios
 from millrace.session import settle
 
+PAIR = ["bag_a", "bag_g", "n_a", "n_g", "a_id", "g_id"]
 BINS = 101  # one per hundredth, and one for a similarity of exactly 1
 
 
 @dataclass(frozen=True)
 class Catalogues:
-    """`members`: side, id, bag. `bags`: bag, n_a, n_g, a_id, g_id (least id per side).
-    `vectors`: bag, token, unit, tail, n_a, n_g, where `unit` is the weight over the
-    vector's norm and `tail` the squared length of the vector cut down to this token
-    and all commoner ones."""
+    """`members`: side, id, bag. `bags`: bag, n_a, n_g, a_id, g_id (records and least id
+    per side). `vectors`: token, unit, tail and the columns of `bags`, where `unit` is
+    the weight over the vector's norm and `tail` the squared length of the vector cut
+    down to this token and all commoner ones."""
 
     members: DataFrame
     bags: DataFrame
@@ -67,7 +68,7 @@ def build_catalogues(records: DataFrame) -> Catalogues:
     vectors = (
         weighed.withColumn("_norm2", F.sum(square).over(whole))
         .withColumn("_tail2", F.sum(square).over(common_first))
-        .join(bags.select("bag", "n_a", "n_g"), "bag")
+        .join(bags, "bag")
         .select(
             "bag",
             "token",
@@ -75,13 +76,15 @@ def build_catalogues(records: DataFrame) -> Catalogues:
             (F.col("_tail2") / F.col("_norm2")).alias("tail"),
             "n_a",
             "n_g",
+            "a_id",
+            "g_id",
         )
     )
     return Catalogues(members, bags, settle(vectors))
 
 
 def _shared_token_products(kept: DataFrame) -> DataFrame:
-    """(bag_a, bag_g, dot) over the tokens in `kept`.
+    """PAIR columns and `cosine` over the tokens in `kept`.
 
     The work on a token is the product of its two posting lists. A token with more than
     1/PIECES of all work (fewer than PIECES tokens, hence the broadcast) has both lists
@@ -101,7 +104,7 @@ def _shared_token_products(kept: DataFrame) -> DataFrame:
         )
     )
     dealt = kept.join(hot, "token", "left").select(
-        "token", "bag", "unit", "n_a", "n_g",
+        "token", "bag", "unit", "n_a", "n_g", "a_id", "g_id",
         F.coalesce("_na", F.lit(1)).alias("_na"),
         F.coalesce("_ng", F.lit(1)).alias("_ng"),
     )
@@ -113,30 +116,35 @@ def _shared_token_products(kept: DataFrame) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
 
     a = dealt.filter("n_a > 0").select(
-        "token", F.col("bag").alias("bag_a"), F.col("unit").alias("unit_a"),
+        "token", "n_a", "a_id", F.col("bag").alias("bag_a"), F.col("unit").alias("unit_a"),
         place("_na").alias("_pa"), every("_ng").alias("_pg"),
     )
     g = dealt.filter("n_g > 0").select(
-        "token", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g"),
+        "token", "n_g", "g_id", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g"),
         place("_ng").alias("_pg"), every("_na").alias("_pa"),
     )
     return (
         a.join(g, ["token", "_pa", "_pg"])
-        .groupBy("bag_a", "bag_g")
-        .agg(F.sum(F.col("unit_a") * F.col("unit_g")).alias("dot"))
+        .groupBy(*PAIR)
+        .agg(F.sum(F.col("unit_a") * F.col("unit_g")).alias("cosine"))
     )
 
 
 def pair_cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact cosine of the given (bag_a, bag_g) pairs; pairs sharing no token drop out."""
-    a = vectors.select(F.col("bag").alias("bag_a"), "token", F.col("unit").alias("unit_a"))
-    g = vectors.select(F.col("bag").alias("bag_g"), "token", F.col("unit").alias("unit_g"))
+    """Exact cosine of the given (bag_a, bag_g) pairs, as PAIR columns and `cosine`;
+    pairs sharing no token drop out."""
+    a = vectors.select(
+        "token", "n_a", "a_id", F.col("bag").alias("bag_a"), F.col("unit").alias("unit_a")
+    )
+    g = vectors.select(
+        "token", "n_g", "g_id", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g")
+    )
     pairs_per_g = pairs.groupBy("bag_g").agg(F.count(F.lit(1)).alias("n"))
     spelled = spread_join(pairs, a, ["bag_a"], ["bag_g"])
     matched = spread_join(
         spelled, g, ["bag_g", "token"], ["bag_a"], sizes=pairs_per_g, hot_on=["bag_g"]
     )
-    return matched.groupBy("bag_a", "bag_g").agg(
+    return matched.groupBy(*PAIR).agg(
         F.sum(F.col("unit_a") * F.col("unit_g")).alias("cosine")
     )
 
@@ -162,19 +170,13 @@ def similar_pairs(catalogues: Catalogues, min_similarity: float) -> DataFrame:
     products = _shared_token_products(kept)
     if cut > 0:
         likely = settle(
-            products.filter(F.col("dot") >= min_similarity - 2 * cut - 1e-9)
+            products.filter(F.col("cosine") >= min_similarity - 2 * cut - 1e-9)
             .select("bag_a", "bag_g")
         )
         scored = pair_cosines(likely, vectors)
     else:
-        scored = products.withColumnRenamed("dot", "cosine")
-    found = scored.filter(F.round("cosine", 9) >= min_similarity)
-    a = catalogues.bags.select(F.col("bag").alias("bag_a"), "n_a", "a_id")
-    g = catalogues.bags.select(F.col("bag").alias("bag_g"), "n_g", "g_id")
-    named = spread_join(found, a, ["bag_a"], ["bag_g"])
-    return spread_join(named, g, ["bag_g"], ["bag_a"]).select(
-        "bag_a", "bag_g", "cosine", "n_a", "n_g", "a_id", "g_id"
-    )
+        scored = products
+    return scored.filter(F.round("cosine", 9) >= min_similarity)
 
 
 def gold_similarities(catalogues: Catalogues, gold: DataFrame) -> DataFrame:
@@ -186,7 +188,7 @@ def gold_similarities(catalogues: Catalogues, gold: DataFrame) -> DataFrame:
     placed = spread_join(gold, a, ["a_id"], ["g_id"], how="left")
     placed = settle(spread_join(placed, g, ["g_id"], ["a_id"], how="left"))
     wanted = placed.select("bag_a", "bag_g").dropna().distinct()
-    scores = pair_cosines(wanted, catalogues.vectors)
+    scores = pair_cosines(wanted, catalogues.vectors).select("bag_a", "bag_g", "cosine")
     joined = spread_join(placed, scores, ["bag_a", "bag_g"], ["a_id", "g_id"], how="left")
     return joined.select(
         "a_id",

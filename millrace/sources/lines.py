@@ -141,7 +141,7 @@ def parse_labelled(lines: DataFrame) -> DataFrame:
     return typed.select(
         *lines.columns,
         F.get("_f", F.lit(0)).alias("label"),
-        F.slice("_f", 2, 2**31 - 1).alias("features"),
+        F.slice("_f", 2, F.size("_f")).alias("features"),
         F.when(good, VALID).otherwise(-1).alias("status"),
     )
 
@@ -152,7 +152,7 @@ def parse_clicks(lines: DataFrame) -> DataFrame:
     f = F.split(T.strip(T.tabs_to_commas(F.col("value"))), ",")
     typed = lines.withColumn("_f", f)
     feats = F.transform(
-        F.slice("_f", 2, 2**31 - 1),
+        F.slice("_f", 2, F.size("_f")),
         lambda cat, pos: F.struct(pos.alias("idx"), cat.alias("cat")),
     )
     label = F.get("_f", F.lit(0)).try_cast("double")
@@ -168,7 +168,7 @@ def parse_series(lines: DataFrame) -> DataFrame:
     """`x y v1 v2 ...` separated by single blanks."""
     f = F.split(T.strip(F.col("value")), " ")
     typed = lines.withColumn("_f", f)
-    series = F.transform(F.slice("_f", 3, 2**31 - 1), lambda v: v.try_cast("double"))
+    series = F.transform(F.slice("_f", 3, F.size("_f")), lambda v: v.try_cast("double"))
     shaped = typed.select(
         *lines.columns,
         F.get("_f", F.lit(0)).try_cast("int").alias("x"),
