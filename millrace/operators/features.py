@@ -43,8 +43,10 @@ def unseen_features(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def _looked_up(rows: DataFrame, dictionary: DataFrame, how: str) -> DataFrame:
+    # The dictionary knows how common each feature is, so nothing is counted again.
     return spread_join(
-        spelled(rows), dictionary.select(*KEYS, "ordinal"), KEYS, ["row_id"], how=how
+        spelled(rows), dictionary.select(*KEYS, "ordinal"), KEYS, ["row_id"],
+        sizes=dictionary.select(*KEYS, "n"), how=how,
     )
 
 
@@ -120,7 +122,9 @@ def weighted_scores(
     Weights join the dictionary first (one row per feature), then the rows.
     """
     known = dictionary.join(weights, "ordinal").select(*KEYS, "weight")
-    used = spread_join(spelled(rows), known, KEYS, ["row_id"])
+    used = spread_join(
+        spelled(rows), known, KEYS, ["row_id"], sizes=dictionary.select(*KEYS, "n")
+    )
     sums = used.groupBy("row_id").agg(F.sum("weight").alias("_sum"))
     return rows.select("row_id", "label").join(sums, "row_id", "left").select(
         "row_id", "label", (F.coalesce("_sum", F.lit(0.0)) + F.lit(intercept)).alias("raw_score")

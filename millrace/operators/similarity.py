@@ -43,7 +43,7 @@ def build_catalogues(records: DataFrame) -> Catalogues:
     keyed = records.filter(F.size("tokens") > 0).withColumn(
         "bag", F.md5(F.concat_ws(" ", F.array_sort("tokens")))
     )
-    members = keyed.select("side", "id", "bag")
+    members = settle(keyed.select("side", "id", "bag"))
     is_a, is_g = F.col("side") == "a", F.col("side") == "g"
     bags = members.groupBy("bag").agg(
         F.count_if(is_a).alias("n_a"),
@@ -139,13 +139,11 @@ def pair_cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     g = vectors.select(
         "token", "n_g", "g_id", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g")
     )
-    pairs_per_g = pairs.groupBy("bag_g").agg(F.count(F.lit(1)).alias("n"))
-    spelled = spread_join(pairs, a, ["bag_a"], ["bag_g"])
-    matched = spread_join(
-        spelled, g, ["bag_g", "token"], ["bag_a"], sizes=pairs_per_g, hot_on=["bag_g"]
-    )
-    return matched.groupBy(*PAIR).agg(
-        F.sum(F.col("unit_a") * F.col("unit_g")).alias("cosine")
+    return (
+        pairs.join(a, "bag_a")
+        .join(g, ["bag_g", "token"])
+        .groupBy(*PAIR)
+        .agg(F.sum(F.col("unit_a") * F.col("unit_g")).alias("cosine"))
     )
 
 
@@ -169,11 +167,8 @@ def similar_pairs(catalogues: Catalogues, min_similarity: float) -> DataFrame:
     kept = vectors.filter(F.col("tail") > cut * cut) if cut > 0 else vectors
     products = _shared_token_products(kept)
     if cut > 0:
-        likely = settle(
-            products.filter(F.col("cosine") >= min_similarity - 2 * cut - 1e-9)
-            .select("bag_a", "bag_g")
-        )
-        scored = pair_cosines(likely, vectors)
+        likely = products.filter(F.col("cosine") >= min_similarity - 2 * cut - 1e-9)
+        scored = pair_cosines(likely.select("bag_a", "bag_g"), vectors)
     else:
         scored = products
     return scored.filter(F.round("cosine", 9) >= min_similarity)
@@ -185,12 +180,10 @@ def gold_similarities(catalogues: Catalogues, gold: DataFrame) -> DataFrame:
     members = catalogues.members
     a = members.filter("side = 'a'").select(F.col("id").alias("a_id"), F.col("bag").alias("bag_a"))
     g = members.filter("side = 'g'").select(F.col("id").alias("g_id"), F.col("bag").alias("bag_g"))
-    placed = spread_join(gold, a, ["a_id"], ["g_id"], how="left")
-    placed = settle(spread_join(placed, g, ["g_id"], ["a_id"], how="left"))
+    placed = gold.join(a, "a_id", "left").join(g, "g_id", "left")
     wanted = placed.select("bag_a", "bag_g").dropna().distinct()
     scores = pair_cosines(wanted, catalogues.vectors).select("bag_a", "bag_g", "cosine")
-    joined = spread_join(placed, scores, ["bag_a", "bag_g"], ["a_id", "g_id"], how="left")
-    return joined.select(
+    return placed.join(scores, ["bag_a", "bag_g"], "left").select(
         "a_id",
         "g_id",
         F.coalesce("cosine", F.lit(0.0)).alias("cosine"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import tokens as K
-from millrace.operators.joins import spread_join
 from millrace.sources import lines as S
 
 STOP_WORDS = 20
@@ -173,10 +172,7 @@ def click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus"), F.col("p_brand"), F.col("p_type"),
         F.col("p_size").cast("string"), F.lit(""),
     ]
-    joined = spread_join(
-        items.withColumnRenamed("l_partkey", "p_partkey"), parts, ["p_partkey"],
-        ["l_orderkey", "l_linenumber", "l_suppkey"],
-    ).withColumnRenamed("p_partkey", "l_partkey")
+    joined = items.join(parts, items.l_partkey == parts.p_partkey)
     value = F.when(F.col("l_orderkey") % 10 == 0, F.concat_ws("\t", *fields)).otherwise(
         F.concat_ws(",", *fields)
     )
