@@ -14,6 +14,13 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(value: Column) -> Column:
+    """A one-row generator for `value`, to be selected under an alias. Filters and
+    projections further up then read the result; without this fence the optimizer copies
+    the expression into each of them."""
+    return F.explode(F.array(value))
+
+
 def array_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 

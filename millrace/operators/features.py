@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.functions.arrays import bind
 from millrace.functions.hashing import md5_bucket
 from millrace.functions.scores import count_bucket
 from millrace.operators.joins import spread_join
@@ -76,19 +77,20 @@ def hashed(rows: DataFrame, buckets: int) -> DataFrame:
     names = F.array_distinct(
         F.transform("feats", lambda f: F.concat(f["cat"], f["idx"].cast("string")))
     )
+
+    def counted(places: Column) -> Column:
+        return bind(
+            F.array_sort(F.array_distinct(places)),
+            lambda found: F.struct(
+                found.alias("indices"),
+                F.transform(
+                    found, lambda i: F.size(F.filter(places, lambda p: p == i)).cast("double")
+                ).alias("values"),
+            ),
+        )
+
     places = F.transform(names, lambda name: md5_bucket(name, buckets))
-    placed = rows.withColumn("_places", places)
-    return placed.select(
-        "row_id", "label", F.array_sort(F.array_distinct("_places")).alias("indices"), "_places"
-    ).select(
-        "row_id",
-        "label",
-        "indices",
-        F.transform(
-            "indices",
-            lambda i: F.size(F.filter("_places", lambda p: p == i)).cast("double"),
-        ).alias("values"),
-    )
+    return rows.select("row_id", "label", F.inline(F.transform(F.array(places), counted)))
 
 
 def count_bucket_histogram(counts: DataFrame) -> DataFrame:

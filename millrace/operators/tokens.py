@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import text as T
+from millrace.functions.arrays import once
 from millrace.operators.joins import spread_join
 
 
@@ -30,13 +31,15 @@ def counted_members(pairs: DataFrame, key: str, value: str) -> DataFrame:
 def token_bags(records: DataFrame, stop_words: DataFrame | None = None) -> DataFrame:
     """Replace `text` by `tokens`, without stop words. The stop list is a parameter of
     fixed size, folded into one array by a subquery."""
-    bags = records.withColumn("tokens", T.tokens(F.col("text"))).drop("text")
+    kept = [c for c in records.columns if c != "text"]
     if stop_words is None:
-        return bags
+        return records.select(*kept, once(T.tokens(F.col("text"))).alias("tokens"))
     listed = stop_words.agg(F.collect_set("word")).scalar()
-    return bags.withColumn("_stop", listed).select(
-        *[c for c in bags.columns if c != "tokens"],
-        F.filter("tokens", lambda t: ~F.array_contains("_stop", t)).alias("tokens"),
+    return records.withColumn("_stop", listed).select(
+        *kept,
+        once(
+            F.filter(T.tokens(F.col("text")), lambda t: ~F.array_contains("_stop", t))
+        ).alias("tokens"),
     )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import text as T
+from millrace.functions.arrays import bind
 
 VALID = 1
 
@@ -32,6 +33,15 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
     return lines.repartition(partitions) if partitions else lines
 
 
+def _records(lines: DataFrame, parts: Column, record) -> DataFrame:
+    """Add the fields of `record(parts)`, a struct, to each line.
+
+    The parts are worked out once per line inside a generator, so a filter on `status`
+    or on a field does not run the grammar again.
+    """
+    return lines.select(*lines.columns, F.inline(F.transform(F.array(parts), record)))
+
+
 def log_time(field: Column) -> Column:
     """`dd/Mon/yyyy:HH:mm:ss` at the start of the field as a zone-less timestamp;
     the zone offset behind it is not read. NULL when any part is wrong."""
@@ -51,136 +61,152 @@ def log_time(field: Column) -> Column:
 
 def parse_log(lines: DataFrame, pattern: str = LOG_RELAXED) -> DataFrame:
     """Web access-log lines; status 1 = parsed, 0 = rejected (the line stays in `value`)."""
-    parts = lines.withColumn("_g", T.captures(F.col("value"), pattern))
-
-    def group(i: int) -> Column:
-        return T.captured(F.col("_g"), pattern, i)
-
-    typed = parts.select(
-        *lines.columns,
-        group(1).alias("host"),
-        group(2).alias("client_identd"),
-        group(3).alias("user_id"),
-        log_time(group(4)).alias("date_time"),
-        group(5).alias("method"),
-        group(6).alias("endpoint"),
-        group(7).alias("protocol"),
-        group(8).try_cast("int").alias("response_code"),
-        F.when(group(9) == "-", F.lit(0).cast("bigint"))
-        .otherwise(group(9).try_cast("bigint"))
-        .alias("content_size"),
-    )
-    good = (
-        F.col("date_time").isNotNull()
-        & F.col("response_code").isNotNull()
-        & F.col("content_size").isNotNull()
-    )
-    return typed.withColumn("status", F.when(good, VALID).otherwise(0))
+
+    def record(parts: Column) -> Column:
+        def group(i: int) -> Column:
+            return T.captured(parts, pattern, i)
+
+        size = F.when(group(9) == "-", F.lit(0).cast("bigint")).otherwise(
+            group(9).try_cast("bigint")
+        )
+        return bind(
+            F.struct(
+                log_time(group(4)).alias("time"),
+                group(8).try_cast("int").alias("code"),
+                size.alias("size"),
+            ),
+            lambda typed: F.struct(
+                group(1).alias("host"),
+                group(2).alias("client_identd"),
+                group(3).alias("user_id"),
+                typed["time"].alias("date_time"),
+                group(5).alias("method"),
+                group(6).alias("endpoint"),
+                group(7).alias("protocol"),
+                typed["code"].alias("response_code"),
+                typed["size"].alias("content_size"),
+                _valid_or(0, typed["time"], typed["code"], typed["size"]),
+            ),
+        )
+
+    return _records(lines, T.captures(F.col("value"), pattern), record)
 
 
 def parse_products(lines: DataFrame) -> DataFrame:
     """Quoted product lines to `id`, `text`; status 1 = record, 0 = header, -1 = invalid."""
-    parts = lines.withColumn("_g", T.captures(F.col("value"), PRODUCT))
-    matched = F.size("_g") == 5
-    header = T.captured(F.col("_g"), PRODUCT, 1) == PRODUCT_HEADER
-    status = F.when(~matched, -1).when(header, 0).otherwise(VALID)
-    record = status == VALID
-    return parts.select(
-        *lines.columns,
-        status.alias("status"),
-        F.when(record, T.remove_quotes(F.get("_g", F.lit(0)))).alias("id"),
-        F.when(record, F.concat_ws(" ", F.slice("_g", 2, 3))).alias("text"),
+    return _with_header(
+        lines,
+        PRODUCT,
+        PRODUCT_HEADER,
+        lambda g: {"id": T.remove_quotes(g(1)), "text": F.concat_ws(" ", g(2), g(3), g(4))},
     )
 
 
 def parse_gold(lines: DataFrame) -> DataFrame:
     """Pair mapping lines to `a_id`, `g_id`; status as for products."""
-    parts = lines.withColumn("_g", T.captures(F.col("value"), GOLD))
-    matched = F.size("_g") == 2
-    header = T.captured(F.col("_g"), GOLD, 1) == GOLD_HEADER
-    status = F.when(~matched, -1).when(header, 0).otherwise(VALID)
-    record = status == VALID
-    return parts.select(
-        *lines.columns,
-        status.alias("status"),
-        F.when(record, T.remove_quotes(F.get("_g", F.lit(0)))).alias("a_id"),
-        F.when(record, T.remove_quotes(F.get("_g", F.lit(1)))).alias("g_id"),
+    return _with_header(
+        lines,
+        GOLD,
+        GOLD_HEADER,
+        lambda g: {"a_id": T.remove_quotes(g(1)), "g_id": T.remove_quotes(g(2))},
     )
 
 
+def _with_header(lines: DataFrame, pattern: str, header: str, fields) -> DataFrame:
+    def record(parts: Column) -> Column:
+        def group(i: int) -> Column:
+            return T.captured(parts, pattern, i)
+
+        status = (
+            F.when(group(1).isNull(), -1).when(group(1) == header, 0).otherwise(VALID)
+        )
+        return F.struct(
+            status.alias("status"),
+            *[F.when(status == VALID, c).alias(name) for name, c in fields(group).items()],
+        )
+
+    return _records(lines, T.captures(F.col("value"), pattern), record)
+
+
+def _valid_or(bad: int, *needed: Column) -> Column:
+    """VALID when every needed field is there, else `bad`."""
+    missing = F.lit(False)
+    for field in needed:
+        missing = missing | field.isNull()
+    return F.when(missing, bad).otherwise(VALID).alias("status")
+
+
 def parse_ratings(lines: DataFrame) -> DataFrame:
     """`user::item::rating::...` to typed columns; -1 marks a line that does not fit."""
-    f = F.split("value", "::")
-    typed = lines.select(
-        *lines.columns,
-        F.get(f, F.lit(0)).try_cast("int").alias("usr"),
-        F.get(f, F.lit(1)).try_cast("int").alias("item"),
-        F.get(f, F.lit(2)).try_cast("double").alias("rating"),
-    )
-    good = F.col("usr").isNotNull() & F.col("item").isNotNull() & F.col("rating").isNotNull()
-    return typed.withColumn("status", F.when(good, VALID).otherwise(-1))
+
+    def record(f: Column) -> Column:
+        usr = F.get(f, F.lit(0)).try_cast("int")
+        item = F.get(f, F.lit(1)).try_cast("int")
+        rating = F.get(f, F.lit(2)).try_cast("double")
+        return F.struct(
+            usr.alias("usr"), item.alias("item"), rating.alias("rating"),
+            _valid_or(-1, usr, item, rating),
+        )
+
+    return _records(lines, F.split("value", "::"), record)
 
 
 def parse_items(lines: DataFrame) -> DataFrame:
     """`item::title::...` to typed columns."""
-    f = F.split("value", "::")
-    typed = lines.select(
-        *lines.columns,
-        F.get(f, F.lit(0)).try_cast("int").alias("item"),
-        F.get(f, F.lit(1)).alias("title"),
-    )
-    good = F.col("item").isNotNull() & F.col("title").isNotNull()
-    return typed.withColumn("status", F.when(good, VALID).otherwise(-1))
+
+    def record(f: Column) -> Column:
+        item, title = F.get(f, F.lit(0)).try_cast("int"), F.get(f, F.lit(1))
+        return F.struct(item.alias("item"), title.alias("title"), _valid_or(-1, item, title))
+
+    return _records(lines, F.split("value", "::"), record)
 
 
 def parse_labelled(lines: DataFrame) -> DataFrame:
     """Comma-separated doubles, label first."""
-    f = F.transform(F.split("value", ","), lambda x: x.try_cast("double"))
-    typed = lines.withColumn("_f", f)
-    good = ~F.exists("_f", lambda x: x.isNull())
-    return typed.select(
-        *lines.columns,
-        F.get("_f", F.lit(0)).alias("label"),
-        F.slice("_f", 2, F.size("_f")).alias("features"),
-        F.when(good, VALID).otherwise(-1).alias("status"),
-    )
+
+    def record(f: Column) -> Column:
+        return F.struct(
+            F.get(f, F.lit(0)).alias("label"),
+            F.slice(f, 2, F.size(f)).alias("features"),
+            F.when(F.exists(f, lambda x: x.isNull()), -1).otherwise(VALID).alias("status"),
+        )
+
+    doubles = F.transform(F.split("value", ","), lambda x: x.try_cast("double"))
+    return _records(lines, doubles, record)
 
 
 def parse_clicks(lines: DataFrame) -> DataFrame:
     """Label-first rows of categories, tab or comma separated; `feats` holds
     (position, category) with empty categories kept."""
-    f = F.split(T.strip(T.tabs_to_commas(F.col("value"))), ",")
-    typed = lines.withColumn("_f", f)
-    feats = F.transform(
-        F.slice("_f", 2, F.size("_f")),
-        lambda cat, pos: F.struct(pos.alias("idx"), cat.alias("cat")),
-    )
-    label = F.get("_f", F.lit(0)).try_cast("double")
-    return typed.select(
-        *lines.columns,
-        label.alias("label"),
-        feats.alias("feats"),
-        F.when(label.isNotNull(), VALID).otherwise(-1).alias("status"),
-    )
+
+    def record(f: Column) -> Column:
+        label = F.get(f, F.lit(0)).try_cast("double")
+        feats = F.transform(
+            F.slice(f, 2, F.size(f)),
+            lambda cat, pos: F.struct(pos.alias("idx"), cat.alias("cat")),
+        )
+        return F.struct(label.alias("label"), feats.alias("feats"), _valid_or(-1, label))
+
+    return _records(lines, F.split(T.strip(T.tabs_to_commas(F.col("value"))), ","), record)
 
 
 def parse_series(lines: DataFrame) -> DataFrame:
     """`x y v1 v2 ...` separated by single blanks."""
-    f = F.split(T.strip(F.col("value")), " ")
-    typed = lines.withColumn("_f", f)
-    series = F.transform(F.slice("_f", 3, F.size("_f")), lambda v: v.try_cast("double"))
-    shaped = typed.select(
-        *lines.columns,
-        F.get("_f", F.lit(0)).try_cast("int").alias("x"),
-        F.get("_f", F.lit(1)).try_cast("int").alias("y"),
-        series.alias("series"),
-    )
-    good = (
-        F.col("x").isNotNull()
-        & F.col("y").isNotNull()
-        & ~F.exists("series", lambda v: v.isNull())
-    )
-    return shaped.withColumn("status", F.when(good, VALID).otherwise(-1))
+
+    def record(f: Column) -> Column:
+        x, y = F.get(f, F.lit(0)).try_cast("int"), F.get(f, F.lit(1)).try_cast("int")
+        series = F.transform(F.slice(f, 3, F.size(f)), lambda v: v.try_cast("double"))
+        return bind(
+            series,
+            lambda s: F.struct(
+                x.alias("x"), y.alias("y"), s.alias("series"),
+                F.when(
+                    x.isNull() | y.isNull() | F.exists(s, lambda v: v.isNull()), -1
+                ).otherwise(VALID).alias("status"),
+            ),
+        )
+
+    return _records(lines, F.split(T.strip(F.col("value")), " "), record)
 
 
 def status_counts(parsed: DataFrame) -> DataFrame:
