@@ -26,10 +26,12 @@ BINS = 101  # one per hundredth, and one for a similarity of exactly 1
 
 @dataclass(frozen=True)
 class Catalogues:
-    """`members`: side, id, bag. `bags`: bag, n_a, n_g, a_id, g_id (records and least id
-    per side). `vectors`: token, unit, tail and the columns of `bags`, where `unit` is
-    the weight over the vector's norm and `tail` the squared length of the vector cut
-    down to this token and all commoner ones."""
+    """`members`: side, id, bag, spelling (a digest of the sorted tokens).
+    `bags`: bag, spelling, n_a, n_g, a_id, g_id (records and least id per side); `bag`
+    is a number, which keeps the long tables below narrow.
+    `vectors`: token, unit, tail and the columns of `bags` but the spelling, where
+    `unit` is the weight over the vector's norm and `tail` the squared length of the
+    vector cut down to this token and all commoner ones."""
 
     members: DataFrame
     bags: DataFrame
@@ -41,26 +43,32 @@ def build_catalogues(records: DataFrame) -> Catalogues:
     and are left out, though they count as records in the inverse ratios."""
     ratios = inverse_ratios(records)
     keyed = records.filter(F.size("tokens") > 0).withColumn(
-        "bag", F.md5(F.concat_ws(" ", F.array_sort("tokens")))
+        "spelling", F.md5(F.concat_ws(" ", F.array_sort("tokens")))
     )
-    members = settle(keyed.select("side", "id", "bag"))
+    spelt = settle(keyed.select("side", "id", "spelling"))
     is_a, is_g = F.col("side") == "a", F.col("side") == "g"
-    bags = members.groupBy("bag").agg(
-        F.count_if(is_a).alias("n_a"),
-        F.count_if(is_g).alias("n_g"),
-        F.min(F.when(is_a, F.col("id"))).alias("a_id"),
-        F.min(F.when(is_g, F.col("id"))).alias("g_id"),
+    bags = settle(
+        spelt.groupBy("spelling")
+        .agg(
+            F.count_if(is_a).alias("n_a"),
+            F.count_if(is_g).alias("n_g"),
+            F.min(F.when(is_a, F.col("id"))).alias("a_id"),
+            F.min(F.when(is_g, F.col("id"))).alias("g_id"),
+        )
+        .withColumn("bag", F.monotonically_increasing_id())
     )
+    members = spelt.join(bags.select("spelling", "bag"), "spelling")
     # Copies are summed, which scales the whole vector and so leaves `unit` alone.
     postings = (
-        keyed.select("bag", F.explode("tokens").alias("token"))
-        .groupBy("bag", "token")
+        keyed.select("spelling", F.explode("tokens").alias("token"))
+        .groupBy("spelling", "token")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
     weighed = spread_join(
-        postings, ratios, ["token"], ["bag"], ratios.select("token", F.col("n_docs").alias("n"))
-    ).select("bag", "token", "n_docs", (F.col("uses") * F.col("idf")).alias("weight"))
-    whole = Window.partitionBy("bag")
+        postings, ratios, ["token"], ["spelling"],
+        ratios.select("token", F.col("n_docs").alias("n")),
+    ).select("spelling", "token", "n_docs", (F.col("uses") * F.col("idf")).alias("weight"))
+    whole = Window.partitionBy("spelling")
     common_first = whole.orderBy(F.desc("n_docs"), "token").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -68,7 +76,7 @@ def build_catalogues(records: DataFrame) -> Catalogues:
     vectors = (
         weighed.withColumn("_norm2", F.sum(square).over(whole))
         .withColumn("_tail2", F.sum(square).over(common_first))
-        .join(bags, "bag")
+        .join(bags, "spelling")
         .select(
             "bag",
             "token",
@@ -84,7 +92,7 @@ def build_catalogues(records: DataFrame) -> Catalogues:
 
 
 def _shared_token_products(kept: DataFrame) -> DataFrame:
-    """PAIR columns and `cosine` over the tokens in `kept`.
+    """(bag_a, bag_g, cosine) over the tokens in `kept`.
 
     The work on a token is the product of its two posting lists. A token with more than
     1/PIECES of all work (fewer than PIECES tokens, hence the broadcast) has both lists
@@ -104,7 +112,7 @@ def _shared_token_products(kept: DataFrame) -> DataFrame:
         )
     )
     dealt = kept.join(hot, "token", "left").select(
-        "token", "bag", "unit", "n_a", "n_g", "a_id", "g_id",
+        "token", "bag", "unit", "n_a", "n_g",
         F.coalesce("_na", F.lit(1)).alias("_na"),
         F.coalesce("_ng", F.lit(1)).alias("_ng"),
     )
@@ -116,16 +124,16 @@ def _shared_token_products(kept: DataFrame) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
 
     a = dealt.filter("n_a > 0").select(
-        "token", "n_a", "a_id", F.col("bag").alias("bag_a"), F.col("unit").alias("unit_a"),
+        "token", F.col("bag").alias("bag_a"), F.col("unit").alias("unit_a"),
         place("_na").alias("_pa"), every("_ng").alias("_pg"),
     )
     g = dealt.filter("n_g > 0").select(
-        "token", "n_g", "g_id", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g"),
+        "token", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g"),
         place("_ng").alias("_pg"), every("_na").alias("_pa"),
     )
     return (
         a.join(g, ["token", "_pa", "_pg"])
-        .groupBy(*PAIR)
+        .groupBy("bag_a", "bag_g")
         .agg(F.sum(F.col("unit_a") * F.col("unit_g")).alias("cosine"))
     )
 
@@ -170,7 +178,9 @@ def similar_pairs(catalogues: Catalogues, min_similarity: float) -> DataFrame:
         likely = products.filter(F.col("cosine") >= min_similarity - 2 * cut - 1e-9)
         scored = pair_cosines(likely.select("bag_a", "bag_g"), vectors)
     else:
-        scored = products
+        a = catalogues.bags.select(F.col("bag").alias("bag_a"), "n_a", "a_id")
+        g = catalogues.bags.select(F.col("bag").alias("bag_g"), "n_g", "g_id")
+        scored = products.join(a, "bag_a").join(g, "bag_g")
     return scored.filter(F.round("cosine", 9) >= min_similarity)
 
 

@@ -91,7 +91,8 @@ def _catalogues(spark, sf_dir):
 
 def record_bags(spark, sf_dir):
     """Which records share a bag of tokens: the key to the pair lists."""
-    return _catalogues(spark, sf_dir).members
+    members = _catalogues(spark, sf_dir).members
+    return members.select("side", "id", F.col("spelling").alias("bag"))
 
 
 def similar_pairs(spark, sf_dir):

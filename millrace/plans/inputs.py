@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import tokens as K
+from millrace.session import settle
 from millrace.sources import lines as S
 
 STOP_WORDS = 20
@@ -74,7 +75,7 @@ def stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stop list: the tokens most documents hold."""
     counts = K.document_counts(K.token_bags(text_records(spark, sf_dir)))
     common = counts.orderBy(F.desc("n_docs"), "token").limit(STOP_WORDS)
-    return common.select(F.col("token").alias("word"))
+    return settle(common.select(F.col("token").alias("word")))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
