@@ -165,8 +165,9 @@ def roc_points(scored: DataFrame, score: str, label: str, tie: str) -> DataFrame
     """Running true and false positives and their rates, highest score first; rows with
     equal scores go in `tie` order."""
     rows = scored.select(tie, score, F.col(label).cast("bigint").alias(label))
-    positives = rows.agg(F.sum(label)).scalar()
-    total = rows.agg(F.count(F.lit(1))).scalar()
+    sums = rows.agg(
+        F.struct(F.sum(label).alias("positives"), F.count(F.lit(1)).alias("rows"))
+    ).scalar()
     tallied = running_totals(
         rows,
         [F.desc(score), F.asc(tie)],
@@ -174,6 +175,6 @@ def roc_points(scored: DataFrame, score: str, label: str, tie: str) -> DataFrame
     )
     return tallied.select(
         "*",
-        F.try_divide(F.col("tp"), positives).alias("tpr"),
-        F.try_divide(F.col("fp"), total - positives).alias("fpr"),
+        F.try_divide(F.col("tp"), sums["positives"]).alias("tpr"),
+        F.try_divide(F.col("fp"), sums["rows"] - sums["positives"]).alias("fpr"),
     )

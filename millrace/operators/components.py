@@ -26,20 +26,17 @@ class Components:
 
 def fit_components(df: DataFrame, k: int, features: str = "features") -> Components:
     """The covariance and its decomposition are the library's; d x d fits the driver."""
-    first = df.select(F.size(features).alias("width")).first()
-    if first is None:
+    spreads = df.select(F.posexplode(features).alias("pos", "x")).groupBy("pos").agg(
+        F.var_pop("x").alias("v")
+    ).collect()  # one row per position
+    if not spreads:
         raise ValueError("no rows to fit")
-    width = first["width"]
     vectors = df.select(array_to_vector(F.col(features)).alias("_v"))
-    model = PCA(k=width, inputCol="_v", outputCol="_s").fit(vectors)
-    spread = (
-        df.select(F.posexplode(features).alias("pos", "x"))
-        .groupBy("pos").agg(F.var_pop("x").alias("v")).agg(F.sum("v").alias("total"))
-    ).first()["total"]
+    model = PCA(k=len(spreads), inputCol="_v", outputCol="_s").fit(vectors)
     directions = model.pc.toArray()[:, :k]
     peaks = directions[np.abs(directions).argmax(axis=0), np.arange(k)]
     shares = np.asarray(model.explainedVariance.toArray())
-    return Components(directions * np.sign(peaks), shares * spread)
+    return Components(directions * np.sign(peaks), shares * sum(row["v"] for row in spreads))
 
 
 def with_scores(df: DataFrame, components: Components, features: str = "features") -> DataFrame:

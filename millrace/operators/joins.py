@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.session import settle
+
 # A key is hot when it holds more than 1/PIECES of all fact rows, so there are fewer
 # than PIECES hot keys whatever the data: that is the bound on what gets broadcast.
 PIECES = 1024
@@ -24,7 +26,6 @@ def spread_join(
     on: list[str],
     spread_by: list[str],
     sizes: DataFrame | None = None,
-    hot_on: list[str] | None = None,
     how: str = "inner",
     pieces: int = PIECES,
 ) -> DataFrame:
@@ -33,22 +34,22 @@ def spread_join(
 
     `spread_by` names fact columns that tell the rows of one key apart; a hash of them
     picks the piece, so a re-run task deals the same way. `sizes` gives fact rows per
-    key as column `n` where the caller has them already. `how` is inner or left.
+    key as column `n` where the caller has them at hand (a stored table: it is read more
+    than once); without it they are counted first and written. `how` is inner or left.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    judged = hot_on or on
     if sizes is None:
-        sizes = fact.groupBy(*judged).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_keys(sizes, judged, pieces))
+        sizes = settle(fact.groupBy(*on).agg(F.count(F.lit(1)).alias("n")))
+    hot = F.broadcast(hot_keys(sizes, on, pieces))
     spread = F.coalesce(F.col("_spread"), F.lit(1))
     dealt = (
-        fact.join(hot, judged, "left")
+        fact.join(hot, on, "left")
         .withColumn("_piece", F.pmod(F.xxhash64(*spread_by), spread).cast("int"))
         .drop("_spread")
     )
     repeated = (
-        dim.join(hot, judged, "left")
+        dim.join(hot, on, "left")
         .withColumn("_piece", F.explode(F.sequence(F.lit(0), spread - 1)))
         .drop("_spread")
     )

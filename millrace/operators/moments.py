@@ -22,35 +22,33 @@ def mean_vector(df: DataFrame, features: str = "features") -> list[float]:
     return [row["mean"] for row in column_means(df, features).orderBy("pos").collect()]
 
 
-def products(df: DataFrame, columns: list[str], width: int, shift=None) -> DataFrame:
+def products(df: DataFrame, columns: list[str], shift=None) -> DataFrame:
     """(i, j, total), i <= j: sums of products over all rows of the concatenated
-    `columns` (arrays of doubles), after taking off `shift`.
+    `columns` (arrays of doubles, of one width), after taking off `shift`.
 
     Each task multiplies its batches as matrices and sends one triangle; the number of
     tasks is held to a few per core so that the triangles stay few.
     """
-    if width > MAX_WIDTH:
-        raise ValueError(f"vectors are wider than {MAX_WIDTH}")
-    spark = df.sparkSession
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    offset = np.zeros(width) if shift is None else np.asarray(shift, dtype=float)
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    offset = 0.0 if shift is None else np.asarray(shift, dtype=float)
+    limit = MAX_WIDTH
     joined = df.select(F.concat(*columns).alias("_z")).coalesce(tasks)
 
     def multiply(batches):
         import numpy as np
         import pyarrow as pa
 
-        total = np.zeros((width, width))
-        seen = False
+        total = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            z = flat.astype(float).reshape(batch.num_rows, width) - offset
-            total += z.T @ z
-            seen = True
-        if seen:
-            i, j = np.triu_indices(width)
+            z = flat.astype(float).reshape(batch.num_rows, -1) - offset
+            if z.shape[1] > limit:
+                raise ValueError(f"vectors are wider than {limit}")
+            total = z.T @ z if total is None else total + z.T @ z
+        if total is not None:
+            i, j = np.triu_indices(len(total))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])],
                 names=["i", "j", "part"],
@@ -63,9 +61,10 @@ def products(df: DataFrame, columns: list[str], width: int, shift=None) -> DataF
 def covariance(df: DataFrame, features: str = "features") -> DataFrame:
     """(i, j, cov) for every position pair, divided by the number of rows. The mean is
     taken off first, so large means do not cancel digits."""
-    means = mean_vector(df, features)
     rows = df.agg(F.count(F.lit(1))).scalar()
-    upper = products(df, [features], len(means), means).withColumn("cov", F.col("total") / rows)
+    upper = products(df, [features], mean_vector(df, features)).withColumn(
+        "cov", F.col("total") / rows
+    )
     mirrored = upper.filter("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "cov")
     return upper.select("i", "j", "cov").unionByName(mirrored)
 
@@ -82,20 +81,20 @@ class Moments:
 
 def regression_moments(df: DataFrame, intercept: bool = False) -> Moments:
     """One pass over (label, features); with `intercept` a constant 1 is appended."""
-    first = df.select(F.size("features").alias("width")).first()
-    if first is None:
-        raise ValueError("no rows to fit")
     tail = F.array(F.lit(1.0), F.col("label"))
     stacked = df.select("features", tail.alias("_tail"))
-    width = first["width"]
-    table = products(stacked, ["features", "_tail"], width + 2).toPandas()
-    full = np.zeros((width + 2, width + 2))
+    table = products(stacked, ["features", "_tail"]).toPandas()
+    if table.empty:
+        raise ValueError("no rows to fit")
+    size = int(table["j"].max()) + 1
+    full = np.zeros((size, size))
     full[table["i"], table["j"]] = table["total"]
     full = np.triu(full) + np.triu(full, 1).T
-    keep = list(range(width + 1)) if intercept else list(range(width))
+    one, label = size - 2, size - 1
+    keep = list(range(size - 1 if intercept else size - 2))
     return Moments(
-        rows=int(round(full[width, width])),
+        rows=int(round(full[one, one])),
         xx=full[np.ix_(keep, keep)],
-        xy=full[keep, width + 1],
-        yy=float(full[width + 1, width + 1]),
+        xy=full[keep, label],
+        yy=float(full[label, label]),
     )

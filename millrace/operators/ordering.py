@@ -99,7 +99,9 @@ def key_split(df: DataFrame, keys: list[str], shares: dict[str, float]) -> DataF
 
 
 def with_share(counts: DataFrame, count: str, name: str = "share") -> DataFrame:
-    """Each row's count over the sum of all counts, by a one-row subquery."""
+    """Each row's count over the sum of all counts, by a one-row subquery. The counts are
+    written first, so that both uses share one pass over what they count."""
+    counts = settle(counts)
     total = counts.agg(F.sum(count)).scalar()
     return counts.withColumn(name, F.col(count) / total)
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions import text as T
 from millrace.functions.arrays import once
 from millrace.operators.joins import spread_join
+from millrace.session import settle
 
 
 def word_rows(lines: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -54,9 +55,21 @@ def document_counts(bags: DataFrame) -> DataFrame:
 
 
 def inverse_ratios(bags: DataFrame) -> DataFrame:
-    """(token, n_docs, idf) with idf = records / records holding the token, no log."""
-    records = bags.agg(F.count(F.lit(1))).scalar()
-    return document_counts(bags).withColumn("idf", records / F.col("n_docs"))
+    """(token, n_docs, idf) with idf = records / records holding the token, no log.
+
+    One pass counts both: each record adds a NULL beside its tokens, so the NULL row is
+    the number of records. The counts are written once, as every use needs them whole.
+    """
+    marked = F.concat(F.array_distinct("tokens"), F.array(F.lit(None).cast("string")))
+    counts = settle(
+        bags.select(F.explode(marked).alias("token"))
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n_docs"))
+    )
+    records = counts.filter(F.col("token").isNull()).select("n_docs").scalar()
+    return counts.filter(F.col("token").isNotNull()).withColumn(
+        "idf", records / F.col("n_docs")
+    )
 
 
 def term_frequencies(bags: DataFrame, key: str) -> DataFrame:
