@@ -9,6 +9,7 @@ from millrace.operators import classify as C
 from millrace.operators import features as E
 from millrace.operators.ordering import key_split
 from millrace.plans import inputs as I
+from millrace.session import settle
 
 SHARES = {"train": 8, "validation": 1, "test": 1}
 BUCKETS = 2**15
@@ -24,8 +25,13 @@ def _listed(sparse):
     return sparse.select("row_id", "label", F.concat_ws(" ", pairs).alias("features"))
 
 
+def _stored(spark, sf_dir):
+    """The parsed rows, written once for the queries that go over them several times."""
+    return settle(I.click_rows(spark, sf_dir))
+
+
 def _parts(spark, sf_dir):
-    return key_split(I.click_rows(spark, sf_dir), ["row_id"], SHARES)
+    return key_split(_stored(spark, sf_dir), ["row_id"], SHARES)
 
 
 def _part(parts, name):
@@ -47,7 +53,7 @@ def feature_dictionary(spark, sf_dir):
 
 
 def one_hot(spark, sf_dir):
-    rows = I.click_rows(spark, sf_dir)
+    rows = _stored(spark, sf_dir)
     return _listed(E.one_hot(rows, E.feature_dictionary(rows)))
 
 
@@ -70,7 +76,7 @@ def nnz_total(spark, sf_dir):
 
 def sparsity(spark, sf_dir):
     """Mean share of non-zero places, one-hot and hashed."""
-    rows = I.click_rows(spark, sf_dir)
+    rows = _stored(spark, sf_dir)
     dictionary = E.feature_dictionary(rows)
     width = dictionary.agg(F.count(F.lit(1))).scalar()
     hot = E.sparsity(E.one_hot(rows, dictionary), width).select(F.lit("one_hot").alias("kind"), "sparsity")
@@ -106,7 +112,7 @@ def baseline_logloss(spark, sf_dir):
 
 def _fixed_scores(spark, sf_dir):
     """Raw scores of the one-hot rows under weights that follow from the ordinal."""
-    rows = I.click_rows(spark, sf_dir)
+    rows = _stored(spark, sf_dir)
     dictionary = E.feature_dictionary(rows)
     weights = dictionary.select("ordinal", ((F.col("ordinal") % 7 - 3) / 10.0).alias("weight"))
     return E.weighted_scores(rows, dictionary, weights, INTERCEPT)
