@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STAGED: list[str] = []
+
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; `conf` keys use `__` for dots.
@@ -46,3 +50,36 @@ def settle(df: DataFrame) -> DataFrame:
     and a lost executor costs a read, not a recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that driver and executors share; gone when the program ends."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    if not _STAGED:
+        atexit.register(clear_staged, spark)
+    _STAGED.append(path)
+    return path
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write `df` once as compressed columns in the shared folder and read it back.
+
+    Later steps prune columns of it, and a lost executor costs a read of it. Select the
+    columns that are needed before the call.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Remove what this program staged. Frames that read it can't be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    if jvm is None:
+        return
+    conf = spark.sparkContext._jsc.hadoopConfiguration() if spark.sparkContext._jsc else (
+        jvm.org.apache.hadoop.conf.Configuration())
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
