@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import line_dedup, packing
+from millrace.llm import decontamination, line_dedup, packing
 from millrace.llm.frames import read_table
 
 
@@ -19,6 +19,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the words that any benchmark window hits."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds, dropped from every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,6 +39,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op7_decontamination": op7_decontamination,
     "op9_line_dedup": op9_line_dedup,
 }
 TWINS: dict[str, str] = {}
