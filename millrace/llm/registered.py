@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, line_dedup, packing
+from millrace.llm import decontamination, language_id, line_dedup, packing, quality, warc
 from millrace.llm.frames import read_table
 
 
@@ -19,6 +19,19 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the robust outlier verdict of every document."""
+    return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, from dictionaries of the rows that aren't held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    labelled = docs.filter(~language_id.held_out()).select("doc_id", "text", "lang")
+    texts = docs.select("doc_id", language_id.held_out().alias("held_out"), "text")
+    return language_id.identify(texts, language_id.fit_dictionaries(labelled)).drop("text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the words that any benchmark window hits."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,6 +42,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, read back from normalised archives."""
+    archives = warc.archive_pages(read_table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives).drop("url", "payload")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds, dropped from every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,7 +58,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_quality": op3_quality,
+    "op4_language_id": op4_language_id,
     "op7_decontamination": op7_decontamination,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
 }
 TWINS: dict[str, str] = {}
