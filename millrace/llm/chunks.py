@@ -102,11 +102,16 @@ def window_starts(first: np.ndarray, width: int) -> np.ndarray:
     return np.arange(total) + np.repeat(first[:-1] - before, counts)
 
 
+def spanned(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+    """Which of `size` places lie in one of the runs."""
+    turns = np.bincount(np.minimum(starts, size), minlength=size + 1)
+    turns -= np.bincount(np.minimum(ends, size), minlength=size + 1)
+    return np.cumsum(turns[:-1]) > 0
+
+
 def covered(starts: np.ndarray, width: int, size: int) -> np.ndarray:
     """Which of `size` places lie in a run of `width` places from one of `starts`."""
-    turns = np.bincount(starts, minlength=size + 1)
-    turns -= np.bincount(np.minimum(starts + width, size), minlength=size + 1)
-    return np.cumsum(turns[:-1]) > 0
+    return spanned(starts, starts + width, size)
 
 
 def encoded(column) -> list[bytes]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing, quality, warc
+from millrace.llm import decontamination, language_id, line_dedup, packing, quality, substring_dedup, warc
 from millrace.llm.frames import read_table
 
 
@@ -19,6 +19,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents less the words of windows of 20 that start earlier elsewhere."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup_substrings(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the robust outlier verdict of every document."""
     return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
@@ -58,6 +66,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality": op3_quality,
     "op4_language_id": op4_language_id,
     "op7_decontamination": op7_decontamination,
