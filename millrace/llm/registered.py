@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing, quality, substring_dedup, warc
+from millrace.llm import decontamination, language_id, line_dedup, packing, quality, similar_sets, substring_dedup, warc
 from millrace.llm.frames import read_table
 
 
@@ -40,6 +40,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(texts, language_id.fit_dictionaries(labelled)).drop("text")
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 0.8 of their shingles."""
+    return similar_sets.link_similar(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the words that any benchmark window hits."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality": op3_quality,
     "op4_language_id": op4_language_id,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
