@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing, quality, similar_sets, substring_dedup, warc
+from millrace.llm import decontamination, language_id, line_dedup, packing, quality, similar_sets, substring_dedup, token_counts, warc
 from millrace.llm.frames import read_table
 
 
@@ -40,6 +41,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(texts, language_id.fit_dictionaries(labelled)).drop("text")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.add_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 0.8 of their shingles."""
     return similar_sets.link_similar(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -70,10 +77,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality": op3_quality,
     "op4_language_id": op4_language_id,
+    "op5_token_counts": op5_token_counts,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
