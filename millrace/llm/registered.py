@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing, quality, similar_sets, substring_dedup, token_counts, warc
+from millrace.llm import decontamination, language_id, line_dedup, packing, quality, similar_sets, substring_dedup, suffix_dedup, token_counts, warc
 from millrace.llm.frames import read_table
 
 
@@ -76,6 +76,14 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents less the bytes of strings of 50 bytes that an earlier document holds."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup_bytes(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_packing": op1_packing,
@@ -87,5 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 TWINS: dict[str, str] = {}
