@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import decontamination, language_id, line_dedup, packing, quality, similar_sets, substring_dedup, suffix_dedup, token_counts, warc
 from millrace.llm.frames import read_table
+from millrace.llm.twins import TWINS
+
+__all__ = ["QUERIES", "TWINS"]
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +100,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-TWINS: dict[str, str] = {}
