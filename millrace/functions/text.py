@@ -17,8 +17,8 @@ def plural(word: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of any kind at both ends (`trim` removes blanks only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Remove Unicode white space at both ends (`trim` removes blanks only)."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
 
 
 def clean(text: Column) -> Column:

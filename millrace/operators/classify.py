@@ -41,7 +41,8 @@ def descend(
     weights = np.zeros((models, slots))
     weights[:, -1] = 1.0
     data = rows.select(F.col("label").cast("double").alias("label"), "indices", "values")
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    # dealt evenly once, for all the passes that follow
+    data = data.repartition(context.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = data.count()
         for t in range(1, iterations + 1):
@@ -95,10 +96,9 @@ def _gradient_task(shared, models: int, slots: int):
     return gradients
 
 
-def with_raw_score(rows: DataFrame, model: LogisticModel) -> DataFrame:
-    """Add `raw_score`, the sparse dot product plus the intercept, batch by batch."""
-    shared = rows.sparkSession.sparkContext.broadcast(model.weights)
-    intercept = float(model.intercept)
+def with_raw_scores(rows: DataFrame, models: list[LogisticModel], names: list[str]) -> DataFrame:
+    """Add each model's raw score, the sparse dot product plus the intercept, in one pass."""
+    shared = rows.sparkSession.sparkContext.broadcast([(m.weights, float(m.intercept)) for m in models])
 
     def score(batches):
         import numpy as np
@@ -110,23 +110,28 @@ def with_raw_score(rows: DataFrame, model: LogisticModel) -> DataFrame:
             row = np.repeat(np.arange(batch.num_rows), lengths)
             index = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             value = batch.column("values").flatten().to_numpy(zero_copy_only=False)
-            raw = np.bincount(row, value * shared.value[index], batch.num_rows) + intercept
+            raw = [np.bincount(row, value * w[index], batch.num_rows) + b for w, b in shared.value]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(raw)], names=[*batch.schema.names, "raw_score"]
+                [*batch.columns, *map(pa.array, raw)], names=[*batch.schema.names, *names]
             )
 
-    schema = StructType([*rows.schema.fields, StructField("raw_score", DoubleType())])
+    schema = StructType([*rows.schema.fields, *[StructField(n, DoubleType()) for n in names]])
     return rows.mapInArrow(score, schema)
 
 
+def with_raw_score(rows: DataFrame, model: LogisticModel) -> DataFrame:
+    return with_raw_scores(rows, [model], ["raw_score"])
+
+
 def mean_log_loss(scored: DataFrame) -> Column:
     """Aggregate over (label, raw_score): mean log loss of the held sigmoid."""
     return F.avg(log_loss(probability(F.col("raw_score")), F.col("label")))
 
 
-def model_log_loss(rows: DataFrame, model: LogisticModel) -> float:
-    scored = with_raw_score(rows, model)
-    return scored.agg(mean_log_loss(scored).alias("loss")).first()["loss"]
+def model_log_losses(rows: DataFrame, models: list[LogisticModel]) -> list[float]:
+    names = [f"_raw{k}" for k in range(len(models))]
+    scored = with_raw_scores(rows, models, names)
+    return list(scored.agg(*[F.avg(log_loss(probability(F.col(n)), F.col("label"))) for n in names]).first())
 
 
 def positive_share(rows: DataFrame) -> Column:
@@ -147,11 +152,11 @@ def logistic_grid(
     validation: DataFrame,
     width: int,
     settings: list[tuple[float, float]],
-    iterations: int,
+    iterations: int = 500,
 ) -> tuple[DataFrame, LogisticModel]:
     """(step, reg, loss, best) on the validation part, and the best model."""
     models = descend(train, width, settings, iterations)
-    losses = [model_log_loss(validation, model) for model in models]
+    losses = model_log_losses(validation, models)
     best = min(range(len(losses)), key=lambda k: losses[k])
     rows = [
         (float(step), float(reg), float(losses[k]), k == best)

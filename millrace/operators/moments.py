@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 MAX_WIDTH = 4096  # a width x width matrix of doubles must fit the driver
@@ -19,48 +22,83 @@ def column_means(df: DataFrame, features: str = "features") -> DataFrame:
 
 def mean_vector(df: DataFrame, features: str = "features") -> list[float]:
     """The means on the driver: as many numbers as the vectors are wide."""
-    return [row["mean"] for row in column_means(df, features).orderBy("pos").collect()]
+    first = df.select(Summarizer.mean(array_to_vector(F.col(features))).alias("mean")).first()
+    return [] if first["mean"] is None else first["mean"].toArray().tolist()
+
+
+def whole_vectors(df: DataFrame, columns: list[str]) -> tuple[DataFrame, int]:
+    """The rows whose arrays are there and hold no NULL, as one array `_z` each, and its width.
+
+    Rows with a NULL array or a NULL element have no second moments and are left out. Arrays
+    of several widths, or wider than MAX_WIDTH, are refused before any other work.
+    """
+    joined = df.select(F.concat(*columns).alias("_z"))
+    whole = joined.filter(F.col("_z").isNotNull() & ~F.exists("_z", lambda x: x.isNull()))
+    widths = whole.agg(F.min(F.size("_z")).alias("low"), F.max(F.size("_z")).alias("high")).first()
+    if widths["low"] != widths["high"]:
+        raise ValueError(f"vectors of {widths['low']} to {widths['high']} places")
+    if (widths["high"] or 0) > MAX_WIDTH:
+        raise ValueError(f"vectors are wider than {MAX_WIDTH}")
+    return whole, widths["high"] or 0
 
 
 def products(df: DataFrame, columns: list[str], shift=None) -> DataFrame:
     """(i, j, total), i <= j: sums of products over all rows of the concatenated
     `columns` (arrays of doubles, of one width), after taking off `shift`.
 
-    Each task multiplies its batches as matrices and sends one triangle; the number of
-    tasks is held to a few per core so that the triangles stay few.
+    A task multiplies its batches as matrices and sends its triangle as one row. Triangles
+    are added in two steps, first in about as many groups as a group has triangles, so no
+    task adds up those of all others.
     """
-    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
     offset = 0.0 if shift is None else np.asarray(shift, dtype=float)
-    limit = MAX_WIDTH
-    joined = df.select(F.concat(*columns).alias("_z")).coalesce(tasks)
+    whole, width = whole_vectors(df, columns)
+    size = width * (width + 1) // 2
+    groups = max(1, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
     def multiply(batches):
         import numpy as np
         import pyarrow as pa
 
-        total = None
+        total = np.zeros((width, width))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            z = flat.astype(float).reshape(batch.num_rows, -1) - offset
-            if z.shape[1] > limit:
-                raise ValueError(f"vectors are wider than {limit}")
-            total = z.T @ z if total is None else total + z.T @ z
-        if total is not None:
-            i, j = np.triu_indices(len(total))
+            if batch.num_rows:
+                flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+                z = flat.astype(float).reshape(batch.num_rows, width) - offset
+                total += z.T @ z
+        if total.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])],
-                names=["i", "j", "part"],
+                [pa.array([total[np.triu_indices(width)]], pa.list_(pa.float64()))], names=["part"]
             )
 
-    parts = joined.mapInArrow(multiply, "i int, j int, part double")
-    return parts.groupBy("i", "j").agg(F.sum("part").alias("total"))
+    def add(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += batch.column(0).flatten().to_numpy().reshape(batch.num_rows, size).sum(axis=0)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["part"])
+
+    schema = "part array<double>"
+    parts = whole.mapInArrow(multiply, schema).repartition(groups).mapInArrow(add, schema)
+    one = parts.repartition(1).mapInArrow(add, schema)
+    i, j = np.triu_indices(width)
+    place = F.explode(F.arrays_zip(
+        F.sequence(F.lit(0), F.size("part") - 1).alias("k"), F.col("part").alias("total")
+    )).alias("z")
+    pairs = df.sparkSession.createDataFrame(
+        [(k, int(a), int(b)) for k, (a, b) in enumerate(zip(i, j, strict=True))], "k int, i int, j int"
+    )
+    found = one.select(place).select("z.k", "z.total")
+    return pairs.join(found, "k", "left").select("i", "j", F.coalesce("total", F.lit(0.0)).alias("total"))
 
 
 def covariance(df: DataFrame, features: str = "features") -> DataFrame:
     """(i, j, cov) for every position pair, divided by the number of rows. The mean is
     taken off first, so large means do not cancel digits."""
+    df = df.filter(F.col(features).isNotNull() & ~F.exists(features, lambda x: x.isNull()))
     rows = df.agg(F.count(F.lit(1))).scalar()
     upper = products(df, [features], mean_vector(df, features)).withColumn(
         "cov", F.col("total") / rows

@@ -21,6 +21,16 @@ from millrace.operators.moments import Moments, regression_moments
 class LinearModel:
     weights: np.ndarray
     intercept: float
+    peak: float = 0.0  # the largest weight met on the way
+
+
+DIGITS = 2.0**-52
+
+
+def digits_lost(model: LinearModel, error: float) -> bool:
+    """Whether a descent went so far off that rounding decides its error: the largest weight's
+    last digit is more than a millionth of the error."""
+    return not np.isfinite(error) or model.peak * DIGITS > 1e-6 * error
 
 
 def shift_labels(df: DataFrame) -> DataFrame:
@@ -64,19 +74,21 @@ def sgd_fit(moments: Moments, iterations: int, step: float, reg: float) -> Linea
     column, which starts at 1 and is shrunk like any weight; the step at t is
     step / sqrt(t)."""
     w = np.zeros(len(moments.xy))
-    w[-1] = 1.0
+    w[-1] = peak = 1.0
     for t in range(1, iterations + 1):
         rate = step / np.sqrt(t)
         gradient = (moments.xx @ w - moments.xy) / moments.rows
         w = w * (1 - rate * reg) - rate * gradient
-    return LinearModel(w[:-1], float(w[-1]))
+        peak = max(peak, float(np.abs(w).max()))
+    return LinearModel(w[:-1], float(w[-1]), peak)
 
 
 def sgd_grid(
     train: DataFrame, validation: DataFrame, settings: list[tuple[int, float, float]]
 ) -> tuple[DataFrame, LinearModel]:
     """(iterations, step, reg, rmse, best) on the validation part for each setting, and
-    the best model. The training rows are read once for the whole grid."""
+    the best model; the error is NULL where a descent lost its digits. The training rows are
+    read once for the whole grid."""
     moments = regression_moments(train, intercept=True)
     models = [sgd_fit(moments, *setting) for setting in settings]
     errors = [
@@ -86,10 +98,13 @@ def sgd_grid(
         ).alias(f"e{k}")
         for k, m in enumerate(models)
     ]
-    found = list(validation.agg(*errors).first())
-    best = min(range(len(found)), key=lambda k: found[k])
+    found = [
+        None if e is None or digits_lost(m, e) else float(e)
+        for m, e in zip(models, validation.agg(*errors).first(), strict=True)
+    ]
+    best = min(range(len(found)), key=lambda k: float("inf") if found[k] is None else found[k])
     rows = [
-        (int(it), float(step), float(reg), float(found[k]), k == best)
+        (int(it), float(step), float(reg), found[k], k == best)
         for k, (it, step, reg) in enumerate(settings)
     ]
     schema = "iterations int, step double, reg double, rmse double, best boolean"

@@ -14,6 +14,8 @@ from millrace.session import settle
 SHARES = {"train": 8, "validation": 1, "test": 1}
 BUCKETS = 2**15
 INTERCEPT = -1.0
+GRID_STEPS = 500
+ONE_HOT_STEPS = 50
 
 
 def _listed(sparse):
@@ -34,6 +36,11 @@ def _parts(spark, sf_dir):
     return key_split(_stored(spark, sf_dir), ["row_id"], SHARES)
 
 
+def _labels(spark, sf_dir):
+    """The split labels alone, for queries that go over the rows once."""
+    return key_split(I.click_rows(spark, sf_dir).select("row_id", "label"), ["row_id"], SHARES)
+
+
 def _part(parts, name):
     return parts.filter(F.col("split") == name).drop("split")
 
@@ -86,8 +93,8 @@ def sparsity(spark, sf_dir):
 
 def first_rows_nonzeros(spark, sf_dir):
     """Non-zero places in the first twenty hashed rows."""
-    hashed = E.hashed(I.click_rows(spark, sf_dir), BUCKETS)
-    return E.first_rows_total(hashed, F.size("indices"), 20)
+    first = I.click_rows(spark, sf_dir).orderBy("row_id").limit(20)
+    return E.first_rows_total(E.hashed(first, BUCKETS), F.size("indices"), 20)
 
 
 def feature_hash(spark, sf_dir):
@@ -100,13 +107,13 @@ def feature_hash_narrow(spark, sf_dir):
 
 
 def class_fraction(spark, sf_dir):
-    return _parts(spark, sf_dir).groupBy("split").agg(
+    return _labels(spark, sf_dir).groupBy("split").agg(
         F.round(F.avg((F.col("label") == 1).cast("double")), 9).alias("positive_share")
     )
 
 
 def baseline_logloss(spark, sf_dir):
-    base = C.baseline_log_loss(_parts(spark, sf_dir))
+    base = C.baseline_log_loss(_labels(spark, sf_dir))
     return base.select("split", "n", F.round("loss", 9).alias("loss"))
 
 
@@ -133,25 +140,26 @@ def fixed_weight_logloss(spark, sf_dir):
     return scored.agg(F.round(C.mean_log_loss(scored), 9).alias("loss"))
 
 
-def logistic_fit_grid(spark, sf_dir):
+def logistic_fit_grid(spark, sf_dir, iterations=GRID_STEPS):
     """Validation log loss of hashed-feature models over steps and penalties."""
     parts = _parts(spark, sf_dir)
     train = E.hashed(_part(parts, "train"), BUCKETS)
     validation = E.hashed(_part(parts, "validation"), BUCKETS)
     settings = [(s, r) for s in (1.0, 10.0) for r in (1e-6, 1e-3)]
-    grid, _ = C.logistic_grid(train, validation, BUCKETS, settings, iterations=20)
+    grid, _ = C.logistic_grid(train, validation, BUCKETS, settings, iterations)
     return grid
 
 
-def logistic_one_hot(spark, sf_dir):
+def logistic_one_hot(spark, sf_dir, iterations=ONE_HOT_STEPS):
     """Training and validation log loss of the one-hot model, with predictions summed."""
     parts = _parts(spark, sf_dir)
     dictionary = E.feature_dictionary(_part(parts, "train"))
     width = dictionary.count()
     train = E.one_hot(_part(parts, "train"), dictionary)
-    model = C.descend(train, width, [(10.0, 1e-6)], iterations=20)[0]
-    scored = C.with_raw_score(E.one_hot(parts.drop("split"), dictionary), model)
-    named = key_split(scored, ["row_id"], SHARES).filter("split <> 'test'")
+    model = C.descend(train, width, [(10.0, 1e-6)], iterations)[0]
+    rated = parts.filter("split <> 'test'").drop("split")
+    scored = C.with_raw_score(E.one_hot(rated, dictionary), model)
+    named = key_split(scored, ["row_id"], SHARES)
     return named.groupBy("split").agg(
         C.mean_log_loss(named).alias("loss"),
         F.sum(probability(F.col("raw_score"))).alias("expected_positives"),

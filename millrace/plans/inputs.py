@@ -16,16 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """Deal a small file over all cores when it comes in fewer splits than there are
-    cores; a large table is left as it is split."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, pos, line): documents cut at line feeds."""
-    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
@@ -51,7 +44,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", "props"
     )
-    return dealt(events).select(
+    return events.select(
         F.when(F.col("event_id") % 97 == 0, garbage).otherwise(line).alias("value")
     )
 
@@ -67,7 +60,7 @@ def good_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as two catalogues: sources src0-src9 are side a, the others side g."""
     side = F.when(F.length("source") == 4, "a").otherwise("g")
-    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return docs.select(F.col("doc_id").alias("id"), side.alias("side"), "text")
 
 
@@ -168,7 +161,7 @@ def regression_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     needed = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
               "l_extendedprice", "l_discount", "l_tax"]
-    return dealt(table(spark, sf_dir, "lineitem").select(*needed)).select(
+    return table(spark, sf_dir, "lineitem").select(*needed).select(
         row_id().alias("row_id"),
         (F.col("l_extendedprice") / 1000).alias("label"),
         features.alias("features"),
@@ -180,7 +173,7 @@ def click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     tenth order is tab separated and the last category is blank."""
     needed = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
               "l_returnflag", "l_linestatus"]
-    items = dealt(table(spark, sf_dir, "lineitem").select(*needed))
+    items = table(spark, sf_dir, "lineitem").select(*needed)
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     fields = [
         F.when(F.col("l_quantity") > 40, "1").otherwise("0"), F.col("l_returnflag"),

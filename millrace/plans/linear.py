@@ -14,8 +14,10 @@ from millrace.sources import lines as S
 SHARES = {"train": 8, "validation": 1, "test": 1}
 FIXED = M.LinearModel([1.0, 1.5, -0.5], 0.0)
 DESCENT_STEPS = 50
-GRID = [(100, 1.0, 1e-10), (100, 1.0, 1e-5), (100, 1.0, 1e-1), (100, 1.0, 1.0),
-        (5, 1e-5, 1e-10), (50, 1e-1, 1e-10)]
+# The settings (iterations, step, penalty) whose results are matched
+GRID = [(500, 1.0, 1e-10), (500, 1.0, 1e-5), (500, 1.0, 1e-1), (500, 1.0, 1.0),
+        (5, 1e-5, 1e-10), (500, 1e-5, 1e-10), (5, 10.0, 1e-10), (500, 10.0, 1e-10)]
+INTERACT = (500, 1.0, 1e-10)
 
 
 def labelled_lines_parse(spark, sf_dir):
@@ -113,10 +115,12 @@ def linear_interact_fit(spark, sf_dir):
         "features", A.interactions(F.col("features"))
     )
     parts = _parts(spark, sf_dir, rows)
-    _, model = M.sgd_grid(_part(parts, "train"), _part(parts, "validation"), [(500, 0.5, 1e-10)])
+    _, model = M.sgd_grid(_part(parts, "train"), _part(parts, "validation"), [INTERACT])
     error = M.model_rmse(_part(parts, "test"), model)
     base = M.mean_label_baseline(parts).filter("split = 'test'")
-    return base.select("n", F.col("rmse").alias("baseline_rmse"), F.lit(error).alias("model_rmse"))
+    return base.select(
+        "n", F.round("rmse", 6).alias("baseline_rmse"), F.round(F.lit(error), 6).alias("model_rmse")
+    )
 
 
 QUERIES = {

@@ -397,20 +397,37 @@ steps AS (
 SELECT i::INT AS iteration, round(sqrt({_mse(3, 'm')}), 6) AS rmse FROM steps, m"""
 
 _X1 = _X + ["one"]
-_GRID = [(100, 1.0, 1e-10), (100, 1.0, 1e-5), (100, 1.0, 1e-1), (100, 1.0, 1.0),
-         (5, 1e-5, 1e-10), (50, 1e-1, 1e-10)]
+_GRID = [(500, 1.0, 1e-10), (500, 1.0, 1e-5), (500, 1.0, 1e-1), (500, 1.0, 1.0),
+         (5, 1e-5, 1e-10), (500, 1e-5, 1e-10), (5, 10.0, 1e-10), (500, 10.0, 1e-10)]
+_STEPPED = [f'w{k} * (1 - step / sqrt(t) * reg) - step / sqrt(t) * ({_pull(4, k, "m")} - m.b{k}) / m.n' for k in range(4)]
 TWINS["linear_fit_grid"] = f"""WITH RECURSIVE {ROWS}, {_moment_cte('m', _X1, 'train')},
 {_moment_cte('v', _X1, 'validation')},
 grid(its, step, reg) AS (VALUES {', '.join(f'({a}, {b}::DOUBLE, {c}::DOUBLE)' for a, b, c in _GRID)}),
 steps AS (
   SELECT its, step, reg, 1 AS t, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2,
-    1.0::DOUBLE AS w3 FROM grid
+    1.0::DOUBLE AS w3, 1.0::DOUBLE AS peak FROM grid
   UNION ALL
-  SELECT its, step, reg, t + 1, {', '.join(f'w{k} * (1 - step / sqrt(t) * reg) - step / sqrt(t) * ({_pull(4, k, "m")} - m.b{k}) / m.n' for k in range(4))}
-  FROM steps, m WHERE t <= its),
-rated AS (SELECT its, step, reg, sqrt({_mse(4, 'v')}) AS e FROM steps, v WHERE t = its + 1)
+  SELECT its, step, reg, t, w0, w1, w2, w3, greatest(peak, abs(w0), abs(w1), abs(w2), abs(w3)) FROM (
+    SELECT its, step, reg, t + 1 AS t, {', '.join(f'{x} AS w{k}' for k, x in enumerate(_STEPPED))}, peak
+    FROM steps, m WHERE t <= its)),
+errors AS (SELECT its, step, reg, peak, sqrt({_mse(4, 'v')}) AS e FROM steps, v WHERE t = its + 1),
+rated AS (SELECT its, step, reg, CASE WHEN peak * pow(2, -52) > 1e-6 * e THEN NULL ELSE e END AS e FROM errors)
 SELECT its::INT AS iterations, step, reg, round(e, 6) AS rmse,
-  e = (SELECT min(e) FROM rated) AS best FROM rated"""
+  coalesce(e = (SELECT min(e) FROM rated), false) AS best FROM rated"""
+
+_I1 = [*_PRODUCTS, "one"]
+_IW = len(_I1)
+TWINS["linear_interact_fit"] = f"""WITH RECURSIVE {ROWS}, {_moment_cte('m', _I1, 'train')},
+{_moment_cte('v', _I1, 'test')},
+steps AS (
+  SELECT 1 AS t, {', '.join(f"{1.0 if k == _IW - 1 else 0.0}::DOUBLE AS w{k}" for k in range(_IW))}
+  UNION ALL
+  SELECT t + 1, {', '.join(f'w{k} * (1 - 1.0 / sqrt(t) * 1e-10) - 1.0 / sqrt(t) * ({_pull(_IW, k, "m")} - m.b{k}) / m.n' for k in range(_IW))}
+  FROM steps, m WHERE t <= 500),
+base AS (SELECT avg(label) AS mean FROM parts WHERE split = 'train')
+SELECT (SELECT count(*) FROM parts WHERE split = 'test') AS n,
+  (SELECT round(sqrt(avg((label - mean) ** 2)), 6) FROM parts, base WHERE split = 'test') AS baseline_rmse,
+  round(sqrt({_mse(_IW, 'v')}), 6) AS model_rmse FROM steps, v WHERE t = 501"""
 
 # ---------------------------------------------------------------- clicks
 

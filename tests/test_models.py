@@ -168,3 +168,25 @@ def test_covariance_and_components_against_numpy(spark):
         v = directions[:, 2 - k]
         assert found.directions[:, k] == pytest.approx(v * np.sign(v[np.abs(v).argmax()]))
     assert found.variance_explained(2) == pytest.approx(values[::-1][:2].sum() / values.sum())
+
+
+def test_moments_refuse_uneven_vectors_and_leave_out_nulls(spark):
+    kind = "features array<double>"
+    uneven = spark.createDataFrame([([1.0, 2.0, 3.0],), ([5.0],)], kind)
+    with pytest.raises(ValueError, match="1 to 3"):
+        M.products(uneven, ["features"])
+    rows = [([1.0, 2.0],), (None,), ([None, 9.0],), ([3.0, -4.0],)]
+    found = {(r["i"], r["j"]): r["total"] for r in M.products(spark.createDataFrame(rows, kind), ["features"]).collect()}
+    assert found == {(0, 0): 10.0, (0, 1): -10.0, (1, 1): 20.0}
+    cov = {(r["i"], r["j"]): r["cov"] for r in M.covariance(spark.createDataFrame(rows, kind)).collect()}
+    assert cov == {(0, 0): 1.0, (0, 1): -3.0, (1, 0): -3.0, (1, 1): 9.0}
+    assert M.products(spark.createDataFrame([], kind), ["features"]).count() == 0
+
+
+def test_a_descent_that_lost_its_digits_has_no_error(spark):
+    rng = np.random.default_rng(4)
+    data = [(float(y), [float(v) for v in x]) for x, y in zip(rng.random((200, 3)), rng.random(200), strict=True)]
+    frame = spark.createDataFrame(data, "label double, features array<double>")
+    grid, _ = L.sgd_grid(frame, frame, [(500, 1.0, 1e-10), (500, 30.0, 1e-10)])
+    errors = [r["rmse"] for r in grid.collect()]
+    assert errors[0] < 0.4 and errors[1] is None
