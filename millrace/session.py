@@ -46,10 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder, so later steps all read the same rows
-    and a lost executor costs a read, not a recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store `df` once, so later steps all read the same rows and a lost executor costs a
+    read, not a recomputation."""
+    return stage(df, "settled")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
