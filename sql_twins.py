@@ -49,6 +49,7 @@ SELECT line_no, line_no::VARCHAR || ': ' || cleaned AS text FROM numbered"""
 
 # ---------------------------------------------------------------- logs
 
+# The line grammars whose results are matched
 STRICT = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)" (\d{3}) (\S+)'
 RELAXED = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*\s*)" (\d{3}) (\S+)'
 

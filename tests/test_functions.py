@@ -7,6 +7,8 @@ from millrace.functions import arrays as A
 from millrace.functions import scores, text as T
 from millrace.functions.hashing import md5_bucket, unit_interval
 
+# The literal inputs and expected results below are those to be matched
+
 
 def one(spark, value, expression, kind="string"):
     df = spark.createDataFrame([(value,)], f"v {kind}")

@@ -11,6 +11,8 @@ from millrace.operators import moments as M
 from millrace.operators import regress as L
 from millrace.functions.scores import rmse
 
+# The literal inputs and expected results below are those to be matched
+
 
 def labelled(spark, x, y):
     rows = [(float(b), [float(v) for v in a]) for a, b in zip(x, y)]

@@ -21,6 +21,8 @@ ANIMALS = [
 ]
 FEATS = "row_id string, label double, feats array<struct<idx:int,cat:string>>"
 
+# The literal inputs and expected results below are those to be matched
+
 
 # ------------------------------------------------------------- joins and ordering
 
