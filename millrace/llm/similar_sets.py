@@ -10,8 +10,9 @@ the Hamming distance of finer bit sketches, a lower bound of the difference too,
 them, and the rest are verified on their shingles.
 
 Equal sets are one class and take part once. A part that many sets share is a star around its
-smallest document at first. Parts whose documents don't end in one component are looked at again,
-all their pairs across components passing the sketches' bound; so no link is lost.
+smallest document at first. The documents of parts that don't end in one component are looked at
+again, tile by tile: all pairs across components that pass the sketches' bound are verified, but
+for those that links of the tile have joined meanwhile; so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ SHINGLE = 5
 #: least Jaccard similarity in hundredths; the bounds below are those of 80
 SIMILARITY = 80
 LEAST_BAND = 6
+#: a sketch has 2 to this power bits for each part of the set's band
+SKETCH_BITS = 2
 #: documents of one part that are compared in one piece
 TILE = 2048
 
@@ -64,7 +67,7 @@ class Sets:
 
     def sketches(self) -> list[bytes]:
         """Bit sketches: a shingle flips the bit that its highest bits name."""
-        bits = bands(self.sizes) + 1
+        bits = bands(self.sizes) + SKETCH_BITS
         offsets = np.concatenate(([0], np.cumsum(1 << bits)))
         place = (self.hashes >> (64 - bits[self.text]).astype(np.uint64)).astype(np.int64) + offsets[self.text]
         odd = np.packbits((np.bincount(place, minlength=offsets[-1]) & 1).astype(np.uint8)).tobytes()
@@ -231,10 +234,10 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(batches, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and shingle hashes, rising, of the wanted documents."""
 
-    def shingled(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(them):
             texts = encoded(batch.column(1))
             for first, last in chunked(texts):
@@ -242,6 +245,12 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 raw = [sets.hashes[a:b].tobytes() for a, b in zip(sets.first[:-1].tolist(), sets.first[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(raw, pa.binary())], names=["doc_id", "shingles"])
 
+    return docs.join(wanted, "doc_id").select("doc_id", "text").mapInArrow(batches, "doc_id long, shingles binary")
+
+
+def _verified(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
+
     def compare(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in them:
             keep = []
@@ -254,58 +263,100 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stage(docs.join(wanted, "doc_id").select("doc_id", "text").mapInArrow(shingled, "doc_id long, shingles binary"), "similar-shingles")
-    side = lambda s: sets.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"shingles_{s}"))
+    side = lambda s: shingles.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"shingles_{s}"))
     rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "shingles_a", "shingles_b")
     return rows.mapInArrow(compare, "a long, b long").distinct()
 
 
-def _across(met: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that meet in a part, lie in different components and aren't ruled
-    out by sizes and sketches. Parts of many documents are compared tile by tile."""
+def _apart(met: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(family, node, component): the classes that meet in parts whose documents lie in several
+    components. A family is named by the smallest component of a part."""
     members = (
         met.filter("key is not null").select("key", F.col("a").alias("doc_id"))
         .join(classes, "doc_id").select("key", F.col("class").alias("node")).distinct()
         .join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     )
     mixed = (
-        members.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n"))
-        .filter("_low <> _high").select("key", F.ceil(F.col("_n") / TILE).cast("int").alias("tiles"))
+        members.groupBy("key").agg(F.min("component").alias("family"), F.max("component").alias("_high"))
+        .filter("family <> _high").select("key", "family")
     )
-    rows = members.join(mixed, "key").join(sets.select(F.col("doc_id").alias("node"), "size", "sketch"), "node")
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    rows = rows.withColumn("tile", tile).select("*", F.explode(F.expr("sequence(0, tiles - 1)")).alias("_other")).select(
-        "key", F.least("tile", "_other").alias("left"), F.greatest("tile", "_other").alias("right"),
-        "tile", "node", "component", "size", "sketch",
+    return members.join(mixed, "key").select("family", "node", "component").distinct()
+
+
+def _tiled(apart: DataFrame, more: DataFrame) -> DataFrame:
+    """The nodes of each family with the columns of `more` (by node), once per pair of tiles."""
+    tiles = apart.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    return (
+        apart.join(tiles, "family").join(more, "node")
+        .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        .withColumn("_other", F.explode(F.expr("sequence(0, tiles - 1)")))
+        .withColumn("left", F.least("tile", "_other")).withColumn("right", F.greatest("tile", "_other"))
+        .drop("_other", "tiles")
     )
 
-    def compare(table: pa.Table) -> pa.Table:
-        size, node, label, tile = (table[c].to_numpy() for c in ("size", "node", "component", "tile"))
-        raw = table["sketch"].to_pylist()
-        band = bands(size)
-        inner = table["left"][0] == table["right"][0]
-        out = []
-        for b in np.unique(band).tolist():
-            # sets of this band, and those of the next that may be near one of this
-            here, width = np.flatnonzero(band == b), (1 << (b + 1)) // 8
-            next_ = np.flatnonzero((band == b + 1) & (SIMILARITY * size < 100 << (b + 1)))
-            both = np.concatenate((here, next_))
-            lines = np.stack([_folded(raw[i], width) if len(raw[i]) > width else np.frombuffer(raw[i], dtype=np.uint8) for i in both.tolist()]).view(np.uint64)
-            for at in range(len(here)):
-                i, rest = both[at], both[at + 1 :]
-                ok = _near(size[i], size[rest]) & (label[i] != label[rest])
-                if not inner:
-                    ok &= tile[i] != tile[rest]
-                left = np.flatnonzero(ok)
+
+def _partners(table: pa.Table, label: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For rows of a pair of tiles in turn, the later rows of other labels that sizes and sketches
+    allow to be similar, likelier ones first. Labels may change meanwhile."""
+    size, tile = table["size"].to_numpy(), table["tile"].to_numpy()
+    raw, band = table["sketch"].to_pylist(), bands(table["size"].to_numpy())
+    inner = table["left"][0] == table["right"][0]
+    for b in np.unique(band).tolist():
+        # sets of this band, and those of the next that may be near one of this
+        here, width = np.flatnonzero(band == b), (1 << (b + SKETCH_BITS)) // 8
+        both = np.concatenate((here, np.flatnonzero((band == b + 1) & (SIMILARITY * size < 100 << (b + 1)))))
+        lines = np.stack([_folded(raw[i], width) if len(raw[i]) > width else np.frombuffer(raw[i], dtype=np.uint8) for i in both.tolist()]).view(np.uint64)
+        for at in range(len(here)):
+            i, rest = both[at], both[at + 1 :]
+            ok = _near(size[i], size[rest]) & (label[i] != label[rest])
+            if not inner:
+                ok &= tile[i] != tile[rest]
+            left = np.flatnonzero(ok)
+            if len(left):
+                differing = np.bitwise_count(lines[at + 1 + left] ^ lines[at]).sum(axis=1, dtype=np.int64)
+                order = np.argsort(differing, kind="stable")
+                left = left[order[9 * differing[order] <= size[i] + size[rest[left[order]]]]]
                 if len(left):
-                    differing = np.bitwise_count(lines[at + 1 + left] ^ lines[at]).sum(axis=1, dtype=np.int64)
-                    left = left[9 * differing <= size[i] + size[rest[left]]]
-                    out.append(np.stack([np.minimum(node[i], node[rest[left]]), np.maximum(node[i], node[rest[left]])], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+                    yield int(i), rest[left]
+
+
+def _active(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of apart that may be similar to one of another component."""
+    sketched = sets.select(F.col("doc_id").alias("node"), "size", "sketch")
+
+    def look(table: pa.Table) -> pa.Table:
+        hit = np.zeros(table.num_rows, dtype=bool)
+        for i, others in _partners(table, np.unique(table["component"].to_numpy(), return_inverse=True)[1]):
+            hit[i] = True
+            hit[others] = True
+        return table.select(["family", "node", "component"]).filter(pa.array(hit))
+
+    return _tiled(apart, sketched).groupBy("family", "left", "right").applyInArrow(
+        look, "family long, node long, component long").distinct()
+
+
+def _across(apart: DataFrame, sets: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Links (a, b) between components within families, as many as join them: per tile a forest."""
+    held = sets.select(F.col("doc_id").alias("node"), "size", "sketch").join(shingles.withColumnRenamed("doc_id", "node"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        size, node = table["size"].to_numpy(), table["node"].to_numpy()
+        label = np.unique(table["component"].to_numpy(), return_inverse=True)[1]
+        items = [np.frombuffer(x, dtype=np.uint64) for x in table["shingles"].to_pylist()]
+        links = []
+        for i, others in _partners(table, label):
+            for j in others.tolist():
+                if label[i] == label[j]:
+                    continue
+                found = np.searchsorted(items[i], items[j])
+                shared = int((items[i][np.minimum(found, len(items[i]) - 1)] == items[j]).sum())
+                if 100 * shared >= SIMILARITY * (size[i] + size[j] - shared):
+                    links.append((min(node[i], node[j]), max(node[i], node[j])))
+                    label[label == label[j]] = label[i]
+        pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return rows.groupBy("key", "left", "right").applyInArrow(compare, "a long, b long").distinct()
+    return _tiled(apart, held).groupBy("family", "left", "right").applyInArrow(compare, "a long, b long").distinct()
 
 
 def link_similar(docs: DataFrame) -> DataFrame:
@@ -332,11 +383,14 @@ def link_similar(docs: DataFrame) -> DataFrame:
         .filter("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
     )
     possible = stage(_possible(pairs, sets), "similar-possible")
-    links = stage(_verified(possible, texts), "similar-links")
+    ends = possible.select(F.col("a").alias("doc_id")).unionByName(possible.select(F.col("b").alias("doc_id"))).distinct()
+    links = stage(_verified(possible, stage(_shingled(texts, ends), "similar-shingles")), "similar-links")
     labels = stage(components(links), "similar-labels")
-    more = stage(_across(met, classes, sets, labels).join(possible, ["a", "b"], "left_anti"), "similar-across")
-    if not more.isEmpty():
-        labels = components(links.unionByName(_verified(more, texts)))
+    apart = stage(_active(_apart(met, classes, labels), sets), "similar-apart")
+    if not apart.isEmpty():
+        ends = apart.select(F.col("node").alias("doc_id")).distinct()
+        more = stage(_across(apart, sets, _shingled(texts, ends)), "similar-across")
+        labels = components(links.unionByName(more))
     found = (
         sets.select("doc_id", "size").join(classes, "doc_id", "left")
         .join(labels.withColumnRenamed("node", "class"), "class", "left")
