@@ -148,24 +148,39 @@ class Sweep:
         for lane in range(self.lanes - 1, -1, -1) if self.down else range(self.lanes):
             yield self._lane(lane, *self.queue.pop(lane), *seeds[lane])
 
+    def _sorted(self, places: np.ndarray, lane: int) -> np.ndarray:
+        order = self._order(self.text[places], lane)
+        return places if order is None else places[order]
+
+    def _with_runs(self, base: np.ndarray, lane: int) -> np.ndarray:
+        """The places with those that they induce before the same character, and these in turn,
+        each after the places that induced them; by character."""
+        parts, front = [base], base
+        while len(front):
+            left = np.maximum(front - 1, 0)
+            front = left[(front > 0) & (self.kinds[left] == self.down) & (self.text[left] == self.text[front])]
+            parts.append(front)
+        return base if len(parts) < 3 else self._sorted(np.concatenate(parts), lane)
+
     def _lane(self, lane, places, prefixes, seed, seed_prefixes):
+        order = self._order(self.text[places], lane)
+        if order is not None:
+            places, prefixes = places[order], prefixes[order] if self.depth else prefixes
         inner = places[:0]
         while True:
             # the places from other lanes come first, by character; those induced in this lane follow
-            own = np.concatenate((places, inner))
-            order = self._order(self.text[own], lane)
-            own = own if order is None else own[order]
+            own = self._with_runs(self._sorted(np.concatenate((places, inner)), lane) if len(inner) else places, lane)
             line = np.concatenate((own, seed))
-            chars = self.text[line]
-            line_order = self._order(chars, lane)
+            line_order = self._order(self.text[line], lane)
             if line_order is not None:
-                line, chars = line[line_order], chars[line_order]
+                line = line[line_order]
+            chars = self.text[line]
             left = np.maximum(line - 1, 0)
             at = np.flatnonzero((line > 0) & (self.kinds[left] == self.down))
             handed = left[at]
             handed_chars = self.text[handed]
             inside = self.lane_of[handed_chars] == lane
-            more = handed[inside]
+            more = handed[inside & (handed_chars != chars[at])]
             if np.array_equal(more, inner):
                 break
             inner = more
@@ -173,25 +188,24 @@ class Sweep:
             self._push(handed, np.zeros(0, np.uint8), handed_chars, inside)
             return own, prefixes
         size = len(line)
-        first, seam, seam_prefixes, source = np.ones(size, dtype=bool), *[np.zeros(0, np.int64)] * 3
-        source = np.arange(len(own)) if order is None else order
         where = np.arange(size) if line_order is None else line_order
         induced = where < len(own)
-        if size:
-            first[1:] = chars[1:] != chars[:-1]
-            seam = np.flatnonzero(~first[1:] & (induced[1:] != induced[:-1])) + 1
-            seam_prefixes = common_prefixes(self.words, line[seam - 1], line[seam], self.depth)
-        ranges = self._ranges(at, handed_chars)
-        inner_prefixes = np.full(int(inside.sum()), self.depth, dtype=np.uint8)
-        while True:
-            own_prefixes = np.concatenate((prefixes, inner_prefixes))[source]
-            line_prefixes = np.concatenate((own_prefixes, seed_prefixes))[where]
-            line_prefixes[first] = 0
-            line_prefixes[seam] = seam_prefixes
-            handed_prefixes = self._handed_prefixes(line_prefixes, *ranges)
-            if not len(inner_prefixes) or np.array_equal(handed_prefixes[inside], inner_prefixes):
-                break
-            inner_prefixes = handed_prefixes[inside]
+        first = np.ones(size, dtype=bool)
+        first[1:] = chars[1:] != chars[:-1]
+        # what came from other lanes stands first of its character, in the order in which it came
+        counts = np.bincount(self.text[places] - self.text.dtype.type(self.bounds[lane]), minlength=int(self.bounds[lane + 1] - self.bounds[lane]))
+        heads = np.flatnonzero(first)
+        rank = np.arange(size) - heads[np.cumsum(first) - 1] if size else np.arange(0)
+        came = rank < counts[chars - self.text.dtype.type(self.bounds[lane])]
+        line_prefixes = np.empty(size, dtype=np.uint8)
+        line_prefixes[came] = prefixes
+        line_prefixes[~induced] = seed_prefixes if line_order is None else seed_prefixes[where[~induced] - len(own)]
+        # those that this lane induces, and the first seed after an induced one, are compared
+        new = (induced & ~came) | np.concatenate(([False], induced[1:] != induced[:-1])) if size else induced
+        new = np.flatnonzero(new & ~first)
+        line_prefixes[new] = common_prefixes(self.words, line[new - 1], line[new], self.depth)
+        line_prefixes[first] = 0
+        handed_prefixes = self._handed_prefixes(line_prefixes, *self._ranges(at, handed_chars))
         self._push(handed, handed_prefixes, handed_chars, inside)
         if size:
             self.low = np.where(self.low < 0, -1, np.minimum(self.low, line_prefixes.min())).astype(np.int16)

@@ -18,7 +18,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.chunks import byte_values, chunked, encoded, span_hashes, spanned
+from millrace.llm.chunks import CHUNK_BYTES, byte_values, chunked, encoded, span_hashes, spanned
 from millrace.llm.frames import task_count, widened, without
 from millrace.llm.induced import MEMORY, suffix_array
 from millrace.llm.marks import Places, _batched, mark, pack, settle, starts_of, unpack
@@ -157,6 +157,47 @@ def repeated_windows(pieces: list[bytes] | np.ndarray, sizes: np.ndarray, docs:
     return piece, begin - firsts[piece], end - begin + width - 1
 
 
+def _piece_hashes(raw: bytes, sizes: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each piece, some pieces at a time."""
+    ends = np.cumsum(sizes)
+    out, at = np.empty((len(sizes), 2), dtype=np.uint64), 0
+    while at < len(sizes):
+        start = int(ends[at] - sizes[at])
+        stop = max(at + 1, int(np.searchsorted(ends, start + CHUNK_BYTES, side="right")))
+        part = np.frombuffer(raw, dtype=np.uint8)[start : ends[stop - 1]]
+        begin, end = ends[at:stop] - sizes[at:stop] - start, ends[at:stop] - start
+        for lane in (0, 1):
+            out[at:stop, lane] = span_hashes(byte_values(part, lane), begin, end)
+        at = stop
+    return out
+
+
+def distinct_windows(raw: bytes, sizes: np.ndarray, docs: np.ndarray, width: int, memory: int = MEMORY):
+    """As repeated_windows, with equal pieces sorted once, in the name of the smallest document:
+    the pieces of other documents go whole, those of the same one lose what it loses."""
+    hashes = _piece_hashes(raw, sizes)
+    order = np.lexsort((docs, hashes[:, 1], hashes[:, 0]))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (hashes[order[1:]] != hashes[order[:-1]]).any(axis=1)
+    chief = np.empty(len(order), dtype=np.int64)
+    chief[order] = order[new][np.cumsum(new) - 1]
+    chiefs = np.sort(order[new])
+    begin = np.cumsum(sizes) - sizes
+    kept = b"".join([raw[x:y] for x, y in zip(begin[chiefs].tolist(), (begin + sizes)[chiefs].tolist(), strict=True)])
+    piece, offset, size = repeated_windows(kept, sizes[chiefs], docs[chiefs], width, memory)
+    piece = chiefs[piece]
+    whole = np.flatnonzero(docs > docs[chief])
+    same = np.flatnonzero((docs == docs[chief]) & (chief != np.arange(len(docs))))
+    low, high = (np.searchsorted(piece, chief[same], side=x) for x in ("left", "right"))
+    counts = high - low
+    take = np.arange(counts.sum()) + np.repeat(low - (np.cumsum(counts) - counts), counts)
+    pieces = np.concatenate((piece, whole, np.repeat(same, counts)))
+    offsets = np.concatenate((offset, np.zeros(len(whole), np.int64), offset[take]))
+    lengths = np.concatenate((size, sizes[whole], size[take]))
+    order = np.argsort(pieces, kind="stable")
+    return pieces[order], offsets[order], lengths[order]
+
+
 def _sorted_shards(pieces: DataFrame, width: int, memory: int) -> DataFrame:
     """Per batch the spans that go."""
 
@@ -170,13 +211,14 @@ def _sorted_shards(pieces: DataFrame, width: int, memory: int) -> DataFrame:
             docs = np.concatenate(docs)
             expand = zstandard.ZstdDecompressor()
             raw = b"".join(expand.decompress(x) for x in rows["bytes"].to_pylist())
-            piece, offset, size = repeated_windows(raw, sizes, docs, width, memory)
+            piece, offset, size = distinct_windows(raw, sizes, docs, width, memory)
             names = rows["batch"].to_pylist()
             edges = np.searchsorted(source[piece], np.arange(rows.num_rows + 1)).tolist()
             for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                 if a < b:
                     p = piece[a:b]
-                    out.append((names[k], *_packed(docs[p], starts[p] + offset[a:b], size[a:b])))
+                    at = np.lexsort((offset[a:b], starts[p], docs[p]))
+                    out.append((names[k], *_packed(docs[p][at], (starts[p] + offset[a:b])[at], size[a:b][at])))
         return pa.Table.from_batches([_batch_of(_SPANS, out)])
 
     def gather(table: pa.Table) -> pa.Table:
