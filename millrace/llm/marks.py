@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.chunks import encoded
 from millrace.llm.frames import task_count
 
-#: buckets a shuffle partition; more of them make each smaller
-BUCKETS_PER_TASK = 8
+#: buckets a shuffle partition; a batch sends a row to each
+BUCKETS_PER_TASK = 2
 #: texts of about so many bytes are one batch
 BATCH_BYTES = 16 << 20
 _ROW = "bucket int, batch long, sent boolean, hashes binary, docs binary, starts binary"
@@ -33,13 +33,15 @@ def pack(values: np.ndarray, delta: bool = False) -> bytes:
     values = np.ascontiguousarray(values)
     if delta and len(values):
         values = np.diff(values, prepend=values[:1] * 0)
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(raw: bytes, kind: str, delta: bool = False) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8)
     width = np.dtype(kind).itemsize
+    if not len(planes):
+        return np.zeros(0, dtype=kind)
     values = np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
     return np.cumsum(values).astype(kind) if delta else values
 
