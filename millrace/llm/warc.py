@@ -221,7 +221,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
                             rows, held = [], 0
                 yield _columns(schema, rows)
 
-    return archives.select("archive", "index").mapInArrow(batches, ddl)
+    return archives.select("archive", "index").repartition(max(1, archives.count())).mapInArrow(batches, ddl)
 
 
 def archive_pages(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -237,5 +237,6 @@ def archive_pages(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     revisits = find_revisits(records, min_bytes).groupBy("archive").agg(
         F.collect_list(F.struct("page_id", "refers_to")).alias("revisits")
     )
-    listed = records.select("archive").distinct().join(revisits, "archive", "left")
+    names = records.select("archive").distinct()
+    listed = names.join(revisits, "archive", "left").repartition(max(1, names.count()))  # a task each
     return stage(normalise(listed, f"{folder}/members"), "warc-archives")
