@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.chunks import CHUNK_BYTES, byte_values, chunked, encoded, span_hashes, spanned
 from millrace.llm.frames import task_count, widened, without
 from millrace.llm.induced import MEMORY, suffix_array
-from millrace.llm.marks import Places, _batched, mark, pack, settle, starts_of, unpack
+from millrace.llm.marks import Places, _batched, mark, pack, plain, settle, starts_of, unpack
 from millrace.session import stage
 
 WIDTH = 50
 KMER = 16
 SHARDS_PER_TASK = 4
 _PIECES = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("sent", pa.bool_()), ("docs", pa.binary()),
-                     ("starts", pa.binary()), ("sizes", pa.binary()), ("bytes", pa.binary())])
+                     ("starts", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary()), ("bytes", pa.binary())])
 _SPANS = pa.schema([("batch", pa.int64()), ("docs", pa.binary()), ("starts", pa.binary()), ("sizes", pa.binary())])
 
 
@@ -117,7 +117,7 @@ def _pieces(near: DataFrame, width: int, shards: int) -> DataFrame:
             if marked.any():
                 at = np.flatnonzero(marked)
                 at = at[np.lexsort((starts[at], owner[at]))]
-                rows.append((int(name % shards), name, False, *_packed(owner[at], starts[at], sizes[at]), b""))
+                rows.append((int(name % shards), name, False, *_packed(owner[at], starts[at], sizes[at]), b"", b""))
             shard = (lane % np.uint64(shards)).astype(np.int64)
             at = np.flatnonzero(sent)
             at = at[np.lexsort((starts[at], owner[at], shard[at]))]
@@ -126,11 +126,11 @@ def _pieces(near: DataFrame, width: int, shards: int) -> DataFrame:
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 take = at[a:b]
                 rows.append((int(shard[take[0]]), name, True, *_packed(owner[take], starts[take], sizes[take]),
-                             squeeze.compress(b"".join([raw[i] for i in take.tolist()]))))
+                             plain(lane[take] >> np.uint64(32), "<u4"), squeeze.compress(b"".join([raw[i] for i in take.tolist()]))))
             for k in range(0, len(rows), 256):
                 yield _batch_of(_PIECES, rows[k : k + 256])
 
-    return near.mapInArrow(send, "shard int, batch long, sent boolean, docs binary, starts binary, sizes binary, bytes binary")
+    return near.mapInArrow(send, "shard int, batch long, sent boolean, docs binary, starts binary, sizes binary, keys binary, bytes binary")
 
 
 def repeated_windows(pieces: list[bytes] | np.ndarray, sizes: np.ndarray, docs: np.ndarray, width: int, memory: int = MEMORY):
@@ -211,7 +211,15 @@ def _sorted_shards(pieces: DataFrame, width: int, memory: int) -> DataFrame:
             docs = np.concatenate(docs)
             expand = zstandard.ZstdDecompressor()
             raw = b"".join(expand.decompress(x) for x in rows["bytes"].to_pylist())
-            piece, offset, size = distinct_windows(raw, sizes, docs, width, memory)
+            # a minimizer that one document has left, its copies being settled, needs no sorting
+            keys = np.concatenate([np.frombuffer(x, dtype="<u4") for x in rows["keys"].to_pylist()])
+            several = np.flatnonzero(settle(keys, docs, starts, later=False, across=True)[0])
+            if not len(several):
+                return pa.Table.from_batches([_batch_of(_SPANS, out)])
+            ends = np.cumsum(sizes)
+            raw = b"".join([raw[x:y] for x, y in zip((ends - sizes)[several].tolist(), ends[several].tolist(), strict=True)])
+            piece, offset, size = distinct_windows(raw, sizes[several], docs[several], width, memory)
+            piece = several[piece]
             names = rows["batch"].to_pylist()
             edges = np.searchsorted(source[piece], np.arange(rows.num_rows + 1)).tolist()
             for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
