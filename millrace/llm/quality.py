@@ -12,6 +12,7 @@ rows, and a group's percentiles count a bounded number of distinct values.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,7 +23,7 @@ SCALE = 64
 #: share of a group that each concentration step keeps
 SUBSET = 0.75
 STEPS = 3
-#: groups with fewer documents get no estimate
+#: groups with fewer documents get no estimate of their own
 MIN_GROUP = 50
 #: least standard deviation of each feature, in units of the feature
 FLOORS = {"f_length": 0.05, "f_words": 0.7, "f_symbols": 0.35, "f_lines": 0.7, "f_repeats": 0.5}
@@ -115,11 +116,15 @@ def _bucket(distance: Column) -> Column:
     return F.round(SCALE * F.log(distance + 1e-3)).cast("long")
 
 
-def _nearest(rows: DataFrame, distance: Column) -> DataFrame:
+def _as_is(frame: DataFrame) -> DataFrame:
+    return frame
+
+
+def _nearest(rows: DataFrame, distance: Column, joined: Callable[[DataFrame], DataFrame] = _as_is) -> DataFrame:
     """The rows of each group's nearest share, those at its edge included."""
     placed = rows.withColumn("_bucket", _bucket(distance))
     edge = placed.groupBy("_group").agg(F.ceil(F.percentile("_bucket", F.lit(SUBSET))).alias("_edge"))
-    return placed.join(edge, "_group").filter("_bucket <= _edge")
+    return placed.join(joined(edge), "_group").filter("_bucket <= _edge")
 
 
 def _estimates(nearest: DataFrame) -> DataFrame:
@@ -159,12 +164,12 @@ def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return joined.withColumn("_distance", total)
 
 
-def _first_distance(rows: DataFrame) -> DataFrame:
-    """Distances from the medians in units of the median deviation."""
+def _first_distance(rows: DataFrame, least: int, joined: Callable[[DataFrame], DataFrame] = _as_is) -> DataFrame:
+    """Distances from the medians in units of the median deviation, for groups of at least so many rows."""
     middle = rows.groupBy("_group").agg(
         F.count(F.lit(1)).alias("_n"), *[F.percentile(f, F.lit(0.5)).alias(f"_m_{f}") for f in FEATURES]
     )
-    large = rows.join(middle.filter(F.col("_n") >= MIN_GROUP), "_group")
+    large = rows.join(joined(middle.filter(F.col("_n") >= least)), "_group")
     spread = large.groupBy("_group").agg(
         *[F.percentile(F.abs(F.col(f) - F.col(f"_m_{f}")), F.lit(0.5)).alias(f"_d_{f}") for f in FEATURES]
     )
@@ -172,28 +177,62 @@ def _first_distance(rows: DataFrame) -> DataFrame:
     for f in FEATURES:
         unit = 1.4826 * F.col(f"_d_{f}") + FLOORS[f] * SCALE
         total = total + F.pow((F.col(f) - F.col(f"_m_{f}")) / unit, 2)
-    return large.join(spread, "_group").select("_group", *FEATURES, total.alias("_distance"))
+    return large.join(joined(spread), "_group").select("_group", *FEATURES, total.alias("_distance"))
+
+
+def _concentrated(rows: DataFrame, least: int, joined: Callable[[DataFrame], DataFrame] = _as_is) -> DataFrame:
+    """The estimates of the groups of at least so many rows, after the concentration steps."""
+    distances = _first_distance(rows, least, joined)
+    for _ in range(STEPS):
+        estimates = stage(_estimates(_nearest(distances, F.col("_distance"), joined)), "quality-estimates")
+        distances = _distance(rows, joined(estimates)).filter("_distance is not null").select("_group", *FEATURES, "_distance")
+    return estimates
+
 
+def _borrowed(rows: DataFrame) -> DataFrame | None:
+    """For each group of under MIN_GROUP rows the estimate of its language over all sources, or
+    of all rows if the language has under MIN_GROUP rows too.
 
-def judge(docs: DataFrame) -> DataFrame:
+    A row a language and the row for everything are broadcast, so no language is one task's.
+    """
+    small = rows.groupBy("_group", "_lang").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < MIN_GROUP)
+    small = stage(small.select(F.col("_group").alias("_small"), "_lang"), "quality-small")
+    if small.isEmpty():
+        return None
+    of_lang = _concentrated(rows.select(F.col("_lang").alias("_group"), *FEATURES), MIN_GROUP, F.broadcast)
+    found = small.join(F.broadcast(of_lang), small["_lang"] == of_lang["_group"])
+    columns = [F.col("_small").alias("_group"), *[c for c in of_lang.columns if c != "_group"]]
+    lent = found.select(*columns)
+    rest = small.join(F.broadcast(of_lang), small["_lang"] == of_lang["_group"], "left_anti")
+    if not rest.isEmpty():
+        of_all = _concentrated(rows.select(F.lit("").alias("_group"), *FEATURES), 1, F.broadcast)
+        lent = lent.unionByName(rest.join(F.broadcast(of_all), of_all["_group"] == "").select(*columns))
+    return lent
+
+
+def judge(docs: DataFrame, borrow: bool = False) -> DataFrame:
     """doc_id, the base statistics, base_failed, distance (squared, null where none is made) and
     kept, a row for each row of docs (doc_id, text, lang, source).
 
     A null or empty text has no words and fails. A null language or source is a value of its own.
-    In a group of under MIN_GROUP rows that pass the base rules all of them are kept. Rows that
-    repeat are judged alike, each counting in its group. An empty table gives an empty table.
+    With `borrow`, a group of under MIN_GROUP rows that pass the base rules is judged by the
+    estimate of its language over all sources, or of all rows, so that each such row gets a
+    distance; without it all rows of such a group are kept unjudged. Rows that repeat are judged
+    alike, each counting in its group. An empty table gives an empty table.
     """
     docs = without(docs, *_STATISTICS, "base_failed", "distance", "kept")
-    group = F.concat_ws("\x00", *[F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("lang", "source")])
+    named = [F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("lang", "source")]
+    group = F.concat_ws("\x00", *named)
     statistics = stage(
-        add_statistics(docs.select("doc_id", "text", group.alias("_group"))).drop("text"), "quality-statistics"
+        add_statistics(docs.select("doc_id", "text", group.alias("_group"), named[0].alias("_lang"))).drop("text"),
+        "quality-statistics",
     )
     judged = statistics.withColumn("base_failed", base_failed())
-    rows = judged.filter("not base_failed").select("_group", *_features())
-    distances = _first_distance(rows)
-    for _ in range(STEPS):
-        estimates = stage(_estimates(_nearest(distances, F.col("_distance"))), "quality-estimates")
-        distances = _distance(rows, estimates).filter("_distance is not null").select("_group", *FEATURES, "_distance")
+    rows = judged.filter("not base_failed").select("_group", "_lang", *_features())
+    estimates = _concentrated(rows.drop("_lang"), MIN_GROUP)
+    lent = _borrowed(rows) if borrow else None
+    if lent is not None:
+        estimates = stage(estimates.unionByName(lent), "quality-all-estimates")
     measured = _distance(judged.select("*", *_features()), estimates)
     distance = F.when(~F.col("base_failed"), F.col("_distance"))
     return measured.select(

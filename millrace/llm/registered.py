@@ -33,7 +33,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the robust outlier verdict of every document."""
-    return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), borrow=True)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
