@@ -151,7 +151,7 @@ def _words_in_spans(text: Column, spans: Column) -> Column:
     )
     words = F.transform(merged, lambda s: F.regexp_count(
         F.substring(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")),
-        F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")))
+        F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))  # the text's own capitals too
     return F.aggregate(words, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
