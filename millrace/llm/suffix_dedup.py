@@ -6,6 +6,11 @@ sorted, and they go to the shard that the minimizer names, so equal windows meet
 There a suffix array, made by external induced sorting, brings equal windows together: neighbours
 whose common prefix reaches `width` are equal, and those that don't lie in the smallest document
 are removed. Documents whose whole text an earlier document has need no sorting.
+
+A minimizer under which very many different stretches lie would make one large shard. Such
+minimizers are found on a share of the documents; their stretches are cut into single windows,
+each going to the shard that its own hash names. Equal windows have equal minimizers and hashes,
+so they meet whichever minimizers are taken for hot.
 """
 
 from __future__ import annotations
@@ -27,6 +32,10 @@ from millrace.session import stage
 WIDTH = 50
 KMER = 16
 SHARDS_PER_TASK = 4
+#: different stretches of about so many bytes under one minimizer are cut into windows
+HOT_BYTES = 8 << 20
+#: one document in so many is looked at for hot minimizers
+HOT_SAMPLE = 16
 _PIECES = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("sent", pa.bool_()), ("docs", pa.binary()),
                      ("starts", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary()), ("bytes", pa.binary())])
 _SPANS = pa.schema([("batch", pa.int64()), ("docs", pa.binary()), ("starts", pa.binary()), ("sizes", pa.binary())])
@@ -82,9 +91,44 @@ def _batch_of(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def _pieces(near: DataFrame, width: int, shards: int) -> DataFrame:
+def hot_minimizers(texts: DataFrame, width: int) -> np.ndarray:
+    """The hashes, rising, of minimizers with about HOT_BYTES of different stretches. They only
+    say how stretches are dealt; there are fewer than the bytes of all stretches / HOT_BYTES."""
+
+    def weigh(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _batched(them):
+            raw = encoded(batch.column(1))
+            parts = []
+            for first, last in chunked(raw):
+                found = Minimizers(raw[first:last], width)
+                begin, end = found.windows[found.heads], found.windows[found.tails] + width
+                key = span_hashes(byte_values(found.joined), begin, end)
+                parts.append(np.stack([found.hashes[found.place[found.heads]], key, (end - begin).astype(np.uint64)]))
+            if not parts:
+                continue
+            lane, key, size = np.concatenate(parts, axis=1)
+            order = np.lexsort((key, lane))
+            lane, key, size = lane[order], key[order], size[order]
+            new = np.ones(len(lane), dtype=bool)
+            new[1:] = (lane[1:] != lane[:-1]) | (key[1:] != key[:-1])
+            lane, size = lane[new], size[new]
+            heads = np.flatnonzero(np.append(True, lane[1:] != lane[:-1])) if len(lane) else np.zeros(0, np.int64)
+            several = np.diff(np.append(heads, len(lane))) > 1
+            if several.any():
+                total = np.add.reduceat(size, heads)[several]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lane[heads][several].view(np.int64)), pa.array(total.astype(np.int64))], names=["lane", "size"])
+
+    sample = texts.filter("doc_id is not null").filter(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)
+    weights = sample.mapInArrow(weigh, "lane long, size long").groupBy("lane").agg(F.sum("size").alias("size"))
+    rows = weights.filter(F.col("size") * HOT_SAMPLE > HOT_BYTES).select("lane").collect()
+    return np.sort(np.array([r["lane"] for r in rows], dtype=np.int64).view(np.uint64))
+
+
+def _pieces(near: DataFrame, width: int, shards: int, hot: np.ndarray) -> DataFrame:
     """Stretches under one shared minimizer, packed by batch and shard. Of equal stretches in a
-    batch only the first document's are sent; the others' are removed in any case."""
+    batch only the first document's are sent; the others' are removed in any case. Under hot
+    minimizers each window is a stretch of its own, dealt by its hash."""
 
     def send(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
@@ -101,12 +145,20 @@ def _pieces(near: DataFrame, width: int, shards: int) -> DataFrame:
                 chosen = np.flatnonzero(shared[found.place[found.heads]])
                 heads, tails = found.heads[chosen], found.tails[chosen]
                 begin, end = found.windows[heads], found.windows[tails] + width
-                text = found.text[heads]
+                text, name_of = found.text[heads], found.hashes[found.place[heads]]
+                cut = np.isin(name_of, hot)
+                if cut.any():
+                    counts = np.where(cut, end - begin - width + 1, 1)
+                    step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                    begin, end, text, name_of, cut = (np.repeat(x, counts) for x in (begin, end, text, name_of, cut))
+                    begin = begin + step
+                    end = np.where(cut, begin + width, end)
+                own = span_hashes(byte_values(found.joined), begin, end)
                 owner.append(ids[first + text])
                 starts.append(begin - found.first[text])
                 sizes.append(end - begin)
-                lane.append(found.hashes[found.place[heads]])
-                key.append(span_hashes(byte_values(found.joined), begin, end))
+                lane.append(np.where(cut, own, name_of))
+                key.append(own)
                 whole = found.joined.tobytes()
                 raw += [whole[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
             if not raw:
@@ -266,7 +318,8 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, memory: int = MEMORY) -> Da
     copies = stage(_copies(texts), "suffix-copies")
     marks = mark(texts, minimizer_places(width), later=False, across=True, wide=False)
     near = texts.join(marks.join(copies, "doc_id", "left_anti"), "doc_id").select("doc_id", "text", "marks")
-    spans = _sorted_shards(_pieces(near, width, SHARDS_PER_TASK * task_count(docs.sparkSession)), width, memory)
+    pieces = _pieces(near, width, SHARDS_PER_TASK * task_count(docs.sparkSession), hot_minimizers(texts, width))
+    spans = _sorted_shards(pieces, width, memory)
     gone = spans.join(copies.withColumn("_whole", F.lit(True)), "doc_id", "full")
     joined = docs.join(gone, "doc_id", "left").select(*[f"`{c}`" for c in docs.columns], "_spans", "_whole")
     names = [*docs.columns, "n_bytes", "n_removed", "n_spans", "kept"]
