@@ -38,7 +38,8 @@ def fit_dictionaries(labelled: DataFrame) -> list[tuple[str, bytes]]:
     """(language, dictionary) in the order of languages, from rows (doc_id, text, lang).
 
     Per language at most TEXTS_PER_LANGUAGE texts, the ones whose doc_id hashes lowest, and at
-    most BYTES_PER_TEXT bytes of each. Rows with a null or empty value take no part.
+    most BYTES_PER_TEXT bytes of each. Rows with a null or empty value take no part. Samples of more than LANGUAGES *
+    TEXTS_PER_LANGUAGE texts, which the driver would have to hold, are refused with a ValueError.
     """
     usable = labelled.filter("doc_id is not null and lang is not null and text is not null and text <> ''")
     by_hash = Window.partitionBy("lang").orderBy("_hash", "doc_id")
@@ -49,15 +50,17 @@ def fit_dictionaries(labelled: DataFrame) -> list[tuple[str, bytes]]:
         .filter(F.col("_rank") <= TEXTS_PER_LANGUAGE)
         .select("doc_id", "lang", "_hash")
     )
-    # at most LANGUAGES * TEXTS_PER_LANGUAGE short rows
+    most = LANGUAGES * TEXTS_PER_LANGUAGE
     rows = (
         usable.select("doc_id", "lang", F.substring("text", 1, BYTES_PER_TEXT).alias("text"))
         .join(F.broadcast(chosen), ["doc_id", "lang"])
         .distinct()
         .orderBy("lang", "_hash", "doc_id", "text")
-        .limit(LANGUAGES * TEXTS_PER_LANGUAGE)
+        .limit(most + 1)
         .collect()
     )
+    if len(rows) > most:
+        raise ValueError(f"the languages have more than {most} sample texts ({LANGUAGES} languages of {TEXTS_PER_LANGUAGE})")
     texts: dict[str, list[bytes]] = {}
     for row in rows:
         texts.setdefault(row["lang"], []).append(_letters(row["text"])[:BYTES_PER_TEXT])
