@@ -8,7 +8,10 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing, quality, similar_sets, substring_dedup, suffix_dedup, token_counts, warc
+from millrace.llm import (
+    decontamination, language_id, licenses, line_dedup, manifest, packing, quality, similar_sets, spelling, substring_dedup, suffix_dedup,
+    token_counts, warc,
+)
 from millrace.llm.frames import read_table
 from millrace.llm.twins import TWINS
 
@@ -87,6 +90,27 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and license notices of every document."""
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places, joined = F.col("base.first"), lambda c: F.array_join(c, ",").alias(c)
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"), joined("base_labels"), joined("labels"), "score",
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with their spelling variants' forms."""
+    found = spelling.group_variants(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof in the manifest of all documents."""
+    return manifest.prove_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_packing": op1_packing,
@@ -99,4 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_licenses": op11_licenses,
+    "op12_spelling": op12_spelling,
+    "op13_manifest": op13_manifest,
 }

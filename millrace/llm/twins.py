@@ -3,6 +3,8 @@ window, shingle, line or byte string is a row."""
 
 from __future__ import annotations
 
+from millrace.llm.licenses import NOTICES, PHRASES, THRESHOLD, block_words
+
 _SPACE = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -108,3 +110,119 @@ fronts AS (
 SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
   sha256(unhex(coalesce(front, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM docs LEFT JOIN fronts USING (doc_id)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of the UTF-8 of text in U+0000 to U+007F and U+00C0 to U+00FF, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: unicode(c))"
+    octets = f"flatten(list_transform({codes}, lambda c: CASE WHEN c < 128 THEN [c] ELSE [195, c - 64] END))"
+    bits = f"flatten(list_transform({octets}, lambda c: list_transform(range(8), lambda k: (c::BIGINT >> k::INT) & 1)))"
+    return f"xor(4294967295, list_reduce({bits}, lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT))"
+
+
+def _values(*rows: tuple) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+TWINS["op11_licenses"] = f"""
+WITH docs AS MATERIALIZED (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+phrases(label, p) AS (SELECT label, string_split(p, ' ') FROM (VALUES {_values(*PHRASES)}) v(label, p)),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(k) AS first_word, max(k) AS last_word, list(DISTINCT label) AS labels
+  FROM (SELECT doc_id, w, unnest(range(len(w))) AS k FROM docs), phrases WHERE w[k + 1:k + len(p)] = p GROUP BY 1),
+notices AS (
+  SELECT label, list_distinct(string_split(t, ' ')) AS own, size
+  FROM (VALUES {_values(*[(label, text, block_words(len(text.split()))) for label, text in NOTICES])}) v(label, t, size)),
+blocks AS (
+  SELECT doc_id, size, w[a + 1:a + size] AS words
+  FROM (SELECT doc_id, w, size, unnest(range(0, greatest(1, len(w) - size // 2), size // 2)) AS a
+        FROM docs, (SELECT DISTINCT size FROM notices))),
+shares AS (SELECT doc_id, label, len(list_intersect(list_distinct(words), own)) / len(own) AS share FROM blocks JOIN notices USING (size)),
+met AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS score FROM shares WHERE share >= {THRESHOLD} - 1e-9 GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(met.labels, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0) END::DOUBLE AS score
+FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN met USING (doc_id)"""
+
+TWINS["op12_spelling"] = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER.format('text')}, '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+drawn AS (SELECT *, {_crc32("doc_id || ':' || run")} AS h FROM runs),
+words AS MATERIALIZED (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substring(run, (h % length(run) + 2)::INT) ELSE run END AS word,
+    sum(n)::BIGINT AS n
+  FROM drawn GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+places AS MATERIALIZED (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS k FROM words),
+less AS MATERIALIZED (SELECT DISTINCT word, n, left(word, k - 1) || substring(word, k + 1) AS rest FROM places),
+holes AS MATERIALIZED (SELECT word, n, k, left(word, k - 1) || substring(word, k + 1) AS rest FROM places),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT words.word, less.word, less.n FROM words JOIN less ON words.word = less.rest
+  UNION SELECT less.word, words.word, words.n FROM words JOIN less ON words.word = less.rest),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(low := -n, other := other)) AS best FROM near GROUP BY 1),
+forms AS MATERIALIZED (
+  SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN -best.low >= 5 * words.n THEN best.other END AS form, CASE WHEN -best.low >= 5 * words.n THEN -best.low END::BIGINT AS form_n
+  FROM words LEFT JOIN best USING (word)),
+followed AS (
+  SELECT word, word AS root, 0 AS step FROM forms
+  UNION ALL SELECT followed.word, forms.form, step + 1 FROM followed JOIN forms ON followed.root = forms.word WHERE forms.form IS NOT NULL)
+SELECT word, n, n_near, form, form_n, root FROM forms JOIN (SELECT word, arg_max(root, step) AS root FROM followed GROUP BY 1) USING (word)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR)) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes (g, lvl, i, h, last) over leaves (g, i, h); `last` is the level of the root."""
+    return f"""{name}_up AS (
+  SELECT g, 0 AS lvl, i, h, count(*) OVER (PARTITION BY g) AS n FROM {leaves}
+  UNION ALL
+  SELECT g, lvl + 1, j, h, count(*) OVER (PARTITION BY g) FROM (
+    SELECT g, lvl, i // 16 AS j, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {name}_up WHERE n > 1 GROUP BY ALL)),
+{name} AS MATERIALIZED (SELECT *, max(lvl) OVER (PARTITION BY g) AS last FROM {name}_up)"""
+
+
+def _climb(name: str, starts: str, tree: str) -> str:
+    """What starts (id, g, i, h) become when folded with their siblings: (id, lvl, h)."""
+    return f"""{name} AS (
+  SELECT id, g, i, h, 0 AS lvl FROM {starts}
+  UNION ALL
+  SELECT s.id, s.g, s.i // 16, sha256(string_agg(CASE WHEN t.i = s.i THEN s.h ELSE t.h END, '' ORDER BY t.i)), s.lvl + 1
+  FROM {name} s JOIN {tree} t ON s.g = t.g AND s.lvl = t.lvl AND s.i // 16 = t.i // 16 WHERE s.lvl < t.last GROUP BY ALL)"""
+
+
+def _siblings(name: str, starts: str, tree: str) -> str:
+    return f"""{name} AS (
+  SELECT s.id, string_agg(t.h, '' ORDER BY t.lvl, t.i) AS proof
+  FROM {starts} s JOIN {tree} t ON s.g = t.g AND t.lvl < t.last AND (s.i >> (4 * t.lvl)::INT) // 16 = t.i // 16 AND s.i >> (4 * t.lvl)::INT <> t.i
+  GROUP BY 1)"""
+
+
+_LEAF = "sha256(" + " || ".join([_field("doc_id"), _field("source"), _field("lang"), _field("n_chars"), _field("{0}")]) + ")"
+TWINS["op13_manifest"] = f"""
+WITH RECURSIVE hashed AS MATERIALIZED (
+  SELECT doc_id, source, {_LEAF.format('text')} AS h,
+    CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN {_LEAF.format(_LOWER.format('text'))} END AS altered FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, h) AS id, coalesce('1' || source, '0') AS g,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM hashed),
+{_tree('low', 'leaves')},
+roots AS MATERIALIZED (SELECT g AS name, 'top' AS g, h, row_number() OVER (ORDER BY g) - 1 AS i FROM low WHERE lvl = last),
+{_tree('top', 'roots')},
+changed AS (SELECT id, g, i, coalesce(altered, h) AS h FROM leaves),
+{_climb('low_fold', 'changed', 'low')},
+reached AS (SELECT id, g, arg_max(h, lvl) AS h FROM low_fold GROUP BY ALL),
+starts AS (SELECT id, 'top' AS g, roots.i, reached.h FROM reached JOIN roots ON reached.g = roots.name),
+{_climb('top_fold', 'starts', 'top')},
+folded AS (SELECT id, arg_max(h, lvl) AS folded_root FROM top_fold GROUP BY 1),
+{_siblings('low_proof', 'leaves', 'low')},
+{_siblings('top_proof', 'starts', 'top')}
+SELECT doc_id, leaves.h AS leaf, roots.h AS subroot, root,
+  sha256(coalesce(low_proof.proof, '') || coalesce(top_proof.proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN roots ON leaves.g = roots.name JOIN folded USING (id) CROSS JOIN (SELECT h AS root FROM top WHERE lvl = last)
+  LEFT JOIN low_proof USING (id) LEFT JOIN top_proof USING (id)"""
