@@ -16,9 +16,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.frames import widened, without
+from millrace.session import stage
 
 WIDTH = 10
 #: bytes of window text that one automaton holds; a node a byte at most, about 50 bytes each
@@ -79,7 +81,7 @@ def _code_point_spans(text: str, runs: list[tuple[int, int]]) -> list[dict[str,
     return [{"start": int(points[turns[2 * a]]), "end": int(points[turns[2 * b + 1]])} for a, b in runs]
 
 
-def _scan(docs: DataFrame, windows: list[tuple[str, tuple[str, ...]]]) -> DataFrame:
+def _scan(docs: DataFrame, windows: list[tuple[str, tuple[str, ...]]]) -> tuple[DataFrame, Broadcast]:
     spark = docs.sparkSession
     name = hashlib.sha256(repr(windows).encode()).hexdigest()
     sent = spark.sparkContext.broadcast(windows)
@@ -116,23 +118,35 @@ def _scan(docs: DataFrame, windows: list[tuple[str, tuple[str, ...]]]) -> DataFr
             own = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=names)
 
-    return docs.mapInArrow(batches, schema)
-
-
-def _merged(docs: DataFrame, parts: list[list[tuple[str, tuple[str, ...]]]]) -> DataFrame:
-    """One scan a part of the windows, each adding to what the ones before it found."""
-    found = _scan(docs, parts[0])
-    for part in parts[1:]:
-        kept = [F.col(f"`{c}`") for c in docs.columns]
-        before = [F.col(c).alias(f"_{c}") for c in ("item_ids", "hit_spans")]
-        again = _scan(found.select(*kept, *before), part)
-        found = again.select(
-            *kept, "n_words", "n_hit",
-            F.array_sort(F.array_union("_item_ids", "item_ids")).alias("item_ids"),
-            F.array_sort(F.array_union("_hit_spans", "hit_spans")).alias("hit_spans"),
-        )
-        found = found.withColumn("n_hit", _words_in_spans(F.col("text"), F.col("hit_spans")))
-    return found
+    return docs.mapInArrow(batches, schema), sent
+
+
+def _gathered(windows: DataFrame, parts: int, part: int) -> list[tuple[str, tuple[str, ...]]]:
+    own = windows.filter(F.pmod(F.xxhash64("window"), F.lit(parts)) == part)
+    return sorted((w, tuple(its)) for w, its in own.collect())
+
+
+def _in_parts(docs: DataFrame, windows: DataFrame, parts: int) -> DataFrame:
+    """One job a part of the windows, one part at a time on the driver and in the workers; each writes
+    the hits of the documents that it hits. These are added up per document in the end."""
+    windows = stage(windows, "benchmark-windows")
+    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "benchmark-documents")
+    hits = []
+    for part in range(parts):
+        scanned, sent = _scan(numbered.select("_row", "text"), _gathered(windows, parts, part))
+        hits.append(stage(scanned.filter("n_hit > 0").select("_row", "item_ids", "hit_spans"), "benchmark-hits"))
+        sent.destroy()
+    union = hits[0]
+    for more in hits[1:]:
+        union = union.unionByName(more)
+    # a document has at most a row a part
+    merged = union.groupBy("_row").agg(*[
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(f"_{c}") for c in ("item_ids", "hit_spans")])
+    counted, _ = _scan(numbered, [])
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    both = [F.coalesce(f"_{c}", F.col(c)).alias(c) for c in ("item_ids", "hit_spans")]
+    found = counted.join(merged, "_row", "left").select(*kept, "n_words", *both)
+    return found.select(*kept, "n_words", _words_in_spans(F.col("text"), F.col("hit_spans")).alias("n_hit"), "item_ids", "hit_spans")
 
 
 def _words_in_spans(text: Column, spans: Column) -> Column:
@@ -164,15 +178,15 @@ def find_contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) ->
     item_id or words, add nothing. An empty table gives an empty table, an empty set of items
     no hits.
 
-    The test set's windows are gathered as long as one automaton's bound holds them; a larger
-    test set is scanned in several parts, each with an automaton within the bound.
+    Texts have any length; one is held whole by a task. The test set's windows are gathered as
+    long as one automaton's bound holds them; a larger test set is scanned in several parts one
+    after the other, each with an automaton within the bound, with the same results but for the
+    spans, of which parts may give overlapping ones.
     """
-    docs = without(docs, "n_words", "n_hit", "item_ids", "hit_spans", "_item_ids", "_hit_spans")
+    docs = without(docs, "n_words", "n_hit", "item_ids", "hit_spans", "_item_ids", "_hit_spans", "_row")
     windows = item_windows(items, width)
     size = windows.agg(F.coalesce(F.sum(F.octet_length("window") + 2), F.lit(0))).first()[0]
     count = max(1, -(-int(size) // AUTOMATON_BYTES))
-    parts = []
-    for part in range(count):
-        own = windows.filter(F.pmod(F.xxhash64("window"), F.lit(count)) == part)
-        parts.append(sorted((w, tuple(its)) for w, its in own.collect()))
-    return _merged(docs, parts)
+    if count > 1:
+        return _in_parts(docs, windows, count)
+    return _scan(docs, _gathered(windows, 1, 0))[0]

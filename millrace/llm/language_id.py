@@ -15,21 +15,29 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.frames import widened, without
+from millrace.session import stage
 
 #: bounds of the sample that the dictionaries are made of
 TEXTS_PER_LANGUAGE = 256
 BYTES_PER_TEXT = 1024
 DICTIONARY_BYTES = 160 * 1024
 LANGUAGES = 1000
+#: a language's rows are ranked in so many deals before the lowest of all are taken
+DEALS = 256
 BLOCK_BYTES = 2048
 LEVEL = 3
 MIN_MARGIN = 0.002
-_LETTER = re.compile(r"[^\W\d_]")
+_LATIN = re.compile("[A-Za-z]")
 _BETWEEN = re.compile(r"[\W\d_]+")
 _RESULT = "lang_pred string, score double, accepted boolean"
 _COMPRESSORS: dict[int, list[tuple[str, zstandard.ZstdCompressor]]] = {}
 
 
+def has_letter(text: str) -> bool:
+    """Whether some character is alphabetic; numerals and signs aren't."""
+    return _LATIN.search(text) is not None or any(map(str.isalpha, text))
+
+
 def _letters(text: str) -> bytes:
     return _BETWEEN.sub(" ", text.lower()).encode()
 
@@ -42,15 +50,16 @@ def fit_dictionaries(labelled: DataFrame) -> list[tuple[str, bytes]]:
     TEXTS_PER_LANGUAGE texts, which the driver would have to hold, are refused with a ValueError.
     """
     usable = labelled.filter("doc_id is not null and lang is not null and text is not null and text <> ''")
-    by_hash = Window.partitionBy("lang").orderBy("_hash", "doc_id")
-    chosen = (
-        usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash"))
-        .distinct()
-        .withColumn("_rank", F.row_number().over(by_hash))
-        .filter(F.col("_rank") <= TEXTS_PER_LANGUAGE)
-        .select("doc_id", "lang", "_hash")
-    )
+    chosen = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash")).distinct()
+    chosen = chosen.withColumn("_deal", F.pmod(F.xxhash64("_hash", "lang"), F.lit(DEALS)))
+    # the lowest hashes of every deal, then of these: no task sees all rows of a language
+    for part in (["lang", "_deal"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*part).orderBy("_hash", "doc_id"))
+        chosen = chosen.withColumn("_rank", rank).filter(F.col("_rank") <= TEXTS_PER_LANGUAGE).drop("_rank")
     most = LANGUAGES * TEXTS_PER_LANGUAGE
+    chosen = stage(chosen.select("doc_id", "lang", "_hash"), "language-sample")
+    if chosen.count() > most:
+        raise ValueError(f"the languages have more than {most} sample texts ({LANGUAGES} languages of {TEXTS_PER_LANGUAGE})")
     rows = (
         usable.select("doc_id", "lang", F.substring("text", 1, BYTES_PER_TEXT).alias("text"))
         .join(F.broadcast(chosen), ["doc_id", "lang"])
@@ -80,7 +89,7 @@ def _compressors(name: int, dictionaries: list[tuple[str, bytes]]) -> list[tuple
 
 
 def _choose(text: str | None, compressors: list[tuple[str, zstandard.ZstdCompressor]]) -> tuple[str, float, bool]:
-    if not text or not compressors or not _LETTER.search(text):
+    if not text or not compressors or not has_letter(text):
         return "und", 0.0, False
     raw = _letters(text)
     blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, len(raw), BLOCK_BYTES)]
@@ -97,7 +106,8 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]]) -> DataFram
 
     A null text, or one without letters, is `und` with score 0 and isn't accepted; so is every
     text if there are no dictionaries. Equal sizes go to the first language by name, with score 0.
-    Only the text counts, so repeated rows get equal results.
+    Only the text counts, so repeated rows get equal results. Texts have any length; all of their
+    blocks count. An empty table gives an empty table.
     """
     docs = without(docs, "lang_pred", "score", "accepted")
     names = [*docs.columns, "lang_pred", "score", "accepted"]

@@ -25,6 +25,8 @@ SUBSET = 0.75
 STEPS = 3
 #: groups with fewer documents get no estimate of their own
 MIN_GROUP = 50
+#: estimates of up to so many groups are broadcast
+HELD_GROUPS = 1 << 14
 #: least standard deviation of each feature, in units of the feature
 FLOORS = {"f_length": 0.05, "f_words": 0.7, "f_symbols": 0.35, "f_lines": 0.7, "f_repeats": 0.5}
 FEATURES = list(FLOORS)
@@ -100,9 +102,9 @@ def base_failed() -> Column:
 
 
 def _features() -> list[Column]:
-    share = lambda c, of: F.log1p(100 * F.col(c) / F.col(of))
+    share = lambda c, of: F.log1p(100 * F.try_divide(F.col(c), F.col(of)))
     values = {
-        "f_length": F.log(F.col("word_chars") / F.col("n_words")),
+        "f_length": F.log(F.try_divide(F.col("word_chars"), F.col("n_words"))),
         "f_words": F.log("n_words"),
         "f_symbols": share("n_symbols", "word_chars"),
         "f_lines": F.log1p("n_dup_lines"),
@@ -210,15 +212,16 @@ def _borrowed(rows: DataFrame) -> DataFrame | None:
     return lent
 
 
-def judge(docs: DataFrame, borrow: bool = False) -> DataFrame:
+def judge(docs: DataFrame) -> DataFrame:
     """doc_id, the base statistics, base_failed, distance (squared, null where none is made) and
     kept, a row for each row of docs (doc_id, text, lang, source).
 
     A null or empty text has no words and fails. A null language or source is a value of its own.
-    With `borrow`, a group of under MIN_GROUP rows that pass the base rules is judged by the
-    estimate of its language over all sources, or of all rows, so that each such row gets a
-    distance; without it all rows of such a group are kept unjudged. Rows that repeat are judged
-    alike, each counting in its group. An empty table gives an empty table.
+    A group of under MIN_GROUP rows that pass the base rules is judged by the estimate of its language
+    over all sources, or of all rows if the language has as few, so that each such row gets a distance.
+    Rows that repeat are judged alike, each counting in its group; rows as far as the edge of the
+    nearest share belong to it; where all rows are equal the floors of the deviations stand. Only
+    the text, language and source count. Texts have any length. An empty table gives an empty table.
     """
     docs = without(docs, *_STATISTICS, "base_failed", "distance", "kept")
     named = [F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("lang", "source")]
@@ -229,11 +232,14 @@ def judge(docs: DataFrame, borrow: bool = False) -> DataFrame:
     )
     judged = statistics.withColumn("base_failed", base_failed())
     rows = judged.filter("not base_failed").select("_group", "_lang", *_features())
-    estimates = _concentrated(rows.drop("_lang"), MIN_GROUP)
-    lent = _borrowed(rows) if borrow else None
+    # the estimates of few groups go to every task, so a group with very many rows is no task's own
+    few = rows.select("_group").distinct().limit(HELD_GROUPS + 1).count() <= HELD_GROUPS
+    joined = F.broadcast if few else _as_is
+    estimates = _concentrated(rows.drop("_lang"), MIN_GROUP, joined)
+    lent = _borrowed(rows)
     if lent is not None:
         estimates = stage(estimates.unionByName(lent), "quality-all-estimates")
-    measured = _distance(judged.select("*", *_features()), estimates)
+    measured = _distance(judged.select("*", *_features()), joined(estimates))
     distance = F.when(~F.col("base_failed"), F.col("_distance"))
     return measured.select(
         "doc_id", *_STATISTICS, "base_failed", distance.alias("distance"),

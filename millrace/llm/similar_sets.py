@@ -28,6 +28,7 @@ from millrace.llm.chunks import Words, chunked, encoded, mix, span_hashes, windo
 from millrace.llm.frames import task_count, without
 from millrace.llm.graph import components
 from millrace.llm.marks import BUCKETS_PER_TASK, pack, plain, unpack, _batched
+from millrace.llm.repeats import one_text_each
 from millrace.session import stage
 
 SHINGLE = 5
@@ -38,6 +39,8 @@ LEAST_BAND = 6
 SKETCH_BITS = 2
 #: documents of one part that are compared in one piece
 TILE = 2048
+#: and shingles of so many bytes; two tiles meet in a task
+TILE_BYTES = 64 << 20
 
 
 class Sets:
@@ -283,9 +286,12 @@ def _apart(met: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(mixed, "key").select("family", "node", "component").distinct()
 
 
-def _tiled(apart: DataFrame, more: DataFrame) -> DataFrame:
-    """The nodes of each family with the columns of `more` (by node), once per pair of tiles."""
-    tiles = apart.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+def _tiled(apart: DataFrame, sets: DataFrame, more: DataFrame) -> DataFrame:
+    """The nodes of each family with the columns of `more` (by node), once per pair of tiles. A tile
+    has about TILE nodes at most and shingles of about TILE_BYTES."""
+    sizes = sets.select(F.col("doc_id").alias("node"), "size")
+    need = F.greatest(F.count(F.lit(1)) / TILE, F.sum("size") * 8 / TILE_BYTES)
+    tiles = apart.join(sizes, "node").groupBy("family").agg(F.ceil(need).cast("int").alias("tiles"))
     return (
         apart.join(tiles, "family").join(more, "node")
         .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
@@ -331,7 +337,7 @@ def _active(apart: DataFrame, sets: DataFrame) -> DataFrame:
             hit[others] = True
         return table.select(["family", "node", "component"]).filter(pa.array(hit))
 
-    return _tiled(apart, sketched).groupBy("family", "left", "right").applyInArrow(
+    return _tiled(apart, sets, sketched).groupBy("family", "left", "right").applyInArrow(
         look, "family long, node long, component long").distinct()
 
 
@@ -356,7 +362,7 @@ def _across(apart: DataFrame, sets: DataFrame, shingles: DataFrame) -> DataFrame
         pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return _tiled(apart, held).groupBy("family", "left", "right").applyInArrow(compare, "a long, b long").distinct()
+    return _tiled(apart, sets, held).groupBy("family", "left", "right").applyInArrow(compare, "a long, b long").distinct()
 
 
 def link_similar(docs: DataFrame) -> DataFrame:
@@ -367,11 +373,12 @@ def link_similar(docs: DataFrame) -> DataFrame:
     one where there are fewer. Two documents link if the intersection is at least SIMILARITY
     hundredths of the union. A null or empty text, or one without words, links with nothing: it is
     a component of its own. Rows without a doc_id have no component (null) and no shingles (null).
-    Rows that share a doc_id count as one document and get one result. An empty table gives an
+    Rows that share a doc_id count as one document, whose text is the first of theirs in byte order, and
+    get one result. Texts have any length; one is held whole by a task. An empty table gives an
     empty table. The rows must come in the same order if they are read again: from a table.
     """
     docs = without(docs, "n_shingles", "component_id")
-    texts = docs.select("doc_id", "text")
+    texts = one_text_each(docs.select("doc_id", "text"))
     sets = stage(_sets(texts), "similar-sets")
     by_set = sets.filter("size > 0").groupBy("digest_a", "digest_b", "size").agg(F.min("doc_id").alias("class"))
     classes = stage(sets.join(by_set, ["digest_a", "digest_b", "size"]).select("doc_id", "class"), "similar-classes")

@@ -13,11 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import Words, chunked, covered, encoded, span_hashes, spanned, window_starts
 from millrace.llm.frames import widened, without
 from millrace.llm.marks import Places, mark, starts_of
+from millrace.llm.repeats import one_document_each, with_place
+from millrace.session import stage
 
 WIDTH = 20
 PERIOD = 13
@@ -71,30 +73,39 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     A word goes if a window of `width` words that covers it also starts earlier: in a document
     with a smaller doc_id, or before it in its own. Windows are judged on the whole input. A null
-    text has no words. Rows without a doc_id take no part. Of rows that share a doc_id, equal
-    windows at equal starts aren't earlier than each other. An empty table gives an empty table.
+    text has no words. Rows without a doc_id take no part. Rows that share a doc_id are one document:
+    equal texts are the same places, which aren't earlier than each other, and different texts stand
+    one after the other in byte order, without windows across. Texts have any length; one is held
+    whole by a task. An empty table gives an empty table. The rows must come in the same order if
+    they are read again: from a table.
     """
-    docs = without(docs, "n_words", "n_removed", "marks")
-    texts = docs.select("doc_id", "text")
+    docs = without(docs, "n_words", "n_removed", "marks", "_before", "digest")
+    texts, places = one_document_each(docs.select("doc_id", "text"))
+    if places is not None:
+        texts = stage(texts, "substring-texts")
     anchors = mark(texts, anchor_places(width), later=False, across=False, wide=False)
     near = texts.join(anchors, "doc_id").select("doc_id", "text", "marks")
     windows = mark(near, window_places(width), later=True, across=False, wide=True)
-    joined = docs.join(windows, "doc_id", "left").select(*[f"`{c}`" for c in docs.columns], "marks")
+    in_front = F.size(F.filter(F.split("before", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    placed = with_place(docs, places, in_front, "_before")
+    joined = placed.join(windows, "doc_id", "left").select(*[f"`{c}`" for c in docs.columns], "_before", "marks")
     names = [*docs.columns, "n_words", "n_removed"]
     place = names.index("text")
 
     def rewrite(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in them:
             texts, total, removed = [], [], []
-            for raw, marks in zip(encoded(batch.column(place)), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            front, found = (batch.column(batch.num_columns - k).to_pylist() for k in (2, 1))
+            for raw, before, marks in zip(encoded(batch.column(place)), front, found, strict=True):
                 words = raw.split()
                 total.append(len(words))
                 if marks:
-                    gone = covered(starts_of(marks), width, len(words)).tolist()
+                    starts = starts_of(marks) - before
+                    gone = covered(starts[(starts >= 0) & (starts < len(words))], width, len(words)).tolist()
                     words = [w for w, g in zip(words, gone, strict=True) if not g]
                 removed.append(total[-1] - len(words))
                 texts.append(b" ".join(words).decode())
-            columns = batch.columns[:-1]
+            columns = batch.columns[:-2]
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(removed, pa.int64())], names=names)
 

@@ -1,11 +1,16 @@
 """Byte substring deduplication by suffix arrays.
 
 Every window of `width` bytes has a minimizer, the least hash among the runs of KMER bytes in it;
-equal windows have equal minimizers. Only stretches whose minimizer other documents have too are
-sorted, and they go to the shard that the minimizer names, so equal windows meet in one shard.
-There a suffix array, made by external induced sorting, brings equal windows together: neighbours
-whose common prefix reaches `width` are equal, and those that don't lie in the smallest document
-are removed. Documents whose whole text an earlier document has need no sorting.
+equal windows have equal minimizers. Only stretches whose minimizer other documents have too go to a
+shard, the one that the minimizer names, so equal windows meet in one shard. There a suffix array,
+made by external induced sorting, brings equal windows together: neighbours whose common prefix
+reaches `width` are equal, and those that don't lie in the smallest document are removed.
+
+What needs no sorting is settled by hashes first. Documents whose whole text an earlier document has
+go whole; equal stretches are sorted once. And a window reaches far enough on one side of its
+minimizer, by half of what it has besides, that two different stretches share a window only if
+they share such a side. A stretch is sorted as far as its sides are shared with different stretches
+of other documents.
 
 A minimizer under which very many different stretches lie would make one large shard. Such
 minimizers are found on a share of the documents; their stretches are cut into single windows,
@@ -27,6 +32,8 @@ from millrace.llm.chunks import CHUNK_BYTES, byte_values, chunked, encoded, span
 from millrace.llm.frames import task_count, widened, without
 from millrace.llm.induced import MEMORY, suffix_array
 from millrace.llm.marks import Places, _batched, mark, pack, plain, settle, starts_of, unpack
+from millrace.llm.repeats import content_digest, one_document_each, with_place
+from millrace.operators.joins import spread_join
 from millrace.session import stage
 
 WIDTH = 50
@@ -36,8 +43,12 @@ SHARDS_PER_TASK = 4
 HOT_BYTES = 8 << 20
 #: one document in so many is looked at for hot minimizers
 HOT_SAMPLE = 16
+#: more hot minimizers than this are not dealt apart; they are broadcast
+HOT_MINIMIZERS = 1 << 20
+#: texts of so many bytes are hashed together
+HASHED_BYTES = 1 << 20
 _PIECES = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("sent", pa.bool_()), ("docs", pa.binary()),
-                     ("starts", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary()), ("bytes", pa.binary())])
+                     ("starts", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary()), ("at", pa.binary()), ("bytes", pa.binary())])
 _SPANS = pa.schema([("batch", pa.int64()), ("docs", pa.binary()), ("starts", pa.binary()), ("sizes", pa.binary())])
 
 
@@ -72,7 +83,7 @@ class Minimizers:
 
 def minimizer_places(width: int):
     def places(texts: list[bytes], _: list) -> Iterator[Places]:
-        for first, last in chunked(texts):
+        for first, last in chunked(texts, HASHED_BYTES):
             found = Minimizers(texts[first:last], width)
             place, text = found.place[found.heads], found.text[found.heads]
             if len(place):
@@ -92,14 +103,14 @@ def _batch_of(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def hot_minimizers(texts: DataFrame, width: int) -> np.ndarray:
-    """The hashes, rising, of minimizers with about HOT_BYTES of different stretches. They only
-    say how stretches are dealt; there are fewer than the bytes of all stretches / HOT_BYTES."""
+    """The hashes, rising, of minimizers with about HOT_BYTES of different stretches, the heaviest
+    HOT_MINIMIZERS of them. They only say how stretches are dealt."""
 
     def weigh(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(them):
             raw = encoded(batch.column(1))
             parts = []
-            for first, last in chunked(raw):
+            for first, last in chunked(raw, HASHED_BYTES):
                 found = Minimizers(raw[first:last], width)
                 begin, end = found.windows[found.heads], found.windows[found.tails] + width
                 key = span_hashes(byte_values(found.joined), begin, end)
@@ -121,7 +132,8 @@ def hot_minimizers(texts: DataFrame, width: int) -> np.ndarray:
 
     sample = texts.filter("doc_id is not null").filter(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)
     weights = sample.mapInArrow(weigh, "lane long, size long").groupBy("lane").agg(F.sum("size").alias("size"))
-    rows = weights.filter(F.col("size") * HOT_SAMPLE > HOT_BYTES).select("lane").collect()
+    heavy = weights.filter(F.col("size") * HOT_SAMPLE > HOT_BYTES)
+    rows = heavy.orderBy(F.desc("size"), "lane").limit(HOT_MINIMIZERS).select("lane").collect()
     return np.sort(np.array([r["lane"] for r in rows], dtype=np.int64).view(np.uint64))
 
 
@@ -129,15 +141,16 @@ def _pieces(near: DataFrame, width: int, shards: int, hot: np.ndarray) -> DataFr
     """Stretches under one shared minimizer, packed by batch and shard. Of equal stretches in a
     batch only the first document's are sent; the others' are removed in any case. Under hot
     minimizers each window is a stretch of its own, dealt by its hash."""
+    shared_hot = near.sparkSession.sparkContext.broadcast(hot)
 
     def send(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 32
+        base, hot = TaskContext.get().partitionId() << 32, shared_hot.value
         for number, batch in enumerate(_batched(them)):
             name = base + number
             ids, texts = batch.column(0).to_numpy(), encoded(batch.column(1))
             marks = batch.column(2).to_pylist()
-            owner, starts, sizes, lane, key, raw = [], [], [], [], [], []
-            for first, last in chunked(texts):
+            owner, starts, sizes, lane, key, at_, raw = [], [], [], [], [], [], []
+            for first, last in chunked(texts, HASHED_BYTES):
                 found = Minimizers(texts[first:last], width)
                 shared = np.zeros(len(found.joined) + 1, dtype=bool)
                 for i in range(first, last):
@@ -145,12 +158,13 @@ def _pieces(near: DataFrame, width: int, shards: int, hot: np.ndarray) -> DataFr
                 chosen = np.flatnonzero(shared[found.place[found.heads]])
                 heads, tails = found.heads[chosen], found.tails[chosen]
                 begin, end = found.windows[heads], found.windows[tails] + width
-                text, name_of = found.text[heads], found.hashes[found.place[heads]]
+                place = found.place[heads]
+                text, name_of = found.text[heads], found.hashes[place]
                 cut = np.isin(name_of, hot)
                 if cut.any():
                     counts = np.where(cut, end - begin - width + 1, 1)
                     step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                    begin, end, text, name_of, cut = (np.repeat(x, counts) for x in (begin, end, text, name_of, cut))
+                    begin, end, text, name_of, cut, place = (np.repeat(x, counts) for x in (begin, end, text, name_of, cut, place))
                     begin = begin + step
                     end = np.where(cut, begin + width, end)
                 own = span_hashes(byte_values(found.joined), begin, end)
@@ -159,17 +173,18 @@ def _pieces(near: DataFrame, width: int, shards: int, hot: np.ndarray) -> DataFr
                 sizes.append(end - begin)
                 lane.append(np.where(cut, own, name_of))
                 key.append(own)
+                at_.append(place - begin)
                 whole = found.joined.tobytes()
                 raw += [whole[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
             if not raw:
                 continue
-            owner, starts, sizes, lane, key = (np.concatenate(x) for x in (owner, starts, sizes, lane, key))
+            owner, starts, sizes, lane, key, at_ = (np.concatenate(x) for x in (owner, starts, sizes, lane, key, at_))
             marked, sent = settle(key, owner, starts, later=True, across=True)
             rows = []
             if marked.any():
                 at = np.flatnonzero(marked)
                 at = at[np.lexsort((starts[at], owner[at]))]
-                rows.append((int(name % shards), name, False, *_packed(owner[at], starts[at], sizes[at]), b"", b""))
+                rows.append((int(name % shards), name, False, *_packed(owner[at], starts[at], sizes[at]), b"", b"", b""))
             shard = (lane % np.uint64(shards)).astype(np.int64)
             at = np.flatnonzero(sent)
             at = at[np.lexsort((starts[at], owner[at], shard[at]))]
@@ -178,11 +193,11 @@ def _pieces(near: DataFrame, width: int, shards: int, hot: np.ndarray) -> DataFr
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 take = at[a:b]
                 rows.append((int(shard[take[0]]), name, True, *_packed(owner[take], starts[take], sizes[take]),
-                             plain(lane[take] >> np.uint64(32), "<u4"), squeeze.compress(b"".join([raw[i] for i in take.tolist()]))))
+                             plain(lane[take] >> np.uint64(32), "<u4"), pack(at_[take].astype("<u4")), squeeze.compress(b"".join([raw[i] for i in take.tolist()]))))
             for k in range(0, len(rows), 256):
                 yield _batch_of(_PIECES, rows[k : k + 256])
 
-    return near.mapInArrow(send, "shard int, batch long, sent boolean, docs binary, starts binary, sizes binary, keys binary, bytes binary")
+    return near.mapInArrow(send, "shard int, batch long, sent boolean, docs binary, starts binary, sizes binary, keys binary, at binary, bytes binary")
 
 
 def repeated_windows(pieces: list[bytes] | np.ndarray, sizes: np.ndarray, docs: np.ndarray, width: int, memory: int = MEMORY):
@@ -209,35 +224,79 @@ def repeated_windows(pieces: list[bytes] | np.ndarray, sizes: np.ndarray, docs:
     return piece, begin - firsts[piece], end - begin + width - 1
 
 
-def _piece_hashes(raw: bytes, sizes: np.ndarray) -> np.ndarray:
-    """Two 64-bit hashes of each piece, some pieces at a time."""
-    ends = np.cumsum(sizes)
-    out, at = np.empty((len(sizes), 2), dtype=np.uint64), 0
-    while at < len(sizes):
-        start = int(ends[at] - sizes[at])
-        stop = max(at + 1, int(np.searchsorted(ends, start + CHUNK_BYTES, side="right")))
-        part = np.frombuffer(raw, dtype=np.uint8)[start : ends[stop - 1]]
-        begin, end = ends[at:stop] - sizes[at:stop] - start, ends[at:stop] - start
+def _span_hashes(raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each run raw[begin:end], some runs at a time; `begin` rises."""
+    out, at = np.empty((len(begin), 2), dtype=np.uint64), 0
+    joined = np.frombuffer(raw, dtype=np.uint8)
+    while at < len(begin):
+        low = int(begin[at])
+        stop = max(at + 1, int(np.searchsorted(begin, low + CHUNK_BYTES, side="right")))
+        part = joined[low : int(end[at:stop].max())]
         for lane in (0, 1):
-            out[at:stop, lane] = span_hashes(byte_values(part, lane), begin, end)
+            out[at:stop, lane] = span_hashes(byte_values(part, lane), begin[at:stop] - low, end[at:stop] - low)
         at = stop
     return out
 
 
-def distinct_windows(raw: bytes, sizes: np.ndarray, docs: np.ndarray, width: int, memory: int = MEMORY):
-    """As repeated_windows, with equal pieces sorted once, in the name of the smallest document:
-    the pieces of other documents go whole, those of the same one lose what it loses."""
-    hashes = _piece_hashes(raw, sizes)
+def shared_reaches(raw: bytes, begin: np.ndarray, sizes: np.ndarray, at: np.ndarray, docs: np.ndarray, width: int):
+    """(start, end) within each of these different pieces of what may hold a window that another of them
+    has too, in another document; empty where nothing can.
+
+    A window has `width - KMER` bytes besides its minimizer, so half of these lie before or half
+    behind it. With as many bytes as that, the run that ends, or begins, with the minimizer is
+    the same wherever the window is.
+    """
+    half = -(-(width - KMER) // 2)
+    side = KMER + half
+    start, end = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    front = np.flatnonzero(at >= half)
+    back = np.flatnonzero(sizes - at >= side)
+    place = begin + at
+    # the run before ends with the minimizer, the run behind begins with it
+    for own, low, reach in ((front, place[front] - half, (np.zeros(len(front), np.int64), np.minimum(at[front] + side, sizes[front]))),
+                            (back, place[back], (np.maximum(at[back] - half, 0), sizes[back]))):
+        if not len(own):
+            continue
+        hashes = _span_hashes(raw, low, low + side)
+        order = np.lexsort((docs[own], hashes[:, 1], hashes[:, 0]))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (hashes[order[1:]] != hashes[order[:-1]]).any(axis=1)
+        heads = np.flatnonzero(new)
+        tails = np.append(heads[1:], len(order)) - 1
+        run = np.cumsum(new) - 1
+        met = np.empty(len(order), dtype=bool)
+        met[order] = (docs[own][order[heads]] < docs[own][order[tails]])[run]
+        hit = own[met]
+        empty = end[hit] == 0
+        start[hit] = np.where(empty, reach[0][met], np.minimum(start[hit], reach[0][met]))
+        end[hit] = np.maximum(end[hit], reach[1][met])
+    short = end - start < width
+    start[short] = end[short] = 0
+    return start, end
+
+
+def distinct_windows(raw: bytes, sizes: np.ndarray, at: np.ndarray, docs: np.ndarray, width: int, memory: int = MEMORY):
+    """As repeated_windows, with equal pieces taken once, in the name of the smallest document: the
+    pieces of other documents go whole, those of the same one lose what it loses. Of the rest only
+    what may hold a window of another piece is sorted. at: where each piece's minimizer begins."""
+    begin = np.cumsum(sizes) - sizes
+    hashes = _span_hashes(raw, begin, begin + sizes)
     order = np.lexsort((docs, hashes[:, 1], hashes[:, 0]))
     new = np.ones(len(order), dtype=bool)
     new[1:] = (hashes[order[1:]] != hashes[order[:-1]]).any(axis=1)
     chief = np.empty(len(order), dtype=np.int64)
     chief[order] = order[new][np.cumsum(new) - 1]
     chiefs = np.sort(order[new])
-    begin = np.cumsum(sizes) - sizes
-    kept = b"".join([raw[x:y] for x, y in zip(begin[chiefs].tolist(), (begin + sizes)[chiefs].tolist(), strict=True)])
-    piece, offset, size = repeated_windows(kept, sizes[chiefs], docs[chiefs], width, memory)
-    piece = chiefs[piece]
+    start, end = np.zeros(len(chiefs), np.int64), sizes[chiefs]
+    reached = np.flatnonzero(end)
+    near, start, end = chiefs[reached], start[reached], end[reached]
+    piece = offset = size = np.zeros(0, np.int64)
+    if len(near):
+        low = begin[near]
+        kept = b"".join([raw[x:y] for x, y in zip((low + start).tolist(), (low + end).tolist(), strict=True)])
+        piece, offset, size = repeated_windows(kept, end - start, docs[near], width, memory)
+        offset = offset + start[piece]
+        piece = near[piece]
     whole = np.flatnonzero(docs > docs[chief])
     same = np.flatnonzero((docs == docs[chief]) & (chief != np.arange(len(docs))))
     low, high = (np.searchsorted(piece, chief[same], side=x) for x in ("left", "right"))
@@ -258,7 +317,7 @@ def _sorted_shards(pieces: DataFrame, width: int, memory: int) -> DataFrame:
         rows = table.filter(table["sent"])
         if rows.num_rows:
             docs = [unpack(x, "<i8", True) for x in rows["docs"].to_pylist()]
-            starts, sizes = (np.concatenate([unpack(x, "<u4") for x in rows[c].to_pylist()]).astype(np.int64) for c in ("starts", "sizes"))
+            starts, sizes, at = (np.concatenate([unpack(x, "<u4") for x in rows[c].to_pylist()]).astype(np.int64) for c in ("starts", "sizes", "at"))
             source = np.repeat(np.arange(rows.num_rows), [len(x) for x in docs])
             docs = np.concatenate(docs)
             expand = zstandard.ZstdDecompressor()
@@ -270,15 +329,15 @@ def _sorted_shards(pieces: DataFrame, width: int, memory: int) -> DataFrame:
                 return pa.Table.from_batches([_batch_of(_SPANS, out)])
             ends = np.cumsum(sizes)
             raw = b"".join([raw[x:y] for x, y in zip((ends - sizes)[several].tolist(), ends[several].tolist(), strict=True)])
-            piece, offset, size = distinct_windows(raw, sizes[several], docs[several], width, memory)
+            piece, offset, size = distinct_windows(raw, sizes[several], at[several], docs[several], width, memory)
             piece = several[piece]
             names = rows["batch"].to_pylist()
             edges = np.searchsorted(source[piece], np.arange(rows.num_rows + 1)).tolist()
             for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                 if a < b:
                     p = piece[a:b]
-                    at = np.lexsort((offset[a:b], starts[p], docs[p]))
-                    out.append((names[k], *_packed(docs[p][at], (starts[p] + offset[a:b])[at], size[a:b][at])))
+                    order = np.lexsort((offset[a:b], starts[p], docs[p]))
+                    out.append((names[k], *_packed(docs[p][order], (starts[p] + offset[a:b])[order], size[a:b][order])))
         return pa.Table.from_batches([_batch_of(_SPANS, out)])
 
     def gather(table: pa.Table) -> pa.Table:
@@ -297,11 +356,13 @@ def _sorted_shards(pieces: DataFrame, width: int, memory: int) -> DataFrame:
 
 
 def _copies(texts: DataFrame) -> DataFrame:
-    """doc_id of the documents whose whole text a smaller doc_id has."""
-    rows = texts.filter("doc_id is not null").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").alias("size"))
+    """doc_id of the documents whose whole text a smaller doc_id has. A very common text is dealt."""
+    rows = texts.filter("doc_id is not null").select("doc_id", content_digest().alias("digest"), F.octet_length("text").alias("size"))
     held = stage(rows, "suffix-digests")
-    first = held.groupBy("digest", "size").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first <> last")
-    return held.join(first, ["digest", "size"]).filter("doc_id <> first").select("doc_id").distinct()
+    sizes = stage(held.groupBy("digest", "size").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")).filter("first <> last"), "suffix-copied")
+    met = spread_join(held, sizes.select("digest", "size", "first"), ["digest", "size"], ["doc_id"], sizes.select("digest", "size", "n"))
+    return met.filter("doc_id <> first").select("doc_id").distinct()
 
 
 def dedup_bytes(docs: DataFrame, width: int = WIDTH, memory: int = MEMORY) -> DataFrame:
@@ -311,35 +372,41 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, memory: int = MEMORY) -> Da
     A byte goes if a string of `width` bytes that covers it also starts in a document with a
     smaller doc_id. Strings are judged on the whole input; n_spans counts the runs that go. What is
     kept may cut a character. A null text is empty. Rows without a doc_id take no part. Rows that
-    share a doc_id are one document. An empty table gives an empty table.
+    share a doc_id are one document: they don't make each other lose anything, and each loses what
+    smaller documents have of its own text. Texts have any length; one is held whole by a task. An
+    empty table gives an empty table. The rows must come in the same order if they are read again:
+    from a table.
     """
-    docs = without(docs, "n_bytes", "n_removed", "n_spans", "kept", "_spans", "_whole")
-    texts = docs.select("doc_id", "text")
+    docs = without(docs, "n_bytes", "n_removed", "n_spans", "kept", "_spans", "_whole", "_before", "digest")
+    texts, places = one_document_each(docs.select("doc_id", "text"))
+    if places is not None:
+        texts = stage(texts, "suffix-texts")
     copies = stage(_copies(texts), "suffix-copies")
     marks = mark(texts, minimizer_places(width), later=False, across=True, wide=False)
     near = texts.join(marks.join(copies, "doc_id", "left_anti"), "doc_id").select("doc_id", "text", "marks")
     pieces = _pieces(near, width, SHARDS_PER_TASK * task_count(docs.sparkSession), hot_minimizers(texts, width))
     spans = _sorted_shards(pieces, width, memory)
     gone = spans.join(copies.withColumn("_whole", F.lit(True)), "doc_id", "full")
-    joined = docs.join(gone, "doc_id", "left").select(*[f"`{c}`" for c in docs.columns], "_spans", "_whole")
+    placed = with_place(docs, places, F.octet_length("before"), "_before")
+    joined = placed.join(gone, "doc_id", "left").select(*[f"`{c}`" for c in docs.columns], "_before", "_spans", "_whole")
     names = [*docs.columns, "n_bytes", "n_removed", "n_spans", "kept"]
     place = names.index("text")
 
     def rewrite(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in them:
             own = []
-            count = batch.num_columns
-            for raw, found, whole in zip(encoded(batch.column(place)), batch.column(count - 2).to_pylist(), batch.column(count - 1).to_pylist(), strict=True):
+            before, spans, wholes = (batch.column(batch.num_columns - k).to_pylist() for k in (3, 2, 1))
+            for raw, front, found, whole in zip(encoded(batch.column(place)), before, spans, wholes, strict=True):
                 runs, kept = 0, raw
                 if whole and len(raw) >= width:
                     runs, kept = 1, b""
                 elif found and raw:
                     starts, sizes = (np.concatenate([unpack(x[c], "<u4") for x in found]).astype(np.int64) for c in ("starts", "sizes"))
-                    goes = spanned(starts, starts + sizes, len(raw))
+                    goes = spanned(*(np.clip(x - front, 0, len(raw)) for x in (starts, starts + sizes)), len(raw))
                     runs = int((goes[1:] & ~goes[:-1]).sum() + goes[0])
                     kept = np.frombuffer(raw, dtype=np.uint8)[~goes].tobytes()
                 own.append((len(raw), len(raw) - len(kept), runs, kept))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *[pa.array([r[i] for r in own], k) for i, k in enumerate(kinds)]], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *[pa.array([r[i] for r in own], k) for i, k in enumerate(kinds)]], names=names)
 
     return joined.mapInArrow(rewrite, widened(docs.schema, "n_bytes long, n_removed long, n_spans long, kept binary"))

@@ -3,7 +3,8 @@
 The distinct pre-tokens of a batch (a blank's mark and a word) are put in order, which makes each
 shared prefix one node of their trie. Level by level, all nodes at once, the best forward score
 and its number of tokens follow from the nodes above; a pre-token's count is that of its last
-node. Documents add up the counts of their words.
+node. Documents add up the counts of their words. The
+few pre-tokens that are very long are walked one by one, since level after level would be theirs alone.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ BLANK = "▁"
 UNKNOWN_BELOW = 10.0
 #: bytes of text whose pre-tokens share a trie
 TRIE_BYTES = 4 << 20
+#: words of more characters are walked alone
+LONG_WORD = 64
 _BASE = 0xD6E8FEB86659FD93
 _VOCABULARIES: dict[str, Vocabulary] = {}
 
@@ -30,6 +33,7 @@ class Vocabulary:
     """Pieces and scores, by length, as sorted hashes."""
 
     def __init__(self, pieces: dict[str, float]):
+        self.pieces = pieces
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN_BELOW
         self.longest = max(map(len, pieces), default=1)
         self.by_length = {}
@@ -72,10 +76,42 @@ def vocabulary(path: str) -> Vocabulary:
     return _VOCABULARIES[path]
 
 
+def count_alone(word: str, vocabulary: Vocabulary) -> int:
+    """The number of tokens of one word; only as many levels are held as pieces reach back."""
+    text, pieces = BLANK + word, vocabulary.pieces
+    sizes, ring = list(vocabulary.by_length), vocabulary.longest + 1
+    best, used = [0.0] * ring, [0] * ring
+    for end in range(1, len(text) + 1):
+        char = text[end - 1]
+        if char in pieces:
+            score, count = -np.inf, 0
+        else:
+            score, count = best[(end - 1) % ring] + vocabulary.unknown, used[(end - 1) % ring] + len(char.encode())
+        for size in sizes:
+            if size > end:
+                break
+            gain = pieces.get(text[end - size : end])
+            if gain is None:
+                continue
+            at = (end - size) % ring
+            total = best[at] + gain
+            if total > score or (total == score and used[at] + 1 < count):
+                score, count = total, used[at] + 1
+        best[end % ring], used[end % ring] = score, count
+    return used[len(text) % ring]
+
+
 def count_tokens(words: list[str], vocabulary: Vocabulary) -> np.ndarray:
     """The number of tokens of each distinct word, on the path of the highest score; of equal
     scores the one of fewer tokens. A character outside all pieces is as many tokens as it has
     bytes in UTF-8."""
+    long = [len(w) > LONG_WORD for w in words]
+    if any(long):
+        out = np.empty(len(words), dtype=np.int64)
+        alone = np.array(long)
+        out[alone] = [count_alone(w, vocabulary) for w, own in zip(words, long, strict=True) if own]
+        out[~alone] = count_tokens([w for w, own in zip(words, long, strict=True) if not own], vocabulary)
+        return out
     order = sorted(range(len(words)), key=words.__getitem__)
     tokens = [BLANK + words[i] for i in order]
     sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
@@ -137,7 +173,8 @@ def add_token_counts(docs: DataFrame, model: str) -> DataFrame:
     """`docs` with n_words and n_tokens (long). Columns that already have these names are replaced.
 
     Pre-tokens are the words between white space, unchanged. A null text has none. Repeated rows
-    get equal counts; an empty table gives an empty table.
+    get equal counts; of paths with equal scores the one of fewer tokens counts; an empty table gives
+    an empty table. Texts and words have any length; a text is held whole by a task.
     """
     docs = without(docs, "n_words", "n_tokens")
     names = [*docs.columns, "n_words", "n_tokens"]

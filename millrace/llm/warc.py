@@ -141,13 +141,13 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def find_revisits(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(archive, page_id, refers_to) of the records whose payload an earlier page holds."""
+    """(archive, page_id, payload_digest, refers_to) of the records whose payload an earlier page holds."""
     alike = records.filter(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= min_bytes))
     first = alike.groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("_last"))
     return (
         alike.join(first.filter("refers_to <> _last"), ["payload_digest", "payload_bytes"])
         .filter("page_id <> refers_to")
-        .select("archive", "page_id", "refers_to")
+        .select("archive", "page_id", "payload_digest", "refers_to")
         .distinct()
     )
 
@@ -155,8 +155,9 @@ def find_revisits(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Dat
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """Rewrite each archive with a gzip member a record and an index file beside it.
 
-    archives: (archive, revisits), the latter a list of (page_id, refers_to), or null: these
-    records become revisits. Returns (archive, index), the new files. The index has a line a
+    archives: (archive, revisits), the latter a list of (page_id, payload_digest, refers_to), or null:
+    records of this page and payload become revisits. The payload is the one that is read: one that
+    doesn't match its record's digest raises an error. Returns (archive, index), the new files. The index has a line a
     record: offset, length, record id.
     """
     schema = pa.schema([("archive", pa.string()), ("index", pa.string())])
@@ -165,7 +166,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
         for batch in them:
             rows = []
             for uri, revisits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                first = {record_id(x["page_id"]): x["refers_to"] for x in revisits or ()}
+                first = {(record_id(x["page_id"]), x["payload_digest"]): x["refers_to"] for x in revisits or ()}
                 where, source = _opened(uri)
                 new = f"{folder}/{uri.rpartition('/')[2].removesuffix('.warc.gz')}-{TaskContext.get().taskAttemptId()}.warc.gz"
                 _, target = _opened(new)
@@ -178,10 +179,11 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 ):
                     for one in split_records(inflated(raw)):
                         headers, _, payload = parse(one)
-                        name = headers["WARC-Record-ID"]
-                        if name in first:
-                            own = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                            one = record(_page_id(name), headers.get("WARC-Target-URI"), payload, own, first[name])
+                        name, own = headers["WARC-Record-ID"], headers["WARC-Payload-Digest"].removeprefix("sha1:")
+                        if digest(payload) != own:
+                            raise ValueError(f"{uri}, {name}: the payload doesn't match its digest")
+                        if (name, own) in first:
+                            one = record(_page_id(name), headers.get("WARC-Target-URI"), payload, own, first[name, own])
                         member = gzip.compress(one, _LEVEL, mtime=0)
                         out.write(member)
                         index.write(f"{offset} {len(member)} {name}\n".encode())
@@ -228,14 +230,16 @@ def archive_pages(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     """Write pages (page_id, url, html) to archives, normalise them, and return (archive, index).
 
     A null html is an empty payload, a null url an empty target. Pages without a page_id are
-    responses. Rows that repeat a page_id make a record each, and of equal payloads the smallest
-    page_id's records all stay responses. An empty table makes archives without records.
+    responses. Rows that repeat a page_id make a record each, told apart by their payloads: of
+    equal payloads the smallest page_id's records all stay responses, other pages' records revisit
+    it, and a payload of its own stays a response whatever other rows its page_id has. Other columns
+    take no part. A payload is held whole by a task, whatever its length. An empty table makes archives without records.
     """
     spark = pages.sparkSession
     folder = shared_folder(spark, "warc")
     records = stage(write_archives(pages, f"{folder}/whole"), "warc-records")
     revisits = find_revisits(records, min_bytes).groupBy("archive").agg(
-        F.collect_list(F.struct("page_id", "refers_to")).alias("revisits")
+        F.collect_list(F.struct("page_id", "payload_digest", "refers_to")).alias("revisits")
     )
     names = records.select("archive").distinct()
     listed = names.join(revisits, "archive", "left").repartition(max(1, names.count()))  # a task each

@@ -59,6 +59,19 @@ def small(spark):
     return spark.read.parquet(f"{SMALL}/documents.parquet")
 
 
+def several_contents(spark, kind):
+    """Rows that share a doc_id and differ in text."""
+    from millrace.session import stage
+
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 7))) for _ in range(300)]
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    a, b, c, d = (prose(90) for _ in range(4))
+    rows = [(1, a), (9, a), (9, b), (9, b), (9, None), (9, ""), (4, f"{c} {b[:150]}"), (12, f"{prose(30)} {c}"), (12, f"{d} {d}"), (12, d), (20, b)]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], kind)
+    return stage(frame.repartition(3), "several-contents")
+
+
 @pytest.fixture(scope="session")
 def edge_frames(spark):
     """Rows that operators must take: no rows; rows without a doc_id; equal rows."""
@@ -67,5 +80,6 @@ def edge_frames(spark):
     return {
         "empty": spark.createDataFrame([], kind),
         "no_ids": spark.createDataFrame([(None, text, None, None, None), (None, None, None, None, None), (1, text, None, None, None)], kind),
+        "several": several_contents(spark, kind),
         "equal": spark.createDataFrame([(1, text, "en", "a", 1), (1, text, "en", "a", 1), (2, text, "en", "a", 1)], kind),
     }

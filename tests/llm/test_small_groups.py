@@ -18,11 +18,11 @@ def test_junk_in_a_group_of_a_few_rows_goes(spark):
     for lang, source in (("en", "few"), ("xx", "few"), (None, None)):
         rows += [(len(rows) + i, junk() if i == 0 else prose(), lang, source) for i in range(4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    found = {r["doc_id"]: r for r in quality.judge(docs, borrow=True).collect()}
+    found = {r["doc_id"]: r for r in quality.judge(docs).collect()}
     assert len(found) == len(rows)
     assert all(not r["base_failed"] and r["distance"] is not None for r in found.values())
     assert {i for i, r in found.items() if not r["kept"]} == {120, 124, 128}
-    few = quality.judge(docs.filter("lang is null"), borrow=True).collect()
+    few = quality.judge(docs.filter("lang is null")).collect()
     assert all(r["distance"] is not None for r in few)
 
 
