@@ -287,7 +287,7 @@ def distinct_windows(raw: bytes, sizes: np.ndarray, at: np.ndarray, docs: np.nda
     chief = np.empty(len(order), dtype=np.int64)
     chief[order] = order[new][np.cumsum(new) - 1]
     chiefs = np.sort(order[new])
-    start, end = np.zeros(len(chiefs), np.int64), sizes[chiefs]
+    start, end = shared_reaches(raw, begin[chiefs], sizes[chiefs], at[chiefs], docs[chiefs], width)
     reached = np.flatnonzero(end)
     near, start, end = chiefs[reached], start[reached], end[reached]
     piece = offset = size = np.zeros(0, np.int64)
