@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -21,5 +21,16 @@ def widened(schema: StructType, ddl: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
 
 
+def text_bytes(texts: DataFrame) -> int:
+    """Bytes of all texts."""
+    return texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+
+def bucket_count(spark: SparkSession, per_task: int, size: int, each: int) -> int:
+    """How many buckets `size` bytes of text go to: `per_task` a shuffle partition, or more, so that
+    one holds what `each` bytes of text send at most."""
+    return max(per_task * task_count(spark), -(-size // each))
+
+
 def task_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -17,10 +17,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import encoded
-from millrace.llm.frames import task_count
+from millrace.llm.frames import bucket_count
 
-#: buckets a shuffle partition; a batch sends a row to each
+#: buckets a shuffle partition, or one for so many bytes of text; a batch sends a row to each
 BUCKETS_PER_TASK = 2
+BUCKET_BYTES = 64 << 20
 #: texts of about so many bytes are one batch
 BATCH_BYTES = 16 << 20
 _ROW = "bucket int, batch long, sent boolean, hashes binary, docs binary, starts binary"
@@ -99,16 +100,18 @@ def mark(
     later: bool,
     across: bool,
     wide: bool,
+    size: int,
 ) -> DataFrame:
     """(doc_id, marks): for each document with marked places their starts, packed and rising.
 
     docs: doc_id, text and any further columns. places(texts, further values of each) yields
     (index of the text, start, hash); hashes have two lanes, shape (n, 2). With `wide`, all of the
-    first lane is compared and the second lane chooses the bucket; else 32 bits of the first.
+    first lane is compared and the second lane chooses the bucket; else 32 bits of the first. `size`
+    is that of all texts in bytes.
     Rows without a doc_id are left out. The rows must come in the same order if they are read
     again: from a table, not from a shuffle.
     """
-    buckets = BUCKETS_PER_TASK * task_count(docs.sparkSession)
+    buckets = bucket_count(docs.sparkSession, BUCKETS_PER_TASK, size, BUCKET_BYTES)
     kind = "<u8" if wide else "<u4"
 
     def send(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -39,6 +39,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
+def quality_base_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base statistics and rules alone."""
+    found = quality.add_statistics(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return found.withColumn("base_failed", quality.base_failed())
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, from dictionaries of the rows that aren't held out."""
     docs = read_table(spark, sf_dir, "documents")
@@ -116,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality": op3_quality,
+    "quality_base_rules": quality_base_rules,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op6_ngram_jaccard": op6_ngram_jaccard,

@@ -25,9 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import Words, chunked, encoded, mix, span_hashes, window_starts
-from millrace.llm.frames import task_count, without
+from millrace.llm.frames import bucket_count, text_bytes, without
 from millrace.llm.graph import components
-from millrace.llm.marks import BUCKETS_PER_TASK, pack, plain, unpack, _batched
+from millrace.llm.marks import BUCKETS_PER_TASK, BUCKET_BYTES, pack, plain, unpack, _batched
 from millrace.llm.repeats import one_text_each
 from millrace.session import stage
 
@@ -130,10 +130,10 @@ _SENT = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.bi
 _MET = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _meetings(docs: DataFrame) -> DataFrame:
+def _meetings(docs: DataFrame, size: int) -> DataFrame:
     """Rows (key, a, b): with a null key, a pair of documents that met; else document a of a part
     that several hold. A batch sends the smallest document of each part and settles its others."""
-    buckets = BUCKETS_PER_TASK * task_count(docs.sparkSession)
+    buckets = bucket_count(docs.sparkSession, BUCKETS_PER_TASK, size, BUCKET_BYTES)
 
     def send(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(them):
@@ -382,7 +382,7 @@ def link_similar(docs: DataFrame) -> DataFrame:
     sets = stage(_sets(texts), "similar-sets")
     by_set = sets.filter("size > 0").groupBy("digest_a", "digest_b", "size").agg(F.min("doc_id").alias("class"))
     classes = stage(sets.join(by_set, ["digest_a", "digest_b", "size"]).select("doc_id", "class"), "similar-classes")
-    met = stage(_meetings(texts), "similar-meetings")
+    met = stage(_meetings(texts, text_bytes(texts)), "similar-meetings")
     pairs = met.filter("key is null").select("a", "b").distinct()
     pairs = (
         pairs.join(classes.select(F.col("doc_id").alias("a"), F.col("class").alias("_a")), "a")

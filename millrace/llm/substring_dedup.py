@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import Words, chunked, covered, encoded, span_hashes, spanned, window_starts
-from millrace.llm.frames import widened, without
+from millrace.llm.frames import text_bytes, widened, without
 from millrace.llm.marks import Places, mark, starts_of
 from millrace.llm.repeats import one_document_each, with_place
 from millrace.session import stage
@@ -83,9 +83,10 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     texts, places = one_document_each(docs.select("doc_id", "text"))
     if places is not None:
         texts = stage(texts, "substring-texts")
-    anchors = mark(texts, anchor_places(width), later=False, across=False, wide=False)
+    size = text_bytes(texts)
+    anchors = mark(texts, anchor_places(width), later=False, across=False, wide=False, size=size)
     near = texts.join(anchors, "doc_id").select("doc_id", "text", "marks")
-    windows = mark(near, window_places(width), later=True, across=False, wide=True)
+    windows = mark(near, window_places(width), later=True, across=False, wide=True, size=size)
     in_front = F.size(F.filter(F.split("before", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     placed = with_place(docs, places, in_front, "_before")
     joined = placed.join(windows, "doc_id", "left").select(*[f"`{c}`" for c in docs.columns], "_before", "marks")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import CHUNK_BYTES, byte_values, chunked, encoded, span_hashes, spanned
-from millrace.llm.frames import task_count, widened, without
+from millrace.llm.frames import bucket_count, text_bytes, widened, without
 from millrace.llm.induced import MEMORY, suffix_array
 from millrace.llm.marks import Places, _batched, mark, pack, plain, settle, starts_of, unpack
 from millrace.llm.repeats import content_digest, one_document_each, with_place
@@ -38,7 +38,9 @@ from millrace.session import stage
 
 WIDTH = 50
 KMER = 16
+#: shards a shuffle partition, or one for so many bytes of text
 SHARDS_PER_TASK = 4
+SHARD_BYTES = 32 << 20
 #: different stretches of about so many bytes under one minimizer are cut into windows
 HOT_BYTES = 8 << 20
 #: one document in so many is looked at for hot minimizers
@@ -382,9 +384,10 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, memory: int = MEMORY) -> Da
     if places is not None:
         texts = stage(texts, "suffix-texts")
     copies = stage(_copies(texts), "suffix-copies")
-    marks = mark(texts, minimizer_places(width), later=False, across=True, wide=False)
+    size = text_bytes(texts)
+    marks = mark(texts, minimizer_places(width), later=False, across=True, wide=False, size=size)
     near = texts.join(marks.join(copies, "doc_id", "left_anti"), "doc_id").select("doc_id", "text", "marks")
-    pieces = _pieces(near, width, SHARDS_PER_TASK * task_count(docs.sparkSession), hot_minimizers(texts, width))
+    pieces = _pieces(near, width, bucket_count(docs.sparkSession, SHARDS_PER_TASK, size, SHARD_BYTES), hot_minimizers(texts, width))
     spans = _sorted_shards(pieces, width, memory)
     gone = spans.join(copies.withColumn("_whole", F.lit(True)), "doc_id", "full")
     placed = with_place(docs, places, F.octet_length("before"), "_before")

@@ -73,6 +73,31 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
+_BASE32 = "list_aggregate(list_transform(range(32), lambda k: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substring(h, 5 * (k // 4) + 1, 5))::BIGINT >> (5 * (3 - k % 4))::INT) & 31)::INT, 1)), 'string_agg', '')"
+TWINS["op8_warc"] = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+hashed AS MATERIALIZED (SELECT page_id, octet_length(encode(payload)) AS size, sha1(payload) AS h FROM payloads),
+firsts AS (SELECT h, size, min(page_id) AS first FROM hashed GROUP BY ALL)
+SELECT page_id, size::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed JOIN firsts USING (h, size)"""
+
+TWINS["quality_base_rules"] = f"""
+WITH docs AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text, {_words('text')} AS w FROM documents),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
+windows AS (SELECT doc_id, s, array_to_string(w[s:s + 2], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS s FROM docs)),
+again AS (SELECT doc_id, run FROM windows GROUP BY ALL HAVING count(*) > 1),
+hit AS (
+  SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(s, s + 3)) AS k FROM windows JOIN again USING (doc_id, run)) GROUP BY 1),
+found AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN hit USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM found"""
+
 TWINS["op9_line_dedup"] = f"""
 WITH lines AS MATERIALIZED (
   SELECT doc_id, k, line, {_LOWER.format(f"regexp_replace(line, '^{_SPACE}+|{_SPACE}+$', '', 'g')")} AS key

@@ -27,7 +27,7 @@ def test_stretches_of_a_hot_minimizer_are_dealt_over_shards(which, spark, reques
 
     def sizes():
         hot = suffix_dedup.hot_minimizers(frame.select("doc_id", "text"), 50)
-        marks = suffix_dedup.mark(frame.select("doc_id", "text"), suffix_dedup.minimizer_places(50), later=False, across=True, wide=False)
+        marks = suffix_dedup.mark(frame.select("doc_id", "text"), suffix_dedup.minimizer_places(50), later=False, across=True, wide=False, size=0)
         pieces = suffix_dedup._pieces(frame.join(marks, "doc_id").select("doc_id", "text", "marks"), 50, 64, hot)
         by_shard: dict = {}
         for r in pieces.filter("sent").collect():
