@@ -47,8 +47,8 @@ HOT_BYTES = 8 << 20
 HOT_SAMPLE = 16
 #: more hot minimizers than this are not dealt apart; they are broadcast
 HOT_MINIMIZERS = 1 << 20
-#: texts of so many bytes are hashed together
-HASHED_BYTES = 1 << 20
+#: texts of so many bytes are hashed together, so that the work arrays stay in a core's cache
+HASHED_BYTES = 1 << 17
 _PIECES = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("sent", pa.bool_()), ("docs", pa.binary()),
                      ("starts", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary()), ("at", pa.binary()), ("bytes", pa.binary())])
 _SPANS = pa.schema([("batch", pa.int64()), ("docs", pa.binary()), ("starts", pa.binary()), ("sizes", pa.binary())])
