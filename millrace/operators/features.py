@@ -11,11 +11,8 @@ from millrace.operators.joins import spread_join
 from millrace.operators.ordering import with_ordinal
 
 KEYS = ["idx", "cat"]
-
-
-def spelled(rows: DataFrame) -> DataFrame:
-    """One row per (row_id, idx, cat)."""
-    return rows.select("row_id", F.inline("feats"))
+#: a dictionary within both bounds is broadcast
+HELD_FEATURES, HELD_BYTES = 1 << 17, 8 << 20
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
@@ -33,39 +30,38 @@ def feature_dictionary(rows: DataFrame) -> DataFrame:
     return with_ordinal(feature_counts(rows), KEYS)
 
 
-def encoded(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(row_id, ordinal) for the features the dictionary knows; others are skipped."""
-    return _looked_up(rows, dictionary, "inner").select("row_id", "ordinal")
-
-
 def unseen_features(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Feature uses the dictionary does not know: strict encoding wants none."""
-    return _looked_up(rows, dictionary, "left").filter(F.col("ordinal").isNull()).drop("ordinal")
+    """(row_id, idx, cat): feature uses the dictionary does not know. Strict encoding wants none."""
+    looked_up = _looked_up(rows, dictionary, dictionary, "ordinal")
+    return looked_up.filter("ordinal is null and idx is not null").select("row_id", *KEYS)
 
 
-def _looked_up(rows: DataFrame, dictionary: DataFrame, how: str) -> DataFrame:
-    # The dictionary knows how common each feature is, so nothing is counted again.
-    return spread_join(
-        spelled(rows), dictionary.select(*KEYS, "ordinal"), KEYS, ["row_id"],
-        sizes=dictionary.select(*KEYS, "n"), how=how,
-    )
+def _looked_up(rows: DataFrame, known: DataFrame, dictionary: DataFrame, value: str) -> DataFrame:
+    """(_row, row_id, label, idx, cat, `value`): a row a feature use, with NULL where `known` (idx, cat,
+    `value`) has none, and one for a row without features. `_row` tells rows apart that share a
+    row_id; read `rows` from a table.
+
+    A small dictionary, by its measured rows and bytes, goes to every task; with a larger one the
+    uses are dealt, and it knows how common each is, so nothing is counted again.
+    """
+    numbered = rows.select(F.monotonically_increasing_id().alias("_row"), "row_id", "label", "feats")
+    uses = numbered.select("_row", "row_id", "label", F.expr("inline_outer(feats)"))
+    size = dictionary.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("cat")), F.lit(0)).alias("bytes")).first()
+    known = known.select(*KEYS, value)
+    if size["n"] <= HELD_FEATURES and size["bytes"] <= HELD_BYTES:
+        return uses.join(F.broadcast(known), KEYS, "left")
+    return spread_join(uses, known, KEYS, ["_row"], sizes=dictionary.select(*KEYS, "n"), how="left")
 
 
 def one_hot(rows: DataFrame, dictionary: DataFrame, strict: bool = False) -> DataFrame:
-    """(row_id, label, indices, values) with sorted indices. A row's list is as long as
-    its own features, so gathering it back is bounded."""
+    """(row_id, label, indices, values) with sorted indices. A row's list is as long as its own
+    features, so gathering it back is bounded; unseen features are skipped, or raise a KeyError
+    if `strict`. Label and row_id travel with the uses, so no row is joined again."""
     if strict and not unseen_features(rows, dictionary).isEmpty():
         raise KeyError("the dictionary lacks some features of these rows")
-    gathered = encoded(rows, dictionary).groupBy("row_id").agg(
-        F.sort_array(F.collect_list("ordinal")).alias("_found")
-    )
-    indices = F.coalesce("_found", F.array().cast("array<bigint>"))
-    return rows.select("row_id", "label").join(gathered, "row_id", "left").select(
-        "row_id",
-        "label",
-        indices.alias("indices"),
-        F.transform(indices, lambda _: F.lit(1.0)).alias("values"),
-    )
+    gathered = _looked_up(rows, dictionary, dictionary, "ordinal").groupBy("_row").agg(
+        F.first("row_id").alias("row_id"), F.first("label").alias("label"), F.sort_array(F.collect_list("ordinal")).alias("indices"))
+    return gathered.select("row_id", "label", "indices", F.transform("indices", lambda _: F.lit(1.0)).alias("values"))
 
 
 def hashed(rows: DataFrame, buckets: int) -> DataFrame:
@@ -124,10 +120,8 @@ def weighted_scores(
     Weights join the dictionary first (one row per feature), then the rows.
     """
     known = dictionary.join(weights, "ordinal").select(*KEYS, "weight")
-    used = spread_join(
-        spelled(rows), known, KEYS, ["row_id"], sizes=dictionary.select(*KEYS, "n")
-    )
-    sums = used.groupBy("row_id").agg(F.sum("weight").alias("_sum"))
-    return rows.select("row_id", "label").join(sums, "row_id", "left").select(
+    sums = _looked_up(rows, known, dictionary, "weight").groupBy("_row").agg(
+        F.first("row_id").alias("row_id"), F.first("label").alias("label"), F.sum("weight").alias("_sum"))
+    return sums.select(
         "row_id", "label", (F.coalesce("_sum", F.lit(0.0)) + F.lit(intercept)).alias("raw_score")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.hashing import unit_interval
 from millrace.session import settle
@@ -42,28 +43,47 @@ def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column])
     """Add running sums over the whole table in the given total order.
 
     Rows go into range blocks on the full order, ties included, so no block grows with
-    a hot value; each block is summed on its own and shifted by the earlier blocks.
+    a hot value. Each sorted block is summed as it is written, and shifted by the earlier
+    blocks when it is read: one range shuffle in all. NULLs add nothing.
     """
     columns = df.columns
+    whole = {"tinyint", "smallint", "int", "bigint"}
     inputs = df.select(*columns, *[value.alias(f"_v_{name}") for name, value in sums.items()])
-    laid = settle(
-        inputs.repartitionByRange(*order).withColumn("_block", F.spark_partition_id())
-    )
-    totals = laid.groupBy("_block").agg(
-        *[F.sum(f"_v_{name}").alias(f"_t_{name}") for name in sums]
-    )
-    before = _earlier_blocks(totals, [f"_t_{name}" for name in sums])
-    inside = (
-        Window.partitionBy("_block").orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    kinds = {name: "bigint" if inputs.schema[f"_v_{name}"].dataType.simpleString() in whole else "double" for name in sums}
+    inputs = inputs.select(*columns, *[
+        F.coalesce(F.col(f"_v_{name}").cast(kind), F.lit(0).cast(kind)).alias(f"_v_{name}") for name, kind in kinds.items()])
+    ranged = inputs.repartitionByRange(*order).sortWithinPartitions(*order)
+    marks = "_block bigint, _place bigint"
+    schema = StructType([*ranged.schema.fields, *StructType.fromDDL(marks).fields])
+    laid = settle(ranged.mapInArrow(_summed_up(len(columns)), schema))
+    ends = laid.groupBy("_block").agg(*[F.max_by(f"_v_{name}", "_place").alias(f"_t_{name}") for name in sums])
+    before = _earlier_blocks(ends, [f"_t_{name}" for name in sums])
     return laid.join(F.broadcast(before), "_block").select(
-        *columns,
-        *[
-            (F.sum(f"_v_{name}").over(inside) + F.col(f"_t_{name}_before")).alias(name)
-            for name in sums
-        ],
-    )
+        *columns, *[(F.col(f"_v_{name}") + F.col(f"_t_{name}_before")).alias(name) for name in sums])
+
+
+def _summed_up(first: int):
+    """Running sums of the columns from `first` on, over a task's batches, with block and place."""
+
+    def add(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        block, place, carried = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = [c.to_numpy(zero_copy_only=False) for c in batch.columns[first:]]
+            sums = [np.cumsum(v) + c for v, c in zip(values, carried or [0] * len(values), strict=True)]
+            carried = [s[-1] for s in sums]
+            places = np.arange(place, place + batch.num_rows)
+            place += batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:first], *map(pa.array, sums), pa.array(np.full(batch.num_rows, block)), pa.array(places)],
+                names=[*batch.schema.names, "_block", "_place"])
+
+    return add
 
 
 def _earlier_blocks(totals: DataFrame, names: list[str]) -> DataFrame:
@@ -106,6 +126,33 @@ def with_share(counts: DataFrame, count: str, name: str = "share") -> DataFrame:
     return counts.withColumn(name, F.col(count) / total)
 
 
+def bottom_sample(df: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """The `size` rows whose keys hash lowest, of equal hashes the lowest keys: the same sample however
+    the rows are partitioned. Every task keeps its own lowest, so what meets is bounded by
+    tasks x size; `size` is for samples that a task can hold."""
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    return df.withColumn("_digest", digest).orderBy("_digest", *keys).limit(size).drop("_digest")
+
+
+def table_digest(df: DataFrame) -> DataFrame:
+    """(rows, first, second): the number of rows and the sums of two independent hashes of them, which
+    don't depend on their order. Columns are taken by name; one pass, and a row a task to add."""
+    names = sorted(df.columns)
+    whole = F.to_json(F.struct(*[F.col(f"`{n}`") for n in names]), {"ignoreNullFields": "false"})
+    one = F.xxhash64(*[F.col(f"`{n}`") for n in names], whole)
+    two = F.conv(F.substring(F.md5(whole), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.select(one.cast("decimal(38,0)").alias("a"), two.alias("b")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum("a"), F.lit(0)).cast("string").alias("first"),
+        F.coalesce(F.sum("b"), F.lit(0)).cast("string").alias("second"),
+    )
+
+
 def same_rows(left: DataFrame, right: DataFrame) -> bool:
-    """Whether two tables hold the same rows, duplicates counted."""
-    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+    """Whether two tables of the same columns hold the same rows, duplicates counted, by their digests:
+    one pass each, no shuffle of rows."""
+    if sorted(left.columns) != sorted(right.columns):
+        return False
+    kinds = {f.name: f.dataType for f in left.schema.fields}
+    right = right.select(*[F.col(f"`{n}`").cast(kinds[n]).alias(n) for n in right.columns])
+    return table_digest(left).first() == table_digest(right).first()

@@ -16,6 +16,9 @@ BUCKETS = 2**15
 INTERCEPT = -1.0
 GRID_STEPS = 500
 ONE_HOT_STEPS = 50
+TEST_GRID_STEPS = 50
+WIDE_STEPS = 8
+GRID = [(s, r) for s in (1.0, 10.0) for r in (1e-6, 1e-3)]
 
 
 def _listed(sparse):
@@ -140,32 +143,79 @@ def fixed_weight_logloss(spark, sf_dir):
     return scored.agg(F.round(C.mean_log_loss(scored), 9).alias("loss"))
 
 
+def one_hot_strict(spark, sf_dir):
+    """What strict encoding of the rows of `test` under the dictionary of small parts would refuse:
+    rows, uses of unseen features, and how many features those are."""
+    rows = key_split(_stored(spark, sf_dir).filter("feats[4].cat is not null"), ["row_id"], SHARES)
+    known = _part(rows, "train").filter("cast(feats[4].cat as int) <= 40")
+    test = _part(rows, "test")
+    unseen = E.unseen_features(test, E.feature_dictionary(known))
+    counted = unseen.groupBy("idx", "cat").agg(F.count(F.lit(1)).alias("n"))
+    total = test.agg(F.count(F.lit(1))).scalar()
+    return counted.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("unseen_uses"), F.count(F.lit(1)).alias("unseen_features"),
+    ).withColumn("n_rows", total)
+
+
+def _hashed_grid(spark, sf_dir, iterations):
+    parts = _parts(spark, sf_dir)
+    train, validation = (E.hashed(_part(parts, name), BUCKETS) for name in ("train", "validation"))
+    return parts, *C.logistic_grid(train, validation, GRID, iterations)
+
+
 def logistic_fit_grid(spark, sf_dir, iterations=GRID_STEPS):
     """Validation log loss of hashed-feature models over steps and penalties."""
+    _, grid, _ = _hashed_grid(spark, sf_dir, iterations)
+    return grid.withColumn("loss", F.round("loss", 6))
+
+
+def logistic_grid_test(spark, sf_dir, iterations=TEST_GRID_STEPS):
+    """Test log loss of the model that the validation rows choose, beside the baseline's."""
+    parts, _, model = _hashed_grid(spark, sf_dir, iterations)
+    scored = C.with_raw_score(E.hashed(_part(parts, "test"), BUCKETS), model)
+    loss = scored.agg(C.mean_log_loss(scored).alias("e")).first()["e"]
+    base = C.baseline_log_loss(parts).filter("split = 'test'")
+    return base.select("n", F.round("loss", 6).alias("baseline_loss"), F.round(F.lit(loss), 6).alias("model_loss"))
+
+
+def _one_hot_model(spark, sf_dir, iterations, held=C.HELD_WEIGHTS):
     parts = _parts(spark, sf_dir)
-    train = E.hashed(_part(parts, "train"), BUCKETS)
-    validation = E.hashed(_part(parts, "validation"), BUCKETS)
-    settings = [(s, r) for s in (1.0, 10.0) for r in (1e-6, 1e-3)]
-    grid, _ = C.logistic_grid(train, validation, BUCKETS, settings, iterations)
-    return grid
+    dictionary = settle(E.feature_dictionary(_part(parts, "train")))
+    model = C.descend(E.one_hot(_part(parts, "train"), dictionary), [(10.0, 1e-6)], iterations, held)
+    return parts, dictionary, model
 
 
 def logistic_one_hot(spark, sf_dir, iterations=ONE_HOT_STEPS):
     """Training and validation log loss of the one-hot model, with predictions summed."""
-    parts = _parts(spark, sf_dir)
-    dictionary = E.feature_dictionary(_part(parts, "train"))
-    width = dictionary.count()
-    train = E.one_hot(_part(parts, "train"), dictionary)
-    model = C.descend(train, width, [(10.0, 1e-6)], iterations)[0]
+    parts, dictionary, model = _one_hot_model(spark, sf_dir, iterations)
     rated = parts.filter("split <> 'test'").drop("split")
     scored = C.with_raw_score(E.one_hot(rated, dictionary), model)
     named = key_split(scored, ["row_id"], SHARES)
     return named.groupBy("split").agg(
-        C.mean_log_loss(named).alias("loss"),
-        F.sum(probability(F.col("raw_score"))).alias("expected_positives"),
+        F.round(C.mean_log_loss(named), 6).alias("loss"),
+        F.round(F.sum(probability(F.col("raw_score"))), 4).alias("expected_positives"),
     )
 
 
+def logistic_roc_auc(spark, sf_dir, iterations=ONE_HOT_STEPS):
+    """Area under the curve of the one-hot model's validation scores."""
+    parts, dictionary, model = _one_hot_model(spark, sf_dir, iterations)
+    scored = C.with_raw_score(E.one_hot(_part(parts, "validation"), dictionary), model)
+    rounded = scored.withColumn("score", F.round("raw_score", 7))  # equal rows have equal scores
+    return C.area_under_curve(rounded, "score", "label").withColumn("auc", F.round("auc", 9))
+
+
+def logistic_wide_weights(spark, sf_dir, iterations=WIDE_STEPS):
+    """Weights of the one-hot model kept as a table, as for dictionaries that no task holds."""
+    _, _, table = _one_hot_model(spark, sf_dir, iterations, held=0)
+    return table.weights.select("slot", F.round(F.get("w", F.lit(0)), 9).alias("weight"))
+
+
+def roc_auc(spark, sf_dir):
+    scored = I.score_rows(spark, sf_dir)
+    return C.area_under_curve(scored, "score", "label").withColumn("auc", F.round("auc", 9))
+
+
 def roc_curve(spark, sf_dir):
     points = C.roc_points(I.score_rows(spark, sf_dir), "score", "label", "doc_id")
     rates = [F.round(c, 9).alias(c) for c in ("tpr", "fpr")]
@@ -178,6 +228,7 @@ QUERIES = {
         click_parse, categories_per_feature, feature_dictionary, one_hot, one_hot_unseen,
         feature_count_buckets, nnz_total, sparsity, first_rows_nonzeros, feature_hash,
         feature_hash_narrow, class_fraction, baseline_logloss, fixed_weight_scores,
-        fixed_weight_logloss, logistic_fit_grid, logistic_one_hot, roc_curve,
+        fixed_weight_logloss, one_hot_strict, logistic_fit_grid, logistic_grid_test, logistic_one_hot,
+        logistic_roc_auc, logistic_wide_weights, roc_auc, roc_curve,
     )
 }
