@@ -5,7 +5,8 @@ Three choices keep this linear-ish in the input:
 * Records with the same bag of tokens share one vector. Pairs are listed per pair of
   bags with the number of records on each side, never per pair of copies.
 * Pairs at or above a similarity are found from each vector's informative tokens only,
-  then scored exactly (`similar_pairs`).
+  then scored exactly (`similar_pairs`); where only a bin of the similarity is wanted, a pair
+  is scored only if its bounds lie in different bins (`similarity_histogram`).
 * Sums over *all* pairs need no pairs at all: the sum of all cosines is the product of
   the two catalogues' summed unit vectors (`total_similarity`).
 """
@@ -22,6 +23,8 @@ from millrace.session import settle
 
 PAIR = ["bag_a", "bag_g", "n_a", "n_g", "a_id", "g_id"]
 BINS = 101  # one per hundredth, and one for a similarity of exactly 1
+SLACK = 0.004  # what the histogram's first look at a pair may miss of its similarity
+NOISE = 1e-8  # more than sums of products are off by, and than a bin's rounding
 
 
 @dataclass(frozen=True)
@@ -40,12 +43,13 @@ class Catalogues:
 
 def build_catalogues(records: DataFrame) -> Catalogues:
     """`records`: side ('a' or 'g'), id, tokens. Records without tokens have no cosine
-    and are left out, though they count as records in the inverse ratios."""
+    and are left out, though they count as records in the inverse ratios. The records are
+    read once; what follows reads their tokens as written."""
+    spelling = F.md5(F.concat_ws(" ", F.array_sort("tokens")))
+    records = settle(records.select("side", "id", "tokens", spelling.alias("spelling")))
     ratios = inverse_ratios(records)
-    keyed = records.filter(F.size("tokens") > 0).withColumn(
-        "spelling", F.md5(F.concat_ws(" ", F.array_sort("tokens")))
-    )
-    spelt = settle(keyed.select("side", "id", "spelling"))
+    keyed = records.filter(F.size("tokens") > 0)
+    spelt = keyed.select("side", "id", "spelling")
     is_a, is_g = F.col("side") == "a", F.col("side") == "g"
     bags = settle(
         spelt.groupBy("spelling")
@@ -57,7 +61,10 @@ def build_catalogues(records: DataFrame) -> Catalogues:
         )
         .withColumn("bag", F.monotonically_increasing_id())
     )
-    members = spelt.join(bags.select("spelling", "bag"), "spelling")
+    members = spread_join(
+        spelt, bags.select("spelling", "bag"), ["spelling"], ["id"],
+        bags.select("spelling", (F.col("n_a") + F.col("n_g")).alias("n")),
+    )
     # Copies are summed, which scales the whole vector and so leaves `unit` alone.
     postings = (
         keyed.select("spelling", F.explode("tokens").alias("token"))
@@ -92,7 +99,7 @@ def build_catalogues(records: DataFrame) -> Catalogues:
 
 
 def _shared_token_products(kept: DataFrame) -> DataFrame:
-    """(bag_a, bag_g, cosine) over the tokens in `kept`.
+    """(bag_a, bag_g, cosine, n_a, n_g) over the tokens in `kept`.
 
     The work on a token is the product of its two posting lists. A token with more than
     1/PIECES of all work (fewer than PIECES tokens, hence the broadcast) has both lists
@@ -124,20 +131,34 @@ def _shared_token_products(kept: DataFrame) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
 
     a = dealt.filter("n_a > 0").select(
-        "token", F.col("bag").alias("bag_a"), F.col("unit").alias("unit_a"),
+        "token", F.col("bag").alias("bag_a"), F.col("unit").alias("unit_a"), F.col("n_a"),
         place("_na").alias("_pa"), every("_ng").alias("_pg"),
     )
     g = dealt.filter("n_g > 0").select(
-        "token", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g"),
+        "token", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g"), F.col("n_g"),
         place("_ng").alias("_pg"), every("_na").alias("_pa"),
     )
     return (
         a.join(g, ["token", "_pa", "_pg"])
         .groupBy("bag_a", "bag_g")
-        .agg(F.sum(F.col("unit_a") * F.col("unit_g")).alias("cosine"))
+        .agg(F.sum(F.col("unit_a") * F.col("unit_g")).alias("cosine"), F.max("n_a").alias("n_a"), F.max("n_g").alias("n_g"))
     )
 
 
+def bounded_pairs(catalogues: Catalogues, cut: float) -> DataFrame:
+    """(bag_a, bag_g, cosine, n_a, n_g): the pairs that share a kept token, with the products of
+    these tokens alone, which are at most `cut` below the cosine and never above it.
+
+    Each unit vector drops its commonest tokens, up to a length of `cut`. Of two vectors one drops
+    the longer stretch of the common order of tokens, which holds all that either drops: there
+    its own part has at most the length `cut` and the other's at most 1, so what is missing from
+    the product is at most `cut`. How common a token may be before it is dropped doesn't grow
+    with the number of records, so hot tokens are joined only for records made of nothing else.
+    """
+    vectors = catalogues.vectors
+    return _shared_token_products(vectors.filter(F.col("tail") > cut * cut) if cut > 0 else vectors)
+
+
 def pair_cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """Exact cosine of the given (bag_a, bag_g) pairs, as PAIR columns and `cosine`;
     pairs sharing no token drop out."""
@@ -159,28 +180,15 @@ def similar_pairs(catalogues: Catalogues, min_similarity: float) -> DataFrame:
     """Every pair of bags, one from each side, with cosine >= `min_similarity`:
     bag_a, bag_g, cosine, n_a, n_g, a_id, g_id. Exact for any value.
 
-    Each unit vector is cut into its commonest tokens, up to a length of s =
-    min_similarity / 4, and the rest. A cosine differs from the product of the two
-    rests by at most 2s (each dropped part has length <= s and meets a vector of length
-    1), so every pair wanted has a product of at least min_similarity - 2s > 0 and
-    shares a kept token. Those few pairs are then scored on their whole vectors. How
-    common a token may be before it is dropped does not grow with the number of
-    records, so hot tokens are joined only for records made of nothing else.
-
-    With `min_similarity` 0 nothing is dropped and the result is every pair sharing a
-    token, a list that grows with the square of the commonest token's records.
+    The pairs whose kept tokens (`bounded_pairs`, dropping up to half of `min_similarity`) reach
+    the other half are scored on their whole vectors. `min_similarity` must be above 0: all pairs
+    that share a token would grow with the square of the commonest token's records.
     """
-    vectors = catalogues.vectors
-    cut = min_similarity / 4
-    kept = vectors.filter(F.col("tail") > cut * cut) if cut > 0 else vectors
-    products = _shared_token_products(kept)
-    if cut > 0:
-        likely = products.filter(F.col("cosine") >= min_similarity - 2 * cut - 1e-9)
-        scored = pair_cosines(likely.select("bag_a", "bag_g"), vectors)
-    else:
-        a = catalogues.bags.select(F.col("bag").alias("bag_a"), "n_a", "a_id")
-        g = catalogues.bags.select(F.col("bag").alias("bag_g"), "n_g", "g_id")
-        scored = products.join(a, "bag_a").join(g, "bag_g")
+    if min_similarity <= 0:
+        raise ValueError("min_similarity must be above 0")
+    cut = min_similarity / 2
+    likely = bounded_pairs(catalogues, cut).filter(F.col("cosine") >= min_similarity - cut - NOISE)
+    scored = pair_cosines(likely.select("bag_a", "bag_g"), catalogues.vectors)
     return scored.filter(F.round("cosine", 9) >= min_similarity)
 
 
@@ -239,15 +247,24 @@ def similarity_histogram(catalogues: Catalogues, gold: DataFrame) -> DataFrame:
     """One row per bin 0..100: `pairs` (all record pairs in the bin), `golds` (gold
     pairs in it, unmatched ones in bin 0) and `others` = pairs - golds.
 
-    Bins from 1 up come from the similarity join; bin 0 is what is left of all record
-    pairs, so the zero and near-zero pairs are counted without being listed.
+    Bins from 1 up come from the similarity join: a pair is known to lie between the product of
+    its kept tokens and SLACK above that. Pairs that so lie in one bin are counted in it, only
+    the others are scored. Bin 0 is what is left of all record pairs, so the zero and near-zero
+    pairs are counted without being listed.
     """
     spark = catalogues.vectors.sparkSession
-    found = (
-        similar_pairs(catalogues, 0.01)
-        .groupBy(similarity_bin(F.col("cosine")).alias("bin"))
-        .agg(F.sum(F.col("n_a") * F.col("n_g")).alias("_pairs"))
+    bounded = settle(
+        bounded_pairs(catalogues, SLACK)
+        .withColumn("low", similarity_bin(F.col("cosine") - NOISE))
+        .withColumn("high", similarity_bin(F.col("cosine") + SLACK + NOISE))
+        .filter("high > 0")
+        .select("bag_a", "bag_g", "n_a", "n_g", F.greatest("low", F.lit(0)).alias("low"), "high")
     )
+    weight = F.col("n_a") * F.col("n_g")
+    sure = bounded.filter("low = high").select(F.col("low").alias("bin"), weight.alias("_weight"))
+    unsure = pair_cosines(bounded.filter("low < high").select("bag_a", "bag_g"), catalogues.vectors)
+    scored = unsure.select(similarity_bin(F.col("cosine")).alias("bin"), weight.alias("_weight"))
+    found = sure.unionByName(scored).filter("bin > 0").groupBy("bin").agg(F.sum("_weight").alias("_pairs"))
     golds = (
         gold_similarities(catalogues, gold)
         .groupBy(similarity_bin(F.col("cosine")).alias("bin"))
