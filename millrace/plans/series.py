@@ -80,7 +80,22 @@ def pca(spark, sf_dir):
     """Scores of every row on the two leading directions."""
     rows = I.vectors(spark, sf_dir)
     scored = P.with_scores(rows, P.fit_components(rows, 2))
-    return scored.select("vec_id", F.posexplode("scores").alias("component", "score"))
+    spelt = scored.select("vec_id", F.posexplode("scores").alias("component", "score"))
+    return spelt.withColumn("score", F.round("score", 6))
+
+
+def eigenvalue_sums(spark, sf_dir):
+    """Sums of the first to fourth powers of all eigenvalues."""
+    found = P.fit_components(I.vectors(spark, sf_dir), 1)
+    rows = [(p, float((found.eigenvalues**p).sum())) for p in range(1, 5)]
+    return spark.createDataFrame(rows, "power int, total double").withColumn("total", F.round("total", 9))
+
+
+def variance_shares(spark, sf_dir):
+    """Shares of the variance along the first three directions, one after the other."""
+    found = P.fit_components(I.vectors(spark, sf_dir), 3)
+    rows = [(k, found.variance_explained(k)) for k in range(1, 4)]
+    return spark.createDataFrame(rows, "k int, share double").withColumn("share", F.round("share", 9))
 
 
 def variance_explained(spark, sf_dir):
@@ -95,14 +110,13 @@ def project_back(spark, sf_dir):
     first = P.fit_components(rows, 1).directions[:, 0]
     means = A.literal_array(M.mean_vector(rows))
     laid = A.project_back(F.col("features"), means, A.literal_array(first))
-    return rows.select("vec_id", F.posexplode(laid).alias("pos", "v"))
+    return rows.select("vec_id", F.posexplode(laid).alias("pos", "v")).withColumn("v", F.round("v", 6))
 
 
 def _series_pca(rows):
     found = P.fit_components(rows, 3, "series")
-    return P.with_scores(rows, found, "series").select(
-        "x", "y", F.posexplode("scores").alias("component", "score")
-    )
+    spelt = P.with_scores(rows, found, "series").select("x", "y", F.posexplode("scores").alias("component", "score"))
+    return spelt.withColumn("score", F.round("score", 6))
 
 
 def pca_rescaled(spark, sf_dir):
@@ -121,7 +135,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         series_lines_parse, series_minmax, series_std_filter, series_rescale, series_fold,
-        series_blocks, vector_mean, centre, covariance, pca, variance_explained, project_back,
+        series_blocks, vector_mean, centre, covariance, pca, variance_explained, variance_shares, eigenvalue_sums, project_back,
         pca_rescaled, pca_folded, pca_blocks,
     )
 }
