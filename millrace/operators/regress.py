@@ -1,8 +1,8 @@
 """Least-squares models on (label, features).
 
 For squared loss the gradient is X'Xw - X'y and the error follows from the same sums,
-so every descent below makes one pass over the data (`regression_moments`) and then
-iterates on a small matrix, with the same iterates as a pass per step would give.
+so every descent below makes one pass over the data (`regression_moments`) and then works on
+a small matrix, with the iterates that a pass per step would give in exact numbers.
 """
 
 from __future__ import annotations
@@ -21,16 +21,6 @@ from millrace.operators.moments import Moments, regression_moments
 class LinearModel:
     weights: np.ndarray
     intercept: float
-    peak: float = 0.0  # the largest weight met on the way
-
-
-DIGITS = 2.0**-52
-
-
-def digits_lost(model: LinearModel, error: float) -> bool:
-    """Whether a descent went so far off that rounding decides its error: the largest weight's
-    last digit is more than a millionth of the error."""
-    return not np.isfinite(error) or model.peak * DIGITS > 1e-6 * error
 
 
 def shift_labels(df: DataFrame) -> DataFrame:
@@ -72,42 +62,50 @@ def batch_descent(moments: Moments, iterations: int) -> tuple[np.ndarray, list[f
 def sgd_fit(moments: Moments, iterations: int, step: float, reg: float) -> LinearModel:
     """Full-batch SGD with L2 and an intercept. `moments` must include the constant
     column, which starts at 1 and is shrunk like any weight; the step at t is
-    step / sqrt(t)."""
-    w = np.zeros(len(moments.xy))
-    w[-1] = peak = 1.0
-    for t in range(1, iterations + 1):
-        rate = step / np.sqrt(t)
-        gradient = (moments.xx @ w - moments.xy) / moments.rows
-        w = w * (1 - rate * reg) - rate * gradient
-        peak = max(peak, float(np.abs(w).max()))
-    return LinearModel(w[:-1], float(w[-1]), peak)
+    step / sqrt(t).
+
+    Along an eigenvector of X'X / n with value v, a step multiplies what is missing to the fixed
+    point by 1 - rate (v + reg). So the weights after all steps are products, one a vector, and
+    keep their digits also where the iterates grow without bound and come back.
+    """
+    values, vectors = np.linalg.eigh(moments.xx / moments.rows)
+    start = np.zeros(len(values))
+    start[-1] = 1.0
+    begun, pull = vectors.T @ start, vectors.T @ moments.xy / moments.rows
+    curve = values + reg
+    flat = np.abs(curve) <= 1e-14 * max(np.abs(values).max(), 1e-300)
+    fixed = np.where(flat, begun, pull / np.where(flat, 1.0, curve))  # a flat direction has no pull
+    rates = step / np.sqrt(np.arange(1, iterations + 1))
+    factors = 1 - rates[:, None] * curve
+    with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
+        left = np.prod(np.sign(factors), axis=0) * np.exp(np.log(np.abs(factors)).sum(axis=0))
+        w = vectors @ (fixed + (begun - fixed) * left)
+    return LinearModel(w[:-1], float(w[-1]))
 
 
 def sgd_grid(
     train: DataFrame, validation: DataFrame, settings: list[tuple[int, float, float]]
 ) -> tuple[DataFrame, LinearModel]:
-    """(iterations, step, reg, rmse, best) on the validation part for each setting, and
-    the best model; the error is NULL where a descent lost its digits. The training rows are
-    read once for the whole grid."""
+    """(iterations, step, reg, rmse, diverged, best) on the validation part for each setting, and
+    the best model. A model has diverged if its error is above that of the starting weights; beyond
+    the range of numbers it is infinite. The training rows are read once for the whole grid."""
     moments = regression_moments(train, intercept=True)
     models = [sgd_fit(moments, *setting) for setting in settings]
+    start = LinearModel(np.zeros(len(moments.xy) - 1), 1.0)
     errors = [
         rmse(
             F.col("label"),
             A.dot(F.col("features"), A.literal_array(m.weights)) + F.lit(m.intercept),
         ).alias(f"e{k}")
-        for k, m in enumerate(models)
-    ]
-    found = [
-        None if e is None or digits_lost(m, e) else float(e)
-        for m, e in zip(models, validation.agg(*errors).first(), strict=True)
+        for k, m in enumerate([*models, start])
     ]
-    best = min(range(len(found)), key=lambda k: float("inf") if found[k] is None else found[k])
+    *found, begun = [float("inf") if e is None or np.isnan(e) else float(e) for e in validation.agg(*errors).first()]
+    best = min(range(len(found)), key=lambda k: found[k])
     rows = [
-        (int(it), float(step), float(reg), found[k], k == best)
+        (int(it), float(step), float(reg), found[k], found[k] > begun, k == best)
         for k, (it, step, reg) in enumerate(settings)
     ]
-    schema = "iterations int, step double, reg double, rmse double, best boolean"
+    schema = "iterations int, step double, reg double, rmse double, diverged boolean, best boolean"
     return train.sparkSession.createDataFrame(rows, schema), models[best]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import arrays as A
 from millrace.operators import regress as M
 from millrace.operators.moments import regression_moments
-from millrace.operators.ordering import key_split
+from millrace.operators.ordering import bottom_sample, key_split
 from millrace.plans import inputs as I
 from millrace.sources import lines as S
 
@@ -103,10 +103,37 @@ def gd_trace(spark, sf_dir):
     return spark.createDataFrame(rows, "iteration int, rmse double")
 
 
+def sample_slice_trace(spark, sf_dir):
+    """Batch descent on two features of a sample of ten training rows."""
+    train = _part(_parts(spark, sf_dir), "train")
+    sample = bottom_sample(train, ["row_id"], 10).select("label", F.slice("features", 1, 2).alias("features"))
+    _, errors = M.batch_descent(regression_moments(sample), 5)
+    return spark.createDataFrame([(i, round(e, 6)) for i, e in enumerate(errors)], "iteration int, rmse double")
+
+
+def labelled_width_counts(spark, sf_dir):
+    """Lines per status where lines must have three features; the first line of an order lacks one."""
+    rows = I.regression_rows(spark, sf_dir)
+    short = F.split("row_id", "-")[1] == "1"
+    kept = F.when(short, F.slice("features", 1, 2)).otherwise(F.col("features"))
+    lines = rows.select(F.concat_ws(",", "label", F.concat_ws(",", F.transform(kept, lambda x: x.cast("string")))).alias("value"))
+    return S.status_counts(S.parse_labelled(lines, 3))
+
+
+def linear_grid_test(spark, sf_dir):
+    """Test error of the model that the validation rows choose, beside the mean label's."""
+    parts = _parts(spark, sf_dir)
+    _, model = M.sgd_grid(_part(parts, "train"), _part(parts, "validation"), GRID)
+    error = M.model_rmse(_part(parts, "test"), model)
+    base = M.mean_label_baseline(parts).filter("split = 'test'")
+    return base.select("n", F.round("rmse", 6).alias("baseline_rmse"), F.round(F.lit(error), 6).alias("model_rmse"))
+
+
 def linear_fit_grid(spark, sf_dir):
+    """Validation error per setting, large ones with fewer decimals."""
     parts = _parts(spark, sf_dir)
     grid, _ = M.sgd_grid(_part(parts, "train"), _part(parts, "validation"), GRID)
-    return grid.withColumn("rmse", F.round("rmse", 6))
+    return grid.withColumn("rmse", F.when(F.col("rmse") > 1000, F.round("rmse", 0)).otherwise(F.round("rmse", 6)))
 
 
 def linear_interact_fit(spark, sf_dir):
@@ -128,6 +155,6 @@ QUERIES = {
     for f in (
         labelled_lines_parse, label_range_shift, shifted_labels, label_histogram, split_totals,
         mean_label_rmse, gradient_sum, linear_predict, interactions, gd_trace, linear_fit_grid,
-        linear_interact_fit,
+        linear_grid_test, linear_interact_fit, sample_slice_trace, labelled_width_counts,
     )
 }
