@@ -105,20 +105,25 @@ def rank_grid(
             tried.append((rank, row["n"], row["rmse"], model))
     finally:
         train.unpersist()
-    best = min(tried, key=lambda t: t[2])
+    best = min(tried, key=lambda t: float("inf") if t[2] is None else t[2])  # nothing predicted: no error
     rows = [(rank, n, error, rank == best[0]) for rank, n, error, _ in tried]
     return spark.createDataFrame(rows, "rank int, n bigint, rmse double, best boolean"), best[3]
 
 
+def supported(candidates: DataFrame, ratings: DataFrame, min_support: int) -> DataFrame:
+    """`candidates` (usr, item) with n, the item's ratings, where these are more than `min_support`."""
+    counts = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    return candidates.select("usr", "item").join(counts.filter(F.col("n") > min_support), "item")
+
+
 def recommend(
     model: ALSModel, candidates: DataFrame, ratings: DataFrame, min_support: int, limit: int
 ) -> DataFrame:
-    """Best predictions among `candidates` for items with more than `min_support` ratings."""
-    support = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    """Best predictions among `candidates` for items with more than `min_support` ratings. Only these
+    are predicted."""
+    kept = supported(candidates, ratings, min_support)
     return (
-        predict(model, candidates)
-        .join(support, "item")
-        .filter(F.col("n") > min_support)
+        model.transform(kept)
         .select("usr", "item", F.col("prediction").cast("double").alias("prediction"), "n")
         .orderBy(F.desc("prediction"), "item")
         .limit(limit)

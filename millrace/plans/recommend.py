@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from millrace.operators import ratings as R
 from millrace.operators.joins import spread_join
-from millrace.operators.ordering import key_split
+from millrace.operators.ordering import key_split, same_rows
 from millrace.operators.tokens import counted_members
 from millrace.plans import inputs as I
-from millrace.session import settle
+from millrace.session import settle, shared_folder
 from millrace.sources import lines as S
 
 SHARES = {"train": 6, "validation": 2, "test": 2}
@@ -27,6 +27,28 @@ def rating_lines_parse(spark, sf_dir):
     )
 
 
+def gzip_rating_lines(spark, sf_dir):
+    """Rating lines written to gzip files and read back, in totals per status."""
+    lines = I.ratings(spark, sf_dir).select(F.concat_ws("::", "usr", "item", "rating", F.lit("978300760")).alias("value"))
+    folder = shared_folder(spark, "gzip-ratings")
+    lines.write.option("compression", "gzip").text(folder)
+    return S.parse_ratings(S.read_compressed_lines(spark, folder)).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("usr").alias("usrs"), F.sum("item").alias("items"),
+        F.sum("rating").alias("ratings"),
+    )
+
+
+def same_rating_rows(spark, sf_dir):
+    """Whether ratings hold the same rows after a round trip through lines, and after one is lost."""
+    ratings = I.ratings(spark, sf_dir)
+    lines = ratings.select(F.concat_ws("::", "usr", "item", "rating").alias("value"))
+    back = S.parse_ratings(lines).filter(F.col("status") == S.VALID).select("item", "rating", "usr")
+    first = ratings.agg(F.min(F.struct("usr", "item"))).scalar()
+    less = ratings.filter(F.struct("usr", "item") != first)
+    rows = [("round_trip", same_rows(ratings, back)), ("one_lost", same_rows(ratings, less))]
+    return spark.createDataFrame(rows, "kind string, same boolean")
+
+
 def item_lines_parse(spark, sf_dir):
     lines = I.items(spark, sf_dir).select(
         F.concat_ws("::", "item", "title", F.lit("tools|parts")).alias("value")
@@ -77,7 +99,7 @@ def _part(parts, name):
 
 
 def hash_split(spark, sf_dir):
-    return _parts(spark, sf_dir).groupBy("split").agg(
+    return key_split(I.ratings(spark, sf_dir), ["usr", "item"], SHARES).groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.sum("rating").alias("ratings")
     )
 
@@ -124,6 +146,35 @@ def als_rank_grid(spark, sf_dir):
     return grid
 
 
+def als_grid_test(spark, sf_dir):
+    """Test error of the model that the validation part chooses, beside the mean's."""
+    parts = _parts(spark, sf_dir)
+    _, model = R.rank_grid(_part(parts, "train"), _part(parts, "validation"))
+    test = _part(parts, "test")
+    error = R.prediction_rmse(R.predict(model, test), test).first()
+    base = R.mean_baseline(_part(parts, "train"), test)
+    return base.select(F.lit(error["n"]).alias("n"), F.col("rmse").alias("baseline_rmse"), F.lit(error["rmse"]).alias("model_rmse"))
+
+
+def als_coverage(spark, sf_dir):
+    """Validation and test rows that a model of the training part predicts, and those it can't."""
+    parts = _parts(spark, sf_dir)
+    model = R.fit_als(_part(parts, "train"), rank=4, iterations=1)
+    asked = parts.filter("split <> 'train'")
+    known = R.predict(model, asked).distinct()
+    joined = asked.join(known, ["usr", "item"], "left")
+    return joined.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count("prediction").alias("predicted"))
+
+
+def supported_candidates(spark, sf_dir):
+    """The new user's twenty candidates with the most ratings, of those above the support."""
+    own = I.own_ratings(spark, sf_dir)
+    candidates = R.unrated_items(I.items(spark, sf_dir), own, F.lit(I.NEW_USER))
+    kept = R.supported(candidates, I.ratings(spark, sf_dir), SUPPORT)
+    return kept.orderBy(F.desc("n"), "item").limit(20)
+
+
 def als_recommend(spark, sf_dir):
     """Twenty best unrated items for the new user after retraining with their ratings."""
     own = I.own_ratings(spark, sf_dir)
@@ -138,6 +189,7 @@ QUERIES = {
     for f in (
         rating_lines_parse, item_lines_parse, item_ratings, item_averages, named_item_averages,
         well_rated_items, sort_composite, first_items, hash_split, rating_rmse,
-        mean_baseline_rmse, union_ratings, unrated_items, als_rank_grid, als_recommend,
+        mean_baseline_rmse, union_ratings, unrated_items, gzip_rating_lines, same_rating_rows,
+        supported_candidates, als_coverage, als_rank_grid, als_grid_test, als_recommend,
     )
 }

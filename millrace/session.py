@@ -61,19 +61,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", rows_per_file: int = 0) -> DataFrame:
     """Write `df` once as compressed columns in the shared folder and read it back.
 
     Later steps prune columns of it, and a lost executor costs a read of it. Select the
-    columns that are needed before the call.
+    columns that are needed before the call. With `rows_per_file` a task writes several files.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def clear_staged(spark: SparkSession) -> None:
-    """Remove what this program staged. Frames that read it can't be used afterwards."""
+    """Remove what this program staged. Frames that read it can't be used afterwards. This goes through
+    the JVM's file system client, so it needs a classic session, not a remote one."""
     jvm = spark.sparkContext._jvm
     if jvm is None:
         return

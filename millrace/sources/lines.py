@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import text as T
 from millrace.functions.arrays import bind
+from millrace.session import stage
 
 VALID = 1
 
@@ -33,6 +34,15 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
     return lines.repartition(partitions) if partitions else lines
 
 
+def read_compressed_lines(spark: SparkSession, path: str, rows_per_piece: int = 1 << 18) -> DataFrame:
+    """The lines, as `value`, of files that can't be split, such as gzip ones.
+
+    The one task that can inflates a file once, from start to end, and writes its lines as pieces of
+    so many rows to the shared folder; the pieces are then read by as many tasks, however often.
+    """
+    return stage(spark.read.text(path), "inflated-lines", rows_per_piece)
+
+
 def _records(lines: DataFrame, parts: Column, record) -> DataFrame:
     """Add the fields of `record(parts)`, a struct, to each line.
 
@@ -161,23 +171,30 @@ def parse_items(lines: DataFrame) -> DataFrame:
     return _records(lines, F.split("value", "::"), record)
 
 
-def parse_labelled(lines: DataFrame) -> DataFrame:
-    """Comma-separated doubles, label first."""
+def _fits(f: Column, fixed: int, width: int | None) -> Column:
+    """Whether a line has `width` fields besides its first `fixed` ones; any number without a width."""
+    return F.lit(True) if width is None else F.size(f) == fixed + width
+
+
+def parse_labelled(lines: DataFrame, width: int | None = None) -> DataFrame:
+    """Comma-separated doubles, label first; with `width`, lines of another number of features
+    are bad ones."""
 
     def record(f: Column) -> Column:
         return F.struct(
             F.get(f, F.lit(0)).alias("label"),
             F.slice(f, 2, F.size(f)).alias("features"),
-            F.when(F.exists(f, lambda x: x.isNull()), -1).otherwise(VALID).alias("status"),
+            F.when(F.exists(f, lambda x: x.isNull()) | ~_fits(f, 1, width), -1).otherwise(VALID).alias("status"),
         )
 
     doubles = F.transform(F.split("value", ","), lambda x: x.try_cast("double"))
     return _records(lines, doubles, record)
 
 
-def parse_clicks(lines: DataFrame) -> DataFrame:
+def parse_clicks(lines: DataFrame, width: int | None = None) -> DataFrame:
     """Label-first rows of categories, tab or comma separated; `feats` holds
-    (position, category) with empty categories kept."""
+    (position, category) with empty categories kept. With `width`, lines of another number of
+    categories are bad ones."""
 
     def record(f: Column) -> Column:
         label = F.get(f, F.lit(0)).try_cast("double")
@@ -185,13 +202,14 @@ def parse_clicks(lines: DataFrame) -> DataFrame:
             F.slice(f, 2, F.size(f)),
             lambda cat, pos: F.struct(pos.alias("idx"), cat.alias("cat")),
         )
-        return F.struct(label.alias("label"), feats.alias("feats"), _valid_or(-1, label))
+        fitting = F.when(_fits(f, 1, width), label)
+        return F.struct(label.alias("label"), feats.alias("feats"), _valid_or(-1, fitting))
 
     return _records(lines, F.split(T.strip(T.tabs_to_commas(F.col("value"))), ","), record)
 
 
-def parse_series(lines: DataFrame) -> DataFrame:
-    """`x y v1 v2 ...` separated by single blanks."""
+def parse_series(lines: DataFrame, width: int | None = None) -> DataFrame:
+    """`x y v1 v2 ...` separated by single blanks; with `width`, series of another length are bad."""
 
     def record(f: Column) -> Column:
         x, y = F.get(f, F.lit(0)).try_cast("int"), F.get(f, F.lit(1)).try_cast("int")
@@ -201,7 +219,7 @@ def parse_series(lines: DataFrame) -> DataFrame:
             lambda s: F.struct(
                 x.alias("x"), y.alias("y"), s.alias("series"),
                 F.when(
-                    x.isNull() | y.isNull() | F.exists(s, lambda v: v.isNull()), -1
+                    x.isNull() | y.isNull() | F.exists(s, lambda v: v.isNull()) | ~_fits(f, 2, width), -1
                 ).otherwise(VALID).alias("status"),
             ),
         )

@@ -325,6 +325,20 @@ TWINS["mean_baseline_rmse"] = f"""WITH {SPLIT_RATINGS},
 m AS (SELECT avg(rating) AS mean FROM parts WHERE split = 'train')
 SELECT round(max(mean), 9) AS train_mean, round(sqrt(avg((rating - mean) ** 2)), 9) AS rmse
 FROM parts, m WHERE split = 'test'"""
+TWINS["gzip_rating_lines"] = TWINS["rating_lines_parse"]
+TWINS["same_rating_rows"] = f"""WITH {RATINGS},
+less AS (SELECT * FROM ratings WHERE (usr, item) <> (SELECT (min((usr, item)))  FROM ratings))
+SELECT 'round_trip' AS kind, (SELECT count(*) FROM (FROM ratings EXCEPT ALL FROM ratings)) = 0 AS same
+UNION ALL SELECT 'one_lost', (SELECT count(*) FROM (FROM ratings EXCEPT ALL FROM less)) = 0"""
+TWINS["als_coverage"] = f"""WITH {SPLIT_RATINGS},
+train AS (SELECT * FROM parts WHERE split = 'train')
+SELECT split, count(*) AS n,
+  count(*) FILTER (usr IN (SELECT usr FROM train) AND item IN (SELECT item FROM train)) AS predicted
+FROM parts WHERE split <> 'train' GROUP BY 1"""
+TWINS["supported_candidates"] = f"""WITH {RATINGS}, {OWN}
+SELECT -1::INT AS usr, item, count(*) AS n FROM ratings
+WHERE item NOT IN (SELECT item FROM own) AND item IN (SELECT p_partkey::INT FROM part)
+GROUP BY 2 HAVING count(*) > 30 ORDER BY n DESC, item LIMIT 20"""
 TWINS["union_ratings"] = f"""WITH {RATINGS}, {OWN},
 both_sets AS (SELECT * FROM ratings UNION ALL SELECT * FROM own)
 SELECT usr, count(*) AS n, sum(rating) AS ratings FROM both_sets GROUP BY 1"""
@@ -332,6 +346,28 @@ TWINS["unrated_items"] = f"""WITH {OWN}
 SELECT -1::INT AS usr, p_partkey::INT AS item FROM part
 WHERE p_partkey NOT IN (SELECT item FROM own)"""
 
+def _eigen(count: int) -> str:
+    """The first eigenvectors of cov0 (i, j, v): per vector c the tables dir{c} (pos, w) and val{c} (l). The
+    matrix is squared again and again, which leaves the
+    projector on the first direction; what that explains is then taken off."""
+    parts = []
+    for c in range(count):
+        parts.append(f"""
+sq{c} AS (
+  SELECT 0 AS t, i, j, v / sum(CASE WHEN i = j THEN v END) OVER () AS v FROM cov{c}
+  UNION ALL
+  SELECT t, i, j, v / sum(CASE WHEN i = j THEN v END) OVER () FROM (
+    SELECT a.t + 1 AS t, a.i, b.j, sum(a.v * b.v) AS v FROM sq{c} a JOIN sq{c} b ON a.j = b.i WHERE a.t < 30 GROUP BY ALL)),
+peak{c} AS MATERIALIZED (SELECT i AS p, v FROM sq{c} WHERE t = 30 AND i = j ORDER BY v DESC, i LIMIT 1),
+dir{c} AS MATERIALIZED (SELECT i AS pos, sq{c}.v / sqrt(peak{c}.v) AS w FROM sq{c}, peak{c} WHERE t = 30 AND j = p),
+val{c} AS MATERIALIZED (
+  SELECT sum(a.w * cov{c}.v * b.w) / (SELECT sum(w * w) FROM dir{c}) AS l
+  FROM cov{c} JOIN dir{c} a ON a.pos = i JOIN dir{c} b ON b.pos = j),
+cov{c + 1} AS MATERIALIZED (
+  SELECT i, j, cov{c}.v - l * a.w * b.w AS v FROM cov{c} JOIN dir{c} a ON a.pos = i JOIN dir{c} b ON b.pos = j, val{c})""")
+    return ",".join(parts)
+
+
 # ---------------------------------------------------------------- linear
 
 LINE_KEY = (
@@ -400,21 +436,43 @@ SELECT i::INT AS iteration, round(sqrt({_mse(3, 'm')}), 6) AS rmse FROM steps, m
 _X1 = _X + ["one"]
 _GRID = [(500, 1.0, 1e-10), (500, 1.0, 1e-5), (500, 1.0, 1e-1), (500, 1.0, 1.0),
          (5, 1e-5, 1e-10), (500, 1e-5, 1e-10), (5, 10.0, 1e-10), (500, 10.0, 1e-10)]
-_STEPPED = [f'w{k} * (1 - step / sqrt(t) * reg) - step / sqrt(t) * ({_pull(4, k, "m")} - m.b{k}) / m.n' for k in range(4)]
-TWINS["linear_fit_grid"] = f"""WITH RECURSIVE {ROWS}, {_moment_cte('m', _X1, 'train')},
-{_moment_cte('v', _X1, 'validation')},
+_LINEAR_GRID = f"""WITH RECURSIVE {ROWS}, {_moment_cte('m', _X1, 'train')}, {_moment_cte('v', _X1, 'validation')},
+cov0 AS MATERIALIZED ({' UNION ALL '.join(f'SELECT {i} AS i, {j} AS j, s{min(i, j)}_{max(i, j)} / n AS v FROM m' for i in range(4) for j in range(4))}),
+{_eigen(4)},
+pulls AS MATERIALIZED ({' UNION ALL '.join(f'SELECT {i} AS pos, b{i} / n AS b FROM m' for i in range(4))}),
+spectrum AS MATERIALIZED ({' UNION ALL '.join(f'SELECT {c} AS c, pos, w / (SELECT sqrt(sum(w * w)) FROM dir{c}) AS w, l FROM dir{c}, val{c}' for c in range(4))}),
+axes AS MATERIALIZED (SELECT c, any_value(l) AS l, sum(w * b) AS pull, sum(CASE WHEN pos = 3 THEN w END) AS begun FROM spectrum JOIN pulls USING (pos) GROUP BY 1),
 grid(its, step, reg) AS (VALUES {', '.join(f'({a}, {b}::DOUBLE, {c}::DOUBLE)' for a, b, c in _GRID)}),
+factors AS (
+  SELECT its, step, reg, c, product(1 - step / sqrt(t) * (l + reg)) AS p
+  FROM grid, axes, (SELECT unnest(range(1, 501)) AS t) WHERE t <= its GROUP BY ALL),
+ends AS (SELECT its, step, reg, c, pull / (l + reg) + (begun - pull / (l + reg)) * p AS z FROM factors JOIN axes USING (c)),
+weights AS MATERIALIZED (
+  SELECT its, step, reg, {', '.join(f'sum(CASE WHEN pos = {k} THEN w * z END) AS w{k}' for k in range(4))}
+  FROM ends JOIN spectrum USING (c) GROUP BY 1, 2, 3),
+begun AS (SELECT sqrt({_mse(4, 'v')}) AS e0 FROM v, (SELECT 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, 1.0::DOUBLE AS w3)),
+rated AS MATERIALIZED (SELECT weights.*, sqrt({_mse(4, 'v')}) AS e, e0 FROM weights, v, begun)"""
+TWINS["linear_fit_grid"] = f"""{_LINEAR_GRID}
+SELECT its::INT AS iterations, step, reg, CASE WHEN e > 1000 THEN round(e, 0) ELSE round(e, 6) END AS rmse,
+  e > e0 AS diverged, e = (SELECT min(e) FROM rated) AS best FROM rated"""
+TWINS["linear_grid_test"] = f"""{_LINEAR_GRID}, {_moment_cte('u', _X1, 'test')},
+base AS (SELECT avg(label) AS mean FROM parts WHERE split = 'train')
+SELECT (SELECT count(*) FROM parts WHERE split = 'test') AS n,
+  (SELECT round(sqrt(avg((label - mean) ** 2)), 6) FROM parts, base WHERE split = 'test') AS baseline_rmse,
+  round(sqrt({_mse(4, 'u')}), 6) AS model_rmse
+FROM rated, u ORDER BY e LIMIT 1"""
+TWINS["sample_slice_trace"] = f"""WITH RECURSIVE {ROWS},
+sample AS (SELECT * FROM parts WHERE split = 'train' ORDER BY md5(row_id), row_id LIMIT 10),
+m AS MATERIALIZED (
+  SELECT count(*)::DOUBLE AS n, sum(label * label) AS yy, sum(x1 * label) AS b0, sum(x2 * label) AS b1,
+    sum(x1 * x1) AS s0_0, sum(x1 * x2) AS s0_1, sum(x2 * x2) AS s1_1 FROM sample),
 steps AS (
-  SELECT its, step, reg, 1 AS t, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2,
-    1.0::DOUBLE AS w3, 1.0::DOUBLE AS peak FROM grid
+  SELECT 0 AS i, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1
   UNION ALL
-  SELECT its, step, reg, t, w0, w1, w2, w3, greatest(peak, abs(w0), abs(w1), abs(w2), abs(w3)) FROM (
-    SELECT its, step, reg, t + 1 AS t, {', '.join(f'{x} AS w{k}' for k, x in enumerate(_STEPPED))}, peak
-    FROM steps, m WHERE t <= its)),
-errors AS (SELECT its, step, reg, peak, sqrt({_mse(4, 'v')}) AS e FROM steps, v WHERE t = its + 1),
-rated AS (SELECT its, step, reg, CASE WHEN peak * pow(2, -52) > 1e-6 * e THEN NULL ELSE e END AS e FROM errors)
-SELECT its::INT AS iterations, step, reg, round(e, 6) AS rmse,
-  coalesce(e = (SELECT min(e) FROM rated), false) AS best FROM rated"""
+  SELECT i + 1, {', '.join(f'w{k} - ({_pull(2, k, "m")} - m.b{k}) / (m.n * sqrt(i + 1))' for k in range(2))} FROM steps, m WHERE i < 4)
+SELECT i::INT AS iteration, round(sqrt({_mse(2, 'm')}), 6) AS rmse FROM steps, m"""
+TWINS["labelled_width_counts"] = """SELECT CASE WHEN l_linenumber = 1 THEN -1 ELSE 1 END AS status, count(*) AS n
+FROM lineitem GROUP BY 1"""
 
 _I1 = [*_PRODUCTS, "one"]
 _IW = len(_I1)
@@ -516,6 +574,94 @@ TWINS["fixed_weight_scores"] = f"""WITH {FIXED_SCORES}
 SELECT row_id, round(p, 9) AS p, round({LOSS.format(y='label', p='p')}, 9) AS loss FROM scores"""
 TWINS["fixed_weight_logloss"] = f"""WITH {FIXED_SCORES}
 SELECT round(avg({LOSS.format(y='label', p='p')}), 9) AS loss FROM scores"""
+TWINS["one_hot_strict"] = f"""WITH {CLICKS},
+strict AS (SELECT row_id, split FROM click_parts),
+known AS (SELECT DISTINCT idx, cat FROM feats WHERE split = 'train'
+  AND row_id IN (SELECT row_id FROM feats WHERE idx = 4 AND cat::INT <= 40)),
+unseen AS (SELECT idx, cat, count(*) AS n FROM feats ANTI JOIN known USING (idx, cat) WHERE split = 'test' GROUP BY 1, 2)
+SELECT coalesce(sum(n), 0)::BIGINT AS unseen_uses, count(*) AS unseen_features,
+  (SELECT count(*) FROM strict WHERE split = 'test') AS n_rows FROM unseen"""
+
+
+def _fitted(source: str, settings: str, iterations: int) -> str:
+    """Logistic descent over `source` (row_id, label, features, split), features as `place:value`:
+    fitted (m, slot, w) and settings (m, step, reg). Equal rows are one counted row."""
+    return f"""
+source AS MATERIALIZED ({source}),
+train AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, *
+  FROM (SELECT label, features, count(*)::DOUBLE AS k FROM source WHERE split = 'train' GROUP BY 1, 2)),
+entries AS MATERIALIZED (
+  SELECT rid, split_part(x, ':', 1)::BIGINT AS slot, split_part(x, ':', 2)::DOUBLE AS v
+  FROM (SELECT rid, unnest(string_split(features, ' ')) AS x FROM train WHERE features <> '')
+  UNION ALL SELECT rid, -1, 1.0 FROM train),
+size AS MATERIALIZED (SELECT sum(k) AS n FROM train),
+settings(m, step, reg) AS (VALUES {settings}),
+steps AS (
+  SELECT 1 AS t, m, slot, CASE WHEN slot = -1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS w
+  FROM settings, (SELECT DISTINCT slot FROM entries)
+  UNION ALL
+  SELECT t + 1, s.m, s.slot, w * (1 - step / sqrt(t) * reg) - step / sqrt(t) * g / n
+  FROM steps s JOIN settings ON s.m = settings.m, size, (
+    SELECT m AS gm, slot AS gslot, sum(v * r) AS g FROM entries JOIN (
+      SELECT m, rid, (1 / (1 + exp(-z)) - label) * k AS r FROM train JOIN (
+        SELECT m, rid, sum(w * v) AS z FROM steps JOIN entries USING (slot) GROUP BY 1, 2) USING (rid)) USING (rid) GROUP BY 1, 2)
+  WHERE gm = s.m AND gslot = s.slot AND t <= {iterations}),
+fitted AS MATERIALIZED (SELECT m, slot, w FROM steps WHERE t = {iterations} + 1)"""
+
+
+def _rated(part: str, name: str = "rated") -> str:
+    """Raw scores (m, row_id, label, split, z) of the rows of `source` where `part` holds."""
+    return f"""
+{name}_uses AS (
+  SELECT row_id, split_part(x, ':', 1)::BIGINT AS slot, split_part(x, ':', 2)::DOUBLE AS v
+  FROM (SELECT row_id, unnest(string_split(features, ' ')) AS x FROM source WHERE features <> '' AND {part})
+  UNION ALL SELECT row_id, -1, 1.0 FROM source WHERE {part}),
+{name} AS MATERIALIZED (
+  SELECT m, row_id, label, split, sum(v * w) AS z
+  FROM {name}_uses JOIN fitted USING (slot) JOIN source USING (row_id) GROUP BY ALL)"""
+
+
+_P = "(1 / (1 + exp(-greatest(least(z, 20.0), -20.0))))"
+_MEAN_LOSS = f"avg({LOSS.format(y='label', p=_P)})"
+_HASHED_SOURCE = f"SELECT row_id, label, features, {_split('row_id', 0.8, 0.9)} AS split FROM hashed"
+_ONE_SETTINGS = ", ".join(f"({m}, {s}::DOUBLE, {r}::DOUBLE)" for m, (s, r) in enumerate([(1.0, 1e-6), (1.0, 1e-3), (10.0, 1e-6), (10.0, 1e-3)]))
+
+
+def _hashed_grid(iterations: int) -> str:
+    return f"""WITH RECURSIVE {CLICKS}, {_hashed(2**15)}, {_fitted(_HASHED_SOURCE, _ONE_SETTINGS, iterations)},
+{_rated("split = 'validation'")},
+losses AS MATERIALIZED (SELECT m, step, reg, {_MEAN_LOSS} AS loss FROM rated JOIN settings USING (m) GROUP BY ALL)"""
+
+
+TWINS["logistic_fit_grid"] = f"""{_hashed_grid(500)}
+SELECT step, reg, round(loss, 6) AS loss, loss = (SELECT min(loss) FROM losses) AS best FROM losses"""
+TWINS["logistic_grid_test"] = f"""{_hashed_grid(50)},
+{_rated("split = 'test'", "tested")},
+base AS (SELECT avg((label = 1)::INT) AS p FROM source WHERE split = 'train')
+SELECT count(*) AS n, round(avg({LOSS.format(y='label', p='p')}), 6) AS baseline_loss, round({_MEAN_LOSS}, 6) AS model_loss
+FROM tested, base WHERE m = (SELECT arg_min(m, loss) FROM losses)"""
+_TRAIN_DICTIONARY = _dictionary("split = 'train'")
+_ONE_HOT_SOURCE = """SELECT row_id, label, split, coalesce(string_agg(ordinal::VARCHAR || ':1', ' ' ORDER BY ordinal), '') AS features
+  FROM feats LEFT JOIN dictionary USING (idx, cat) GROUP BY 1, 2, 3"""
+
+
+def _one_hot_model(iterations: int) -> str:
+    return f"""WITH RECURSIVE {CLICKS}, {_TRAIN_DICTIONARY},
+{_fitted(_ONE_HOT_SOURCE, '(0, 10.0::DOUBLE, 1e-6::DOUBLE)', iterations)}"""
+
+
+TWINS["logistic_one_hot"] = f"""{_one_hot_model(50)}, {_rated("split <> 'test'")}
+SELECT split, round({_MEAN_LOSS}, 6) AS loss, round(sum({_P}), 4) AS expected_positives FROM rated GROUP BY 1"""
+TWINS["logistic_wide_weights"] = f"""{_one_hot_model(8)}
+SELECT slot, round(w, 9) AS weight FROM fitted"""
+_AUC = """counts AS (SELECT score, sum(label)::DOUBLE AS p, sum(1 - label)::DOUBLE AS n FROM scored GROUP BY 1),
+below AS (SELECT p, n, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM counts)
+SELECT sum(p)::BIGINT AS positives, sum(n)::BIGINT AS negatives, round(sum(p * (b + n / 2)) / (sum(p) * sum(n)), 9) AS auc FROM below"""
+TWINS["logistic_roc_auc"] = f"""{_one_hot_model(50)}, {_rated("split = 'validation'")},
+scored AS (SELECT round(z, 7) AS score, label FROM rated), {_AUC}"""
+TWINS["roc_auc"] = f"""WITH scored AS (
+  SELECT (n_chars % 1000) / 1000.0::DOUBLE AS score, quality::BIGINT AS label FROM labels JOIN documents USING (doc_id)), {_AUC}"""
 TWINS["roc_curve"] = """WITH scored AS (
   SELECT doc_id, (n_chars % 1000) / 1000.0::DOUBLE AS score, quality::BIGINT AS label
   FROM labels JOIN documents USING (doc_id)),
@@ -558,6 +704,45 @@ SELECT x, y, (pos // 8)::INT AS pos, round(sum(v), 6) AS v FROM rescaled GROUP B
 TWINS["vector_mean"] = f"WITH {VECTORS} SELECT pos, round(mean, 9) AS mean FROM means"
 TWINS["centre"] = f"""WITH {VECTORS}
 SELECT vec_id, pos, round(v - mean, 6) AS v FROM points JOIN means USING (pos)"""
+
+
+def _components(key: str, count: int) -> str:
+    """Leading components of `points` (key, pos, v), as of `_eigen`."""
+    return f"""
+cov0 AS MATERIALIZED (
+  SELECT a.pos AS i, b.pos AS j, covar_pop(a.v, b.v) AS v FROM points a JOIN points b USING ({key}) GROUP BY 1, 2),{_eigen(count)}"""
+
+
+def _scores(key: str, count: int) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {key}, {c}::INT AS component, round(sum(v * w), 6) AS score FROM points JOIN dir{c} USING (pos) GROUP BY ALL"
+        for c in range(count))
+
+
+TWINS["pca"] = f"WITH RECURSIVE {VECTORS}, {_components('vec_id', 2)} {_scores('vec_id', 2)}"
+TWINS["project_back"] = f"""WITH RECURSIVE {VECTORS}, {_components('vec_id', 1)},
+along AS (
+  SELECT vec_id, sum((v - mean) * w) / (SELECT sum(w * w) FROM dir0) AS share
+  FROM points JOIN means USING (pos) JOIN dir0 USING (pos) GROUP BY 1)
+SELECT vec_id, pos, round(share * w + mean, 6) AS v FROM along, dir0 JOIN means USING (pos)"""
+TWINS["variance_shares"] = f"""WITH RECURSIVE {VECTORS}, {_components('vec_id', 3)},
+whole AS (SELECT sum(v) AS total FROM cov0 WHERE i = j)
+SELECT 1::INT AS k, round(val0.l / total, 9) AS share FROM whole, val0
+UNION ALL SELECT 2, round((val0.l + val1.l) / total, 9) FROM whole, val0, val1
+UNION ALL SELECT 3, round((val0.l + val1.l + val2.l) / total, 9) FROM whole, val0, val1, val2"""
+TWINS["eigenvalue_sums"] = f"""WITH {VECTORS},
+cov AS MATERIALIZED (
+  SELECT a.pos AS i, b.pos AS j, covar_pop(a.v, b.v) AS v FROM points a JOIN points b USING (vec_id) GROUP BY 1, 2),
+square AS MATERIALIZED (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM cov a JOIN cov b ON a.j = b.i GROUP BY 1, 2)
+SELECT 1::INT AS power, round(sum(v), 9) AS total FROM cov WHERE i = j
+UNION ALL SELECT 2, round(sum(v * v), 9) FROM cov
+UNION ALL SELECT 3, round(sum(cov.v * square.v), 9) FROM cov JOIN square USING (i, j)
+UNION ALL SELECT 4, round(sum(v * v), 9) FROM square"""
+for _name, _points in (("pca_rescaled", "pos"), ("pca_folded", "(pos % 16)::INT"), ("pca_blocks", "(pos // 8)::INT")):
+    _changed = SERIES.replace("points AS", "raw_points AS").replace("FROM points", "FROM raw_points")
+    TWINS[_name] = f"""WITH RECURSIVE {_changed},
+points AS MATERIALIZED (SELECT x, y, {_points} AS pos, sum(v) AS v FROM rescaled GROUP BY ALL),
+{_components('x, y', 3)} {_scores('x, y', 3)}"""
 TWINS["covariance"] = f"""WITH {VECTORS}
 SELECT a.pos AS i, b.pos AS j, round(covar_pop(a.v, b.v), 9) AS cov
 FROM points a JOIN points b USING (vec_id) GROUP BY 1, 2"""

@@ -1,5 +1,6 @@
 import math
 import warnings
+from decimal import Decimal, localcontext
 
 import numpy as np
 import pytest
@@ -100,19 +101,54 @@ def test_logistic_descent_equals_the_library(spark, clicks):
     points = spark.sparkContext.parallelize(
         [LabeledPoint(y, Vectors.sparse(8, i, v)) for _, y, i, v in clicks], 2)
     settings = [(1.0, 1e-3), (5.0, 1e-6)]
-    mine = C.descend(sparse(spark, clicks).repartition(3), 8, settings, 12)
+    mine = C.descend(sparse(spark, clicks).repartition(3), settings, 12)
     for (step, reg), model in zip(settings, mine):
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
             library = LogisticRegressionWithSGD.train(
                 points, 12, step, 1.0, regParam=reg, regType="l2", intercept=True, convergenceTol=0.0)
-        assert model.weights == pytest.approx(library.weights.toArray(), abs=1e-7)
+        assert model.dense(8) == pytest.approx(library.weights.toArray(), abs=1e-7)
         assert model.intercept == pytest.approx(library.intercept, abs=1e-7)
 
 
+def test_weights_in_a_table_take_the_same_steps(spark, clicks):
+    """Also with rows that lack a label or have no place, far places, and pieces of few rows."""
+    far = [(i, y, [p + (1 << 40) * (p > 5) for p in places], v) for i, y, places, v in clicks]
+    frame = spark.createDataFrame(
+        [*far, (900, None, [1], [1.0]), (901, 1.0, None, None)], "row_id int, label double, indices array<bigint>, values array<double>")
+    settings = [(1.0, 1e-3), (5.0, 1e-6)]
+    held = C.descend(frame, settings, 6)
+    table = C.descend(frame, settings, 6, held=3)
+    assert isinstance(table, C.ModelTable)
+    weights = {r["slot"]: r["w"] for r in table.weights.collect()}
+    for m, model in enumerate(held):
+        assert weights[C.INTERCEPT][m] == pytest.approx(model.intercept, abs=1e-12)
+        assert [weights[p][m] for p in model.places.tolist()] == pytest.approx(model.weights.tolist(), abs=1e-12)
+    assert set(weights) == {C.INTERCEPT, *held[0].places.tolist()}
+    rows = frame.filter("indices is not null")
+    names = ["a", "b"]
+    one = {r["row_id"]: (r["a"], r["b"]) for r in C.with_raw_scores(rows, held, names).collect()}
+    two = {r["row_id"]: (r["a"], r["b"]) for r in C.with_raw_scores(rows, table, names).collect()}
+    assert one.keys() == two.keys() and all(two[k] == pytest.approx(v, abs=1e-12) for k, v in one.items())
+    grid, best = C.logistic_grid(frame, rows.filter("label is not null"), settings, 6, held=3)
+    assert best.models == 1 and [r["loss"] for r in grid.collect()] == pytest.approx(C.model_log_losses(rows.filter("label is not null"), held))
+
+
+def test_gradients_of_many_tasks_are_added_in_levels(spark, clicks, monkeypatch):
+    monkeypatch.setattr(C, "MEETING", 2)
+    monkeypatch.setattr(C, "PIECE_ENTRIES", 9)
+    frame = sparse(spark, clicks)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        many = C.descend(frame, [(1.0, 1e-3)], 5)[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert many.weights == pytest.approx(C.descend(frame, [(1.0, 1e-3)], 5)[0].weights, abs=1e-12)
+
+
 def test_logistic_grid_beats_the_baseline(spark, clicks):
     rows = sparse(spark, clicks)
-    grid, model = C.logistic_grid(rows, rows, 8, [(1.0, 1e-6), (1.0, 10.0)], 30)
+    grid, model = C.logistic_grid(rows, rows, [(1.0, 1e-6), (1.0, 10.0)], 30)
     best = grid.filter("best").first()
     assert best["loss"] == grid.agg(F.min("loss")).first()[0]
     base = C.baseline_log_loss(rows.withColumn("split", F.lit("train"))).first()
@@ -172,6 +208,36 @@ def test_covariance_and_components_against_numpy(spark):
     assert found.variance_explained(2) == pytest.approx(values[::-1][:2].sum() / values.sum())
 
 
+def test_components_of_wide_vectors_by_iteration(spark):
+    """5000 places, of which no 5000 x 5000 matrix is made, beside numpy; and on few places beside the library."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(40, 4)) * [9, 6, 4, 2] @ rng.normal(size=(4, 5000)) + 0.01 * rng.normal(size=(40, 5000)) + 3
+    df = vectors(spark, x).repartition(3)
+    found = P.fit_components(df, 2)
+    _, values, rows = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    assert found.eigenvalues == pytest.approx(values[:2] ** 2 / 40)
+    assert found.total == pytest.approx((values**2).sum() / 40)
+    for k in range(2):
+        assert abs(rows[k] @ found.directions[:, k]) == pytest.approx(1, abs=1e-9)
+        assert found.directions[np.abs(found.directions[:, k]).argmax(), k] > 0
+    with pytest.raises(ValueError):
+        found.variance_explained(3)
+    y = rng.multivariate_normal([5, 0, 1, 2], [[25, 9, 3, 0], [9, 16, 1, 1], [3, 1, 9, 0], [0, 1, 0, 2]], 200)
+    small = vectors(spark, y)
+    library, mine = P.fit_components(small, 3), P.fit_components(small, 3, held=2)
+    assert mine.eigenvalues == pytest.approx(library.eigenvalues[:3]) and mine.total == pytest.approx(library.total)
+    assert np.abs(mine.directions - library.directions).max() < 1e-6
+
+
+def test_scores_of_rows_with_holes(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [None, 9.0]), (4, [3.0, -4.0]), (5, [0.0, 1.0])], "id int, features array<double>")
+    found = P.fit_components(df, 2)
+    got = {r["id"]: r["scores"] for r in P.with_scores(df, found).collect()}
+    assert got[2] is None and got[3] is None
+    assert got[4] == pytest.approx((np.array([3.0, -4.0]) @ found.directions).tolist())
+    assert {r["pos"]: r["mean"] for r in M.column_means(df).collect()} == pytest.approx({0: 4 / 3, 1: -1 / 3})
+
+
 def test_moments_refuse_uneven_vectors_and_leave_out_nulls(spark):
     kind = "features array<double>"
     uneven = spark.createDataFrame([([1.0, 2.0, 3.0],), ([5.0],)], kind)
@@ -183,12 +249,39 @@ def test_moments_refuse_uneven_vectors_and_leave_out_nulls(spark):
     cov = {(r["i"], r["j"]): r["cov"] for r in M.covariance(spark.createDataFrame(rows, kind)).collect()}
     assert cov == {(0, 0): 1.0, (0, 1): -3.0, (1, 0): -3.0, (1, 1): 9.0}
     assert M.products(spark.createDataFrame([], kind), ["features"]).count() == 0
+    zeros = {(r["i"], r["j"]): r["total"] for r in M.products(spark.createDataFrame([([0.0, 0.0],)], kind), ["features"]).collect()}
+    assert zeros == {(0, 0): 0.0, (0, 1): 0.0, (1, 1): 0.0}
+
 
+@pytest.mark.parametrize("width", [1, 2, 7, 100, 4096])
+def test_places_of_a_triangle(spark, width):
+    size = width * (width + 1) // 2
+    i, j = np.triu_indices(width)
+    some = sorted({0, size - 1, *np.random.default_rng(1).integers(0, size, 300).tolist(), *(np.flatnonzero(np.diff(i)) + 1).tolist()[:4000]})
+    frame = spark.createDataFrame([(int(k),) for k in some], "k long")
+    got = {r["k"]: (r["i"], r["j"]) for r in frame.select("k", *M._pair_of(F.col("k"), width)).collect()}
+    assert got == {k: (int(i[k]), int(j[k])) for k in some}
 
-def test_a_descent_that_lost_its_digits_has_no_error(spark):
+
+def test_descents_that_grow_without_bound_keep_their_digits(spark):
     rng = np.random.default_rng(4)
     data = [(float(y), [float(v) for v in x]) for x, y in zip(rng.random((200, 3)), rng.random(200), strict=True)]
     frame = spark.createDataFrame(data, "label double, features array<double>")
-    grid, _ = L.sgd_grid(frame, frame, [(500, 1.0, 1e-10), (500, 30.0, 1e-10)])
-    errors = [r["rmse"] for r in grid.collect()]
-    assert errors[0] < 0.4 and errors[1] is None
+    settings = [(500, 30.0, 1e-10), (500, 1.0, 1e-10), (5, 30.0, 0.0), (3000, 1e4, 0.0)]
+    grid, _ = L.sgd_grid(frame, frame, settings)
+    rows = grid.collect()
+    assert [r["diverged"] for r in rows[1:]] == [False, True, True] and rows[1]["best"] and [r["best"] for r in rows].count(True) == 1
+    moments = M.regression_moments(frame, intercept=True)
+    x, y = np.array([[*f, 1.0] for _, f in data]), np.array([v for v, _ in data])
+    for (iterations, step, reg), row in zip(settings[:3], rows, strict=False):
+        with localcontext() as context:  # the plain iteration with 80 digits
+            context.prec = 80
+            xx, xy = ([[Decimal(v) for v in r] for r in np.atleast_2d(z).tolist()] for z in (moments.xx, moments.xy))
+            w = [Decimal(0)] * 3 + [Decimal(1)]
+            for t in range(1, iterations + 1):
+                rate = Decimal(step) / Decimal(t).sqrt()
+                g = [(sum(a * b for a, b in zip(xx[i], w, strict=True)) - xy[0][i]) / moments.rows for i in range(4)]
+                w = [v * (1 - rate * Decimal(reg)) - rate * d for v, d in zip(w, g, strict=True)]
+            exact = np.array([float(v) for v in w])
+        assert row["rmse"] == pytest.approx(float(np.sqrt(np.mean((x @ exact - y) ** 2))), rel=1e-8)
+    assert rows[1]["rmse"] < 0.4 and rows[3]["rmse"] > 1e100

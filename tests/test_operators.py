@@ -5,14 +5,16 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import classify as C
 from millrace.operators import features as E
 from millrace.operators import ratings as R
 from millrace.operators import similarity as M
 from millrace.operators import tokens as K
 from millrace.operators.joins import hot_keys, spread_join
 from millrace.operators.ordering import (
-    key_split, running_totals, same_rows, top_rows, with_ordinal, with_share,
+    bottom_sample, key_split, running_totals, same_rows, top_rows, with_ordinal, with_share,
 )
+from millrace.session import settle
 
 ANIMALS = [
     ("r1", 1.0, [(0, "mouse"), (1, "black")]),
@@ -161,7 +163,7 @@ def catalogues(spark, skewed):
     return M.build_catalogues(K.token_bags(records(spark, skewed)))
 
 
-@pytest.mark.parametrize("least", [0.0, 0.01, 0.1, 0.5, 0.95])
+@pytest.mark.parametrize("least", [0.001, 0.01, 0.1, 0.5, 0.95])
 def test_similar_pairs_against_brute_force(spark, skewed, catalogues, least):
     bag = {(r["side"], r["id"]): r["bag"] for r in catalogues.members.collect()}
     want, sizes = {}, defaultdict(int)
@@ -176,6 +178,19 @@ def test_similar_pairs_against_brute_force(spark, skewed, catalogues, least):
         assert r["cosine"] == pytest.approx(want[r["bag_a"], r["bag_g"]], abs=1e-9)
 
 
+@pytest.mark.parametrize("cut", [0.0, 0.1, 0.4])
+def test_products_of_kept_tokens_bound_the_cosine(skewed, catalogues, cut):
+    """Without a cut they are the cosines of all pairs that share a token."""
+    bag = {(r["side"], r["id"]): r["bag"] for r in catalogues.members.collect()}
+    sims = {(bag["a", a], bag["g", g]): c for (a, g), c in brute_force(skewed).items()}
+    found = {(r["bag_a"], r["bag_g"]): r["cosine"] for r in M.bounded_pairs(catalogues, cut).collect()}
+    assert found.keys() <= sims.keys() and (cut or found.keys() == sims.keys())
+    for pair, c in sims.items():
+        assert found.get(pair, 0.0) - 1e-9 <= c <= found.get(pair, 0.0) + cut + 1e-9
+    with pytest.raises(ValueError):
+        M.similar_pairs(catalogues, 0.0)
+
+
 def test_evaluation_against_brute_force(spark, skewed, catalogues):
     sims = brute_force(skewed)
     side = {i: s for i, s, _ in skewed}
@@ -293,6 +308,24 @@ def test_dictionary_and_one_hot(spark):
     assert E.first_rows_total(hot, F.size("indices"), 2).first()["total"] == 5
 
 
+@pytest.mark.parametrize("held", [E.HELD_FEATURES, 0])
+def test_rows_that_share_an_id_keep_their_own_features(spark, held, monkeypatch):
+    """With the dictionary in every task and with dealt uses."""
+    monkeypatch.setattr(E, "HELD_FEATURES", held)
+    rows = settle(spark.createDataFrame(
+        [("r", 0.0, [(0, "a"), (1, "x")]), ("r", 1.0, [(0, "b")]), ("s", 1.0, []), ("t", 0.0, [(0, "a")])] + [("u", 0.0, [(0, "a"), (1, "y")])] * 9,
+        FEATS).repartition(3))
+    dictionary = E.feature_dictionary(rows.filter("row_id <> 't'"))
+    got = sorted((r["row_id"], r["label"], r["indices"], r["values"]) for r in E.one_hot(rows, dictionary).collect())
+    assert got == sorted([("r", 0.0, [0, 2], [1.0, 1.0]), ("r", 1.0, [1], [1.0]), ("s", 1.0, [], []), ("t", 0.0, [0], [1.0])]
+                         + [("u", 0.0, [0, 3], [1.0, 1.0])] * 9)
+    weights = dictionary.select("ordinal", (F.col("ordinal") + 1.0).alias("weight"))
+    scores = sorted((r["row_id"], r["raw_score"]) for r in E.weighted_scores(rows, dictionary, weights, -1.0).collect())
+    assert scores == sorted([("r", 3.0), ("r", 1.0), ("s", -1.0), ("t", 0.0)] + [("u", 4.0)] * 9)
+    unseen = E.unseen_features(rows, E.feature_dictionary(rows.filter("label = 1"))).groupBy("idx", "cat").count().collect()
+    assert {(r["idx"], r["cat"]): r["count"] for r in unseen} == {(0, "a"): 11, (1, "x"): 1, (1, "y"): 9}
+
+
 def test_unseen_categories(spark):
     rows = spark.createDataFrame(ANIMALS, FEATS)
     dictionary = E.feature_dictionary(rows)
@@ -329,3 +362,55 @@ def test_weighted_scores(spark):
     weights = dictionary.select("ordinal", (F.col("ordinal") * 1.0).alias("weight"))
     got = {r["row_id"]: r["raw_score"] for r in E.weighted_scores(rows, dictionary, weights, -1.0).collect()}
     assert got == {"r1": 4.0, "r2": 9.0, "r3": 8.0}
+
+
+# ------------------------------------------------------------- order, samples, digests
+
+def test_running_totals(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.randrange(6), rng.choice([None, *range(5)]), rng.random()) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, s int, n int, x double").repartition(7)
+    order = [F.desc("s"), F.asc("id")]
+    got = {r["id"]: (r["total"], r["sum_x"]) for r in running_totals(df, order, {"total": F.col("n"), "sum_x": F.col("x")}).collect()}
+    total, x = 0, 0.0
+    for i, _, n, v in sorted(rows, key=lambda r: (-r[1], r[0])):
+        total, x = total + (n or 0), x + v
+        assert got[i] == (total, pytest.approx(x))
+    plan = running_totals(df, order, {"total": F.col("n")})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # of the blocks' totals, a row a block
+    assert running_totals(df.limit(0), order, {"total": F.col("n")}).count() == 0
+
+
+def test_area_under_the_curve(spark):
+    rng = random.Random(6)
+    rows = [(rng.randrange(20) / 20, float(rng.random() < 0.4)) for _ in range(300)] + [(None, 1.0), (0.5, None)]
+    df = spark.createDataFrame(rows, "s double, y double")
+    known = [(s, y) for s, y in rows if s is not None and y is not None]
+    won = [1.0 if a > b else 0.5 if a == b else 0.0 for a, y in known if y == 1 for b, z in known if z == 0]
+    got = C.area_under_curve(df, "s", "y").first()
+    assert (got["positives"], got["negatives"], got["auc"]) == (
+        sum(y == 1 for _, y in known), sum(y == 0 for _, y in known), pytest.approx(sum(won) / len(won)))
+    assert C.area_under_curve(df.filter("y = 1"), "s", "y").first()["auc"] is None
+    assert C.area_under_curve(df.limit(0), "s", "y").first()["positives"] == 0
+
+
+def test_a_sample_does_not_depend_on_partitions(spark):
+    df = spark.range(1000).select(F.col("id").cast("int").alias("a"), (F.col("id") % 7).alias("b"))
+    found = [sorted(map(tuple, bottom_sample(df.repartition(n), ["a", "b"], 20).collect())) for n in (1, 3, 11)]
+    assert found[0] == found[1] == found[2] and len(set(found[0])) == 20
+    assert max(a for a, _ in found[0]) > 500  # not a prefix
+    assert bottom_sample(df.limit(5), ["a"], 20).count() == 5
+
+
+def test_digests_tell_tables_apart(spark):
+    kind = "a int, b string, c array<double>"
+    rows = [(1, "x", [1.0]), (1, "x", [1.0]), (2, None, None), (None, "", [])]
+    table = spark.createDataFrame(rows, kind)
+    assert same_rows(table, table.repartition(3).select("c", "a", "b"))
+    others = [rows[1:], [*rows, rows[0]], [(1, "x", [1.0]), (2, None, None), (2, None, None), (None, "", [])],
+              [(1, "x", [1.0]), (1, "x", [1.0]), (2, "", None), (None, None, [])], []]
+    for other in others:
+        assert not same_rows(table, spark.createDataFrame(other, kind))
+    assert not same_rows(table, table.drop("c"))
+    empty = spark.createDataFrame([], kind)
+    assert same_rows(empty, empty)

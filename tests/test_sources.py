@@ -108,3 +108,28 @@ def test_gzip_lines_are_dealt_out(spark, tmp_path):
     lines = S.read_lines(spark, str(tmp_path / "r.dat.gz"), partitions=3)
     assert lines.rdd.getNumPartitions() == 3
     assert S.parse_ratings(lines).filter(F.col("status") == S.VALID).count() == 100
+
+
+def test_gzip_files_are_inflated_once_and_dealt_in_pieces(spark, tmp_path):
+    lines = [f"{i}::{i % 7}::{i % 5}" for i in range(1000)]
+    for k in (0, 1):
+        with gzip.open(tmp_path / f"part-{k}.txt.gz", "wt") as out:
+            out.write("\n".join(lines[500 * k : 500 * (k + 1)]) + "\n")
+    found = S.read_compressed_lines(spark, str(tmp_path), 100)
+    assert sorted(r["value"] for r in found.collect()) == sorted(lines)
+    assert len(found.inputFiles()) == 10
+    assert S.parse_ratings(found).filter("status = 1").count() == 1000
+
+
+def test_expected_widths(spark):
+    rows = [(1, "1.0,2.0,3.0"), (2, "1.0,2.0"), (3, "1.0,2.0,x"), (4, "1.0")]
+    frame = spark.createDataFrame(rows, "id int, value string")
+    status = lambda parsed: {r["id"]: r["status"] for r in parsed.collect()}
+    assert status(S.parse_labelled(frame)) == {1: 1, 2: 1, 3: -1, 4: 1}
+    assert status(S.parse_labelled(frame, 2)) == {1: 1, 2: -1, 3: -1, 4: -1}
+    clicks = spark.createDataFrame([(1, "1,a,b"), (2, "0\ta\t"), (3, "1,a"), (4, "x,a,b")], "id int, value string")
+    assert status(S.parse_clicks(clicks)) == {1: 1, 2: 1, 3: 1, 4: -1}
+    assert status(S.parse_clicks(clicks, 2))[1] == 1 and status(S.parse_clicks(clicks, 2))[3] == -1
+    series = spark.createDataFrame([(1, "0 1 5.0 6.0"), (2, "0 1 5.0"), (3, "0 x 5.0 6.0")], "id int, value string")
+    assert status(S.parse_series(series)) == {1: 1, 2: 1, 3: -1}
+    assert status(S.parse_series(series, 2)) == {1: 1, 2: -1, 3: -1}
