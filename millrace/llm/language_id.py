@@ -22,8 +22,8 @@ TEXTS_PER_LANGUAGE = 256
 BYTES_PER_TEXT = 1024
 DICTIONARY_BYTES = 160 * 1024
 LANGUAGES = 1000
-#: a language's rows are ranked in so many deals before the lowest of all are taken
-DEALS = 256
+#: so many times the wanted rows of a language are ranked
+SPARE = 4
 BLOCK_BYTES = 2048
 LEVEL = 3
 MIN_MARGIN = 0.002
@@ -42,6 +42,32 @@ def _letters(text: str) -> bytes:
     return _BETWEEN.sub(" ", text.lower()).encode()
 
 
+def _lowest(rows: DataFrame) -> DataFrame:
+    """The TEXTS_PER_LANGUAGE distinct rows (doc_id, lang, _hash) of each language that hash lowest.
+
+    A language's rows are first cut down to those below a hash that leaves about SPARE times as many
+    as are wanted, so that no task sees all rows of a language; the lowest are among them if
+    enough are left. Languages that have too few left are ranked whole.
+    """
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "doc_id"))
+
+    def ranked(some: DataFrame) -> DataFrame:
+        return some.distinct().withColumn("_rank", rank).filter(F.col("_rank") <= TEXTS_PER_LANGUAGE).select("doc_id", "lang", "_hash")
+
+    sizes = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "language-sizes")
+    share = F.col("_hash") / F.lit(2.0**64) + 0.5
+    below = share < SPARE * TEXTS_PER_LANGUAGE / F.col("_n")
+    near = stage(ranked(rows.join(sizes, "lang").filter(below).select("doc_id", "lang", "_hash")), "language-sample")
+    held = near.groupBy("lang").agg(F.count(F.lit(1)).alias("_held"))
+    short = sizes.join(held, "lang", "left").filter(
+        (F.col("_n") > SPARE * TEXTS_PER_LANGUAGE) & (F.coalesce("_held", F.lit(0)) < TEXTS_PER_LANGUAGE)).select("lang")
+    short = stage(short, "language-short")
+    if short.isEmpty():
+        return near
+    whole = ranked(rows.join(short, "lang"))
+    return stage(near.join(short, "lang", "left_anti").select("doc_id", "lang", "_hash").unionByName(whole), "language-sample")
+
+
 def fit_dictionaries(labelled: DataFrame) -> list[tuple[str, bytes]]:
     """(language, dictionary) in the order of languages, from rows (doc_id, text, lang).
 
@@ -50,14 +76,8 @@ def fit_dictionaries(labelled: DataFrame) -> list[tuple[str, bytes]]:
     TEXTS_PER_LANGUAGE texts, which the driver would have to hold, are refused with a ValueError.
     """
     usable = labelled.filter("doc_id is not null and lang is not null and text is not null and text <> ''")
-    chosen = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash")).distinct()
-    chosen = chosen.withColumn("_deal", F.pmod(F.xxhash64("_hash", "lang"), F.lit(DEALS)))
-    # the lowest hashes of every deal, then of these: no task sees all rows of a language
-    for part in (["lang", "_deal"], ["lang"]):
-        rank = F.row_number().over(Window.partitionBy(*part).orderBy("_hash", "doc_id"))
-        chosen = chosen.withColumn("_rank", rank).filter(F.col("_rank") <= TEXTS_PER_LANGUAGE).drop("_rank")
     most = LANGUAGES * TEXTS_PER_LANGUAGE
-    chosen = stage(chosen.select("doc_id", "lang", "_hash"), "language-sample")
+    chosen = _lowest(usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash")))
     if chosen.count() > most:
         raise ValueError(f"the languages have more than {most} sample texts ({LANGUAGES} languages of {TEXTS_PER_LANGUAGE})")
     rows = (

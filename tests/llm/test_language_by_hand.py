@@ -57,16 +57,16 @@ def test_choice_margin_and_ties_by_hand(spark):
     assert {x[0] for x in found.values()} & {"aa"} and "en" not in {x[0] for x in found.values()}
 
 
-def test_the_sample_does_not_depend_on_the_deals(spark, monkeypatch):
+@pytest.mark.parametrize("spare", [0.01, 1, 4, 1000])
+def test_the_sample_is_the_lowest_however_many_rows_are_ranked(spark, spare, monkeypatch):
+    """Also where the cut leaves too few, and where rows repeat."""
     rng = random.Random(4)
-    rows = [(i, "".join(rng.choices("abc ", k=30)), rng.choice(["x", "y"])) for i in range(400)]
+    rows = [(i, "".join(rng.choices("abc ", k=30)), rng.choice(["x", "y"])) for i in range(400)] + [(1, "abc", "z")] * 60
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     monkeypatch.setattr(language_id, "TEXTS_PER_LANGUAGE", 9)
-    found = []
-    for deals in (1, 3, 256):
-        monkeypatch.setattr(language_id, "DEALS", deals)
-        found.append(language_id.fit_dictionaries(frame))
-    assert found[0] == found[1] == found[2]
+    monkeypatch.setattr(language_id, "SPARE", spare)
+    hashes = {r["doc_id"]: r["h"] for r in frame.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    assert language_id.fit_dictionaries(frame) == sample_by_hand(sorted(set(rows)), hashes)
 
 
 @pytest.mark.parametrize("text", ["½ ²", "①", "Ⅷ", "12 _ !!", "", None])
