@@ -23,7 +23,7 @@ from millrace.session import settle
 
 PAIR = ["bag_a", "bag_g", "n_a", "n_g", "a_id", "g_id"]
 BINS = 101  # one per hundredth, and one for a similarity of exactly 1
-SLACK = 0.004  # what the histogram's first look at a pair may miss of its similarity
+SLACK = 0.007  # what the histogram's first look at a pair may miss of its similarity
 NOISE = 1e-8  # more than sums of products are off by, and than a bin's rounding
 
 

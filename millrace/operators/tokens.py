@@ -30,18 +30,19 @@ def counted_members(pairs: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def token_bags(records: DataFrame, stop_words: DataFrame | None = None) -> DataFrame:
-    """Replace `text` by `tokens`, without stop words. The stop list is a parameter of
-    fixed size, folded into one array by a subquery."""
+    """Replace `text` by `tokens`, without stop words."""
     kept = [c for c in records.columns if c != "text"]
-    if stop_words is None:
-        return records.select(*kept, once(T.tokens(F.col("text"))).alias("tokens"))
+    bags = records.select(*kept, once(T.tokens(F.col("text"))).alias("tokens"))
+    return bags if stop_words is None else without_words(bags, stop_words)
+
+
+def without_words(bags: DataFrame, stop_words: DataFrame) -> DataFrame:
+    """The bags less the stop words (word). The stop list is a parameter of fixed size, folded into
+    one array by a subquery."""
     listed = stop_words.agg(F.collect_set("word")).scalar()
-    return records.withColumn("_stop", listed).select(
-        *kept,
-        once(
-            F.filter(T.tokens(F.col("text")), lambda t: ~F.array_contains("_stop", t))
-        ).alias("tokens"),
-    )
+    kept = [c for c in bags.columns if c != "tokens"]
+    return bags.withColumn("_stop", listed).select(
+        *kept, once(F.filter("tokens", lambda t: ~F.array_contains("_stop", t))).alias("tokens"))
 
 
 def token_total(bags: DataFrame) -> DataFrame:

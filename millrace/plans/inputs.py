@@ -64,16 +64,17 @@ def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.col("doc_id").alias("id"), side.alias("side"), "text")
 
 
-def stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stop_words(bags: DataFrame) -> DataFrame:
     """The stop list: the tokens most documents hold."""
-    counts = K.document_counts(K.token_bags(text_records(spark, sf_dir)))
-    common = counts.orderBy(F.desc("n_docs"), "token").limit(STOP_WORDS)
+    common = K.document_counts(bags).orderBy(F.desc("n_docs"), "token").limit(STOP_WORDS)
     return settle(common.select(F.col("token").alias("word")))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, side, tokens) without stop words."""
-    return K.token_bags(text_records(spark, sf_dir), stop_words(spark, sf_dir))
+    """(id, side, tokens) without stop words. The texts are taken apart once and the tokens written,
+    since the stop list and every use go over them."""
+    bags = settle(K.token_bags(text_records(spark, sf_dir)))
+    return K.without_words(bags, stop_words(bags))
 
 
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordering import top_rows, with_share
 from millrace.plans import inputs as I
+from millrace.session import shared_folder
 from millrace.sources import lines as S
 
 FIELDS = ["host", "client_identd", "user_id", "date_time", "method", "endpoint", "protocol",
@@ -41,6 +42,13 @@ def log_load_counts(spark, sf_dir):
     return S.status_counts(I.access_log(spark, sf_dir))
 
 
+def log_file_counts(spark, sf_dir):
+    """Log lines written to text files and read back, per status."""
+    folder = shared_folder(spark, "log-lines")
+    I.log_lines(spark, sf_dir).write.text(folder)
+    return S.status_counts(S.parse_log(S.read_lines(spark, folder)))
+
+
 def log_rejects(spark, sf_dir):
     return S.rejects(I.access_log(spark, sf_dir, S.LOG_STRICT), 0, 20)
 
@@ -136,7 +144,7 @@ def hourly_404(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        log_parse, log_parse_relaxed, log_load_counts, log_rejects, content_size_stats,
+        log_parse, log_parse_relaxed, log_load_counts, log_file_counts, log_rejects, content_size_stats,
         response_code_counts, response_code_share, hosts_over_n, endpoint_hits, top_endpoints,
         top_failing_endpoints, failing_endpoint_count, unique_hosts, daily_hosts,
         daily_avg_requests, errors_404, distinct_404_endpoints, top_404_endpoints, top_404_hosts,

@@ -95,6 +95,7 @@ method, endpoint, protocol, response_code, content_size"""
 TWINS["log_parse"] = f"WITH {_log(STRICT)} SELECT {SHOWN} FROM good"
 TWINS["log_parse_relaxed"] = f"WITH {LOG} SELECT {SHOWN} FROM good"
 TWINS["log_load_counts"] = f"WITH {LOG} SELECT status, count(*) AS n FROM log GROUP BY 1"
+TWINS["log_file_counts"] = TWINS["log_load_counts"]
 TWINS["log_rejects"] = f"""WITH {_log(STRICT)}
 SELECT value FROM log WHERE status = 0 ORDER BY value LIMIT 20"""
 TWINS["content_size_stats"] = f"""WITH {LOG}
