@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.llm.frames import task_count
 from millrace.llm.kdtree import KdTree
 from millrace.operators.joins import spread_join
 from millrace.session import stage
@@ -266,7 +267,9 @@ def _search(dealt: DataFrame) -> DataFrame:
             "best": table["word"].take(pa.array(best, mask=best < 0)),
         })
 
-    return dealt.groupBy("length", "cell", "piece").applyInArrow(search, _FOUND)
+    # as many tasks as there are partitions, however few bytes the words have: the search is the work
+    keys = ["length", "cell", "piece"]
+    return dealt.repartition(task_count(dealt.sparkSession), *keys).groupBy(*keys).applyInArrow(search, _FOUND)
 
 
 def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
