@@ -53,7 +53,10 @@ def pack(docs: DataFrame, tokenizer: str, width: int = WIDTH, end_id: int = END_
     the piece), length, doc_tokens, sequence_id, offset (in the sequence) and ids (binary).
 
     A null or empty text has the end id alone. Every row makes its own pieces, also where rows
-    repeat or have no doc_id. Only the last sequence may be short; an empty table gives no pieces.
+    repeat or have no doc_id; other columns take no part. Rows stand as the table gives them, so none
+    ties with another. Texts have any length; one's ids are held whole by a task. Only the last
+    sequence may be short; an empty table gives no pieces. A tokenizer file of a kind that words can't
+    be encoded apart for is refused with a ValueError.
     """
     tokens = stage(encode_documents(docs, tokenizer, end_id), "packing-tokens")
     totals = tokens.groupBy("block").agg(F.sum("doc_tokens").alias("total"))

@@ -14,9 +14,11 @@ import numpy as np
 
 from millrace.llm.chunks import Words, chunked
 
-WORDS_KEPT = 1_000_000
+#: about 50 bytes each
+WORDS_KEPT = 3_000_000
 _PUNCTUATION = b".,!?:;*&%$#|()[]-"
 _SOME = 100
+_PROBE = "The quick brown Foxes jumped,\nover  unbelievably lazy\tdogs! And xqzvkj again."
 
 
 @functools.lru_cache(maxsize=4)
@@ -39,6 +41,19 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [t.content.lower().encode() for t in self.whole.get_added_tokens_decoder().values()]
         self._forget()
+        self._require()
+
+    def _require(self) -> None:
+        """Refuse a tokenizer of another kind, whose ids would come out wrong."""
+        ids = lambda encoder, text: encoder.encode(text, add_special_tokens=False).ids
+        for word in _PROBE.split():
+            stem = word.lower().rstrip(_PUNCTUATION.decode())
+            own = np.array(ids(self.bare, stem), dtype=np.int64)
+            good = len(own) and self.ends[own].nonzero()[0].tolist() == [len(own) - 1]
+            if not good or ids(self.whole, word) != own.tolist() + ids(self.whole, word[len(stem):]):
+                raise ValueError("the tokenizer doesn't lower-case words, split at punctuation and mark their ends")
+        if ids(self.whole, _PROBE) != [i for word in _PROBE.split() for i in ids(self.whole, word)]:
+            raise ValueError("the tokenizer joins characters across white space")
 
     def _forget(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)

@@ -62,3 +62,27 @@ def test_edges(edge_frames):
     lengths = [r["length"] for r in packing.pack(edge_frames["no_ids"], PATH).collect()]
     assert sorted(lengths)[0] == 1 and len(lengths) == 3
     assert packing.pack(edge_frames["equal"], PATH).count() == 3
+
+
+def test_tokenizers_of_another_kind_are_refused(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    from millrace.llm.tokenizing import WordEncoder
+
+    letters = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyzTFA ,.!</w>\n\t")}
+    own = Tokenizer(models.BPE(vocab=letters, merges=[]))
+    own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = str(tmp_path / "plain.json")
+    own.save(path)
+    with pytest.raises(ValueError):
+        WordEncoder(path)
+    assert WordEncoder(public_tokenizers.path("word_bpe_49k.json")).special
+
+
+def test_columns_that_clash_take_no_part(made_frame):
+    import pyspark.sql.functions as F
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    clash = made_frame.withColumn("first", F.lit(1)).withColumn("ids", F.lit("x")).withColumn("BLOCK", F.lit(2)).withColumn("length", F.lit(2))
+    rows = lambda f: sorted((r["doc_id"], r["start"], r["length"], bytes(r["ids"])) for r in packing.pack(f, path).collect())
+    assert rows(clash) == rows(made_frame)
