@@ -29,6 +29,7 @@ from millrace.llm.frames import bucket_count, text_bytes, without
 from millrace.llm.graph import components
 from millrace.llm.marks import BUCKETS_PER_TASK, BUCKET_BYTES, pack, plain, unpack, _batched
 from millrace.llm.repeats import one_text_each
+from millrace.operators.joins import spread_join
 from millrace.session import stage
 
 SHINGLE = 5
@@ -380,8 +381,11 @@ def link_similar(docs: DataFrame) -> DataFrame:
     docs = without(docs, "n_shingles", "component_id")
     texts = one_text_each(docs.select("doc_id", "text"))
     sets = stage(_sets(texts), "similar-sets")
-    by_set = sets.filter("size > 0").groupBy("digest_a", "digest_b", "size").agg(F.min("doc_id").alias("class"))
-    classes = stage(sets.join(by_set, ["digest_a", "digest_b", "size"]).select("doc_id", "class"), "similar-classes")
+    own = ["digest_a", "digest_b", "size"]
+    by_set = stage(sets.filter("size > 0").groupBy(*own).agg(F.min("doc_id").alias("class"), F.count(F.lit(1)).alias("n")), "similar-classes")
+    # a set that very many documents have is dealt
+    classes = stage(spread_join(sets.select(*own, "doc_id"), by_set.select(*own, "class"), own, ["doc_id"], by_set.select(*own, "n"))
+                    .select("doc_id", "class"), "similar-classes")
     met = stage(_meetings(texts, text_bytes(texts)), "similar-meetings")
     pairs = met.filter("key is null").select("a", "b").distinct()
     pairs = (
