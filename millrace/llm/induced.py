@@ -10,8 +10,12 @@ The priority queue is a row of lanes, a lane a range of first characters. What e
 in the order of the suffixes that hand it over, so a lane is read once, and sorting it by first
 character alone (stably) orders it. Tuples carry the place and the common prefix with the tuple
 before them, cut off at `depth`: it is one more than the least common prefix between the suffixes
-that handed them over. Lanes, texts and results beyond `memory` entries lie in the task's own
-scratch files, which vanish when they are closed; nothing else reads them.
+that handed them over.
+
+What has more than `memory` entries lies in the task's own scratch files, which vanish when they are
+closed and which nothing else reads: the text, its types, the starts and their names, the queue, and
+the results of both sweeps and of the whole. Memory holds one lane, or one block of these, at a
+time; a lane is at least one character, so the commonest one's suffixes must fit.
 """
 
 from __future__ import annotations
@@ -24,6 +28,36 @@ LANES = 48
 MEMORY = 1 << 25
 
 
+class Scratch:
+    """Arrays, in nameless files if they have more than `memory` entries."""
+
+    def __init__(self, memory: int):
+        self.memory = max(memory, 16)
+
+    def array(self, size: int, kind) -> np.ndarray:
+        if size <= self.memory:
+            return np.empty(size, dtype=kind)
+        file = tempfile.TemporaryFile()
+        file.truncate(size * np.dtype(kind).itemsize)
+        return np.memmap(file, dtype=kind, mode="r+", shape=(size,))
+
+    def blocks(self, size: int) -> list[tuple[int, int]]:
+        """Ranges of so many entries as memory holds."""
+        return [(a, min(a + self.memory, size)) for a in range(0, size, self.memory)]
+
+    def counts(self, values, size: int) -> np.ndarray:
+        """How often each number below `size` occurs; values(a, b) gives the a-th to b-th of them."""
+        total = np.zeros(0, dtype=np.int64)
+        for a, b in self.blocks(size):
+            own = np.bincount(values(a, b))
+            if len(own) > len(total):
+                own[: len(total)] += total
+                total = own
+            else:
+                total[: len(own)] += own
+        return total
+
+
 class LaneQueue:
     """Lanes of tuples (place, prefix) that are filled in order and read once."""
 
@@ -62,14 +96,34 @@ class LaneQueue:
         return tuple(np.concatenate([p[i] for p in parts]) for i in (0, 1))
 
 
-def s_types(text: np.ndarray) -> np.ndarray:
+def s_types(text: np.ndarray, scratch: Scratch) -> np.ndarray:
     """Whether each suffix is smaller than its right neighbour; the last one counts as such."""
     n = len(text)
-    text = text.astype(np.int32, copy=False)
-    turn = np.flatnonzero(text[1:] != text[:-1])  # the last place of each run but the last run
-    rising = text[turn] < text[turn + 1]
-    lengths = np.diff(np.concatenate(([-1], turn, [n - 1])))
-    return np.repeat(np.append(rising, True), lengths)
+    out, after = scratch.array(n, bool), True
+    for a, b in reversed(scratch.blocks(n)):
+        part = text[a : min(b + 1, n)].astype(np.int32, copy=False)
+        turn = np.flatnonzero(part[1:] != part[:-1])  # the last place of each run of the block
+        rising = part[turn] < part[turn + 1]
+        lengths = np.diff(np.concatenate(([-1], turn, [b - a - 1])))
+        out[a:b] = np.repeat(np.append(rising, after), lengths)
+        after = bool(out[a])
+    return out
+
+
+def _left_most(kinds: np.ndarray, scratch: Scratch) -> np.ndarray:
+    """The places of type S whose left neighbour is of type L."""
+    n = len(kinds)
+
+    def found(a: int, b: int) -> np.ndarray:
+        low = max(a, 1)
+        return low + np.flatnonzero(kinds[low:b] & ~kinds[low - 1 : b - 1])
+
+    sizes = [len(found(a, b)) for a, b in scratch.blocks(n)]
+    out, at = scratch.array(sum(sizes), np.int32 if n < 1 << 31 else np.int64), 0
+    for (a, b), size in zip(scratch.blocks(n), sizes, strict=True):
+        out[at : at + size] = found(a, b)
+        at += size
+    return out
 
 
 def _range_minima(values: np.ndarray) -> list[np.ndarray]:
@@ -90,16 +144,17 @@ def _least(table: list[np.ndarray], low: np.ndarray, high: np.ndarray) -> np.nda
     return out
 
 
-def _bounds(text: np.ndarray, lanes: int) -> np.ndarray:
+def _bounds(text: np.ndarray, lanes: int, scratch: Scratch) -> np.ndarray:
     """First characters of the lanes, which hold about equally many places each."""
-    counts = np.bincount(text)
+    counts = scratch.counts(lambda a, b: text[a:b], len(text))
     share = np.cumsum(counts) * lanes // max(len(text), 1)
     return np.concatenate(([0], np.flatnonzero(np.diff(share)) + 1, [len(counts)]))
 
 
-def _words_at(text: np.ndarray) -> np.ndarray:
+def _words_at(text: np.ndarray, scratch: Scratch) -> np.ndarray:
     """The eight bytes from each place of a text of bytes, as one number; zeros follow the text."""
-    padded = np.concatenate((text, np.zeros(8, dtype=np.uint8)))
+    padded = scratch.array(len(text) + 8, np.uint8)
+    padded[:-8], padded[-8:] = text, 0
     return np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), shape=(len(text) + 1,), strides=(1,))
 
 
@@ -123,12 +178,12 @@ class Sweep:
     orders are turned round, so that both sweeps read alike. With a depth of 0 there are no
     prefixes."""
 
-    def __init__(self, text: np.ndarray, kinds: np.ndarray, down: bool, depth: int, memory: int, words=None):
+    def __init__(self, text: np.ndarray, kinds: np.ndarray, down: bool, depth: int, scratch: Scratch, words=None):
         self.text, self.kinds, self.down, self.depth, self.words = text, kinds, down, depth, words
-        self.bounds = _bounds(text, max(2, min(LANES, len(text) >> 15)))
+        self.bounds = _bounds(text, max(2, min(LANES, len(text) >> 15), min(1 << 15, 4 * len(text) // scratch.memory)), scratch)
         self.lanes = len(self.bounds) - 1
-        self.lane_of = np.repeat(np.arange(self.lanes, dtype=np.uint8), np.diff(self.bounds))
-        self.queue = LaneQueue(self.lanes, memory)
+        self.lane_of = np.repeat(np.arange(self.lanes, dtype=np.uint8 if self.lanes < 256 else np.uint16), np.diff(self.bounds))
+        self.queue = LaneQueue(self.lanes, scratch.memory)
         #: least common prefix met since a suffix was last handed to each character
         self.low = np.full(int(self.bounds[-1]) if depth else 0, -1, dtype=np.int16)  # -1: none yet
 
@@ -246,59 +301,123 @@ class Sweep:
 def suffix_array(text: np.ndarray, depth: int = 0, memory: int = MEMORY) -> tuple[np.ndarray, np.ndarray]:
     """(places in order, common prefix with the one before, at most `depth`). With a depth of 0
     there are no prefixes; else the text is one of bytes."""
-    n = len(text)
-    kinds = s_types(text)
-    words = _words_at(text) if depth else None
-    starts = (np.flatnonzero(kinds[1:] & ~kinds[:-1]) + 1).astype(np.int32 if n < 1 << 31 else np.int64)
-    seeds = _sorted_starts(text, starts, memory)
-    seed_prefixes = np.zeros(len(seeds) if depth else 0, dtype=np.uint8)
-    if depth and len(seeds):
-        seed_prefixes[1:] = common_prefixes(words, seeds[:-1], seeds[1:], depth)
-
-    up = Sweep(text, kinds, False, depth, memory, words)
-    l_places, l_prefixes = _joined(up.run(_by_lane(text, seeds, seed_prefixes, up)), starts.dtype)
-    down = Sweep(text, kinds, True, depth, memory, words)
-    turned = np.append(np.uint8(0), l_prefixes[:0:-1]) if len(l_prefixes) else l_prefixes
-    s_places, s_prefixes = _joined(down.run(_by_lane(text, l_places[::-1], turned, down)), starts.dtype)
+    n, scratch = len(text), Scratch(memory)
+    kinds = s_types(text, scratch)
+    words = _words_at(text, scratch) if depth else None
+    starts = _left_most(kinds, scratch)
+    kind = starts.dtype
+    seeds = _sorted_starts(text, starts, scratch)
+    seed_prefixes = scratch.array(len(seeds) if depth else 0, np.uint8)
+    for a, b in scratch.blocks(len(seed_prefixes)):
+        low = max(a, 1)
+        seed_prefixes[a:low] = 0
+        seed_prefixes[low:b] = common_prefixes(words, seeds[low - 1 : b - 1], seeds[low:b], depth)
+    smaller = sum(int(np.count_nonzero(kinds[a:b])) for a, b in scratch.blocks(n))
+
+    up = Sweep(text, kinds, False, depth, scratch, words)
+    l_places, l_prefixes = _joined(up.run(_by_lane(text, seeds, seed_prefixes, up, scratch)), n - smaller, kind, depth, scratch)
+    down = Sweep(text, kinds, True, depth, scratch, words)
+    s_places, s_prefixes = _joined(down.run(_by_lane(text, l_places, l_prefixes, down, scratch)), smaller - 1, kind, depth, scratch)
     del up, down, seeds
-
-    # by first character the L suffixes come before the S suffixes; the end comes first of all
-    end = np.array([n - 1], dtype=starts.dtype)
-    places = np.concatenate((end, l_places, s_places[::-1]))
-    order = np.argsort(text[places], kind="stable")
-    places = places[order]
-    if not depth:
-        return places, s_prefixes
-    turned = np.append(np.uint8(0), s_prefixes[:0:-1]) if len(s_prefixes) else s_prefixes
-    prefixes = np.concatenate((np.zeros(1, np.uint8), l_prefixes, turned))[order]
-    char, kind = text[places], kinds[places]
-    first = np.ones(n, dtype=bool)
-    first[1:] = char[1:] != char[:-1]
-    prefixes[first] = 0
-    seam = np.flatnonzero(~first[1:] & (kind[1:] != kind[:-1])) + 1
-    prefixes[seam] = common_prefixes(words, places[seam - 1], places[seam], depth)
-    return places, prefixes
+    return _merged(text, kinds, (l_places, l_prefixes), (s_places, s_prefixes), depth, words, scratch)
 
 
-def _joined(parts, kind) -> tuple[np.ndarray, np.ndarray]:
-    parts = list(parts)
-    return np.concatenate([p[0] for p in parts]).astype(kind), np.concatenate([p[1] for p in parts]).astype(np.uint8)
+def _merged(text, kinds, large, small, depth: int, words, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """Both types in one order: by first character the L suffixes come before the S suffixes; the end
+    comes first of all. large: in order; small: in falling order."""
+    n = len(text)
+    places, prefixes = scratch.array(n, large[0].dtype), scratch.array(n if depth else 0, np.uint8)
+    places[0] = n - 1
+    prefixes[:1] = 0
+    s_count = len(small[0])
+    l_ends, s_ends = (np.cumsum(scratch.counts(
+        lambda a, b, want=want: text[a : min(b, n - 1)][kinds[a : min(b, n - 1)] == want], n)) for want in (False, True))
+    width = max(len(l_ends), len(s_ends), 1)
+    l_ends, s_ends = (np.append(x, np.full(width - len(x), x[-1] if len(x) else 0)) for x in (l_ends, s_ends))
+    # whole characters at a time, as many as memory holds
+    cuts = np.append(np.flatnonzero(np.diff((l_ends + s_ends) // scratch.memory)), width - 1)
+    l_from = s_from = 0
+    for cut in cuts.tolist():
+        l_to, s_to = int(l_ends[cut]), int(s_ends[cut])
+        low, high = s_count - s_to, s_count - s_from
+        own = np.concatenate((large[0][l_from:l_to], small[0][low:high][::-1]))
+        chars = text[own]
+        order = np.argsort(chars, kind="stable")
+        out = slice(1 + l_from + s_from, 1 + l_to + s_to)
+        places[out] = own[order]
+        if depth and len(own):
+            # a falling order's prefixes belong to the place before
+            turned = small[1][low + 1 : high + 1]
+            turned = np.append(turned, np.zeros(high - low - len(turned), np.uint8))[::-1]
+            joined = np.concatenate((large[1][l_from:l_to], turned))[order]
+            own, chars = own[order], chars[order]
+            is_small = kinds[own]
+            first = np.ones(len(own), dtype=bool)
+            first[1:] = chars[1:] != chars[:-1]
+            joined[first] = 0
+            seam = np.flatnonzero(~first[1:] & (is_small[1:] != is_small[:-1])) + 1
+            joined[seam] = common_prefixes(words, own[seam - 1], own[seam], depth)
+            prefixes[out] = joined
+        l_from, s_from = l_to, s_to
+    return places, prefixes
 
 
-def _by_lane(text, places, prefixes, sweep: Sweep) -> list[tuple[np.ndarray, np.ndarray]]:
-    lanes = sweep.lane_of[text[places]]
-    order = np.argsort(lanes, kind="stable")
-    ends = np.cumsum(np.bincount(lanes, minlength=sweep.lanes)).tolist()
-    parts = [order[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-    return [(places[p], prefixes[p] if sweep.depth else prefixes) for p in parts]
+def _joined(parts, size: int, kind, depth: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """A sweep's results, lane after lane."""
+    places, prefixes, at = scratch.array(size, kind), scratch.array(size if depth else 0, np.uint8), 0
+    for own, own_prefixes in parts:
+        places[at : at + len(own)] = own
+        if depth:
+            prefixes[at : at + len(own)] = own_prefixes
+        at += len(own)
+    return places, prefixes
 
 
-def _piece_ranks(text: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, int]:
-    """The rank of each left-most S place's piece: the characters up to and with the next place.
-    A piece is at most as long as it is between places, so blocks of it refine the ranks."""
-    ends = np.append(starts[1:] + 1, n)
-    sizes = ends - starts
-    wide = 8 if text.max(initial=0) < 255 else 2
+def _by_lane(text, places, prefixes, sweep: Sweep, scratch: Scratch):
+    """Per lane the places, which are in order, and prefixes in the sweep's order."""
+    counts = scratch.counts(lambda a, b: sweep.lane_of[text[places[a:b]]], len(places))
+    ends = np.append(np.cumsum(counts), np.full(sweep.lanes - len(counts), len(places))).tolist()
+
+    class Lanes:
+        def __getitem__(self, lane: int) -> tuple[np.ndarray, np.ndarray]:
+            a, b = ends[lane - 1] if lane else 0, ends[lane]
+            if not sweep.down:
+                return np.asarray(places[a:b]), np.asarray(prefixes[a:b])
+            turned = prefixes[a + 1 : b + 1] if sweep.depth else prefixes
+            if sweep.depth and len(turned) < b - a:
+                turned = np.append(turned, np.uint8(0))
+            return np.asarray(places[a:b])[::-1], np.asarray(turned)[::-1]
+
+    return Lanes()
+
+
+def _names(text: np.ndarray, starts: np.ndarray, scratch: Scratch) -> tuple[np.ndarray, int]:
+    """The rank of each left-most S place's piece, and how many there are. Pieces are ranked by first
+    character, as many characters at a time as memory holds pieces of."""
+    m, n = len(starts), len(text)
+    names = scratch.array(m, np.int32)
+    ends = np.cumsum(scratch.counts(lambda a, b: text[starts[a:b]], m))
+    cuts = [-1, *np.flatnonzero(np.diff(ends // scratch.memory)).tolist(), len(ends) - 1]
+    total, wide = 0, 8 if text.max(initial=0) < 255 else 2
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        parts = []
+        for a, b in scratch.blocks(m):
+            chars = text[starts[a:b]]
+            parts.append(a + np.flatnonzero((chars > low) & (chars <= high)))
+        own = np.concatenate(parts)
+        if len(own):
+            after = np.minimum(own + 1, m - 1)
+            ends_at = np.where(own + 1 < m, starts[after].astype(np.int64) + 1, n)
+            names[own], count = _piece_ranks(text, np.asarray(starts[own]), ends_at, wide)
+            names[own] += total
+            total += count
+    return names, total
+
+
+def _piece_ranks(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, wide: int) -> tuple[np.ndarray, int]:
+    """The rank of each piece: the characters from a left-most S place up to and with the next one.
+    A piece is at most as long as it is between places, so blocks of `wide` characters refine the ranks."""
+    n, sizes = len(text), ends - starts
     bits = 64 // wide
     ranks, live, block = np.zeros(len(starts), dtype=np.int64), np.arange(len(starts)), 0
     while len(live):
@@ -328,12 +447,19 @@ def _piece_ranks(text: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarr
     return names, len(distinct)
 
 
-def _sorted_starts(text: np.ndarray, starts: np.ndarray, memory: int) -> np.ndarray:
+def _sorted_starts(text: np.ndarray, starts: np.ndarray, scratch: Scratch) -> np.ndarray:
     """Left-most S places in the order of their suffixes."""
-    if len(starts) <= 1:
+    m = len(starts)
+    if m <= 1:
         return starts
-    names, count = _piece_ranks(text, starts, len(text))
-    if count == len(starts):
-        return starts[np.argsort(names)]
+    names, count = _names(text, starts, scratch)
+    out = scratch.array(m, starts.dtype)
+    if count == m:
+        for a, b in scratch.blocks(m):
+            out[names[a:b]] = starts[a:b]
+        return out
     # the last piece is the end, whose name is smaller than all others and found nowhere else
-    return starts[suffix_array(names.astype(np.int32), 0, memory)[0]]
+    order = suffix_array(names, 0, scratch.memory)[0]
+    for a, b in scratch.blocks(m):
+        out[a:b] = starts[order[a:b]]
+    return out

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import CHUNK_BYTES, byte_values, chunked, encoded, span_hashes, spanned
 from millrace.llm.frames import bucket_count, text_bytes, widened, without
-from millrace.llm.induced import MEMORY, suffix_array
+from millrace.llm.induced import MEMORY, Scratch, suffix_array
 from millrace.llm.marks import Places, _batched, mark, pack, plain, settle, starts_of, unpack
 from millrace.llm.repeats import content_digest, one_document_each, with_place
 from millrace.operators.joins import spread_join
@@ -202,26 +202,57 @@ def _pieces(near: DataFrame, width: int, shards: int, hot: np.ndarray) -> DataFr
     return near.mapInArrow(send, "shard int, batch long, sent boolean, docs binary, starts binary, sizes binary, keys binary, at binary, bytes binary")
 
 
-def repeated_windows(pieces: list[bytes] | np.ndarray, sizes: np.ndarray, docs: np.ndarray, width: int, memory: int = MEMORY):
+def repeated_windows(pieces: bytes, sizes: np.ndarray, docs: np.ndarray, width: int, memory: int = MEMORY):
     """(piece, offset, size) of the stretches whose windows also start in a smaller document.
     pieces: the bytes of all pieces in turn."""
+    scratch = Scratch(memory)
     firsts = np.cumsum(sizes + 1) - (sizes + 1)
-    text = np.ones(int(firsts[-1] + sizes[-1] + 2), dtype=np.uint8)  # 1 ends a piece
-    inside = spanned(firsts, firsts + sizes, len(text))
-    text[inside] = np.frombuffer(pieces, dtype=np.uint8) + np.uint8(2)  # no byte of UTF-8 exceeds 0xF4
-    text[-1] = 0
+    n = int(firsts[-1] + sizes[-1] + 2)
+    text = scratch.array(n, np.uint8)
+    raw = np.frombuffer(pieces, dtype=np.uint8)
+    for a, b in scratch.blocks(len(sizes)):  # 1 ends a piece; no byte of UTF-8 exceeds 0xF4
+        low, high = int(firsts[a]), int(firsts[b - 1] + sizes[b - 1] + 1)
+        inside = np.ones(high - low, dtype=bool)
+        inside[firsts[a:b] + sizes[a:b] - low] = False
+        part = np.ones(high - low, dtype=np.uint8)
+        part[inside] = raw[low - a : high - b] + np.uint8(2)
+        text[low:high] = part
+    text[-1:] = 0
+    edge = scratch.array(n, np.int8)
+    edge[:] = 0
+    wide = sizes >= width
+    edge[firsts[wide]] = 1
+    edge[(firsts + sizes - width + 1)[wide]] = -1
+    begins, open_ = scratch.array(n, bool), 0  # whether a window begins here
+    for a, b in scratch.blocks(n):
+        now = np.cumsum(edge[a:b], dtype=np.int8) + np.int8(open_)
+        begins[a:b], open_ = now > 0, int(now[-1])
     places, prefixes = suffix_array(text, width, memory)
-    whole = spanned(firsts, firsts + np.maximum(sizes - width + 1, 0), len(text))
-    at = np.flatnonzero(whole[places])
-    run = np.cumsum(prefixes < width)[at]
-    places = places[at]
-    own = docs[np.searchsorted(firsts, places, side="right") - 1]
-    heads = np.flatnonzero(np.diff(run, prepend=-1))
-    low = np.repeat(np.minimum.reduceat(own, heads), np.diff(np.append(heads, len(run)))) if len(heads) else own
-    hit = np.zeros(len(text) + 2, dtype=np.int8)
-    hit[1 + places[own > low]] = 1
-    edges = np.flatnonzero(np.diff(hit))
-    begin, end = edges[::2], edges[1::2]
+    hit = edge
+    hit[:] = 0
+    a = 0
+    while a < n:
+        b = min(a + scratch.memory, n)
+        while b < n and prefixes[b] >= width:  # to the end of a run of equal windows
+            more = np.flatnonzero(prefixes[b : b + scratch.memory] < width)
+            b = b + int(more[0]) if len(more) else min(b + scratch.memory, n)
+        own_places = np.asarray(places[a:b])
+        at = np.flatnonzero(begins[own_places])
+        run = np.cumsum(prefixes[a:b] < width)[at]
+        own_places = own_places[at]
+        own = docs[np.searchsorted(firsts, own_places, side="right") - 1]
+        if len(own):
+            heads = np.flatnonzero(np.diff(run, prepend=-1))
+            low = np.repeat(np.minimum.reduceat(own, heads), np.diff(np.append(heads, len(run))))
+            hit[own_places[own > low]] = 1
+        a = b
+    begin, end, before = [], [], 0
+    for a, b in scratch.blocks(n):
+        edges = np.diff(hit[a:b], prepend=np.int8(before))
+        begin.append(a + np.flatnonzero(edges == 1))
+        end.append(a + np.flatnonzero(edges == -1))
+        before = int(hit[b - 1])
+    begin, end = np.concatenate(begin), np.concatenate(end)  # the last place, the text's end, begins no window
     piece = np.searchsorted(firsts, begin, side="right") - 1
     return piece, begin - firsts[piece], end - begin + width - 1
 
