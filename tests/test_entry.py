@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -27,3 +31,13 @@ def test_query_equals_its_twin(spark, name):
     got = tidy(entry.queries()[name](spark, SF).toPandas())
     want = tidy(duck.sql(entry.oracle_sql()[name]).df())
     assert got.equals(want)
+
+
+@pytest.mark.parametrize("missing", ["ahocorasick", "corpus_pipeline", "millrace.llm"])
+def test_other_queries_are_there_without_the_corpus_ones(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, check=True)
+    queries, twins = (x.split() for x in run.stdout.splitlines()[-2:])
+    assert "word_count" in queries and not any(q.startswith("op") or q == "pipeline" for q in queries)
+    assert set(twins) <= set(queries)
