@@ -49,7 +49,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The base's powers 0..n-1 and their inverses modulo 2^64."""
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = max(n, CHUNK_BYTES + CHUNK_BYTES // 4)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             ones = np.full(size, base, dtype=np.uint64)
             ones[0] = 1

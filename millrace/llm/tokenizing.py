@@ -14,8 +14,8 @@ import numpy as np
 
 from millrace.llm.chunks import Words, chunked
 
-#: about 50 bytes each
-WORDS_KEPT = 3_000_000
+#: about 25 bytes each
+WORDS_KEPT = 1_500_000
 _PUNCTUATION = b".,!?:;*&%$#|()[]-"
 _SOME = 100
 _PROBE = "The quick brown Foxes jumped,\nover  unbelievably lazy\tdogs! And xqzvkj again."
@@ -57,9 +57,9 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)
-        self.starts = np.zeros(0, dtype=np.int64)
-        self.sizes = np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.uint32)
+        self.starts = np.zeros(0, dtype=np.uint32)
+        self.sizes = np.zeros(0, dtype=np.uint32)
+        self.ids = np.zeros(0, dtype=np.uint16 if len(self.ends) <= 1 << 16 else np.uint32)
         self.tails: dict[bytes, list[int]] = {}
 
     def _encode(self, words: list[bytes]) -> list[Sequence[int]]:
@@ -86,12 +86,12 @@ class WordEncoder:
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
         found = self._encode(words)
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(sizes.sum()))
+        flat = np.fromiter((i for x in found for i in x), dtype=self.ids.dtype, count=int(sizes.sum()))
         starts = len(self.ids) + np.cumsum(sizes) - sizes
         at = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, at, hashes)
-        self.starts = np.insert(self.starts, at, starts)
-        self.sizes = np.insert(self.sizes, at, sizes)
+        self.starts = np.insert(self.starts, at, starts.astype(np.uint32))
+        self.sizes = np.insert(self.sizes, at, sizes.astype(np.uint32))
         self.ids = np.concatenate((self.ids, flat))
 
     def _chunk(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -109,10 +109,10 @@ class WordEncoder:
             self._learn(distinct[new], [raw[a:b] for a, b in spans])
             at = np.searchsorted(self.known, distinct)
         at = at[back]
-        sizes = self.sizes[at]
+        sizes = self.sizes[at].astype(np.int64)
         after = np.concatenate(([0], np.cumsum(sizes)))
-        take = np.arange(after[-1]) + np.repeat(self.starts[at] - after[:-1], sizes)
-        return self.ids[take], after[words.first]
+        take = np.arange(after[-1]) + np.repeat(self.starts[at].astype(np.int64) - after[:-1], sizes)
+        return self.ids[take].astype(np.uint32), after[words.first]
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text, in turn."""
