@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.frames import widened, without
+from millrace.llm.frames import tidy, widened, without
 from millrace.session import stage
 
 WIDTH = 10
@@ -118,7 +118,7 @@ def _scan(docs: DataFrame, windows: list[tuple[str, tuple[str, ...]]]) -> tuple[
             own = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=names)
 
-    return docs.mapInArrow(batches, schema), sent
+    return docs.mapInArrow(tidy(batches), schema), sent
 
 
 def _gathered(windows: DataFrame, parts: int, part: int) -> list[tuple[str, tuple[str, ...]]]:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -21,6 +26,28 @@ def widened(schema: StructType, ddl: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system. Workers live on between tasks, and what the allocators
+    keep of one task's arrays counts against the executor while others run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same work on a task's batches, giving freed memory back at the end."""
+
+    @wraps(work)
+    def run(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(them)
+        finally:
+            give_back()
+
+    return run
+
+
 def text_bytes(texts: DataFrame) -> int:
     """Bytes of all texts."""
     return texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.frames import widened, without
+from millrace.llm.frames import tidy, widened, without
 from millrace.session import stage
 
 #: bounds of the sample that the dictionaries are made of
@@ -142,7 +142,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]]) -> DataFram
             own = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=names)
 
-    return docs.mapInArrow(batches, widened(docs.schema, _RESULT))
+    return docs.mapInArrow(tidy(batches), widened(docs.schema, _RESULT))
 
 
 def held_out() -> Column:

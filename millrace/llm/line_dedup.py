@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import mix
-from millrace.llm.frames import task_count, widened, without
+from millrace.llm.frames import task_count, tidy, widened, without
 from millrace.session import stage
 
 MIN_CHARS = 10
@@ -116,7 +116,7 @@ def line_entries(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 schema=schema,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(batches, _ENTRY)
+    return docs.select("doc_id", "text").mapInArrow(tidy(batches), _ENTRY)
 
 
 def build_index(entries: DataFrame, shards: int) -> DataFrame:
@@ -223,4 +223,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 names=names,
             )
 
-    return joined.mapInArrow(rewrite, widened(docs.schema, "n_lines long, n_dropped long"))
+    return joined.mapInArrow(tidy(rewrite), widened(docs.schema, "n_lines long, n_dropped long"))

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import encoded
-from millrace.llm.frames import bucket_count
+from millrace.llm.frames import bucket_count, give_back
 
 #: buckets a shuffle partition, or one for so many bytes of text; a batch sends a row to each
 BUCKETS_PER_TASK = 2
@@ -92,6 +92,7 @@ def _batched(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = max(1, batch.num_rows * BATCH_BYTES // max(size, 1))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+            give_back()
 
 
 def mark(

@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.chunks import encoded
+from millrace.llm.frames import tidy
 from millrace.llm.tokenizing import word_encoder
 from millrace.session import stage
 
@@ -45,7 +46,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> D
                 )
                 before += int(sizes.sum())
 
-    return docs.select("doc_id", "text").mapInArrow(batches, _TOKENS)
+    return docs.select("doc_id", "text").mapInArrow(tidy(batches), _TOKENS)
 
 
 def pack(docs: DataFrame, tokenizer: str, width: int = WIDTH, end_id: int = END_ID) -> DataFrame:

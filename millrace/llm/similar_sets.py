@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.chunks import Words, chunked, encoded, mix, span_hashes, window_starts
-from millrace.llm.frames import bucket_count, text_bytes, without
+from millrace.llm.frames import bucket_count, text_bytes, tidy, without
 from millrace.llm.graph import components
 from millrace.llm.marks import BUCKETS_PER_TASK, BUCKET_BYTES, pack, plain, unpack, _batched
 from millrace.llm.repeats import one_text_each
@@ -235,7 +235,7 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    return joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(batches, "a long, b long")
+    return joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(tidy(batches), "a long, b long")
 
 
 def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -269,7 +269,7 @@ def _verified(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
 
     side = lambda s: shingles.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"shingles_{s}"))
     rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "shingles_a", "shingles_b")
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+    return rows.mapInArrow(tidy(compare), "a long, b long").distinct()
 
 
 def _apart(met: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
