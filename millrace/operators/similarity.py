@@ -5,8 +5,8 @@ Three choices keep this linear-ish in the input:
 * Records with the same bag of tokens share one vector. Pairs are listed per pair of
   bags with the number of records on each side, never per pair of copies.
 * Pairs at or above a similarity are found from each vector's informative tokens only,
-  then scored exactly (`similar_pairs`); where only a bin of the similarity is wanted, a pair
-  is scored only if its bounds lie in different bins (`similarity_histogram`).
+  then scored exactly (`similar_pairs`); where only a bin of the similarity is wanted, blocks of
+  vectors are multiplied and pairs counted where they arise (`similarity_histogram`).
 * Sums over *all* pairs need no pairs at all: the sum of all cosines is the product of
   the two catalogues' summed unit vectors (`total_similarity`).
 """
@@ -17,13 +17,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.functions.arrays import once
 from millrace.operators.joins import PIECES, spread_join
 from millrace.operators.tokens import inverse_ratios
+from millrace.operators.vectors import COUNTS, cosine_bins, counted_tokens, dot_products, postings, token_table, unit_vectors
 from millrace.session import settle
 
 PAIR = ["bag_a", "bag_g", "n_a", "n_g", "a_id", "g_id"]
 BINS = 101  # one per hundredth, and one for a similarity of exactly 1
-SLACK = 0.007  # what the histogram's first look at a pair may miss of its similarity
+HELD_PAIRS = 1 << 18  # pairs that every task may hold, 16 bytes each
 NOISE = 1e-8  # more than sums of products are off by, and than a bin's rounding
 
 
@@ -32,9 +34,8 @@ class Catalogues:
     """`members`: side, id, bag, spelling (a digest of the sorted tokens).
     `bags`: bag, spelling, n_a, n_g, a_id, g_id (records and least id per side); `bag`
     is a number, which keeps the long tables below narrow.
-    `vectors`: token, unit, tail and the columns of `bags` but the spelling, where
-    `unit` is the weight over the vector's norm and `tail` the squared length of the
-    vector cut down to this token and all commoner ones."""
+    `vectors`: a row a bag with n_a, n_g, a_id, g_id, `codes` (the tokens' numbers, commonest
+    token first) and `units`, the weights over the vector's norm."""
 
     members: DataFrame
     bags: DataFrame
@@ -44,58 +45,33 @@ class Catalogues:
 def build_catalogues(records: DataFrame) -> Catalogues:
     """`records`: side ('a' or 'g'), id, tokens. Records without tokens have no cosine
     and are left out, though they count as records in the inverse ratios. The records are
-    read once; what follows reads their tokens as written."""
-    spelling = F.md5(F.concat_ws(" ", F.array_sort("tokens")))
-    records = settle(records.select("side", "id", "tokens", spelling.alias("spelling")))
-    ratios = inverse_ratios(records)
+    read once; what follows reads their tokens as written, once per bag: copies would scale
+    the whole vector, which leaves `units` alone."""
+    tokens = F.sort_array("tokens")
+    records = settle(records.select("side", "id", once(tokens).alias("tokens")).withColumn("spelling", F.md5(F.concat_ws(" ", "tokens"))))
+    table = token_table(inverse_ratios(records))
     keyed = records.filter(F.size("tokens") > 0)
     spelt = keyed.select("side", "id", "spelling")
     is_a, is_g = F.col("side") == "a", F.col("side") == "g"
-    bags = settle(
-        spelt.groupBy("spelling")
+    counted = settle(
+        counted_tokens(keyed, table).groupBy("spelling")
         .agg(
             F.count_if(is_a).alias("n_a"),
             F.count_if(is_g).alias("n_g"),
             F.min(F.when(is_a, F.col("id"))).alias("a_id"),
             F.min(F.when(is_g, F.col("id"))).alias("g_id"),
+            F.first(F.struct(*COUNTS)).alias("counts"),
         )
         .withColumn("bag", F.monotonically_increasing_id())
+        .select("bag", "spelling", "n_a", "n_g", "a_id", "g_id", "counts.*")
     )
+    bags = counted.drop(*COUNTS)
+    vectors = settle(unit_vectors(counted.drop("spelling"), table, "bag"))
     members = spread_join(
         spelt, bags.select("spelling", "bag"), ["spelling"], ["id"],
         bags.select("spelling", (F.col("n_a") + F.col("n_g")).alias("n")),
     )
-    # Copies are summed, which scales the whole vector and so leaves `unit` alone.
-    postings = (
-        keyed.select("spelling", F.explode("tokens").alias("token"))
-        .groupBy("spelling", "token")
-        .agg(F.count(F.lit(1)).alias("uses"))
-    )
-    weighed = spread_join(
-        postings, ratios, ["token"], ["spelling"],
-        ratios.select("token", F.col("n_docs").alias("n")),
-    ).select("spelling", "token", "n_docs", (F.col("uses") * F.col("idf")).alias("weight"))
-    whole = Window.partitionBy("spelling")
-    common_first = whole.orderBy(F.desc("n_docs"), "token").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    square = F.col("weight") * F.col("weight")
-    vectors = (
-        weighed.withColumn("_norm2", F.sum(square).over(whole))
-        .withColumn("_tail2", F.sum(square).over(common_first))
-        .join(bags, "spelling")
-        .select(
-            "bag",
-            "token",
-            (F.col("weight") / F.sqrt("_norm2")).alias("unit"),
-            (F.col("_tail2") / F.col("_norm2")).alias("tail"),
-            "n_a",
-            "n_g",
-            "a_id",
-            "g_id",
-        )
-    )
-    return Catalogues(members, bags, settle(vectors))
+    return Catalogues(members, bags, vectors)
 
 
 def _shared_token_products(kept: DataFrame) -> DataFrame:
@@ -155,25 +131,22 @@ def bounded_pairs(catalogues: Catalogues, cut: float) -> DataFrame:
     the product is at most `cut`. How common a token may be before it is dropped doesn't grow
     with the number of records, so hot tokens are joined only for records made of nothing else.
     """
-    vectors = catalogues.vectors
-    return _shared_token_products(vectors.filter(F.col("tail") > cut * cut) if cut > 0 else vectors)
+    return _shared_token_products(postings(catalogues.vectors, ["bag", "n_a", "n_g"], cut))
 
 
 def pair_cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """Exact cosine of the given (bag_a, bag_g) pairs, as PAIR columns and `cosine`;
-    pairs sharing no token drop out."""
-    a = vectors.select(
-        "token", "n_a", "a_id", F.col("bag").alias("bag_a"), F.col("unit").alias("unit_a")
-    )
-    g = vectors.select(
-        "token", "n_g", "g_id", F.col("bag").alias("bag_g"), F.col("unit").alias("unit_g")
-    )
-    return (
-        pairs.join(a, "bag_a")
-        .join(g, ["bag_g", "token"])
-        .groupBy(*PAIR)
-        .agg(F.sum(F.col("unit_a") * F.col("unit_g")).alias("cosine"))
-    )
+    pairs sharing no token drop out. A pair's two vectors meet in one row; with few pairs only the
+    vectors that they name are shuffled."""
+    a = vectors.select("n_a", "a_id", F.col("bag").alias("bag_a"), F.col("codes").alias("codes_a"), F.col("units").alias("units_a"))
+    g = vectors.select("n_g", "g_id", F.col("bag").alias("bag_g"), F.col("codes").alias("codes_g"), F.col("units").alias("units_g"))
+    pairs = settle(pairs.select("bag_a", "bag_g"))
+    if pairs.limit(HELD_PAIRS + 1).count() <= HELD_PAIRS:
+        met = a.join(F.broadcast(pairs), "bag_a").join(g.join(F.broadcast(pairs), "bag_g"), ["bag_a", "bag_g"])
+    else:
+        met = pairs.join(a, "bag_a").join(g, "bag_g")
+    met = met.select(*PAIR, "codes_a", "units_a", "codes_g", "units_g")
+    return dot_products(met, ("codes_a", "units_a"), ("codes_g", "units_g"), "cosine")
 
 
 def similar_pairs(catalogues: Catalogues, min_similarity: float) -> DataFrame:
@@ -217,7 +190,8 @@ def record_pairs(catalogues: Catalogues) -> Column:
 
 def total_similarity(catalogues: Catalogues) -> Column:
     """Sum of the cosines of all record pairs, as a one-value subquery."""
-    per_token = catalogues.vectors.groupBy("token").agg(
+    units = F.inline(F.arrays_zip(F.col("codes").alias("token"), F.col("units").alias("unit")))
+    per_token = catalogues.vectors.select("n_a", "n_g", units).groupBy("token").agg(
         F.sum(F.col("unit") * F.col("n_a")).alias("a"),
         F.sum(F.col("unit") * F.col("n_g")).alias("g"),
     )
@@ -247,24 +221,13 @@ def similarity_histogram(catalogues: Catalogues, gold: DataFrame) -> DataFrame:
     """One row per bin 0..100: `pairs` (all record pairs in the bin), `golds` (gold
     pairs in it, unmatched ones in bin 0) and `others` = pairs - golds.
 
-    Bins from 1 up come from the similarity join: a pair is known to lie between the product of
-    its kept tokens and SLACK above that. Pairs that so lie in one bin are counted in it, only
-    the others are scored. Bin 0 is what is left of all record pairs, so the zero and near-zero
-    pairs are counted without being listed.
+    Bins from 1 up come from the products of blocks of vectors (`cosine_bins`), which count pairs
+    and never list them. Bin 0 is what is left of all record pairs, so the zero and near-zero
+    pairs are counted without being told apart.
     """
     spark = catalogues.vectors.sparkSession
-    bounded = settle(
-        bounded_pairs(catalogues, SLACK)
-        .withColumn("low", similarity_bin(F.col("cosine") - NOISE))
-        .withColumn("high", similarity_bin(F.col("cosine") + SLACK + NOISE))
-        .filter("high > 0")
-        .select("bag_a", "bag_g", "n_a", "n_g", F.greatest("low", F.lit(0)).alias("low"), "high")
-    )
-    weight = F.col("n_a") * F.col("n_g")
-    sure = bounded.filter("low = high").select(F.col("low").alias("bin"), weight.alias("_weight"))
-    unsure = pair_cosines(bounded.filter("low < high").select("bag_a", "bag_g"), catalogues.vectors)
-    scored = unsure.select(similarity_bin(F.col("cosine")).alias("bin"), weight.alias("_weight"))
-    found = sure.unionByName(scored).filter("bin > 0").groupBy("bin").agg(F.sum("_weight").alias("_pairs"))
+    a, g = (catalogues.vectors.filter(F.col(n) > 0).select("codes", "units", F.col(n).alias("n")) for n in ("n_a", "n_g"))
+    found = cosine_bins(a, g, BINS - 1).withColumnRenamed("pairs", "_pairs")
     golds = (
         gold_similarities(catalogues, gold)
         .groupBy(similarity_bin(F.col("cosine")).alias("bin"))
