@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.arrays import bind
 from millrace.functions.hashing import md5_bucket
@@ -46,21 +50,61 @@ def _looked_up(rows: DataFrame, known: DataFrame, dictionary: DataFrame, value:
     """
     numbered = rows.select(F.monotonically_increasing_id().alias("_row"), "row_id", "label", "feats")
     uses = numbered.select("_row", "row_id", "label", F.expr("inline_outer(feats)"))
-    size = dictionary.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("cat")), F.lit(0)).alias("bytes")).first()
     known = known.select(*KEYS, value)
-    if size["n"] <= HELD_FEATURES and size["bytes"] <= HELD_BYTES:
+    if _is_held(dictionary):
         return uses.join(F.broadcast(known), KEYS, "left")
     return spread_join(uses, known, KEYS, ["_row"], sizes=dictionary.select(*KEYS, "n"), how="left")
 
 
+def _is_held(dictionary: DataFrame) -> bool:
+    size = dictionary.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("cat")), F.lit(0)).alias("bytes")).first()
+    return size["n"] <= HELD_FEATURES and size["bytes"] <= HELD_BYTES
+
+
+def _ordinals_within(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(row_id, label, indices): a row's features looked up within the row in a dictionary that every task
+    holds. A NULL category is in none."""
+    found = [r for r in dictionary.select(*KEYS, "ordinal").collect() if r["idx"] is not None and r["cat"] is not None]
+    places = {cat: i for i, cat in enumerate(dict.fromkeys(r["cat"] for r in found))}
+    keys = np.array([r["idx"] * len(places) + places[r["cat"]] for r in found], dtype=np.int64)
+    order = np.argsort(keys)
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (pa.array(list(places), pa.string()), keys[order], np.array([r["ordinal"] for r in found], dtype=np.int64)[order]))
+
+    def look_up(batches):
+        cats, keys, ordinals = shared.value
+        for batch in batches:
+            lists = batch.column("feats")
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            idx, cat = lists.flatten().flatten()
+            at = pc.index_in(cat, value_set=cats).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            at[idx.is_null().to_numpy(zero_copy_only=False)] = -1
+            wanted = idx.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) * len(cats) + at
+            place = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+            known = (at >= 0) & (keys[place] == wanted) if len(keys) else np.zeros(len(wanted), dtype=bool)
+            row, ordinal = row[known], ordinals[place[known]] if len(keys) else np.zeros(0, dtype=np.int64)
+            ordinal = ordinal[np.lexsort((ordinal, row))]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row_id"), batch.column("label"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ordinal))],
+                names=["row_id", "label", "indices"])
+
+    needed = rows.select("row_id", "label", "feats")
+    return needed.mapInArrow(look_up, StructType([*needed.schema.fields[:2], *StructType.fromDDL("indices array<bigint>").fields]))
+
+
 def one_hot(rows: DataFrame, dictionary: DataFrame, strict: bool = False) -> DataFrame:
     """(row_id, label, indices, values) with sorted indices. A row's list is as long as its own
     features, so gathering it back is bounded; unseen features are skipped, or raise a KeyError
-    if `strict`. Label and row_id travel with the uses, so no row is joined again."""
+    if `strict`. With a small dictionary nothing is shuffled; else label and row_id travel with the
+    uses, so no row is joined again."""
     if strict and not unseen_features(rows, dictionary).isEmpty():
         raise KeyError("the dictionary lacks some features of these rows")
-    gathered = _looked_up(rows, dictionary, dictionary, "ordinal").groupBy("_row").agg(
-        F.first("row_id").alias("row_id"), F.first("label").alias("label"), F.sort_array(F.collect_list("ordinal")).alias("indices"))
+    if _is_held(dictionary):
+        gathered = _ordinals_within(rows, dictionary)
+    else:
+        gathered = _looked_up(rows, dictionary, dictionary, "ordinal").groupBy("_row").agg(
+            F.first("row_id").alias("row_id"), F.first("label").alias("label"), F.sort_array(F.collect_list("ordinal")).alias("indices"))
     return gathered.select("row_id", "label", "indices", F.transform("indices", lambda _: F.lit(1.0)).alias("values"))
 
 
