@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import text as T
 from millrace.functions.arrays import once
-from millrace.operators.joins import spread_join
+from millrace.operators.vectors import spelt_counts, token_table, weighed_tokens
 from millrace.session import settle
 
 
@@ -73,27 +73,29 @@ def inverse_ratios(bags: DataFrame) -> DataFrame:
     )
 
 
+def _one_row_a_key(bags: DataFrame, key: str) -> DataFrame:
+    """(key, _len, tokens): the bags, where rows that share a key and a length are one. Keys are told
+    apart first, as a rule by themselves: then no tokens are shuffled."""
+    sized = bags.select(key, F.size("tokens").alias("_len"), "tokens")
+    if bags.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+        return sized
+    return sized.groupBy(key, "_len").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+
+
 def term_frequencies(bags: DataFrame, key: str) -> DataFrame:
-    """(key, token, tf): share of the record's tokens. The record length travels with
-    each row, so no join back is needed."""
-    spelled = bags.select(key, F.size("tokens").alias("_len"), F.explode("tokens").alias("token"))
-    return spelled.groupBy(key, "_len", "token").agg(F.count(F.lit(1)).alias("_n")).select(
-        key, "token", (F.col("_n") / F.col("_len")).alias("tf")
-    )
+    """(key, token, tf): share of the record's tokens, counted within the record."""
+    counted = spelt_counts(_one_row_a_key(bags, key), [key, "_len"])
+    return counted.select(key, "token", (F.col("n") / F.col("_len")).alias("tf"))
 
 
 def tfidf(bags: DataFrame, key: str, ratios: DataFrame | None = None) -> DataFrame:
     """(key, token, weight) with weight = tf x idf. A token outside `ratios` is dropped.
 
-    Tokens that most records share are dealt over many shuffle keys; how often each
-    token occurs is known from its document count.
+    The commonest tokens are weighed where they are; rarer ones are joined, spread over many shuffle
+    keys where needed: how often each token occurs is known from its document count.
     """
-    ratios = inverse_ratios(bags) if ratios is None else ratios
-    sizes = ratios.select("token", F.col("n_docs").alias("n"))
-    joined = spread_join(
-        term_frequencies(bags, key), ratios.select("token", "idf"), ["token"], [key], sizes
-    )
-    return joined.select(key, "token", (F.col("tf") * F.col("idf")).alias("weight"))
+    table = token_table(inverse_ratios(bags) if ratios is None else ratios)
+    return weighed_tokens(_one_row_a_key(bags, key), table, key, "_len")
 
 
 def weight_norms(weights: DataFrame, key: str) -> DataFrame:

@@ -78,7 +78,7 @@ def _count_tokens(held, columns):
             for first, n in _slices(whole.column("tokens"), SLICE):
                 batch = whole.slice(first, n)
                 lists = batch.column("tokens")
-                row = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False))
+                row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
                 spelt = lists.flatten().dictionary_encode()
                 at = pc.index_in(spelt.dictionary, value_set=common).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
                 width = max(len(at), 1)
@@ -139,6 +139,59 @@ def unit_vectors(counted: DataFrame, table: TokenTable, key: str) -> DataFrame:
     return joined.mapInArrow(_units(table.held, columns), StructType([*joined.schema.fields[: len(columns)], *kinds.fields]))
 
 
+def weighed_tokens(records: DataFrame, table: TokenTable, key: str, length: str) -> DataFrame:
+    """(key, token, weight) with weight = uses / `length` x idf. Held tokens are weighed where they are;
+    only rarer ones are joined, and those that the table lacks are dropped."""
+    import numpy as np
+    import pyarrow as pa
+
+    counted = settle(counted_tokens(records.select(key, length, "tokens"), table))
+
+    def weigh(batches):
+        tokens, idf, _ = table_held.value
+        for whole in batches:
+            for first, n in _slices(whole.column("codes"), SLICE):
+                batch = whole.slice(first, n)
+                row, code = rows_and_values(batch.column("codes"))
+                _, uses = rows_and_values(batch.column("uses"))
+                weight = uses / batch.column(length).to_numpy(zero_copy_only=False)[row] * idf[code] if len(row) else np.zeros(0)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(key).take(pa.array(row)), tokens.take(pa.array(code, pa.int64())), pa.array(weight)],
+                    names=[key, "token", "weight"])
+
+    table_held = table.held
+    narrow = counted.select(key, length, "codes", "uses")
+    schema = StructType([narrow.schema[key], *StructType.fromDDL("token string, weight double").fields])
+    rare = counted.select(key, length, F.inline(F.arrays_zip(F.col("rare").alias("token"), F.col("rare_uses").alias("n"))))
+    beyond = table.terms.filter(F.col("code") >= table.held.value[2])
+    met = spread_join(rare, beyond.select("token", "idf"), ["token"], [key], beyond.select("token", F.col("n_docs").alias("n")))
+    joined = met.select(key, "token", (F.col("n") / F.col(length) * F.col("idf")).alias("weight"))
+    return narrow.mapInArrow(weigh, schema).unionByName(joined)
+
+
+def spelt_counts(records: DataFrame, columns: list[str]) -> DataFrame:
+    """(columns, token, n): a row's tokens with how often it has them, counted within the row."""
+    import numpy as np
+    import pyarrow as pa
+
+    def count(batches):
+        for whole in batches:
+            for first, n in _slices(whole.column("tokens"), SLICE):
+                batch = whole.slice(first, n)
+                lists = batch.column("tokens")
+                row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                spelt = lists.flatten().dictionary_encode()
+                width = max(len(spelt.dictionary), 1)
+                keys, uses = np.unique(row * width + spelt.indices.to_numpy(zero_copy_only=False).astype(np.int64), return_counts=True)
+                at = pa.array(keys // width)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(at) for c in columns], spelt.dictionary.take(pa.array(keys % width)).cast(pa.string()), pa.array(uses.astype(np.int64))],
+                    names=[*columns, "token", "n"])
+
+    plain = records.select(*columns, "tokens")
+    return plain.mapInArrow(count, StructType([*plain.schema.fields[:-1], *StructType.fromDDL("token string, n long").fields]))
+
+
 def _units(held, columns):
     import numpy as np
     import pyarrow as pa

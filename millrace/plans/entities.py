@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import similarity as R
 from millrace.operators import tokens as K
 from millrace.plans import inputs as I
+from millrace.session import settle
 from millrace.sources import lines as S
 
 
@@ -16,6 +17,11 @@ def _bag_rows(bags):
     )
 
 
+def _stored(spark, sf_dir):
+    """The records with the stop words taken out once, for queries that go over them several times."""
+    return settle(I.records(spark, sf_dir))
+
+
 def doc_tokens(spark, sf_dir):
     return _bag_rows(K.token_bags(I.text_records(spark, sf_dir)))
 
@@ -38,7 +44,7 @@ def biggest_record(spark, sf_dir):
 
 
 def tf(spark, sf_dir):
-    rates = K.term_frequencies(I.records(spark, sf_dir), "id")
+    rates = K.term_frequencies(_stored(spark, sf_dir), "id")
     return rates.select("id", "token", F.round("tf", 9).alias("tf"))
 
 
@@ -58,12 +64,12 @@ def idf_histogram(spark, sf_dir):
 
 
 def tfidf(spark, sf_dir):
-    weights = K.tfidf(I.records(spark, sf_dir), "id")
+    weights = K.tfidf(_stored(spark, sf_dir), "id")
     return weights.select("id", "token", F.round("weight", 6).alias("weight"))
 
 
 def weight_norms(spark, sf_dir):
-    norms = K.weight_norms(K.tfidf(I.records(spark, sf_dir), "id"), "id")
+    norms = K.weight_norms(K.tfidf(_stored(spark, sf_dir), "id"), "id")
     return norms.select("id", F.round("norm", 6).alias("norm"))
 
 

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import features as E
 from millrace.operators import tokens as K
 from millrace.operators import vectors as V
 
@@ -63,3 +64,40 @@ def test_binned_products_of_blocks(spark, bags, monkeypatch, tile, dense):
             c = sum(u * units[g].get(t, 0.0) for t, u in units[a].items())
             want[math.floor(round(c * 100, 7))] += (a % 4 + 1) * (g % 4 + 1)
     assert {r["bin"]: r["pairs"] for r in got} == {b: n for b, n in want.items() if b > 0}
+
+
+@pytest.mark.parametrize("held", [1 << 17, 25, 0])
+def test_token_weights_with_few_held_tokens_and_repeated_keys(spark, bags, monkeypatch, held):
+    """Rows of one key and one length are one record; postings aren't shuffled for them."""
+    monkeypatch.setattr(V, "HELD_TOKENS", held)
+    twice = [*bags.items(), (3, bags[3]), (4, bags[4] + ["once"]), (500, [])]
+    rows = spark.createDataFrame(twice, "id long, tokens array<string>")
+    df = Counter(t for _, toks in twice for t in set(toks))
+    tf, weights = Counter(), Counter()
+    for i, toks in twice:
+        for t, c in Counter(toks).items():
+            tf[i, len(toks), t] += c / len(toks)
+            weights[i, len(toks), t] += c / len(toks) * len(twice) / df[t]
+
+    def spelt(rows, value):
+        return sorted((r["id"], r["token"], round(r[value], 9)) for r in rows)
+
+    assert spelt(K.term_frequencies(rows, "id").collect(), "tf") == sorted((i, t, round(x, 9)) for (i, _, t), x in tf.items())
+    found = K.tfidf(rows, "id")
+    assert spelt(found.collect(), "weight") == sorted((i, t, round(x, 9)) for (i, _, t), x in weights.items())
+    names = {r["id"]: r["norm"] for r in K.weight_norms(found, "id").collect()}
+    assert names[5] == pytest.approx(math.sqrt(sum(x * x for (i, _, _), x in weights.items() if i == 5)))
+
+
+def test_features_looked_up_within_the_row_and_by_the_join_agree(spark, monkeypatch):
+    """Repeats stay, unknown and NULL categories drop out, rows without features keep an empty list."""
+    feats = [[(0, "a"), (1, "b"), (0, "a")], [(1, None), (2, "x"), (1, "b")], [], None, [(0, "z")]]
+    rows = spark.createDataFrame([(f"r{i}", float(i % 2), f) for i, f in enumerate(feats)],
+                                 "row_id string, label double, feats array<struct<idx: int, cat: string>>")
+    dictionary = spark.createDataFrame([(0, "a", 3, 0), (1, None, 1, 1), (1, "b", 2, 2)], "idx int, cat string, n long, ordinal long")
+    want = {"r0": [0, 0, 2], "r1": [2], "r2": [], "r3": [], "r4": []}
+    held = E.one_hot(rows, dictionary)
+    assert "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
+    assert {r["row_id"]: r["indices"] for r in held.collect()} == want
+    monkeypatch.setattr(E, "HELD_FEATURES", 0)
+    assert {r["row_id"]: r["indices"] for r in E.one_hot(rows, dictionary).collect()} == want
