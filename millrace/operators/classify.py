@@ -1,4 +1,5 @@
-"""Logistic models on sparse rows (label, indices, values), and their evaluation."""
+"""Logistic models on sparse rows (label, indices, values), and their evaluation. With a column n, a row
+stands for n equal ones."""
 
 from __future__ import annotations
 
@@ -74,9 +75,9 @@ def _packed(rows: DataFrame) -> DataFrame:
 
     known = rows.select(
         F.col("label").cast("double").alias("label"), F.col("indices").cast("array<bigint>").alias("indices"),
-        F.col("values").cast("array<double>").alias("values"),
+        F.col("values").cast("array<double>").alias("values"), *(["n"] if "n" in rows.columns else []),
     ).filter("label is not null and indices is not null and values is not null")
-    counted = known.groupBy("label", "indices", "values").agg(F.count(F.lit(1)).alias("n"))
+    counted = known if "n" in rows.columns else known.groupBy("label", "indices", "values").agg(F.count(F.lit(1)).alias("n"))
     return stage(counted.mapInArrow(
         pack, "piece long, touched array<long>, labels binary, counts binary, lengths binary, at binary, values binary"), "packed-rows")
 
@@ -259,25 +260,33 @@ def with_raw_score(rows: DataFrame, model: LogisticModel | list[LogisticModel] |
 
 def mean_log_loss(scored: DataFrame) -> Column:
     """Aggregate over (label, raw_score): mean log loss of the held sigmoid."""
-    return F.avg(log_loss(probability(F.col("raw_score")), F.col("label")))
+    return _mean(scored, log_loss(probability(F.col("raw_score")), F.col("label")))
+
+
+def _mean(rows: DataFrame, value: Column) -> Column:
+    """Aggregate over `rows`: the mean of `value`, NULLs left out, a counted row n times."""
+    if "n" not in rows.columns:
+        return F.avg(value)
+    return F.try_divide(F.sum(value * F.col("n")), F.sum(F.when(value.isNotNull(), F.col("n"))))
 
 
 def model_log_losses(rows: DataFrame, models: list[LogisticModel] | ModelTable) -> list[float]:
     names = [f"_raw{k}" for k in range(models.models if isinstance(models, ModelTable) else len(models))]
     scored = with_raw_scores(rows, models, names)
-    return list(scored.agg(*[F.avg(log_loss(probability(F.col(n)), F.col("label"))) for n in names]).first())
+    return list(scored.agg(*[_mean(scored, log_loss(probability(F.col(n)), F.col("label"))) for n in names]).first())
 
 
 def positive_share(rows: DataFrame) -> Column:
     """Share of label-1 rows as a one-value subquery."""
-    return rows.agg(F.avg((F.col("label") == 1).cast("double"))).scalar()
+    return rows.agg(_mean(rows, (F.col("label") == 1).cast("double"))).scalar()
 
 
 def baseline_log_loss(parts: DataFrame) -> DataFrame:
     """(split, n, loss) of always predicting the positive share of the 'train' rows."""
     share = positive_share(parts.filter("split = 'train'"))
+    number = F.sum("n") if "n" in parts.columns else F.count(F.lit(1))
     return parts.withColumn("_share", share).groupBy("split").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(log_loss(F.col("_share"), F.col("label"))).alias("loss")
+        number.alias("n"), _mean(parts, log_loss(F.col("_share"), F.col("label"))).alias("loss")
     )
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from millrace.functions.arrays import bind
-from millrace.functions.hashing import md5_bucket
 from millrace.functions.scores import count_bucket
 from millrace.operators.joins import spread_join
 from millrace.operators.ordering import with_ordinal
@@ -24,6 +24,12 @@ def feature_counts(rows: DataFrame) -> DataFrame:
     return rows.select(F.inline("feats")).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
 
 
+def counted_rows(rows: DataFrame, *by: str) -> DataFrame:
+    """(`by`, label, feats, n): equal rows as one with their number n, so that what is worked out from
+    the features is worked out once for all of them."""
+    return rows.groupBy(*by, "label", "feats").agg(F.count(F.lit(1)).alias("n"))
+
+
 def categories_per_feature(rows: DataFrame) -> DataFrame:
     return feature_counts(rows).groupBy("idx").agg(F.count(F.lit(1)).alias("n_categories"))
 
@@ -109,28 +115,49 @@ def one_hot(rows: DataFrame, dictionary: DataFrame, strict: bool = False) -> Dat
 
 
 def hashed(rows: DataFrame, buckets: int) -> DataFrame:
-    """(row_id, label, indices, values): features hashed to `buckets` places.
+    """(row_id, label, indices, values): features hashed to `buckets` places. Counted rows have n in
+    place of row_id, and keep it.
 
     A row's features are told apart by category text + position, repeats collapse and
-    different features meeting in a bucket add up. Works within the row: no shuffle.
+    different features meeting in a bucket add up. Works within the row: no shuffle. A task hashes
+    a feature once for all rows of a batch, and keeps the last HELD_FEATURES for the next ones.
     """
-    names = F.array_distinct(
-        F.transform("feats", lambda f: F.concat(f["cat"], f["idx"].cast("string")))
-    )
+    if not 0 < buckets < 2**31:
+        raise ValueError("buckets must lie between 1 and 2**31 - 1")
+    kept = [c for c in ("row_id", "label", "n") if c in rows.columns]
 
-    def counted(places: Column) -> Column:
-        return bind(
-            F.array_sort(F.array_distinct(places)),
-            lambda found: F.struct(
-                found.alias("indices"),
-                F.transform(
-                    found, lambda i: F.size(F.filter(places, lambda p: p == i)).cast("double")
-                ).alias("values"),
-            ),
-        )
-
-    places = F.transform(names, lambda name: md5_bucket(name, buckets))
-    return rows.select("row_id", "label", F.inline(F.transform(F.array(places), counted)))
+    def place(batches):
+        known: dict[str, int] = {}
+        for batch in batches:
+            lists = batch.column("feats")
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            idx, cat = lists.flatten().flatten()
+            if len(known) > HELD_FEATURES:
+                known.clear()
+            names = pc.binary_join_element_wise(cat, idx.cast(pa.string()), "").dictionary_encode()
+            places = np.array([_bucket(name, buckets, known) for name in names.dictionary.to_pylist()] + [buckets], dtype=np.int64)
+            name = names.indices.fill_null(len(places) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+            used = np.unique(row * len(places) + name)  # a row's features, each once
+            met, counts = np.unique(used // len(places) * (buckets + 1) + places[used % len(places)], return_counts=True)
+            found, index = met // (buckets + 1), met % (buckets + 1)
+            unnamed = index == buckets  # a NULL feature has no place and counts for nothing
+            gone = pa.array(np.append(lists.is_null().to_numpy(zero_copy_only=False), False))
+            offsets = pc.if_else(gone, None, pa.array(np.searchsorted(found, np.arange(batch.num_rows + 1)), pa.int32()))
+            yield pa.RecordBatch.from_arrays([
+                *[batch.column(c) for c in kept],
+                pa.ListArray.from_arrays(offsets, pa.array(index.astype(np.int32), mask=unnamed)),
+                pa.ListArray.from_arrays(offsets, pa.array(np.where(unnamed, 0.0, counts))),
+            ], names=[*kept, "indices", "values"])
+
+    needed = rows.select(*kept, "feats")
+    return needed.mapInArrow(place, StructType([*needed.schema.fields[:-1], *StructType.fromDDL("indices array<int>, values array<double>").fields]))
+
+
+def _bucket(name: str, buckets: int, known: dict[str, int]) -> int:
+    """`md5_bucket` of one text."""
+    if name not in known:
+        known[name] = int.from_bytes(hashlib.md5(name.encode()).digest()) % buckets
+    return known[name]
 
 
 def count_bucket_histogram(counts: DataFrame) -> DataFrame:

@@ -158,7 +158,9 @@ def one_hot_strict(spark, sf_dir):
 
 
 def _hashed_grid(spark, sf_dir, iterations):
-    parts = _parts(spark, sf_dir)
+    """The parts, the grid and its best model. Rows are split and counted as they are parsed; only unlike
+    ones are stored and hashed."""
+    parts = settle(E.counted_rows(key_split(I.click_rows(spark, sf_dir), ["row_id"], SHARES), "split"))
     train, validation = (E.hashed(_part(parts, name), BUCKETS) for name in ("train", "validation"))
     return parts, *C.logistic_grid(train, validation, GRID, iterations)
 
