@@ -38,16 +38,24 @@ def prediction_rmse(predicted: DataFrame, actual: DataFrame) -> DataFrame:
     out.
     """
 
-    def per_key(table: DataFrame, value: str, tag: str) -> DataFrame:
-        return table.groupBy("usr", "item").agg(
-            F.count(F.lit(1)).alias(f"_n{tag}"),
-            F.avg(F.col(value).cast("double")).alias(f"_m{tag}"),
-            F.var_pop(F.col(value).cast("double")).alias(f"_v{tag}"),
-        )
-
-    paired = per_key(predicted, "prediction", "p").join(
-        per_key(actual, "rating", "a"), ["usr", "item"]
-    )
+    keys = ["usr", "item"]
+    return _paired_rmse(predicted.groupBy(*keys).agg(*_spread("prediction", "p")).join(
+        actual.groupBy(*keys).agg(*_spread("rating", "a")), keys))
+
+
+def model_rmse(model: ALSModel, actual: DataFrame) -> DataFrame:
+    """`prediction_rmse` of a model's own predictions for `actual`, whose ratings travel with the pairs:
+    the joins with the factors leave a pair's rows together, so nothing is shuffled or joined again."""
+    scored = model.transform(actual.select("usr", "item", "rating"))
+    return _paired_rmse(scored.groupBy("usr", "item").agg(*_spread("prediction", "p"), *_spread("rating", "a")))
+
+
+def _spread(value: str, tag: str) -> list[Column]:
+    value = F.col(value).cast("double")
+    return [F.count(F.lit(1)).alias(f"_n{tag}"), F.avg(value).alias(f"_m{tag}"), F.var_pop(value).alias(f"_v{tag}")]
+
+
+def _paired_rmse(paired: DataFrame) -> DataFrame:
     rows = F.col("_np") * F.col("_na")
     squares = rows * (F.pow(F.col("_mp") - F.col("_ma"), F.lit(2)) + F.col("_vp") + F.col("_va"))
     return paired.agg(
@@ -101,7 +109,7 @@ def rank_grid(
         tried = []
         for rank in ranks:
             model = fit_als(train, rank, **als)
-            row = prediction_rmse(predict(model, validation), validation).first()
+            row = model_rmse(model, validation).first()
             tried.append((rank, row["n"], row["rmse"], model))
     finally:
         train.unpersist()
