@@ -151,7 +151,7 @@ def als_grid_test(spark, sf_dir):
     parts = _parts(spark, sf_dir)
     _, model = R.rank_grid(_part(parts, "train"), _part(parts, "validation"))
     test = _part(parts, "test")
-    error = R.prediction_rmse(R.predict(model, test), test).first()
+    error = R.model_rmse(model, test).first()
     base = R.mean_baseline(_part(parts, "train"), test)
     return base.select(F.lit(error["n"]).alias("n"), F.col("rmse").alias("baseline_rmse"), F.lit(error["rmse"]).alias("model_rmse"))
 
