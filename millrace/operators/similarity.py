@@ -20,12 +20,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.functions.arrays import once
 from millrace.operators.joins import PIECES, spread_join
 from millrace.operators.tokens import inverse_ratios
-from millrace.operators.vectors import COUNTS, cosine_bins, counted_tokens, dot_products, postings, token_table, unit_vectors
+from millrace.operators.vectors import COUNTS, cosine_bins, counted_tokens, dot_products, met, postings, token_table, unit_vectors
 from millrace.session import settle
 
 PAIR = ["bag_a", "bag_g", "n_a", "n_g", "a_id", "g_id"]
 BINS = 101  # one per hundredth, and one for a similarity of exactly 1
-HELD_PAIRS = 1 << 18  # pairs that every task may hold, 16 bytes each
 NOISE = 1e-8  # more than sums of products are off by, and than a bin's rounding
 
 
@@ -140,13 +139,9 @@ def pair_cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     vectors that they name are shuffled."""
     a = vectors.select("n_a", "a_id", F.col("bag").alias("bag_a"), F.col("codes").alias("codes_a"), F.col("units").alias("units_a"))
     g = vectors.select("n_g", "g_id", F.col("bag").alias("bag_g"), F.col("codes").alias("codes_g"), F.col("units").alias("units_g"))
-    pairs = settle(pairs.select("bag_a", "bag_g"))
-    if pairs.limit(HELD_PAIRS + 1).count() <= HELD_PAIRS:
-        met = a.join(F.broadcast(pairs), "bag_a").join(g.join(F.broadcast(pairs), "bag_g"), ["bag_a", "bag_g"])
-    else:
-        met = pairs.join(a, "bag_a").join(g, "bag_g")
-    met = met.select(*PAIR, "codes_a", "units_a", "codes_g", "units_g")
-    return dot_products(met, ("codes_a", "units_a"), ("codes_g", "units_g"), "cosine")
+    found = met(settle(pairs.select("bag_a", "bag_g")), a, g, ["bag_a", "bag_g"])
+    found = found.select(*PAIR, "codes_a", "units_a", "codes_g", "units_g")
+    return dot_products(found, ("codes_a", "units_a"), ("codes_g", "units_g"), "cosine")
 
 
 def similar_pairs(catalogues: Catalogues, min_similarity: float) -> DataFrame:
@@ -226,8 +221,8 @@ def similarity_histogram(catalogues: Catalogues, gold: DataFrame) -> DataFrame:
     pairs are counted without being told apart.
     """
     spark = catalogues.vectors.sparkSession
-    a, g = (catalogues.vectors.filter(F.col(n) > 0).select("codes", "units", F.col(n).alias("n")) for n in ("n_a", "n_g"))
-    found = cosine_bins(a, g, BINS - 1).withColumnRenamed("pairs", "_pairs")
+    a, g = (catalogues.vectors.filter(F.col(n) > 0).select("bag", "codes", "units", F.col(n).alias("n")) for n in ("n_a", "n_g"))
+    found = cosine_bins(a, g, BINS - 1, "bag").withColumnRenamed("pairs", "_pairs")
     golds = (
         gold_similarities(catalogues, gold)
         .groupBy(similarity_bin(F.col("cosine")).alias("bin"))

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from millrace.operators.joins import spread_join
 from millrace.operators.ordering import with_ordinal
@@ -21,6 +21,7 @@ HELD_TOKENS, HELD_BYTES = 1 << 17, 8 << 20
 #: tokens that are taken apart, or postings that are multiplied, at once
 SLICE = 1 << 20
 CODE_BITS = 40
+HELD_PAIRS = 1 << 18  # pairs that every task may hold, 16 bytes each
 COUNTS = ["codes", "uses", "rare", "rare_uses"]
 
 
@@ -236,12 +237,7 @@ def postings(vectors: DataFrame, columns: list[str], cut: float = 0.0) -> DataFr
                 batch = whole.slice(first, n)
                 row, code = rows_and_values(batch.column("codes"))
                 _, unit = rows_and_values(batch.column("units"))
-                kept = np.ones(len(row), dtype=bool)
-                if cut > 0:
-                    sums = np.cumsum(unit * unit)
-                    starts = np.searchsorted(row, np.arange(n))
-                    before = np.where(starts > 0, sums[np.maximum(starts - 1, 0)], 0.0) if len(sums) else np.zeros(n)
-                    kept = sums - before[row] > cut * cut - 1e-12
+                kept = _kept_tokens(row, unit, n, cut)
                 at = pa.array(row[kept])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(code[kept]), pa.array(unit[kept]), *[batch.column(c).take(at) for c in columns]],
@@ -278,46 +274,131 @@ def dot_products(pairs: DataFrame, left: tuple[str, str], right: tuple[str, str]
     return kept.mapInArrow(multiply, StructType([*kept.schema.fields[: len(columns)], *StructType.fromDDL(f"{name} double").fields]))
 
 
+def met(pairs: DataFrame, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored `pairs` with the columns of `left` and `right`, joined by the first and the second of `keys`.
+    With few pairs only the rows that they name are shuffled."""
+    if pairs.limit(HELD_PAIRS + 1).count() <= HELD_PAIRS:
+        return left.join(F.broadcast(pairs), keys[0]).join(right.join(F.broadcast(pairs.select(*keys)), keys[1]), keys)
+    return pairs.join(left, keys[0]).join(right, keys[1])
 
-#: postings that a task takes of one side, rows that it multiplies at once, and the least tasks a side
-BLOCK_POSTINGS, TILE, LEAST_BLOCKS = 1 << 23, 1 << 11, 6
+
+#: kept postings that a task takes of one side, rows that it multiplies at once, and the least tasks a side
+BLOCK_POSTINGS, TILE, LEAST_BLOCKS = 1 << 22, 1 << 11, 4
 #: a token goes into the dense part of a product if so many times its products fill a tile, as long as
 #: there are not too many
 DENSE, MOST_DENSE = 1000, 1 << 12
+#: products a pair of rows from which whole tiles are multiplied, and cells a product up to which sums have
+#: a cell each
+FILLED, CELLS = 4, 16
+#: bins that the tokens a vector drops may be long together, less than one: what shares no other token is in bin 0
+DROPPED = 0.6
 
 
-def cosine_bins(left: DataFrame, right: DataFrame, bins: int) -> DataFrame:
+def cosine_bins(left: DataFrame, right: DataFrame, bins: int, key: str | None = None) -> DataFrame:
     """(bin, pairs) for bins from 1 up: how many pairs of a row of `left` and one of `right` (codes,
     units, n) have their dot product in a bin of 1/`bins`, a pair counted n x n times.
 
-    Both sides are dealt into blocks, and each pair of blocks is one task, which adds all products up in
-    tiles and sends its counts alone. What is shuffled is each side times the other's blocks; no
-    pair is ever a row. The work grows with the product of the two sides.
+    Each vector drops its commonest tokens, up to a length of DROPPED bins. Both sides are dealt into
+    blocks, and each pair of blocks is one task, which adds up the products of the kept tokens alone
+    and bounds what is missing of each pair that may reach bin 1. Where this leaves one bin the pair is
+    counted; the others, few as a rule, are sent and scored on their whole vectors. `key` tells a
+    side's rows apart; without it both sides are numbered and stored.
     """
-    sizes = [side.agg(F.coalesce(F.sum(F.size("codes")), F.lit(0))).first()[0] for side in (left, right)]
-    blocks = [max(LEAST_BLOCKS, -(-n // BLOCK_POSTINGS)) for n in sizes]
-
-    def dealt(side: DataFrame, own: str, other: str, n_own: int, n_other: int) -> DataFrame:
-        return side.select(
-            F.pmod(F.xxhash64("codes"), F.lit(n_own)).cast("int").alias(own),
+    if key is None:
+        key = "_row"
+        left, right = (settle(side.select("codes", "units", "n", F.monotonically_increasing_id().alias(key))) for side in (left, right))
+    sides = [side.select(F.lit(own).alias("_left"), key, F.col("n").cast("bigint").alias("n"), "codes", "units") for own, side in ((True, left), (False, right))]
+    kept = settle(_kept_parts(sides[0].unionByName(sides[1]), DROPPED / bins))
+    sizes = dict(kept.groupBy("_left").agg(F.sum(F.size("codes"))).collect())
+    blocks = [max(LEAST_BLOCKS, -(-(sizes.get(own) or 0) // BLOCK_POSTINGS)) for own in (True, False)]
+
+    def dealt(of_left: bool, own: str, other: str, n_own: int, n_other: int) -> DataFrame:
+        return kept.filter(F.col("_left") == of_left).select(
+            F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
-            *[F.col(c).alias(c) for c in ("codes", "units", "n")])  # both sides may come from one table
+            *[F.col(c).alias(c) for c in (key, "n", "codes", "units", "dropped")])  # both sides come from one table
+
+    a = dealt(True, "_a", "_g", *blocks).groupBy("_a", "_g")
+    g = dealt(False, "_g", "_a", *reversed(blocks)).groupBy("_a", "_g")
+    schema = StructType([
+        *StructType.fromDDL("bin int, pairs bigint").fields,
+        *[StructField(name, kept.schema[key].dataType) for name in ("_ka", "_kg")]])
+    counted = settle(a.cogroup(g).applyInArrow(_count_bins(bins, key), schema))
+    whole = [side.select(F.col(key).alias(k), F.col("codes").alias(f"codes{k}"), F.col("units").alias(f"units{k}")) for side, k in ((left, "_ka"), (right, "_kg"))]
+    open_pairs = met(counted.filter("bin IS NULL").drop("bin"), *whole, ["_ka", "_kg"])
+    scored = dot_products(open_pairs.select("pairs", "codes_ka", "units_ka", "codes_kg", "units_kg"),
+                          ("codes_ka", "units_ka"), ("codes_kg", "units_kg"), "cosine")
+    late = scored.select(F.floor(F.round(F.col("cosine") * bins, 7)).cast("int").alias("bin"), "pairs").filter("bin > 0")
+    return counted.filter("bin > 0").select("bin", "pairs").unionByName(late).groupBy("bin").agg(F.sum("pairs").alias("pairs"))
+
+
+def _kept_tokens(row, unit, n: int, cut: float):
+    """Which postings stay when each of `n` vectors leaves out its commonest tokens, up to a length of `cut`."""
+    import numpy as np
 
-    a = dealt(left, "_a", "_g", *blocks).groupBy("_a", "_g")
-    g = dealt(right, "_g", "_a", *reversed(blocks)).groupBy("_a", "_g")
-    counted = a.cogroup(g).applyInArrow(_count_bins(bins), "bin int, pairs bigint")
-    return counted.groupBy("bin").agg(F.sum("pairs").alias("pairs"))
+    if cut <= 0 or not len(row):
+        return np.ones(len(row), dtype=bool)
+    sums = np.cumsum(unit * unit)
+    starts = np.searchsorted(row, np.arange(n))
+    before = np.where(starts > 0, sums[np.maximum(starts - 1, 0)], 0.0)
+    return sums - before[row] > cut * cut - 1e-12
 
 
-def _count_bins(bins: int):
+def _kept_parts(vectors: DataFrame, cut: float) -> DataFrame:
+    """`vectors` with only the kept tokens, and `dropped`, the sum of the others' squares."""
     import numpy as np
     import pyarrow as pa
 
-    def sides(table):
+    columns = [c for c in vectors.columns if c not in ("codes", "units")]
+
+    def keep(batches):
+        for whole in batches:
+            for first, n in _slices(whole.column("codes"), SLICE):
+                batch = whole.slice(first, n)
+                row, code = rows_and_values(batch.column("codes"))
+                _, unit = rows_and_values(batch.column("units"))
+                kept = _kept_tokens(row, unit, n, cut)
+                dropped = np.bincount(row[~kept], unit[~kept] ** 2, n)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in columns], _lists(row[kept], code[kept], n, pa.int64()), _lists(row[kept], unit[kept], n, pa.float64()), pa.array(dropped, pa.float64())],
+                    names=[*columns, "codes", "units", "dropped"])
+
+    named = vectors.select(*columns, "codes", "units")
+    return named.mapInArrow(keep, StructType([*named.schema.fields, *StructType.fromDDL("dropped double").fields]))
+
+
+class _Side:
+    """A block of kept vectors: entries by row, and what it takes to bound the products of dropped tokens."""
+
+    def __init__(self, table, key):
+        import numpy as np
+        import pyarrow as pa
+
         table = table.combine_chunks()
-        row, code = rows_and_values(pa.concat_arrays(table["codes"].chunks))
-        _, unit = rows_and_values(pa.concat_arrays(table["units"].chunks))
-        return row, code, unit, table["n"].to_numpy().astype(float)
+        lists = pa.concat_arrays(table["codes"].chunks)
+        self.row, self.code = rows_and_values(lists)
+        _, self.unit = rows_and_values(pa.concat_arrays(table["units"].chunks))
+        self.n, self.key = table["n"].to_numpy().astype(float), table[key].combine_chunks()
+        self.dropped = table["dropped"].to_numpy()
+        self.sums = np.concatenate([[0.0], np.cumsum(self.unit * self.unit)])
+        self.starts = np.searchsorted(self.row, np.arange(len(self.n)))
+        self.places = self.row << CODE_BITS | self.code
+
+    def first(self, rows):
+        """The commonest kept token; all dropped ones are commoner."""
+        return self.code[self.starts[rows]]
+
+    def below(self, rows, code):
+        """At least the sum of squares over the tokens commoner than `code`."""
+        import numpy as np
+
+        at, start = np.searchsorted(self.places, rows << CODE_BITS | code), self.starts[rows]
+        return self.dropped[rows] + np.where(at > start, self.sums[at] - self.sums[start] + 1e-9, 0.0)
+
+
+def _count_bins(bins: int, key: str):
+    import numpy as np
+    import pyarrow as pa
 
     def tiles(row, token, unit, n, dense):
         """Each tile's first row, rows, entries by token, and dense part."""
@@ -333,47 +414,111 @@ def _count_bins(bins: int):
             order = np.argsort(t, kind="stable")
             yield first, rows, (r[order], t[order], u[order]), full
 
+    def expanded(one, two, starts, counts, at):
+        """Of the entries `at` of `one` with all entries of `two` of their tokens: rows, rows, products."""
+        (r, t, u), (s, _, v) = one, two
+        many = counts[t[at]]
+        rep = np.repeat(at, many)
+        places = np.arange(len(rep)) - np.repeat(np.cumsum(many) - many - starts[t[at]], many)
+        return r[rep], s[places], u[rep] * v[places]
+
     def products(shape, one, two, starts, counts):
         """The products over the tokens that aren't dense, by pairs of entries."""
-        (r, t, u), (s, _, v) = one, two
         out = np.zeros(shape[0] * shape[1])
-        met = counts[t]
+        met = counts[one[1]]
         at = np.flatnonzero(met)
         ends = np.cumsum(met[at])
         first = 0
         while first < len(at):
             before = ends[first - 1] if first else 0
             last = max(first + 1, int(np.searchsorted(ends, before + 4 * SLICE, side="right")))
-            mine, many = at[first:last], met[at[first:last]]
-            rep = np.repeat(mine, many)
-            places = np.arange(len(rep)) - np.repeat(np.cumsum(many) - many - starts[t[mine]], many)
-            out += np.bincount(r[rep] * shape[1] + s[places], u[rep] * v[places], len(out))
+            r, s, x = expanded(one, two, starts, counts, at[first:last])
+            out += np.bincount(r * shape[1] + s, x, len(out))
             first = last
         return out.reshape(shape)
 
+    def filled(a, g, n_a, n_g, work, least):
+        """(rows, rows, sums) of the pairs above `least`, tile by tile."""
+        thick = np.flatnonzero(work * DENSE > float(n_a) * n_g)
+        thick = thick[np.argsort(-work[thick], kind="stable")[:MOST_DENSE]]
+        dense = np.full(len(work), -1)
+        dense[thick] = np.arange(len(thick))
+        for start, columns, entries, full_g in tiles(*g, n_g, dense):
+            counts = np.bincount(entries[1], minlength=len(work))
+            starts = np.cumsum(counts) - counts
+            for first, rows, own, full in tiles(*a, n_a, dense):
+                sums = products((rows, columns), own, entries, starts, counts)
+                sums += full @ full_g.T
+                i, j = np.nonzero(sums > least)
+                yield first + i, start + j, sums[i, j]
+
+    def scattered(a, g, n_g, tokens, least):
+        """The same, rows of `a` at a time that have few products, added up by pair."""
+        order = np.argsort(g[1], kind="stable")
+        by_token = tuple(x[order] for x in g)
+        counts = np.bincount(g[1], minlength=tokens)
+        starts = np.cumsum(counts) - counts
+        ends = np.cumsum(counts[a[1]])
+        rows = np.flatnonzero(np.diff(a[0], append=-1))  # each row's last entry
+        first = 0
+        while first < len(rows):
+            lo = rows[first - 1] + 1 if first else 0
+            last = max(first + 1, int(np.searchsorted(ends[rows], (ends[lo - 1] if lo else 0) + SLICE, side="right")))
+            r, s, x = expanded(a, by_token, starts, counts, np.arange(lo, rows[last - 1] + 1))
+            base = a[0][lo]
+            cell = (r - base) * n_g + s
+            cells = int(a[0][rows[last - 1]] - base + 1) * n_g
+            if cells <= CELLS * len(cell):
+                sums = np.bincount(cell, x, cells)
+                cell = np.flatnonzero(sums > least)
+                yield base + cell // n_g, cell % n_g, sums[cell]
+            elif len(cell):
+                order = np.argsort(cell, kind="stable")
+                cell = cell[order]
+                begins = np.flatnonzero(np.diff(cell, prepend=-1))
+                sums = np.add.reduceat(x[order], begins)
+                high = sums > least
+                cell = cell[begins[high]]
+                yield base + cell // n_g, cell % n_g, sums[high]
+            first = last
+
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        totals = [0] * (bins + 1)
+        totals, still_open = [0] * (bins + 1), []
         if left.num_rows and right.num_rows:
-            (ra, ca, ua, na), (rg, cg, ug, ng) = sides(left), sides(right)
-            shared = np.intersect1d(ca, cg)
-            kept_a, kept_g = np.isin(ca, shared), np.isin(cg, shared)
-            ra, ca, ua, rg, cg, ug = ra[kept_a], np.searchsorted(shared, ca[kept_a]), ua[kept_a], rg[kept_g], np.searchsorted(shared, cg[kept_g]), ug[kept_g]
-            work = np.bincount(ca, minlength=len(shared)).astype(float) * np.bincount(cg, minlength=len(shared))
-            thick = np.flatnonzero(work * DENSE > float(len(na)) * len(ng))
-            thick = thick[np.argsort(-work[thick], kind="stable")[:MOST_DENSE]]
-            dense = np.full(len(shared), -1)
-            dense[thick] = np.arange(len(thick))
-            for start, columns, entries, filled in tiles(rg, cg, ug, len(ng), dense):
-                counts = np.bincount(entries[1], minlength=len(shared))
-                starts = np.cumsum(counts) - counts
-                for first, rows, own, full in tiles(ra, ca, ua, len(na), dense):
-                    cosine = products((rows, columns), own, entries, starts, counts)
-                    cosine += full @ filled.T
-                    i, j = np.nonzero(cosine > (1 - 1e-6) / bins)
-                    place = np.floor(np.round(cosine[i, j] * bins, 7)).astype(np.int64)
-                    found = np.bincount(place, na[first + i] * ng[start + j], bins + 1)
-                    totals = [x + int(y) for x, y in zip(totals, found, strict=True)]
-        kept = [k for k in range(1, bins + 1) if totals[k]]
-        return pa.table({"bin": pa.array(kept, pa.int32()), "pairs": pa.array([totals[k] for k in kept], pa.int64())})
+            a, g = _Side(left, key), _Side(right, key)
+            n_a, n_g = len(a.n), len(g.n)
+            spelt = pa.concat_arrays([pa.array(a.code), pa.array(g.code)]).dictionary_encode()
+            token, tokens = spelt.indices.to_numpy().astype(np.int64), len(spelt.dictionary)
+            token_a, token_g = token[: len(a.code)], token[len(a.code):]
+            uses_a, uses_g = np.bincount(token_a, minlength=tokens), np.bincount(token_g, minlength=tokens)
+            kept_a, kept_g = uses_g[token_a] > 0, uses_a[token_g] > 0
+            entries_a, entries_g = (tuple(x[kept] for x in (side.row, codes, side.unit)) for side, codes, kept in ((a, token_a, kept_a), (g, token_g, kept_g)))
+            work = uses_a.astype(float) * uses_g
+            most = np.sqrt(max(a.dropped.max(), g.dropped.max()))
+            least = (1 - 1e-6) / bins - most - 1e-9
+            if work.sum() > FILLED * float(n_a) * n_g:
+                found = filled(entries_a, entries_g, n_a, n_g, work, max(least, 0.0))
+            else:
+                found = scattered(entries_a, entries_g, n_g, tokens, max(least, 0.0))
+            for i, j, sums in found:
+                code = np.maximum(a.first(i), g.first(j))
+                missing = np.sqrt(a.below(i, code) * g.below(j, code)) * (1 + 1e-6)
+                low = np.floor(np.round(sums * bins, 7)).astype(np.int64)
+                high = np.minimum(np.floor(np.round((sums + missing) * bins, 7)).astype(np.int64), bins)
+                n = a.n[i] * g.n[j]
+                sure = low == high
+                for k, x in enumerate(np.bincount(low[sure], n[sure], bins + 1)):
+                    totals[k] += int(x)
+                if not sure.all():
+                    still_open.append((i[~sure], j[~sure], n[~sure].astype(np.int64)))
+        bin_of = [k for k in range(1, bins + 1) if totals[k]]
+        i, j, n = (np.concatenate(x) for x in zip(*still_open)) if still_open else (np.zeros(0, dtype=np.int64),) * 3
+        kind = left[key].type
+        return pa.table({
+            "bin": pa.array([*bin_of, *[None] * len(n)], pa.int32()),
+            "pairs": pa.array([*[totals[k] for k in bin_of], *n.tolist()], pa.int64()),
+            "_ka": pa.concat_arrays([pa.nulls(len(bin_of), kind), a.key.take(pa.array(i))] if len(n) else [pa.nulls(len(bin_of), kind)]),
+            "_kg": pa.concat_arrays([pa.nulls(len(bin_of), kind), g.key.take(pa.array(j))] if len(n) else [pa.nulls(len(bin_of), kind)]),
+        })
 
     return count

@@ -66,6 +66,37 @@ def test_binned_products_of_blocks(spark, bags, monkeypatch, tile, dense):
     assert {r["bin"]: r["pairs"] for r in got} == {b: n for b, n in want.items() if b > 0}
 
 
+def binned(bags, lefts, rights, bins):
+    units, want = unit(bags), Counter()
+    for a in lefts:
+        for g in rights:
+            c = sum(u * units[g].get(t, 0.0) for t, u in units[a].items())
+            want[math.floor(round(c * bins, 7))] += (a % 4 + 1) * (g % 4 + 1)
+    return {b: n for b, n in want.items() if b > 0}
+
+
+@pytest.mark.parametrize("bins, dropped, filled, cells", [
+    (100, 0, 1 << 30, 0), (100, 0.6, 1 << 30, 1 << 30), (5, 0.99, 0, 0), (5, 0.99, 1 << 30, 0), (5, 0.99, 1 << 30, 1 << 30)])
+def test_bins_of_pairs_with_dropped_tokens(spark, bags, monkeypatch, bins, dropped, filled, cells):
+    """Whole tiles or single pairs, and few or many pairs left open, give the same bins."""
+    for name, value in (("FILLED", filled), ("CELLS", cells), ("DROPPED", dropped), ("SLICE", 50)):
+        monkeypatch.setattr(V, name, value)
+    _, vectors = built(spark, bags)
+    counted = vectors.withColumn("n", F.col("id") % 4 + 1)
+    got = V.cosine_bins(counted.filter("id < 70"), counted.filter("id >= 50"), bins, "id").collect()
+    assert {r["bin"]: r["pairs"] for r in got} == binned(bags, range(70), range(50, 120), bins)
+
+
+def test_pairs_that_share_only_common_tokens_are_not_multiplied(spark, monkeypatch):
+    """No tile of all pairs is filled where few pairs share a rare token."""
+    bags = {i: ["all", f"some{i % 2}", f"r{i // 3}", f"r{i // 3}x{i % 2}", f"own{i}"] for i in range(90)}
+    monkeypatch.setattr(V, "TILE", 0)  # a tile of no rows can't be made
+    _, vectors = built(spark, bags)
+    counted = vectors.withColumn("n", F.col("id") % 4 + 1)
+    got = V.cosine_bins(counted.filter("id < 60"), counted.filter("id >= 30"), 10).collect()
+    assert {r["bin"]: r["pairs"] for r in got} == binned(bags, range(60), range(30, 90), 10)
+
+
 @pytest.mark.parametrize("held", [1 << 17, 25, 0])
 def test_token_weights_with_few_held_tokens_and_repeated_keys(spark, bags, monkeypatch, held):
     """Rows of one key and one length are one record; postings aren't shuffled for them."""
