@@ -17,10 +17,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.functions.arrays import once
 from millrace.operators.joins import PIECES, spread_join
 from millrace.operators.tokens import inverse_ratios
-from millrace.operators.vectors import COUNTS, cosine_bins, counted_tokens, dot_products, met, postings, token_table, unit_vectors
+from millrace.operators.vectors import COUNTS, cosine_bins, counted_tokens, dot_products, met, postings, spelt_bags, token_table, unit_vectors
 from millrace.session import settle
 
 PAIR = ["bag_a", "bag_g", "n_a", "n_g", "a_id", "g_id"]
@@ -43,31 +42,29 @@ class Catalogues:
 
 def build_catalogues(records: DataFrame) -> Catalogues:
     """`records`: side ('a' or 'g'), id, tokens. Records without tokens have no cosine
-    and are left out, though they count as records in the inverse ratios. The records are
-    read once; what follows reads their tokens as written, once per bag: copies would scale
-    the whole vector, which leaves `units` alone."""
-    tokens = F.sort_array("tokens")
-    records = settle(records.select("side", "id", once(tokens).alias("tokens")).withColumn("spelling", F.md5(F.concat_ws(" ", "tokens"))))
+    and are left out, though they count as records in the inverse ratios. The records' counted tokens
+    are written once; a bag's vector is that of its first record: copies would scale the whole
+    vector, which leaves `units` alone."""
     table = token_table(inverse_ratios(records))
-    keyed = records.filter(F.size("tokens") > 0)
-    spelt = keyed.select("side", "id", "spelling")
-    is_a, is_g = F.col("side") == "a", F.col("side") == "g"
     counted = settle(
-        counted_tokens(keyed, table).groupBy("spelling")
+        counted_tokens(spelt_bags(records), table).filter(F.size("codes") + F.size("rare") > 0)
+        .select(F.monotonically_increasing_id().alias("bag"), "side", "id", "spelling", *COUNTS)
+    )
+    is_a, is_g = F.col("side") == "a", F.col("side") == "g"
+    bags = settle(
+        counted.groupBy("spelling")
         .agg(
+            F.min("bag").alias("bag"),
             F.count_if(is_a).alias("n_a"),
             F.count_if(is_g).alias("n_g"),
             F.min(F.when(is_a, F.col("id"))).alias("a_id"),
             F.min(F.when(is_g, F.col("id"))).alias("g_id"),
-            F.first(F.struct(*COUNTS)).alias("counts"),
         )
-        .withColumn("bag", F.monotonically_increasing_id())
-        .select("bag", "spelling", "n_a", "n_g", "a_id", "g_id", "counts.*")
     )
-    bags = counted.drop(*COUNTS)
-    vectors = settle(unit_vectors(counted.drop("spelling"), table, "bag"))
+    first = counted.select("bag", *COUNTS).join(bags.drop("spelling"), "bag")
+    vectors = settle(unit_vectors(first, table, "bag"))
     members = spread_join(
-        spelt, bags.select("spelling", "bag"), ["spelling"], ["id"],
+        counted.select("side", "id", "spelling"), bags.select("spelling", "bag"), ["spelling"], ["id"],
         bags.select("spelling", (F.col("n_a") + F.col("n_g")).alias("n")),
     )
     return Catalogues(members, bags, vectors)

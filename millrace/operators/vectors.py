@@ -25,6 +25,22 @@ HELD_PAIRS = 1 << 18  # pairs that every task may hold, 16 bytes each
 COUNTS = ["codes", "uses", "rare", "rare_uses"]
 
 
+def through(rows: DataFrame, step, schema) -> DataFrame:
+    """`rows` through `step`, a function over Arrow batches. Steps that follow one another run in one
+    Python pass, so lists of tokens that lie between them never become rows."""
+    source, before = getattr(rows, "_steps", (rows, ()))
+    steps = (*before, step)
+
+    def run(batches):
+        for each in steps:
+            batches = each(batches)
+        return batches
+
+    out = source.mapInArrow(run, schema)
+    out._steps = source, steps
+    return out
+
+
 def numbered_tokens(ratios: DataFrame) -> DataFrame:
     """`ratios` with `code`: 0, 1, 2, ... in the order of `n_docs`, commonest first, then of `token`."""
     ranked = ratios.withColumn("_back", -F.col("n_docs"))
@@ -45,11 +61,13 @@ def _held(terms: DataFrame):
     return pa.array([r["token"] for r in rows], pa.string()), np.array([r["idf"] for r in rows], dtype=float), first
 
 
-def _slices(lists, most: int):
+def slices(lists, most: int):
     """(first, length) of runs of rows that hold about `most` entries together, a row at least."""
     import numpy as np
+    import pyarrow.compute as pc
 
-    ends = np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)))
+    lengths = lists.value_lengths() if hasattr(lists, "value_lengths") else pc.binary_length(lists)
+    ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < len(lists):
         before = ends[first - 1] if first else 0
@@ -67,6 +85,13 @@ def _lists(rows, values, n, kind):
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values, kind))
 
 
+def lists_of(offsets, values, like):
+    """Lists of `values` cut at `offsets`, null where `like` is."""
+    import pyarrow as pa
+
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=like.is_null() if like.null_count else None)
+
+
 def _count_tokens(held, columns):
     """Replaces `tokens` by the held ones' `codes` and `uses`, and `rare` tokens with `rare_uses`."""
     import numpy as np
@@ -76,7 +101,7 @@ def _count_tokens(held, columns):
     def count(batches):
         common = held.value[0]
         for whole in batches:
-            for first, n in _slices(whole.column("tokens"), SLICE):
+            for first, n in slices(whole.column("tokens"), SLICE):
                 batch = whole.slice(first, n)
                 lists = batch.column("tokens")
                 row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
@@ -118,9 +143,8 @@ def counted_tokens(records: DataFrame, table: TokenTable) -> DataFrame:
     """`records` with COUNTS in place of their tokens, all of which the table knows: held tokens by
     their codes, rarer ones as they are. Nothing is shuffled."""
     columns = [c for c in records.columns if c != "tokens"]
-    plain = records.select(*columns, "tokens")
     kinds = StructType.fromDDL("codes array<int>, uses array<int>, rare array<string>, rare_uses array<int>")
-    return plain.mapInArrow(_count_tokens(table.held, columns), StructType([*plain.schema.fields[:-1], *kinds.fields]))
+    return through(records, _count_tokens(table.held, columns), StructType([*[records.schema[c] for c in columns], *kinds.fields]))
 
 
 def unit_vectors(counted: DataFrame, table: TokenTable, key: str) -> DataFrame:
@@ -151,7 +175,7 @@ def weighed_tokens(records: DataFrame, table: TokenTable, key: str, length: str)
     def weigh(batches):
         tokens, idf, _ = table_held.value
         for whole in batches:
-            for first, n in _slices(whole.column("codes"), SLICE):
+            for first, n in slices(whole.column("codes"), SLICE):
                 batch = whole.slice(first, n)
                 row, code = rows_and_values(batch.column("codes"))
                 _, uses = rows_and_values(batch.column("uses"))
@@ -177,7 +201,7 @@ def spelt_counts(records: DataFrame, columns: list[str]) -> DataFrame:
 
     def count(batches):
         for whole in batches:
-            for first, n in _slices(whole.column("tokens"), SLICE):
+            for first, n in slices(whole.column("tokens"), SLICE):
                 batch = whole.slice(first, n)
                 lists = batch.column("tokens")
                 row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
@@ -193,6 +217,69 @@ def spelt_counts(records: DataFrame, columns: list[str]) -> DataFrame:
     return plain.mapInArrow(count, StructType([*plain.schema.fields[:-1], *StructType.fromDDL("token string, n long").fields]))
 
 
+def document_tokens(most: int):
+    """From `tokens` (token, n): of about `most` tokens at once how many rows hold each, and the number
+    of rows with a NULL token."""
+    import numpy as np
+    import pyarrow as pa
+
+    def count(batches):
+        total, held = 0, []
+        for whole in batches:
+            total += whole.num_rows
+            for first, n in slices(whole.column("tokens"), most):
+                held.append(whole.column("tokens").slice(first, n))
+                if sum(len(x.flatten()) for x in held) >= most:
+                    yield counted(held)
+                    held = []
+        if held:
+            yield counted(held)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.array([total], pa.int64())], names=["token", "n"])
+
+    def counted(held):
+        lists = pa.concat_arrays(held)
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        spelt = lists.flatten().dictionary_encode()
+        width = max(len(spelt.dictionary), 1)
+        keys = np.sort(row * width + spelt.indices.to_numpy(zero_copy_only=False))
+        keys = keys[np.flatnonzero(np.diff(keys, prepend=-1))]
+        return pa.RecordBatch.from_arrays(
+            [spelt.dictionary.cast(pa.string()), pa.array(np.bincount(keys % width, minlength=len(spelt.dictionary)), pa.int64())], names=["token", "n"])
+
+    return count
+
+
+def spelt_bags(records: DataFrame) -> DataFrame:
+    """`records` with their tokens in order and `spelling`, the md5 digest of these, blanks between."""
+    import hashlib
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    columns = [c for c in records.columns if c != "tokens"]
+
+    def spell(batches):
+        for whole in batches:
+            for first, n in slices(whole.column("tokens"), SLICE):
+                batch = whole.slice(first, n)
+                lists = batch.column("tokens")
+                row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                spelt = lists.flatten().dictionary_encode()
+                order = pc.sort_indices(spelt.dictionary).to_numpy(zero_copy_only=False).astype(np.int64)
+                rank = np.empty(len(order), dtype=np.int64)
+                rank[order] = np.arange(len(order))
+                width = max(len(order), 1)
+                keys = np.sort(row * width + rank[spelt.indices.to_numpy(zero_copy_only=False)])
+                tokens = _lists(row, spelt.dictionary.take(pa.array(order[keys % width])).cast(pa.string()), n, None)
+                joined = pc.binary_join(tokens, " ")
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in columns], tokens, pa.array([hashlib.md5(x.as_buffer()).hexdigest() for x in joined], pa.string())],
+                    names=[*columns, "tokens", "spelling"])
+
+    return through(records, spell, StructType([*[records.schema[c] for c in [*columns, "tokens"]], *StructType.fromDDL("spelling string").fields]))
+
+
 def _units(held, columns):
     import numpy as np
     import pyarrow as pa
@@ -233,7 +320,7 @@ def postings(vectors: DataFrame, columns: list[str], cut: float = 0.0) -> DataFr
 
     def spread(batches):
         for whole in batches:
-            for first, n in _slices(whole.column("codes"), SLICE):
+            for first, n in slices(whole.column("codes"), SLICE):
                 batch = whole.slice(first, n)
                 row, code = rows_and_values(batch.column("codes"))
                 _, unit = rows_and_values(batch.column("units"))
@@ -258,7 +345,7 @@ def dot_products(pairs: DataFrame, left: tuple[str, str], right: tuple[str, str]
 
     def multiply(batches):
         for whole in batches:
-            for first, n in _slices(whole.column(left[0]), SLICE):
+            for first, n in slices(whole.column(left[0]), SLICE):
                 batch = whole.slice(first, n)
                 (row, a), (other, g) = (rows_and_values(batch.column(c)) for c in (left[0], right[0]))
                 a, g = row << CODE_BITS | a, other << CODE_BITS | g
@@ -353,7 +440,7 @@ def _kept_parts(vectors: DataFrame, cut: float) -> DataFrame:
 
     def keep(batches):
         for whole in batches:
-            for first, n in _slices(whole.column("codes"), SLICE):
+            for first, n in slices(whole.column("codes"), SLICE):
                 batch = whole.slice(first, n)
                 row, code = rows_and_values(batch.column("codes"))
                 _, unit = rows_and_values(batch.column("units"))

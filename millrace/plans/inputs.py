@@ -71,9 +71,9 @@ def stop_words(bags: DataFrame) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, side, tokens) without stop words. The texts are taken apart once and the tokens written,
-    since the stop list and every use go over them."""
-    bags = settle(K.token_bags(text_records(spark, sf_dir)))
+    """(id, side, tokens) without stop words. Every use cuts the texts anew: that takes less than
+    writing and reading lists of tokens."""
+    bags = K.token_bags(text_records(spark, sf_dir))
     return K.without_words(bags, stop_words(bags))
 
 

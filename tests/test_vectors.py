@@ -1,5 +1,6 @@
 """Vectors of numbered tokens, their products and the binned products of blocks."""
 
+import hashlib
 import math
 import random
 from collections import Counter
@@ -7,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions import text as T
 from millrace.operators import features as E
 from millrace.operators import tokens as K
 from millrace.operators import vectors as V
@@ -132,3 +134,38 @@ def test_features_looked_up_within_the_row_and_by_the_join_agree(spark, monkeypa
     assert {r["row_id"]: r["indices"] for r in held.collect()} == want
     monkeypatch.setattr(E, "HELD_FEATURES", 0)
     assert {r["row_id"]: r["indices"] for r in E.one_hot(rows, dictionary).collect()} == want
+
+
+TEXTS = ["", None, "One two  ONE\ttwo_3", "--", "Straße, ÉTÉ naïve", "end.", "\u2028a\u00a0b 漢字c", "x" * 90 + " y", "K\u212a ſ0 😀z", " . "]
+
+
+def test_texts_cut_by_bytes_are_those_of_the_column_expression(spark, monkeypatch):
+    monkeypatch.setattr(K, "CUT_BYTES", 12)
+    rows = spark.createDataFrame(list(enumerate(TEXTS * 3)), "id long, text string").coalesce(1)
+    want = {r["id"]: r["t"] for r in rows.select("id", T.tokens(F.col("text")).alias("t")).collect()}
+    bags = K.token_bags(rows)
+    assert {r["id"]: r["tokens"] for r in bags.collect()} == want
+    stop = spark.createDataFrame([("one",), (None,), ("y",)], "word string")
+    assert {r["id"]: r["tokens"] for r in K.without_words(bags, stop).collect()} == {
+        i: None if t is None else [x for x in t if x not in ("one", "y")] for i, t in want.items()}
+    plan = K.inverse_ratios(K.without_words(bags, stop))
+    assert {r["token"]: r["n_docs"] for r in plan.collect()} == Counter(
+        x for t in want.values() for x in set(t or []) if x not in ("one", "y"))
+    assert {round(r["idf"] * r["n_docs"], 6) for r in plan.collect()} == {float(len(want))}
+
+
+def test_steps_over_tokens_run_in_one_pass(spark):
+    """Lists of tokens that lie between two steps aren't made into rows."""
+    rows = spark.createDataFrame([(1, "a b a"), (2, "b")], "id long, text string")
+    bags = K.without_words(K.token_bags(rows), spark.createDataFrame([("c",)], "word string"))
+    counts = K.document_counts(bags)
+    assert counts._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["token"]: r["n_docs"] for r in counts.collect()} == {"a": 1, "b": 2}
+
+
+def test_spelling_is_the_digest_of_the_sorted_tokens(spark, bags):
+    rows = spark.createDataFrame([*bags.items(), (500, [])], "id long, tokens array<string>")
+    for r in V.spelt_bags(rows).collect():
+        want = sorted(bags.get(r["id"], []), key=str.encode)
+        assert r["tokens"] == want
+        assert r["spelling"] == hashlib.md5(" ".join(want).encode()).hexdigest()
