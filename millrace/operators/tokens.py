@@ -12,7 +12,7 @@ from millrace.operators.vectors import document_tokens, lists_of, slices, spelt_
 from millrace.session import settle
 
 #: bytes of text that are cut at once, and tokens whose records are counted at once
-CUT_BYTES, COUNTED = 1 << 23, 1 << 22
+CUT_BYTES, COUNTED = 1 << 23, 1 << 21
 
 
 def word_rows(lines: DataFrame, keep_empty: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ itself, and only the uses of rarer ones travel to the table of tokens and back.
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 
 from pyspark.core.broadcast import Broadcast
@@ -25,6 +26,28 @@ HELD_PAIRS = 1 << 18  # pairs that every task may hold, 16 bytes each
 COUNTS = ["codes", "uses", "rare", "rare_uses"]
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: workers live on between tasks, beside the executor's heap."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work):
+    """The same work on a task's batches, giving freed memory back at the end."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def through(rows: DataFrame, step, schema) -> DataFrame:
     """`rows` through `step`, a function over Arrow batches. Steps that follow one another run in one
     Python pass, so lists of tokens that lie between them never become rows."""
@@ -36,7 +59,7 @@ def through(rows: DataFrame, step, schema) -> DataFrame:
             batches = each(batches)
         return batches
 
-    out = source.mapInArrow(run, schema)
+    out = source.mapInArrow(tidy(run), schema)
     out._steps = source, steps
     return out
 
@@ -161,7 +184,7 @@ def unit_vectors(counted: DataFrame, table: TokenTable, key: str) -> DataFrame:
     joined = counted.drop("rare", "rare_uses").join(gathered, key, "left").select(
         *columns, "codes", "uses", F.col("_rare.code").alias("_code"), F.col("_rare.weight").alias("_weight"))
     kinds = StructType.fromDDL("codes array<bigint>, units array<double>")
-    return joined.mapInArrow(_units(table.held, columns), StructType([*joined.schema.fields[: len(columns)], *kinds.fields]))
+    return joined.mapInArrow(tidy(_units(table.held, columns)), StructType([*joined.schema.fields[: len(columns)], *kinds.fields]))
 
 
 def weighed_tokens(records: DataFrame, table: TokenTable, key: str, length: str) -> DataFrame:
@@ -358,7 +381,7 @@ def dot_products(pairs: DataFrame, left: tuple[str, str], right: tuple[str, str]
                     [*[batch.column(c).take(at) for c in columns], pa.array(found).take(at)], names=[*columns, name])
 
     kept = pairs.select(*columns, *left, *right)
-    return kept.mapInArrow(multiply, StructType([*kept.schema.fields[: len(columns)], *StructType.fromDDL(f"{name} double").fields]))
+    return kept.mapInArrow(tidy(multiply), StructType([*kept.schema.fields[: len(columns)], *StructType.fromDDL(f"{name} double").fields]))
 
 
 def met(pairs: DataFrame, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -376,7 +399,7 @@ BLOCK_POSTINGS, TILE, LEAST_BLOCKS = 1 << 22, 1 << 11, 4
 DENSE, MOST_DENSE = 1000, 1 << 12
 #: products a pair of rows from which whole tiles are multiplied, and cells a product up to which sums have
 #: a cell each
-FILLED, CELLS = 4, 16
+FILLED, CELLS = 4, 8
 #: bins that the tokens a vector drops may be long together, less than one: what shares no other token is in bin 0
 DROPPED = 0.6
 
@@ -451,7 +474,7 @@ def _kept_parts(vectors: DataFrame, cut: float) -> DataFrame:
                     names=[*columns, "codes", "units", "dropped"])
 
     named = vectors.select(*columns, "codes", "units")
-    return named.mapInArrow(keep, StructType([*named.schema.fields, *StructType.fromDDL("dropped double").fields]))
+    return named.mapInArrow(tidy(keep), StructType([*named.schema.fields, *StructType.fromDDL("dropped double").fields]))
 
 
 class _Side:
@@ -461,15 +484,15 @@ class _Side:
         import numpy as np
         import pyarrow as pa
 
-        table = table.combine_chunks()
-        lists = pa.concat_arrays(table["codes"].chunks)
-        self.row, self.code = rows_and_values(lists)
+        self.row, self.code = rows_and_values(pa.concat_arrays(table["codes"].chunks))
+        self.row = self.row.astype(np.int32)
         _, self.unit = rows_and_values(pa.concat_arrays(table["units"].chunks))
         self.n, self.key = table["n"].to_numpy().astype(float), table[key].combine_chunks()
         self.dropped = table["dropped"].to_numpy()
         self.sums = np.concatenate([[0.0], np.cumsum(self.unit * self.unit)])
-        self.starts = np.searchsorted(self.row, np.arange(len(self.n)))
-        self.places = self.row << CODE_BITS | self.code
+        self.starts = np.searchsorted(self.row, np.arange(len(self.n), dtype=np.int32))
+        self.places = self.row.astype(np.int64) << CODE_BITS
+        self.places |= self.code
 
     def first(self, rows):
         """The commonest kept token; all dropped ones are commoner."""
@@ -547,18 +570,19 @@ def _count_bins(bins: int, key: str):
         starts = np.cumsum(counts) - counts
         ends = np.cumsum(counts[a[1]])
         rows = np.flatnonzero(np.diff(a[0], append=-1))  # each row's last entry
+        done = ends[rows]
         first = 0
         while first < len(rows):
             lo = rows[first - 1] + 1 if first else 0
-            last = max(first + 1, int(np.searchsorted(ends[rows], (ends[lo - 1] if lo else 0) + SLICE, side="right")))
+            last = max(first + 1, int(np.searchsorted(done, (ends[lo - 1] if lo else 0) + SLICE, side="right")))
             r, s, x = expanded(a, by_token, starts, counts, np.arange(lo, rows[last - 1] + 1))
             base = a[0][lo]
-            cell = (r - base) * n_g + s
+            cell = np.multiply(r - base, n_g, dtype=np.int64) + s
             cells = int(a[0][rows[last - 1]] - base + 1) * n_g
             if cells <= CELLS * len(cell):
                 sums = np.bincount(cell, x, cells)
                 cell = np.flatnonzero(sums > least)
-                yield base + cell // n_g, cell % n_g, sums[cell]
+                yield cell // n_g + base, cell % n_g, sums[cell]
             elif len(cell):
                 order = np.argsort(cell, kind="stable")
                 cell = cell[order]
@@ -566,20 +590,28 @@ def _count_bins(bins: int, key: str):
                 sums = np.add.reduceat(x[order], begins)
                 high = sums > least
                 cell = cell[begins[high]]
-                yield base + cell // n_g, cell % n_g, sums[high]
+                yield cell // n_g + base, cell % n_g, sums[high]
             first = last
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return counted(left, right)
+        finally:
+            give_back()
+
+    def counted(left: pa.Table, right: pa.Table) -> pa.Table:
         totals, still_open = [0] * (bins + 1), []
         if left.num_rows and right.num_rows:
             a, g = _Side(left, key), _Side(right, key)
             n_a, n_g = len(a.n), len(g.n)
             spelt = pa.concat_arrays([pa.array(a.code), pa.array(g.code)]).dictionary_encode()
-            token, tokens = spelt.indices.to_numpy().astype(np.int64), len(spelt.dictionary)
+            token, tokens = spelt.indices.to_numpy(), len(spelt.dictionary)
             token_a, token_g = token[: len(a.code)], token[len(a.code):]
             uses_a, uses_g = np.bincount(token_a, minlength=tokens), np.bincount(token_g, minlength=tokens)
             kept_a, kept_g = uses_g[token_a] > 0, uses_a[token_g] > 0
             entries_a, entries_g = (tuple(x[kept] for x in (side.row, codes, side.unit)) for side, codes, kept in ((a, token_a, kept_a), (g, token_g, kept_g)))
+            del spelt, token, token_a, token_g, kept_a, kept_g
+            a.row = g.row = None
             work = uses_a.astype(float) * uses_g
             most = np.sqrt(max(a.dropped.max(), g.dropped.max()))
             least = (1 - 1e-6) / bins - most - 1e-9
